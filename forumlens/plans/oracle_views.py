@@ -58,5 +58,7 @@ DEPENDS = {
 
 def with_views(body: str, *names: str) -> str:
     """Prefix ``body`` with the CTEs it names, in dependency order."""
+    if not names:
+        return "WITH " + body.lstrip().lstrip(",") if body.lstrip().startswith(",") else body
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
-    return f"WITH {ctes}\n{body}" if names else body
+    return f"WITH {ctes}\n{body}"
