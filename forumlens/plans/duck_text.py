@@ -107,3 +107,37 @@ def query_clean(e: str) -> str:
 def query_keep(e: str) -> str:
     parts = [f"not starts_with({e}, '{p}')" for p in ("Here", "Based", "Post", "Example", "Extract")]
     return f"({e} <> '' and " + " and ".join(parts) + ")"
+
+
+_ENT_SQL = (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "''''"), ("&#x27;", "''''"),
+            ("&apos;", "''''"), ("&nbsp;", "chr(160)"), ("&amp;", "'&'"))
+
+
+def clean_text(e: str) -> str:
+    s = f"regexp_replace(coalesce({e}, ''), '<[^>]+>', '', 'g')"
+    for ent, ch in _ENT_SQL:
+        s = f"replace({s}, '{ent}', {ch})"
+    return strip(s)
+
+
+def rfc822(c: str) -> str:
+    from ..functions.news_text import MONTHS, ZONES, _ISO, _RFC
+    g = lambda i: f"regexp_extract({c}, '{_RFC}', {i})"
+    months = "[" + ", ".join(f"'{m.upper()}'" for m in MONTHS) + "]"
+    month = f"list_position({months}, upper({g(2)}))"
+    sec = f"(case when {g(6)} = '' then 0 else try_cast({g(6)} as bigint) end)"
+    local = (f"make_timestamp(try_cast({g(3)} as bigint), {month}, try_cast({g(1)} as bigint), "
+             f"try_cast({g(4)} as bigint), try_cast({g(5)} as bigint), cast({sec} as double))")
+    zone = g(7)
+    named = "(case " + " ".join(f"when upper({zone}) = '{n}' then {o}" for n, o in ZONES) + " else 0 end)"
+    off = (f"(case when regexp_matches({zone}, '^[+-][0-9]{{4}}$') then "
+           f"(case when substr({zone}, 1, 1) = '-' then -1 else 1 end) * "
+           f"(cast(substr({zone}, 2, 2) as bigint) * 60 + cast(substr({zone}, 4, 2) as bigint)) else {named} end)")
+    utc = f"({local} - to_minutes({off}))"
+    gi = lambda i: f"regexp_extract({c}, '{_ISO}', {i})"
+    iso = (f"{gi(1)} || '-' || {gi(2)} || '-' || {gi(3)} || 'T' || {gi(4)} || ':' || {gi(5)} || ':' || "
+           f"(case when {gi(6)} = '' then '00' else {gi(6)} end)")
+    return (f"(case when coalesce({c}, '') = '' then null "
+            f"when regexp_matches({c}, '{_RFC}') and {local} is not null "
+            f"then strftime({utc}, '%Y-%m-%dT%H:%M:%S') || '+00:00' "
+            f"when regexp_matches({c}, '{_ISO}') then {iso} else {c} end)")

@@ -108,3 +108,60 @@ def volume_comments(spark: SparkSession, sf: str) -> DataFrame:
 def listing_batch_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Ids of an incoming listing: the distinct customer keys of orders."""
     return table(spark, sf, "orders").select(F.col("o_custkey").alias("reddit_id")).distinct()
+
+
+# ---------------------------------------------------------------- news
+
+def _page_news_base(spark: SparkSession, sf: str) -> DataFrame:
+    from ..functions.news_text import clean_text
+    p = table(spark, sf, "pages")
+    at = ntz(DEFAULT_SCRAPE) + F.make_dt_interval(F.lit(0), p.page_id.cast("int"))
+    stamp = F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss")
+    k = p.page_id % 5
+    pub = (F.when(k == 0, F.concat(stamp, F.lit(" GMT")))
+            .when(k == 1, F.concat(stamp, F.lit(" -0400")))
+            .when(k == 2, stamp)
+            .when(k == 3, F.concat(stamp, F.lit(" EST")))
+            .when(p.page_id % 10 == 4, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"))
+            .otherwise(F.lit("soon")))
+    return p.select(
+        p.page_id.alias("id"),
+        F.lit("google_news").alias("provider"),
+        F.regexp_extract(p.url, r"^https?://[^/]+/([a-z]+)/", 1).alias("query"),
+        clean_text(F.regexp_extract(p.html, r"<title>(.*?)</title>", 1)).alias("title"),
+        p.url.alias("url"),
+        F.regexp_extract(p.url, r"^https?://([^/?#]+)", 1).alias("source_name"),
+        pub.alias("published_raw"),
+        clean_text(F.regexp_extract(p.html, r"<p>(.*?)</p>", 1)).alias("summary"),
+        (ntz(DEFAULT_SCRAPE) + F.make_dt_interval(F.lit(0), F.lit(0), p.page_id.cast("int"))).alias("fetched_at"),
+        p.html.alias("raw"),
+    )
+
+
+def news_items(spark: SparkSession, sf: str) -> DataFrame:
+    """News items from pages; every fifth page was fetched a second time a
+    day later under a new id (duplicates for UNIQUE(provider, query, url))."""
+    base = _page_news_base(spark, sf)
+    again = (base.where(F.col("id") % 5 == 0)
+                 .withColumn("fetched_at", F.col("fetched_at") + F.make_dt_interval(F.lit(1)))
+                 .withColumn("id", F.col("id") + 1000000000))
+    return base.unionByName(again)
+
+
+def rss_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed RSS payloads: one feed per (query, block of ten page ids).
+    Every seventh page lost its title on the way."""
+    from ..functions.news_text import xml_escape
+    b = _page_news_base(spark, sf)
+    title = F.when(F.col("id") % 7 == 0, F.lit("")).otherwise(F.col("title"))
+    item = F.concat(
+        F.lit("<item><title>"), xml_escape(title), F.lit("</title><link>"), xml_escape(F.col("url")),
+        F.lit("</link><pubDate>"), xml_escape(F.col("published_raw")), F.lit("</pubDate><description>"),
+        xml_escape(F.col("summary")), F.lit("</description><source url=\""), xml_escape(F.col("url")),
+        F.lit("\">"), xml_escape(F.col("source_name")), F.lit("</source></item>"))
+    feeds = (b.select("query", F.floor(F.col("id") / 10).alias("bucket"), "id", item.alias("item"))
+              .groupBy("query", "bucket")
+              .agg(F.array_sort(F.collect_list(F.struct("id", "item"))).alias("_i")))
+    return feeds.select("query", "bucket", F.concat(
+        F.lit("<rss version=\"2.0\"><channel>"), F.array_join(F.transform("_i", lambda x: x["item"]), ""),
+        F.lit("</channel></rss>")).alias("xml"))
