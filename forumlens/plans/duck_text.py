@@ -141,3 +141,35 @@ def rfc822(c: str) -> str:
             f"when regexp_matches({c}, '{_RFC}') and {local} is not null "
             f"then strftime({utc}, '%Y-%m-%dT%H:%M:%S') || '+00:00' "
             f"when regexp_matches({c}, '{_ISO}') then {iso} else {c} end)")
+
+
+def _re(p: str) -> str:
+    """A Java pattern for RE2: drop the (?d) flag (RE2's '.' already stops at \\n only)."""
+    return p.replace("(?d)", "")
+
+
+def letter_title(md: str) -> str:
+    from ..functions.letters import SUBJECT_RE
+    r = _re(SUBJECT_RE)
+    return f"(case when regexp_matches({md}, '{r}') then {strip(f'regexp_extract({md}, {chr(39)}{r}{chr(39)}, 1)')} else 'Market Summary' end)"
+
+
+def _inline(s: str) -> str:
+    from ..functions.letters import LINK_RE
+    s = f"regexp_replace({s}, '{LINK_RE}', '<a href=\"\\2\">\\1</a>', 'g')"
+    s = f"regexp_replace({s}, '\\*\\*([^*]+)\\*\\*', '<strong>\\1</strong>', 'g')"
+    return f"regexp_replace({s}, '\\*([^*]+)\\*', '<em>\\1</em>', 'g')"
+
+
+def render_markdown(md: str) -> str:
+    from ..functions.letters import BLOCK_SPLIT
+    b2 = "regexp_replace(b, '^\\n+|\\n+$', '', 'g')"
+    hashes = f"regexp_extract({b2}, '^(#{{1,6}}) ', 1)"
+    lvl = f"cast(length({hashes}) as varchar)"
+    heading = (f"'<h' || {lvl} || '>' || {_inline(f'trim(regexp_replace({b2}, {chr(39)}^#{{1,6}} {chr(39)}, {chr(39)}{chr(39)}))')}"
+               f" || '</h' || {lvl} || '>'")
+    para = f"'<p>' || replace({_inline(b2)}, chr(10), '<br />' || chr(10)) || '</p>'"
+    render = f"(case when {hashes} <> '' then {heading} else {para} end)"
+    blocks = (f"list_filter(regexp_split_to_array(replace(coalesce({md}, ''), chr(13) || chr(10), chr(10)), "
+              f"'{BLOCK_SPLIT}'), lambda b: trim(b) <> '')")
+    return f"array_to_string(list_transform({blocks}, lambda b: {render}), chr(10))"

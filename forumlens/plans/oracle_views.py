@@ -62,3 +62,40 @@ def with_views(body: str, *names: str) -> str:
         return "WITH " + body.lstrip().lstrip(",") if body.lstrip().startswith(",") else body
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
     return f"WITH {ctes}\n{body}"
+
+LETTERS_SQL = """
+lsrc AS (select * from (
+  select lower(c.c_mktsegment) as subreddit, cast(o.o_orderdate as date) as letter_date, o.o_orderkey,
+         o.o_custkey, c.c_name, o.o_orderstatus, o.o_orderpriority, o.o_totalprice,
+         row_number() over (partition by lower(c.c_mktsegment), cast(o.o_orderdate as date)
+                            order by o.o_totalprice desc, o.o_orderkey) as rank
+  from orders o join customer c on o.o_custkey = c.c_custkey) t where rank <= 12),
+lent AS (select subreddit, letter_date, rank,
+  (case when o_orderkey % 2 = 0 then '**[' || lbl || ']:** ' else '**' || lbl || ':** ' end) ||
+  (case when o_orderkey % 11 = 0
+        then 'Order ' || cast(o_orderkey as varchar) || ' totals ' || price || ' with no source.'
+        else 'Order [' || cast(o_orderkey as varchar) || '](' || post || ') from [' || c_name || '](' || post
+             || 'c' || cast(o_custkey as varchar) || '/) totals ' || price || '.' ||
+             coalesce(case when o_orderstatus = 'F'
+                           then ' See [news](https://news.google.com/rss/articles/' || cast(o_orderkey as varchar) || ')!'
+                           when o_orderstatus = 'P'
+                           then ' Filing: [filing](https://example.com/filings/' || cast(o_orderkey as varchar) || ').'
+                      end, '') end) as entry
+  from (select lsrc.*,
+               'https://www.reddit.com/r/' || subreddit || '/comments/' || cast(o_orderkey as varchar) || '/order_'
+                 || cast(o_orderkey as varchar) || '/' as post,
+               upper(regexp_replace(o_orderpriority, '^[0-9]+-', '')) || '/' ||
+                 case o_orderstatus when 'F' then 'FILLED' when 'O' then 'OPEN' else 'PARTIAL' end as lbl,
+               cast(cast(floor(o_totalprice) as bigint) as varchar) as price
+        from lsrc) x),
+letters AS (select subreddit, letter_date, strftime(letter_date, '%Y-%m-%d') || '.md' as file_name,
+  '**To:** Investors' || chr(10) || '**Date:** ' ||
+  (case when day(letter_date) % 2 = 1 then strftime(letter_date, '%B %d, %Y') || ' at 07:00 PM EDT'
+        else strftime(letter_date, '%B %d, %Y') end) || chr(10) ||
+  (case when day(letter_date) = 20 then ''
+        else '**Subject:** Orders of ' || strftime(letter_date, '%Y-%m-%d') || chr(10) end) ||
+  chr(10) || 'Dear investors,' || chr(10) || chr(10) ||
+  (case when day(letter_date) = 7 then '## Notes' || chr(10) || chr(10) else '' end) ||
+  string_agg(entry, chr(10) || chr(10) order by rank) ||
+  (case when day(letter_date) = 13 then chr(10) || chr(10) || 'Link:' else '' end) || chr(10) as markdown
+  from lent group by subreddit, letter_date)"""

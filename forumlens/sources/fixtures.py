@@ -165,3 +165,68 @@ def rss_payloads(spark: SparkSession, sf: str) -> DataFrame:
     return feeds.select("query", "bucket", F.concat(
         F.lit("<rss version=\"2.0\"><channel>"), F.array_join(F.transform("_i", lambda x: x["item"]), ""),
         F.lit("</channel></rss>")).alias("xml"))
+
+
+# ---------------------------------------------------------------- letters
+
+LETTERS_PER_DAY_ENTRIES = 12   # a letter covers the day's 12 largest orders of a segment
+
+
+def letter_entries_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders a letter covers: per (segment, day) the 12 largest."""
+    from pyspark.sql import Window
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    j = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.lower("c_mktsegment").alias("subreddit"), F.to_date("o_orderdate").alias("letter_date"),
+        "o_orderkey", "o_custkey", "c_name", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    w = Window.partitionBy("subreddit", "letter_date").orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey"))
+    return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= LETTERS_PER_DAY_ENTRIES)
+             .withColumn("rank", F.col("rank").cast("bigint")))
+
+
+def _entry_text() -> "F.Column":
+    key = F.col("o_orderkey").cast("string")
+    post = F.concat(F.lit("https://www.reddit.com/r/"), F.col("subreddit"), F.lit("/comments/"), key,
+                    F.lit("/order_"), key, F.lit("/"))
+    label = F.concat(F.upper(F.regexp_replace("o_orderpriority", "^[0-9]+-", "")), F.lit("/"),
+                     F.when(F.col("o_orderstatus") == "F", F.lit("FILLED"))
+                      .when(F.col("o_orderstatus") == "O", F.lit("OPEN")).otherwise(F.lit("PARTIAL")))
+    head = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("**["), label, F.lit("]:** "))) \
+            .otherwise(F.concat(F.lit("**"), label, F.lit(":** ")))
+    price = F.floor("o_totalprice").cast("bigint").cast("string")
+    linked = F.concat(F.lit("Order ["), key, F.lit("]("), post, F.lit(") from ["), F.col("c_name"), F.lit("]("),
+                      post, F.lit("c"), F.col("o_custkey").cast("string"), F.lit("/) totals "), price, F.lit("."))
+    plain = F.concat(F.lit("Order "), key, F.lit(" totals "), price, F.lit(" with no source."))
+    tail = (F.when(F.col("o_orderstatus") == "F",
+                   F.concat(F.lit(" See [news](https://news.google.com/rss/articles/"), key, F.lit(")!")))
+             .when(F.col("o_orderstatus") == "P",
+                   F.concat(F.lit(" Filing: [filing](https://example.com/filings/"), key, F.lit(")."))))
+    return F.concat(head, F.when(F.col("o_orderkey") % 11 == 0, plain)
+                    .otherwise(F.concat(linked, F.coalesce(tail, F.lit("")))))
+
+
+def letters(spark: SparkSession, sf: str) -> DataFrame:
+    """One Markdown letter per (segment, day): header block, greeting, one
+    ``**LABEL:**`` entry per covered order.  Some days vary the layout: no
+    subject (day 20), a heading (day 7), a trailing ``Link:`` line (day 13),
+    date with or without time (odd/even day)."""
+    e = letter_entries_source(spark, sf).select("subreddit", "letter_date", "rank", _entry_text().alias("entry"))
+    g = (e.groupBy("subreddit", "letter_date")
+          .agg(F.array_sort(F.collect_list(F.struct("rank", "entry"))).alias("_e")))
+    d = F.col("letter_date")
+    day = F.dayofmonth(d)
+    date_txt = F.when(day % 2 == 1, F.concat(F.date_format(d, "MMMM dd, yyyy"), F.lit(" at 07:00 PM EDT"))) \
+                .otherwise(F.date_format(d, "MMMM dd, yyyy"))
+    subject = F.when(day == 20, F.lit("")).otherwise(
+        F.concat(F.lit("**Subject:** Orders of "), F.date_format(d, "yyyy-MM-dd"), F.lit("\n")))
+    md = F.concat(
+        F.lit("**To:** Investors\n**Date:** "), date_txt, F.lit("\n"), subject,
+        F.lit("\nDear investors,\n\n"),
+        F.when(day == 7, F.lit("## Notes\n\n")).otherwise(F.lit("")),
+        F.array_join(F.transform("_e", lambda x: x["entry"]), "\n\n"),
+        F.when(day == 13, F.lit("\n\nLink:")).otherwise(F.lit("")),
+        F.lit("\n"))
+    return g.select("subreddit", "letter_date",
+                    F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(".md")).alias("file_name"),
+                    md.alias("markdown"))
