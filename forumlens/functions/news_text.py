@@ -7,6 +7,7 @@ import html
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .text import py_strip
 
@@ -40,7 +41,7 @@ def clean_text(c: Column) -> Column:
     return py_strip(s)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else html.unescape(v))
 

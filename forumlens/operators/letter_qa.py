@@ -16,6 +16,8 @@ MIN_ENTRIES, MAX_ENTRIES = 8, 12
 MAX_SENTENCES = 3
 SENTENCE_END = r"[.!?]+(\s|$)"      # our sentence rule: end punctuation before space or end
 TICKER_TOKEN = r"^[A-Z]{2,5}$"      # our theme heuristic: 2-5 capital letters
+# The same tokens found in one pass: 2-5 capitals not touching [A-Za-z0-9_].
+TICKER_SCAN = r"(?<![A-Za-z0-9_])[A-Z]{2,5}(?![A-Za-z0-9_])"
 
 
 def _is_entry(line: Column) -> Column:
@@ -99,10 +101,10 @@ def weighted_themes(texts: DataFrame) -> DataFrame:
 
     Tokens are runs of ASCII letters, digits and ``_``; a token of 2-5
     capitals counts.  Heuristic of ours: the reference leaves this to a
-    model.  Tokens are filtered inside the array before exploding.
+    model.  One regex pass per text finds exactly those tokens.
     """
-    toks = texts.select(F.filter(F.split(F.coalesce("text", F.lit("")), "[^A-Za-z0-9_]+"),
-                                 lambda t: t.rlike(TICKER_TOKEN)).alias("_t"), "score")
+    toks = texts.select(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TICKER_SCAN), 0).alias("_t"),
+                        "score")
     ex = toks.select(F.explode("_t").alias("token"), F.coalesce("score", F.lit(0)).alias("score"))
     return ex.groupBy("token").agg(F.sum("score").cast("bigint").alias("weighted_score"),
                                    F.count(F.lit(1)).alias("mentions"))
@@ -110,5 +112,5 @@ def weighted_themes(texts: DataFrame) -> DataFrame:
 
 def link_grounding(links: DataFrame, sources: DataFrame) -> DataFrame:
     """Letter links whose URL is not among the source URLs (anti join)."""
-    s = sources.select(F.col("url").alias("_u")).distinct()
+    s = sources.select(F.col("url").alias("_u"))
     return links.join(s, links.url == s._u, "left_anti")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .guards import broadcast_if_small
+from .guards import broadcast_if_small, is_small
 
 POST_METRICS = ("score", "upvote_ratio", "num_comments", "is_pinned")
 
@@ -58,6 +58,11 @@ def latest_comment_snapshot(comments: DataFrame, snapshots: DataFrame) -> DataFr
     Ties on ``(scraped_at, id)`` cannot happen with a real arrival id; the
     score itself breaks them so the result is deterministic anyway.
     """
+    ids = comments.select(F.col("reddit_id").alias("comment_reddit_id"))
+    if is_small(ids):
+        # Few comments (a report's selection): drop other comments' series
+        # map-side before aggregating.
+        snapshots = snapshots.join(F.broadcast(ids), "comment_reddit_id", "left_semi")
     latest = newest_values(snapshots, "comment_reddit_id", ("score",), tie_extra=("score",))
     return (comments.join(latest, comments.reddit_id == latest.comment_reddit_id, "left")
             .drop("comment_reddit_id", "scraped_at"))

@@ -26,6 +26,19 @@ def recent_posts(posts: DataFrame, n: int = 25) -> DataFrame:
                  .withColumn("pos", F.col("pos").cast("bigint")))
 
 
+def select_recent(posts: DataFrame, n: int = 25) -> DataFrame:
+    """H1 then the chosen posts' full rows.
+
+    The ranking window sees only (reddit_id, subreddit, last_scraped_at), so
+    the shuffle carries three narrow columns, never post bodies; the bodies
+    of the at most ``n`` posts per community are joined back with a
+    broadcast of the (size-checked) selection.
+    """
+    ranked = recent_posts(posts.select("reddit_id", "subreddit", "last_scraped_at"), n)
+    chosen = broadcast_if_small(ranked.select("reddit_id", "pos"))
+    return posts.join(chosen, "reddit_id", "inner")
+
+
 def comment_order() -> list[Column]:
     """G2/H2 order: null score ranks as -1, ties keep the stored order
     (score DESC NULLS LAST), then comment id."""
@@ -93,7 +106,7 @@ def context_documents(posts: DataFrame, snapshots: DataFrame, reports: DataFrame
     last_scraped_at; ``comments`` needs reddit_id, post_reddit_id, body,
     author, url.
     """
-    recent = recent_posts(posts, n_posts)
+    recent = select_recent(posts, n_posts)
     deltas = report_deltas(recent.select("reddit_id", "subreddit"), snapshots, reports)
     # Only comments of the selected posts: a semi join against a set bounded
     # by n_posts per community.

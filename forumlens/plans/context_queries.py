@@ -272,7 +272,7 @@ def q_post_block(spark, sf):
 def _blocks(spark, sf):
     # Same plan as context_documents, stopped before the per-community concat.
     posts = fx.posts(spark, sf)
-    recent = threads.recent_posts(posts)
+    recent = threads.select_recent(posts)
     deltas = snapshots.report_deltas(recent.select("reddit_id", "subreddit"),
                                      fx.post_snapshots(spark, sf), fx.reports(spark, sf)).drop("subreddit")
     c = _comments_with_score(spark, sf)
