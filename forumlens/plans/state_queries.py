@@ -234,3 +234,30 @@ def q_dq_not_null(spark, sf):
 
 
 assert VIEWS  # views used above are all defined
+
+
+# ---------------------------------------------------------------- A2
+
+@query("ingest_listing", "A2", """
+select event_id as position, user_id as reddit_id, 'post ' || cast(user_id as varchar) || ' ' || event_type as title,
+       case when event_type = 'error' then null else 'u' || cast(event_id % 7 as varchar) end as author,
+       date_trunc('second', ts) as created_at, event_type = 'signup' as is_pinned
+from events""")
+def q_ingest_listing(spark, sf):
+    """Listing records land as JSON lines (written here from events), then
+    are read back with the fixed schema and normalised."""
+    import uuid
+    from ..session import shared_path
+    from ..sources import landing
+    secs = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    landed = listing_batches(spark, sf).join(
+        table(spark, sf, "events").select(F.col("event_id").alias("position"),
+                                          secs.cast("double").cast("string").alias("created_utc2")), "position")
+    landed = (landed.drop("created_utc").withColumnRenamed("created_utc2", "created_utc")
+                    .withColumn("is_pinned", F.when(F.col("is_pinned"), F.lit(True)))   # absent when false
+                    .withColumn("reddit_id", F.col("reddit_id").cast("string")))
+    path = shared_path(spark, "landing", uuid.uuid4().hex)
+    landed.write.mode("overwrite").json(path)
+    posts = landing.ingest_listing(landing.read_listing(spark, path))
+    return posts.select("position", F.col("reddit_id").cast("bigint").alias("reddit_id"), "title", "author",
+                        "created_at", "is_pinned")
