@@ -22,5 +22,12 @@ def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
+    """``df`` marked for broadcast when it has at most ``max_rows`` rows,
+    else None (the caller keeps a shuffle join)."""
+    return F.broadcast(df) if is_small(df, max_rows) else None
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
+    small = small_side(df, max_rows)
+    return df if small is None else small

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .guards import broadcast_if_small, is_small
+from .guards import broadcast_if_small, small_side
 
 POST_METRICS = ("score", "upvote_ratio", "num_comments", "is_pinned")
 
@@ -58,11 +58,11 @@ def latest_comment_snapshot(comments: DataFrame, snapshots: DataFrame) -> DataFr
     Ties on ``(scraped_at, id)`` cannot happen with a real arrival id; the
     score itself breaks them so the result is deterministic anyway.
     """
-    ids = comments.select(F.col("reddit_id").alias("comment_reddit_id"))
-    if is_small(ids):
+    ids = small_side(comments.select(F.col("reddit_id").alias("comment_reddit_id")))
+    if ids is not None:
         # Few comments (a report's selection): drop other comments' series
         # map-side before aggregating.
-        snapshots = snapshots.join(F.broadcast(ids), "comment_reddit_id", "left_semi")
+        snapshots = snapshots.join(ids, "comment_reddit_id", "left_semi")
     latest = newest_values(snapshots, "comment_reddit_id", ("score",), tie_extra=("score",))
     return (comments.join(latest, comments.reddit_id == latest.comment_reddit_id, "left")
             .drop("comment_reddit_id", "scraped_at"))
@@ -89,8 +89,10 @@ def _asof_and_latest(post_cut: DataFrame, snapshots: DataFrame) -> DataFrame:
     order = _newest_key()
     row = F.struct(*[F.col(c) for c in POST_METRICS])
     at_cut = F.when(F.col("scraped_at") <= F.col("previous_report_at"), order)
-    s = snapshots.join(post_cut.select("reddit_id", "previous_report_at"),
-                       snapshots.post_reddit_id == post_cut.reddit_id, "inner")
+    # A report's selection (e.g. 25 posts per community) is broadcast, so the
+    # snapshot series is filtered map-side and never shuffled whole.
+    cut = broadcast_if_small(post_cut.select("reddit_id", "previous_report_at"))
+    s = snapshots.join(cut, snapshots.post_reddit_id == cut.reddit_id, "inner")
     return (s.groupBy("post_reddit_id")
              .agg(F.max_by(row, order).alias("_cur"),
                   F.max_by(F.struct(F.col("scraped_at"), *[F.col(c) for c in POST_METRICS]),

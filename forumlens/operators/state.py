@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
+from .guards import small_side
 from .refresh import valid_keys
 
 POST_COLUMNS = ("subreddit", "title", "selftext", "url", "author", "created_utc")
@@ -34,10 +35,18 @@ def _upsert(existing: DataFrame | None, batch: DataFrame, key: str, value_cols:
         F.lit(1).alias("_src"), *[F.col(c) for c in order_cols],
         F.col("scraped_at").alias("first_scraped_at"), F.col("scraped_at").alias("last_scraped_at"))
     rows = b
+    untouched = None
     if existing is not None:
-        e = existing.select(F.col(key), *[F.col(c) for c in value_cols], F.lit(0).alias("_src"),
-                            *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in order_cols],
-                            "first_scraped_at", "last_scraped_at")
+        stored = existing
+        keys = small_side(b.select(key).distinct())
+        if keys is not None:
+            # A scrape batch touches few ids: only those stored rows take part
+            # in the merge; the rest of the table passes through unshuffled.
+            untouched = existing.join(keys, key, "left_anti")
+            stored = existing.join(keys, key, "left_semi")
+        e = stored.select(F.col(key), *[F.col(c) for c in value_cols], F.lit(0).alias("_src"),
+                          *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in order_cols],
+                          "first_scraped_at", "last_scraped_at")
         rows = e.unionByName(b)
     order = F.struct(F.col("_src"), *[F.col(c) for c in order_cols], *[F.col(c) for c in value_cols])
     newest = F.struct(*[F.col(c) for c in value_cols], F.col("last_scraped_at"))
@@ -45,9 +54,12 @@ def _upsert(existing: DataFrame | None, batch: DataFrame, key: str, value_cols:
         F.max_by(newest, order).alias("_n"),
         F.min(F.when(F.col("_src") == 0, F.col("first_scraped_at"))).alias("_kept_first"),
         F.min("first_scraped_at").alias("_first"))
-    return agg.select(F.col(key), *[F.col(f"_n.{c}").alias(c) for c in value_cols],
-                      F.coalesce("_kept_first", "_first").alias("first_scraped_at"),
-                      F.col("_n.last_scraped_at").alias("last_scraped_at"))
+    merged = agg.select(F.col(key), *[F.col(f"_n.{c}").alias(c) for c in value_cols],
+                        F.coalesce("_kept_first", "_first").alias("first_scraped_at"),
+                        F.col("_n.last_scraped_at").alias("last_scraped_at"))
+    if untouched is None:
+        return merged
+    return merged.unionByName(untouched.select(key, *value_cols, "first_scraped_at", "last_scraped_at"))
 
 
 def upsert_posts(existing: DataFrame | None, batch: DataFrame,

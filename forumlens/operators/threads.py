@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..session import ensure_checkpoint_dir
 from .guards import broadcast_if_small
 from .snapshots import latest_comment_snapshot, report_deltas
 
@@ -35,7 +36,10 @@ def select_recent(posts: DataFrame, n: int = 25) -> DataFrame:
     broadcast of the (size-checked) selection.
     """
     ranked = recent_posts(posts.select("reddit_id", "subreddit", "last_scraped_at"), n)
-    chosen = broadcast_if_small(ranked.select("reddit_id", "pos"))
+    # The selection feeds several joins and size checks; a reliable
+    # checkpoint in the shared folder computes it once and cuts the lineage.
+    ensure_checkpoint_dir(posts.sparkSession)
+    chosen = broadcast_if_small(ranked.select("reddit_id", "pos").checkpoint(eager=True))
     return posts.join(chosen, "reddit_id", "inner")
 
 

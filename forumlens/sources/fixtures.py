@@ -51,8 +51,9 @@ def posts(spark: SparkSession, sf: str, with_text: bool = True) -> DataFrame:
         F.coalesce(F.col("f"), ntz(DEFAULT_SCRAPE)).alias("first_scraped_at"),
         F.coalesce(F.col("l"), ntz(DEFAULT_SCRAPE)).alias("last_scraped_at"),
     ]
-    from ..operators.guards import broadcast_if_small
-    return d.join(broadcast_if_small(seen), d.doc_id == seen.user_id, "left").select(*cols)
+    # No hint: Spark broadcasts ``seen`` only when its size estimate (an
+    # upper bound: the events scan) is under the broadcast threshold.
+    return d.join(seen, d.doc_id == seen.user_id, "left").select(*cols)
 
 
 def comments(spark: SparkSession, sf: str) -> DataFrame:
