@@ -112,5 +112,7 @@ def weighted_themes(texts: DataFrame) -> DataFrame:
 
 def link_grounding(links: DataFrame, sources: DataFrame) -> DataFrame:
     """Letter links whose URL is not among the source URLs (anti join)."""
-    s = sources.select(F.col("url").alias("_u"))
+    # distinct: a URL repeated many times collapses map-side (partial
+    # aggregation) instead of landing in one task on the anti join's right.
+    s = sources.select(F.col("url").alias("_u")).distinct()
     return links.join(s, links.url == s._u, "left_anti")

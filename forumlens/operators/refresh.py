@@ -29,7 +29,7 @@ def by_subreddit(df: DataFrame, subreddit: str) -> DataFrame:
 
 def by_id_list(df: DataFrame, ids: DataFrame, key: str = "reddit_id", id_col: str = "reddit_id") -> DataFrame:
     """D3: rows whose key is in ``ids``; an empty list gives an empty result."""
-    i = broadcast_if_small(ids.select(F.col(id_col).alias(key)))
+    i = broadcast_if_small(ids.select(F.col(id_col).alias(key)).distinct())
     return df.join(i, key, "left_semi")
 
 

@@ -76,9 +76,21 @@ def nest_comments(posts: DataFrame, comments: DataFrame) -> DataFrame:
     """E7 in relational form: one row per (post, comment); a post without
     comments keeps one row with null comment columns (the empty list).
     Comments whose post is unknown are dropped.  Nesting into arrays happens
-    only after a cap (see ``context_documents``)."""
+    only after a cap (see ``context_documents``).
+
+    Written as an inner join (AQE can split a hot post's comments across
+    tasks) plus the posts without comments (anti join against the distinct
+    commented post ids, de-duplicated map-side), not as one outer join whose
+    skewed side could not be split.
+    """
     c = comments.withColumnRenamed("reddit_id", "comment_id")
-    return posts.join(c, posts.reddit_id == c.post_reddit_id, "left").drop("post_reddit_id")
+    with_comments = posts.join(c, posts.reddit_id == c.post_reddit_id, "inner").drop("post_reddit_id")
+    commented = comments.select(F.col("post_reddit_id").alias("reddit_id")).distinct()
+    lonely = posts.join(commented, "reddit_id", "left_anti")
+    for f in c.schema.fields:
+        if f.name != "post_reddit_id":
+            lonely = lonely.withColumn(f.name, F.lit(None).cast(f.dataType))
+    return with_comments.unionByName(lonely)
 
 
 def comment_inclusion(comments: DataFrame, k: int = T.COMMENTS_PER_POST) -> DataFrame:
@@ -137,13 +149,25 @@ def context_documents(posts: DataFrame, snapshots: DataFrame, reports: DataFrame
                           F.array_join(F.transform("_b", lambda x: x["block"]), "").alias("content")))
 
 
+PROMPT_BLOCK_TURNS = 1000
+
+
 def messages_to_prompt(messages: DataFrame, key: str = "conv_id", order: str = "turn",
-                       role: str = "role", content: str = "text") -> DataFrame:
-    """``ROLE:\\ncontent`` blocks joined by a blank line, per conversation."""
+                       role: str = "role", content: str = "text",
+                       block_turns: int = PROMPT_BLOCK_TURNS) -> DataFrame:
+    """``ROLE:\ncontent`` blocks joined by a blank line, per conversation.
+
+    A conversation is assembled in parts of at most ``block_turns`` turns
+    (``part`` = turn // block_turns), so no group collects more than that
+    however long one conversation is; the parts joined by a blank line, in
+    ``part`` order, are the whole prompt.  Shorter conversations have the
+    single part 0.
+    """
     block = F.concat(F.upper(F.col(role)), F.lit(":\n"), F.coalesce(F.col(content), F.lit("")))
-    return (messages.groupBy(key)
+    part = F.floor(F.col(order) / block_turns).cast("bigint")
+    return (messages.groupBy(key, part.alias("part"))
                     .agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), block.alias("b")))).alias("_m"))
-                    .select(key, F.array_join(F.transform("_m", lambda x: x["b"]), "\n\n").alias("prompt")))
+                    .select(key, "part", F.array_join(F.transform("_m", lambda x: x["b"]), "\n\n").alias("prompt")))
 
 
 def prompt_dataset(contexts: DataFrame, template: str, model_name: str, date_text: Column) -> DataFrame:

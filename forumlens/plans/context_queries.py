@@ -322,9 +322,10 @@ def q_prompt_dataset(spark, sf):
 
 
 @query("messages_to_prompt", "J18", """
-select conv_id, string_agg(upper(role) || chr(10) || coalesce(text, ''), chr(10) || chr(10) order by turn)
-       as prompt
-from (select conv_id, turn, role || ':' as role, text from conversations) t group by conv_id""")
+select conv_id, cast(floor(turn / 1000) as bigint) as part,
+       string_agg(upper(role) || chr(10) || coalesce(text, ''), chr(10) || chr(10) order by turn) as prompt
+from (select conv_id, turn, role || ':' as role, text from conversations) t
+group by conv_id, cast(floor(turn / 1000) as bigint)""")
 def q_messages_to_prompt(spark, sf):
     from ..sources.tables import table
     return threads.messages_to_prompt(table(spark, sf, "conversations"))

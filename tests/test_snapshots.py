@@ -68,3 +68,22 @@ def test_top_comments_cap(spark):
                               "reddit_id string, post_reddit_id bigint, body string, score bigint")
     got = rows(threads.top_comments(c, k=12), "score")
     assert [g[0] for g in got] == sorted(range(18, 30), key=repr)
+
+
+def test_messages_to_prompt_parts(spark):
+    msgs = spark.createDataFrame([(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(5)] +
+                                 [(2, 0, "system", None)], "conv_id bigint, turn bigint, role string, text string")
+    full = {r["conv_id"]: r["prompt"] for r in threads.messages_to_prompt(msgs).collect()}
+    assert full[1] == "\n\n".join(f"{'USER' if t % 2 == 0 else 'ASSISTANT'}:\nm{t}" for t in range(5))
+    assert full[2] == "SYSTEM:\n"
+    parts = threads.messages_to_prompt(msgs, block_turns=2).where("conv_id = 1").orderBy("part").collect()
+    assert [p["part"] for p in parts] == [0, 1, 2]
+    assert "\n\n".join(p["prompt"] for p in parts) == full[1]
+
+
+def test_nest_comments_keeps_lonely_posts(spark):
+    posts = spark.createDataFrame([(1,), (2,)], "reddit_id bigint")
+    comments = spark.createDataFrame([("c1", 1, 5), ("c2", 1, None), ("c3", 9, 1)],
+                                     "reddit_id string, post_reddit_id bigint, score bigint")
+    got = rows(threads.nest_comments(posts, comments), "reddit_id", "comment_id")
+    assert got == sorted([(1, "c1"), (1, "c2"), (2, None)], key=repr)
