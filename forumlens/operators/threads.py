@@ -112,26 +112,24 @@ def comment_lines(top: DataFrame) -> DataFrame:
                          F.array_join(F.transform("_l", lambda x: x["line"]), "").alias("comment_text")))
 
 
-def context_documents(posts: DataFrame, snapshots: DataFrame, reports: DataFrame,
-                      comments: DataFrame, comment_snapshots: DataFrame,
-                      n_posts: int = 25) -> DataFrame:
-    """one context document per subreddit, built from its ``n_posts``
-    most recent posts with metrics, deltas and top comments.
+def post_blocks(posts: DataFrame, snapshots: DataFrame, reports: DataFrame,
+                comments: DataFrame, comment_snapshots: DataFrame, n_posts: int = 25) -> DataFrame:
+    """J8 over a community's ``n_posts`` most recent posts: one text block
+    per post with metrics, deltas (E4) and top comments (G2), and its
+    position ``pos``.
 
     ``posts`` needs reddit_id, subreddit, title, selftext, url, author,
     last_scraped_at; ``comments`` needs reddit_id, post_reddit_id, body,
     author, url.
     """
     recent = select_recent(posts, n_posts)
-    deltas = report_deltas(recent.select("reddit_id", "subreddit"), snapshots, reports)
+    deltas = report_deltas(recent.select("reddit_id", "subreddit"), snapshots, reports).drop("subreddit")
     # Only comments of the selected posts: a semi join against a set bounded
     # by n_posts per community.
     ids = broadcast_if_small(recent.select(F.col("reddit_id").alias("post_reddit_id")))
-    c = comments.join(ids, "post_reddit_id", "left_semi")
-    c = latest_comment_snapshot(c, comment_snapshots)
+    c = latest_comment_snapshot(comments.join(ids, "post_reddit_id", "left_semi"), comment_snapshots)
     lines = comment_lines(top_comments(c))
-    d = deltas.drop("subreddit")
-    p = (recent.join(d, "reddit_id", "left")
+    p = (recent.join(deltas, "reddit_id", "left")
                .join(lines, recent.reddit_id == lines.post_reddit_id, "left"))
     meta = T.post_metadata(F.col("reddit_id"), F.col("subreddit"), F.col("url"), F.col("author"),
                            F.col("score"), F.col("upvote_ratio"), F.col("num_comments"),
@@ -141,7 +139,14 @@ def context_documents(posts: DataFrame, snapshots: DataFrame, reports: DataFrame
                            F.col("upvote_ratio_change_since_previous_report"))
     block = T.post_block(F.col("pos"), F.col("is_pinned"), F.col("title"), meta,
                          F.col("selftext"), F.col("comment_text"))
-    blocks = p.select("subreddit", "pos", block.alias("block"))
+    return p.select("subreddit", "pos", block.alias("block"))
+
+
+def context_documents(posts: DataFrame, snapshots: DataFrame, reports: DataFrame,
+                      comments: DataFrame, comment_snapshots: DataFrame,
+                      n_posts: int = 25) -> DataFrame:
+    """one context document per subreddit: its post blocks in order."""
+    blocks = post_blocks(posts, snapshots, reports, comments, comment_snapshots, n_posts)
     return (blocks.groupBy("subreddit")
                   .agg(F.array_sort(F.collect_list(F.struct("pos", "block"))).alias("_b"),
                        F.count(F.lit(1)).alias("n_posts"))

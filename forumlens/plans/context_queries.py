@@ -270,19 +270,10 @@ def q_post_block(spark, sf):
 
 
 def _blocks(spark, sf):
-    # Same plan as context_documents, stopped before the per-community concat.
-    posts = fx.posts(spark, sf)
-    recent = threads.select_recent(posts)
-    deltas = snapshots.report_deltas(recent.select("reddit_id", "subreddit"),
-                                     fx.post_snapshots(spark, sf), fx.reports(spark, sf)).drop("subreddit")
-    c = _comments_with_score(spark, sf)
-    c = c.join(recent.select(F.col("reddit_id").alias("post_reddit_id")), "post_reddit_id", "left_semi")
-    lines = threads.comment_lines(threads.top_comments(c))
-    p = recent.join(deltas, "reddit_id", "left").join(
-        lines, recent.reddit_id == lines.post_reddit_id, "left")
-    block = T.post_block(F.col("pos"), F.col("is_pinned"), F.col("title"), _metadata_col(),
-                         F.col("selftext"), F.col("comment_text"))
-    return p.select("subreddit", "pos", block.alias("block"))
+    c = fx.comments(spark, sf).select("reddit_id", "post_reddit_id", "body", "author",
+                                      T.comment_permalink(F.col("permalink")).alias("url"))
+    return threads.post_blocks(fx.posts(spark, sf), fx.post_snapshots(spark, sf), fx.reports(spark, sf),
+                               c, fx.comment_snapshots(spark, sf))
 
 
 CONTEXT_SQL = with_views(f""", {_RECENT}, {_LC}, {_TOP}, {_DELTA_RECENT}

@@ -26,23 +26,8 @@ listing AS (select cast(strftime(date_trunc('hour', ts), '%Y%m%d%H') as bigint)
 
 
 def listing_batches(spark, sf):
-    e = table(spark, sf, "events")
-    hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
-    return e.select(
-        F.date_format(hour, "yyyyMMddHH").cast("bigint").alias("batch_id"),
-        F.col("event_id").alias("position"), hour.alias("scraped_at"),
-        F.col("user_id").alias("reddit_id"),
-        F.concat(F.lit("src"), (F.col("user_id") % 20).cast("string")).alias("subreddit"),
-        F.concat(F.lit("post "), F.col("user_id").cast("string"), F.lit(" "), F.col("event_type")).alias("title"),
-        F.col("props").alias("selftext"),
-        F.concat(F.lit("https://example.com/"), F.col("user_id").cast("string")).alias("url"),
-        F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("u"), (F.col("event_id") % 7).cast("string"))).alias("author"),
-        F.lit(None).cast("string").alias("created_utc"),
-        F.floor(F.col("value") * 10).cast("bigint").alias("score"),
-        F.round(F.col("value") / 100.0, 4).alias("upvote_ratio"),
-        (F.col("event_id") % 97).alias("num_comments"),
-        (F.col("event_type") == "signup").alias("is_pinned"))
+    lst = fx.listing_from_events(table(spark, sf, "events"))
+    return lst.withColumn("batch_id", F.date_format("scraped_at", "yyyyMMddHH").cast("bigint"))
 
 
 def _stored_posts(spark, sf):
