@@ -24,6 +24,13 @@ ZONES = (("UT", 0), ("UTC", 0), ("GMT", 0), ("Z", 0), ("AST", -240), ("ADT", -18
          ("EST", -300), ("EDT", -240), ("CST", -360), ("CDT", -300), ("MST", -420),
          ("MDT", -360), ("PST", -480), ("PDT", -420))
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+# News context text, in the order it appears.
+NEWS_CONTEXT_HEADER = "External News Context:"
+ITEM_TITLE = "- Title: "
+ITEM_SOURCE = "  Source: "
+ITEM_PUBLISHED = "  Published: "
+ITEM_SUMMARY = "  Summary: "
+ITEM_URL = "  URL: "
 # ---------------------------------------------------------------------------
 
 TAG = r"<[^>]+>"

@@ -18,6 +18,27 @@ COMMENT_HOST = "https://www.reddit.com"
 SKIP_COMMENT_PREFIXES = ("[deleted]", "[removed]")
 QUERY_LINE_SKIP_PREFIXES = ("Here", "Based", "Post", "Example", "Extract")
 DEFAULT_LETTER_TITLE = "Market Summary"
+# Context text, in the order it appears in a post block.
+POST_HEADER_PREFIX = "--- Post "
+PINNED_MARK = "[PINNED] "
+POST_HEADER_SUFFIX = " ---"
+LABEL_DISCUSSION_URL = "Post Discussion URL: "
+LABEL_EXTERNAL_URL = "Post External URL: "
+LABEL_AUTHOR = "Author: u/"
+LABEL_SCORE = "Score: "
+LABEL_RATIO = "Upvote Ratio: "
+LABEL_COMMENT_COUNT = "Reddit Comment Count: "
+LABEL_NEW = "New Since Previous Report: "
+LABEL_SCORE_DELTA = "Score Change Since Previous Report"
+LABEL_COMMENT_DELTA = "Comment Count Change Since Previous Report"
+LABEL_RATIO_DELTA = "Upvote Ratio Change Since Previous Report"
+LABEL_BODY = "Post Body: "
+LABEL_TOP_COMMENTS = "Top Comments:"
+COMMENT_BULLET = "- "
+COMMENT_SCORE_OPEN = "[score "
+COMMENT_AUTHOR_PREFIX = "u/"
+COMMENT_SOURCE_OPEN = " (Source: "
+HEADLINE_NO_SCORE = "None"
 # ---------------------------------------------------------------------------
 
 # Whitespace as Python's str.split()/str.strip() see it (str.isspace):
@@ -128,18 +149,18 @@ def post_metadata(reddit_id: Column, subreddit: Column, url: Column, author: Col
     disc = discussion_url(reddit_id, subreddit, url)
     has_prev = previous_report_at.isNotNull()
     lines = [
-        F.concat(F.lit("Post Discussion URL: "), disc),
-        F.concat(F.lit("Post External URL: "), external_url(url, disc)),
-        F.when(_truthy(author), F.concat(F.lit("Author: u/"), author)),
-        F.concat(F.lit("Score: "), score.cast("string")),
-        F.concat(F.lit("Upvote Ratio: "), py_float_str(upvote_ratio)),
-        F.concat(F.lit("Reddit Comment Count: "), num_comments.cast("string")),
-        F.when(has_prev, F.concat(F.lit("New Since Previous Report: "),
+        F.concat(F.lit(LABEL_DISCUSSION_URL), disc),
+        F.concat(F.lit(LABEL_EXTERNAL_URL), external_url(url, disc)),
+        F.when(_truthy(author), F.concat(F.lit(LABEL_AUTHOR), author)),
+        F.concat(F.lit(LABEL_SCORE), score.cast("string")),
+        F.concat(F.lit(LABEL_RATIO), py_float_str(upvote_ratio)),
+        F.concat(F.lit(LABEL_COMMENT_COUNT), num_comments.cast("string")),
+        F.when(has_prev, F.concat(F.lit(LABEL_NEW),
                                   F.when(F.coalesce(new_flag, F.lit(False)), F.lit("yes"))
                                    .otherwise(F.lit("no")))),
-        F.when(has_prev, delta_line("Score Change Since Previous Report", score_delta, False)),
-        F.when(has_prev, delta_line("Comment Count Change Since Previous Report", comments_delta, False)),
-        F.when(has_prev, delta_line("Upvote Ratio Change Since Previous Report", ratio_delta, True)),
+        F.when(has_prev, delta_line(LABEL_SCORE_DELTA, score_delta, False)),
+        F.when(has_prev, delta_line(LABEL_COMMENT_DELTA, comments_delta, False)),
+        F.when(has_prev, delta_line(LABEL_RATIO_DELTA, ratio_delta, True)),
     ]
     return F.concat(F.concat_ws("\n", *lines), F.lit("\n"))
 
@@ -147,11 +168,11 @@ def post_metadata(reddit_id: Column, subreddit: Column, url: Column, author: Col
 def comment_line(score: Column, author: Column, body: Column, url: Column) -> Column:
     """``- [score N] u/author: body (Source: url)`` plus newline."""
     return F.concat(
-        F.lit("- "),
-        F.coalesce(F.concat(F.lit("[score "), score.cast("string"), F.lit("] ")), F.lit("")),
-        F.when(_truthy(author), F.concat(F.lit("u/"), author, F.lit(": "))).otherwise(F.lit("")),
+        F.lit(COMMENT_BULLET),
+        F.coalesce(F.concat(F.lit(COMMENT_SCORE_OPEN), score.cast("string"), F.lit("] ")), F.lit("")),
+        F.when(_truthy(author), F.concat(F.lit(COMMENT_AUTHOR_PREFIX), author, F.lit(": "))).otherwise(F.lit("")),
         clip_text(body),
-        F.when(_truthy(url), F.concat(F.lit(" (Source: "), url, F.lit(")"))).otherwise(F.lit("")),
+        F.when(_truthy(url), F.concat(F.lit(COMMENT_SOURCE_OPEN), url, F.lit(")"))).otherwise(F.lit("")),
         F.lit("\n"),
     )
 
@@ -166,9 +187,9 @@ def reportable_comment(body: Column) -> Column:
 
 
 def post_header(i: Column, is_pinned: Column, title: Column) -> Column:
-    return F.concat(F.lit("--- Post "), i.cast("string"), F.lit(": "),
-                    F.when(F.coalesce(is_pinned, F.lit(False)), F.lit("[PINNED] ")).otherwise(F.lit("")),
-                    F.coalesce(title, F.lit("")), F.lit(" ---\n"))
+    return F.concat(F.lit(POST_HEADER_PREFIX), i.cast("string"), F.lit(": "),
+                    F.when(F.coalesce(is_pinned, F.lit(False)), F.lit(PINNED_MARK)).otherwise(F.lit("")),
+                    F.coalesce(title, F.lit("")), F.lit(POST_HEADER_SUFFIX + "\n"))
 
 
 def post_block(i: Column, is_pinned: Column, title: Column, metadata: Column,
@@ -178,16 +199,16 @@ def post_block(i: Column, is_pinned: Column, title: Column, metadata: Column,
     ``comment_lines`` is the already ordered, already capped text of the
     comment lines ('' when none).
     """
-    body = F.when(~is_blank(selftext), F.concat(F.lit("Post Body: "), clip_text(selftext), F.lit("\n"))) \
+    body = F.when(~is_blank(selftext), F.concat(F.lit(LABEL_BODY), clip_text(selftext), F.lit("\n"))) \
             .otherwise(F.lit(""))
     comments = F.when(F.coalesce(comment_lines, F.lit("")) != "",
-                      F.concat(F.lit("Top Comments:\n"), comment_lines)).otherwise(F.lit(""))
+                      F.concat(F.lit(LABEL_TOP_COMMENTS + "\n"), comment_lines)).otherwise(F.lit(""))
     return F.concat(post_header(i, is_pinned, title), metadata, body, comments, F.lit("\n"))
 
 
 def headline_line(score: Column, title: Column) -> Column:
     """``[score N] title``; a missing score prints ``None``."""
-    return F.concat(F.lit("[score "), F.coalesce(score.cast("string"), F.lit("None")), F.lit("] "),
+    return F.concat(F.lit(COMMENT_SCORE_OPEN), F.coalesce(score.cast("string"), F.lit(HEADLINE_NO_SCORE)), F.lit("] "),
                     F.coalesce(title, F.lit("")))
 
 

@@ -57,11 +57,11 @@ def cap_per_query(items: DataFrame, group: list[str], query_order: Column, item_
 
 def _item_block() -> Column:
     def opt(label: str, c: str) -> Column:
-        return F.when(F.coalesce(F.col(c), F.lit("")) != "", F.concat(F.lit(f"  {label}: "), F.col(c)))
-    return F.concat_ws("\n", F.concat(F.lit("- Title: "), F.coalesce("title", F.lit(""))),
-                       opt("Source", "source_name"), opt("Published", "published_at"),
-                       opt("Summary", "summary"),
-                       F.concat(F.lit("  URL: "), F.coalesce("url", F.lit(""))))
+        return F.when(F.coalesce(F.col(c), F.lit("")) != "", F.concat(F.lit(label), F.col(c)))
+    return F.concat_ws("\n", F.concat(F.lit(N.ITEM_TITLE), F.coalesce("title", F.lit(""))),
+                       opt(N.ITEM_SOURCE, "source_name"), opt(N.ITEM_PUBLISHED, "published_at"),
+                       opt(N.ITEM_SUMMARY, "summary"),
+                       F.concat(F.lit(N.ITEM_URL), F.coalesce("url", F.lit(""))))
 
 
 def news_context(capped: DataFrame, group: list[str]) -> DataFrame:
@@ -75,7 +75,7 @@ def news_context(capped: DataFrame, group: list[str]) -> DataFrame:
                                   F.array_join(F.transform("_i", lambda x: x["b"]), "\n")).alias("qb")))
     return (per_query.groupBy(*group)
             .agg(F.array_sort(F.collect_list(F.struct("qrank", "qb"))).alias("_q"))
-            .select(*group, F.concat(F.lit("External News Context:\n"),
+            .select(*group, F.concat(F.lit(N.NEWS_CONTEXT_HEADER + "\n"),
                                      F.array_join(F.transform("_q", lambda x: x["qb"]), "\n"),
                                      F.lit("\n")).alias("news_context")))
 

@@ -57,7 +57,7 @@ def q_recent_posts(spark, sf):
 
 
 @query("post_numbering", "G4", with_views(f""", {_RECENT}
-select subreddit, reddit_id, pos, '--- Post ' || cast(pos as varchar) || ': ' || title || ' ---' as header
+select subreddit, reddit_id, pos, '{T.POST_HEADER_PREFIX}' || cast(pos as varchar) || ': ' || title || '{T.POST_HEADER_SUFFIX}' as header
 from recent""", "posts"))
 def q_post_numbering(spark, sf):
     p = fx.posts(spark, sf, with_text=False).select("reddit_id", "subreddit", "title", "last_scraped_at")
@@ -155,11 +155,11 @@ def q_defaults(spark, sf):
                     F.length(F.coalesce("selftext", F.lit(""))).cast("bigint").alias("selftext_chars"))
 
 
-@query("headline_line", "J17", with_views("""
+@query("headline_line", "J17", with_views(f"""
 , ls AS (select post_reddit_id, score from (
     select post_reddit_id, score, row_number() over (partition by post_reddit_id order by scraped_at desc, id desc) rn
     from post_snapshots) t where rn = 1)
-select p.reddit_id, '[score ' || coalesce(cast(ls.score as varchar), 'None') || '] ' || p.title as headline
+select p.reddit_id, '{T.COMMENT_SCORE_OPEN}' || coalesce(cast(ls.score as varchar), '{T.HEADLINE_NO_SCORE}') || '] ' || p.title as headline
 from posts p left join ls on ls.post_reddit_id = p.reddit_id""", "posts", "post_snapshots"))
 def q_headline_line(spark, sf):
     p = fx.posts(spark, sf, with_text=False).select("reddit_id", "title")
@@ -194,17 +194,17 @@ def q_null_safe_delta(spark, sf):
 
 @query("delta_label", "J3", f"""
 select reddit_id,
-  {D.delta('Score Change Since Previous Report', 'score_change_since_previous_report', False)} as score_line,
-  {D.delta('Comment Count Change Since Previous Report', 'comment_count_change_since_previous_report', False)} as comment_line,
-  {D.delta('Upvote Ratio Change Since Previous Report', 'upvote_ratio_change_since_previous_report', True)} as ratio_line
+  {D.delta(T.LABEL_SCORE_DELTA, 'score_change_since_previous_report', False)} as score_line,
+  {D.delta(T.LABEL_COMMENT_DELTA, 'comment_count_change_since_previous_report', False)} as comment_line,
+  {D.delta(T.LABEL_RATIO_DELTA, 'upvote_ratio_change_since_previous_report', True)} as ratio_line
 from ({REPORT_DELTAS_SQL}) d""")
 def q_delta_label(spark, sf):
     d = q_null_safe_delta(spark, sf)
     return d.select(
         "reddit_id",
-        T.delta_line("Score Change Since Previous Report", F.col("score_change_since_previous_report"), False).alias("score_line"),
-        T.delta_line("Comment Count Change Since Previous Report", F.col("comment_count_change_since_previous_report"), False).alias("comment_line"),
-        T.delta_line("Upvote Ratio Change Since Previous Report", F.col("upvote_ratio_change_since_previous_report"), True).alias("ratio_line"))
+        T.delta_line(T.LABEL_SCORE_DELTA, F.col("score_change_since_previous_report"), False).alias("score_line"),
+        T.delta_line(T.LABEL_COMMENT_DELTA, F.col("comment_count_change_since_previous_report"), False).alias("comment_line"),
+        T.delta_line(T.LABEL_RATIO_DELTA, F.col("upvote_ratio_change_since_previous_report"), True).alias("ratio_line"))
 
 
 def _metadata_col():

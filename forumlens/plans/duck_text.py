@@ -5,6 +5,7 @@ Only for oracle text; the Spark side never uses these.
 
 from __future__ import annotations
 
+from ..functions import text as T
 from ..functions.text import MAX_BODY_WORDS, WS_CLASS
 
 
@@ -63,25 +64,25 @@ def post_metadata(p: str = "") -> str:
     disc = discussion_url(f"{p}reddit_id", f"{p}subreddit", f"{p}url")
     has_prev = f"{p}previous_report_at is not null"
     lines = [
-        f"'Post Discussion URL: ' || {disc}",
-        f"'Post External URL: ' || {external_url(f'{p}url', disc)}",
-        f"case when {truthy(f'{p}author')} then 'Author: u/' || {p}author end",
-        f"'Score: ' || cast({p}score as varchar)",
-        f"'Upvote Ratio: ' || {float4(f'{p}upvote_ratio')}",
-        f"'Reddit Comment Count: ' || cast({p}num_comments as varchar)",
-        f"case when {has_prev} then 'New Since Previous Report: ' || "
+        f"'{T.LABEL_DISCUSSION_URL}' || {disc}",
+        f"'{T.LABEL_EXTERNAL_URL}' || {external_url(f'{p}url', disc)}",
+        f"case when {truthy(f'{p}author')} then '{T.LABEL_AUTHOR}' || {p}author end",
+        f"'{T.LABEL_SCORE}' || cast({p}score as varchar)",
+        f"'{T.LABEL_RATIO}' || {float4(f'{p}upvote_ratio')}",
+        f"'{T.LABEL_COMMENT_COUNT}' || cast({p}num_comments as varchar)",
+        f"case when {has_prev} then '{T.LABEL_NEW}' || "
         f"case when coalesce({p}new_since_previous_report, false) then 'yes' else 'no' end end",
-        f"case when {has_prev} then {delta('Score Change Since Previous Report', f'{p}score_change_since_previous_report', False)} end",
-        f"case when {has_prev} then {delta('Comment Count Change Since Previous Report', f'{p}comment_count_change_since_previous_report', False)} end",
-        f"case when {has_prev} then {delta('Upvote Ratio Change Since Previous Report', f'{p}upvote_ratio_change_since_previous_report', True)} end",
+        f"case when {has_prev} then {delta(T.LABEL_SCORE_DELTA, f'{p}score_change_since_previous_report', False)} end",
+        f"case when {has_prev} then {delta(T.LABEL_COMMENT_DELTA, f'{p}comment_count_change_since_previous_report', False)} end",
+        f"case when {has_prev} then {delta(T.LABEL_RATIO_DELTA, f'{p}upvote_ratio_change_since_previous_report', True)} end",
     ]
     return "(concat_ws(chr(10), " + ", ".join(lines) + ") || chr(10))"
 
 
 def comment_line(score: str, author: str, body: str, url: str) -> str:
-    return (f"('- ' || coalesce('[score ' || cast({score} as varchar) || '] ', '') || "
-            f"(case when {truthy(author)} then 'u/' || {author} || ': ' else '' end) || {clip(body)} || "
-            f"(case when {truthy(url)} then ' (Source: ' || {url} || ')' else '' end) || chr(10))")
+    return (f"('{T.COMMENT_BULLET}' || coalesce('{T.COMMENT_SCORE_OPEN}' || cast({score} as varchar) || '] ', '') || "
+            f"(case when {truthy(author)} then '{T.COMMENT_AUTHOR_PREFIX}' || {author} || ': ' else '' end) || {clip(body)} || "
+            f"(case when {truthy(url)} then '{T.COMMENT_SOURCE_OPEN}' || {url} || ')' else '' end) || chr(10))")
 
 
 def reportable(body: str) -> str:
@@ -90,10 +91,11 @@ def reportable(body: str) -> str:
 
 
 def post_block(i: str, pinned: str, title: str, meta: str, selftext: str, lines: str) -> str:
-    return (f"('--- Post ' || cast({i} as varchar) || ': ' || "
-            f"(case when coalesce({pinned}, false) then '[PINNED] ' else '' end) || coalesce({title}, '') || ' ---' || chr(10) || "
-            f"{meta} || (case when not {is_blank(selftext)} then 'Post Body: ' || {clip(selftext)} || chr(10) else '' end) || "
-            f"(case when coalesce({lines}, '') <> '' then 'Top Comments:' || chr(10) || {lines} else '' end) || chr(10))")
+    return (f"('{T.POST_HEADER_PREFIX}' || cast({i} as varchar) || ': ' || "
+            f"(case when coalesce({pinned}, false) then '{T.PINNED_MARK}' else '' end) || coalesce({title}, '') || "
+            f"'{T.POST_HEADER_SUFFIX}' || chr(10) || "
+            f"{meta} || (case when not {is_blank(selftext)} then '{T.LABEL_BODY}' || {clip(selftext)} || chr(10) else '' end) || "
+            f"(case when coalesce({lines}, '') <> '' then '{T.LABEL_TOP_COMMENTS}' || chr(10) || {lines} else '' end) || chr(10))")
 
 
 def query_clean(e: str) -> str:

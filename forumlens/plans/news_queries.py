@@ -125,18 +125,18 @@ def q_cap_per_query(spark, sf):
     return _capped(spark, sf).select("provider", "query", "id", "qrank", "irank")
 
 
-_ITEM_BLOCK = ("concat_ws(chr(10), '- Title: ' || coalesce(title, ''), "
-               "case when coalesce(source_name, '') <> '' then '  Source: ' || source_name end, "
-               "case when coalesce(published_at, '') <> '' then '  Published: ' || published_at end, "
-               "case when coalesce(summary, '') <> '' then '  Summary: ' || summary end, "
-               "'  URL: ' || coalesce(url, ''))")
+_ITEM_BLOCK = (f"concat_ws(chr(10), '{N.ITEM_TITLE}' || coalesce(title, ''), "
+               f"case when coalesce(source_name, '') <> '' then '{N.ITEM_SOURCE}' || source_name end, "
+               f"case when coalesce(published_at, '') <> '' then '{N.ITEM_PUBLISHED}' || published_at end, "
+               f"case when coalesce(summary, '') <> '' then '{N.ITEM_SUMMARY}' || summary end, "
+               f"'{N.ITEM_URL}' || coalesce(url, ''))")
 
 
 @query("news_context", "F6", f"""WITH {_NB}, {_CAPPED},
 qb AS (select provider, qrank,
               query || ':' || chr(10) || string_agg({_ITEM_BLOCK}, chr(10) order by irank) as qb
        from capped group by provider, query, qrank)
-select provider, 'External News Context:' || chr(10) || string_agg(qb, chr(10) order by qrank) || chr(10)
+select provider, '{N.NEWS_CONTEXT_HEADER}' || chr(10) || string_agg(qb, chr(10) order by qrank) || chr(10)
        as news_context
 from qb group by provider""")
 def q_news_context(spark, sf):
