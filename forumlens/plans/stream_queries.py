@@ -79,7 +79,7 @@ def q_stream_latest(spark, sf):
     q = (latest.writeStream.outputMode("update").foreachBatch(K.merge_updates_sink(f"{base}/state", "post_reddit_id"))
                .option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    return K.final_posts(spark, f"{base}/state").select(
+    return K.current_view(spark, f"{base}/state", "post_reddit_id").select(
         "post_reddit_id", "scraped_at", "score", "upvote_ratio", "num_comments", "is_pinned")
 
 

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators import state as S
+from ..operators.guards import small_side
 from ..operators.refresh import COMMENT_REFRESH_HOURS
 
 
@@ -30,29 +31,47 @@ def read_landed(spark: SparkSession, directory: str, file_glob: str, schema: T.S
     return r.parquet(directory)
 
 
-def _latest_version(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    """Newest table version written by an epoch before ``before``."""
+def _exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # listing only, no data
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+
+
+def write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
+    """Write one epoch's rows into its own partition; a replayed epoch
+    overwrites the same partition."""
+    df.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
+
+
+def current_view(spark: SparkSession, path: str, key: str, before: int | None = None) -> DataFrame | None:
+    """Merge-on-read state: per key, the row of the newest epoch (epochs
+    before ``before`` only).  Each epoch holds complete rows for the keys
+    it changed, so the newest epoch's row is the current one."""
+    if not _exists(spark, path):
         return None
-    versions = [int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(jvm_path)
-                if st.getPath().getName().startswith("v=")]
-    older = [v for v in versions if v < before]
-    return spark.read.parquet(f"{path}/v={max(older)}") if older else None
+    df = spark.read.parquet(path)
+    if before is not None:
+        df = df.where(F.col("epoch") < before)
+    cols = [c for c in df.columns if c not in (key, "epoch")]
+    agg = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("epoch")).alias("_r"))
+    return agg.select(key, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
 def upsert_sink(posts_path: str, snapshots_path: str):
-    """K1 ``foreachBatch`` body: upsert posts (B1) into a new table version
-    named by the epoch, and write the epoch's snapshots (B2) into the
-    epoch's partition.  Replaying an epoch overwrites the same outputs."""
+    """K1 ``foreachBatch`` body: merge the epoch's listing rows (B1) with the
+    current rows of the same posts and write the merged rows as the epoch's
+    delta; write the epoch's snapshots (B2) into its partition.  Only the
+    touched posts are read and written, and a replayed epoch rewrites the
+    same partitions."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         b = batch.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
-        existing = _latest_version(spark, posts_path, epoch_id)
-        S.upsert_posts(existing, b).write.mode("overwrite").parquet(f"{posts_path}/v={epoch_id}")
-        (S.post_snapshot_rows(b).write.mode("overwrite")
-           .parquet(f"{snapshots_path}/epoch={epoch_id}"))
+        prev = current_view(spark, posts_path, "reddit_id", before=epoch_id)
+        if prev is not None:
+            keys = b.select("reddit_id").distinct()
+            small = small_side(keys)
+            prev = prev.join(small if small is not None else keys, "reddit_id", "left_semi")
+        write_epoch(S.upsert_posts(prev, b), posts_path, epoch_id)
+        write_epoch(S.post_snapshot_rows(b), snapshots_path, epoch_id)
     return run
 
 
@@ -67,7 +86,7 @@ def run_ingest(spark: SparkSession, listing: DataFrame, base: str) -> tuple[str,
 
 
 def final_posts(spark: SparkSession, posts_path: str) -> DataFrame:
-    return _latest_version(spark, posts_path, 1 << 62)
+    return current_view(spark, posts_path, "reddit_id")
 
 
 def dedupe_snapshots(snapshots: DataFrame, event_time: str, delay: str, keys: list[str]) -> DataFrame:
@@ -89,14 +108,10 @@ def latest_metrics(snapshots: DataFrame, key: str, cols: list[str]) -> DataFrame
 
 
 def merge_updates_sink(path: str, key: str):
-    """``foreachBatch`` body for update-mode aggregates: each epoch writes a
-    new version holding the previous version with its updated keys
-    replaced.  A replayed epoch rewrites the same version."""
+    """``foreachBatch`` body for update-mode aggregates: each epoch writes
+    only its updated rows; :func:`current_view` gives the merged state."""
     def run(updates: DataFrame, epoch_id: int) -> None:
-        spark = updates.sparkSession
-        prev = _latest_version(spark, path, epoch_id)
-        merged = updates if prev is None else prev.join(updates.select(key), key, "left_anti").unionByName(updates)
-        merged.write.mode("overwrite").parquet(f"{path}/v={epoch_id}")
+        write_epoch(updates, path, epoch_id)
     return run
 
 
