@@ -63,8 +63,11 @@ def write_letter_files(letters: DataFrame, path: str) -> None:
 def write_letters(letters: DataFrame, path: str) -> None:
     """The letter archive as a table, one row per (community, day) with
     its file name and Markdown, partitioned by community."""
-    (letters.repartition("subreddit")
-            .select("subreddit", "letter_date", "file_name", "markdown")
+    # No repartition by community: a community with a third of all letters
+    # would be one task.  Rows stay spread as they are (by community and
+    # day); sorting within each task keeps one open file per community.
+    (letters.select("subreddit", "letter_date", "file_name", "markdown")
+            .sortWithinPartitions("subreddit", "letter_date")
             .write.mode("overwrite").partitionBy("subreddit").parquet(path))
 
 

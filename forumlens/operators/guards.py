@@ -18,16 +18,17 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 2_000_000
 
 
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
+    n = MAX_BROADCAST_ROWS if max_rows is None else max_rows
+    return df.limit(n + 1).count() <= n
 
 
-def small_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
+def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
     """``df`` marked for broadcast when it has at most ``max_rows`` rows,
     else None (the caller keeps a shuffle join)."""
     return F.broadcast(df) if is_small(df, max_rows) else None
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     small = small_side(df, max_rows)
     return df if small is None else small
