@@ -74,18 +74,21 @@ def py_float_str(c: Column) -> Column:
     """Python ``str(float)`` for a DOUBLE column.
 
     Spark prints 1.0E-4 where Python prints 0.0001, and 1.0E-5 where Python
-    prints 1e-05; both switch to exponents at different magnitudes.
+    prints 1e-05; both switch to exponents at different magnitudes.  Equal
+    to Python below 1e16.  In exponent form the text is the shortest that
+    reads back as the same double; in rare half-way cases its last digit
+    can differ from Python's, which picks the candidate closest to the
+    exact binary value.
     """
     s = c.cast("string")
-    mant = F.regexp_extract(s, r"^(-?[0-9.]+)E(-?[0-9]+)$", 1)
     exp = F.regexp_extract(s, r"^(-?[0-9.]+)E(-?[0-9]+)$", 2).cast("int")
     # positional form of a Spark exponent string, from the decimal text
     plain = F.regexp_replace(F.regexp_replace(s.cast("decimal(38,20)").cast("string"), "0+$", ""),
                              r"\.$", ".0")
-    m = F.regexp_replace(mant, r"\.0$", "")
-    e_txt = F.concat(F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
-                     F.lpad(F.abs(exp).cast("string"), 2, "0"))
-    sci = F.concat(m, F.lit("e"), e_txt)
+    # Exponent form: the shortest '%.ke' text that reads back as the same
+    # double (Python's repr rule); Spark's own text may carry extra digits.
+    sci = F.coalesce(*[F.when(F.format_string(f"%.{k}e", c).cast("double") == c, F.format_string(f"%.{k}e", c))
+                       for k in range(17)])
     return (F.when(c.isNull(), F.lit(None).cast("string"))
              .when(F.isnan(c), F.lit("nan"))
              .when(c == float("inf"), F.lit("inf"))
