@@ -32,3 +32,19 @@ def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame | None:
 def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     small = small_side(df, max_rows)
     return df if small is None else small
+
+
+# Rows per key above which a key is "hot": one task should not receive it
+# whole through a shuffle join.
+HOT_KEY_ROWS = 5_000_000
+
+
+def hot_keys(df: DataFrame, key: str, threshold: int | None = None) -> DataFrame | None:
+    """Keys holding more than ``threshold`` rows, ready to broadcast, or
+    None when there are none.  Counted with partial aggregation; the set is
+    at most rows/threshold keys and is size-checked before broadcasting."""
+    t = HOT_KEY_ROWS if threshold is None else threshold
+    hot = df.groupBy(key).count().where(F.col("count") > t).select(key)
+    if hot.limit(1).count() == 0:
+        return None
+    return small_side(hot)

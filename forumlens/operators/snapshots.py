@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .guards import broadcast_if_small, small_side
+from .guards import broadcast_if_small, hot_keys, small_side
 
 POST_METRICS = ("score", "upvote_ratio", "num_comments", "is_pinned")
 
@@ -85,19 +85,39 @@ def _cutoffs_per_post(posts: DataFrame, reports: DataFrame) -> DataFrame:
 
 def _asof_and_latest(post_cut: DataFrame, snapshots: DataFrame) -> DataFrame:
     """Newest snapshot overall and newest at or before the post's cutoff,
-    both from one aggregation over the series."""
+    both from one aggregation over the series.
+
+    The series must meet each post's cutoff before it can be reduced.  Hot
+    posts (more than ``guards.HOT_KEY_ROWS`` snapshots) meet it through a
+    broadcast of their few cutoff rows, map-side, so their series is reduced
+    by partial aggregation and never lands whole in one task; the other
+    posts take a shuffle join.  A report's small selection is broadcast
+    whole.
+    """
     order = _newest_key()
     row = F.struct(*[F.col(c) for c in POST_METRICS])
     at_cut = F.when(F.col("scraped_at") <= F.col("previous_report_at"), order)
-    # A report's selection (e.g. 25 posts per community) is broadcast, so the
-    # snapshot series is filtered map-side and never shuffled whole.
-    cut = broadcast_if_small(post_cut.select("reddit_id", "previous_report_at"))
-    s = snapshots.join(cut, snapshots.post_reddit_id == cut.reddit_id, "inner")
-    return (s.groupBy("post_reddit_id")
-             .agg(F.max_by(row, order).alias("_cur"),
-                  F.max_by(F.struct(F.col("scraped_at"), *[F.col(c) for c in POST_METRICS]),
-                           at_cut).alias("_prev"),
-                  F.max(at_cut).alias("_has_prev")))
+
+    def reduce(s: DataFrame) -> DataFrame:
+        return (s.groupBy("post_reddit_id")
+                 .agg(F.max_by(row, order).alias("_cur"),
+                      F.max_by(F.struct(F.col("scraped_at"), *[F.col(c) for c in POST_METRICS]),
+                               at_cut).alias("_prev"),
+                      F.max(at_cut).alias("_has_prev")))
+
+    cut = post_cut.select("reddit_id", "previous_report_at")
+    small = small_side(cut)
+    if small is not None:
+        return reduce(snapshots.join(small, snapshots.post_reddit_id == small.reddit_id, "inner"))
+    hot = hot_keys(snapshots, "post_reddit_id")
+    if hot is None:
+        return reduce(snapshots.join(cut, snapshots.post_reddit_id == cut.reddit_id, "inner"))
+    hot_ids = hot.withColumnRenamed("post_reddit_id", "reddit_id")
+    hot_cut = broadcast_if_small(cut.join(hot_ids, "reddit_id", "left_semi"))
+    hot_part = snapshots.join(hot_cut, snapshots.post_reddit_id == hot_cut.reddit_id, "inner")
+    cold = snapshots.join(hot, "post_reddit_id", "left_anti")
+    cold_part = cold.join(cut, cold.post_reddit_id == cut.reddit_id, "inner")
+    return reduce(hot_part).unionByName(reduce(cold_part))
 
 
 def asof_snapshot(posts: DataFrame, snapshots: DataFrame, reports: DataFrame) -> DataFrame:

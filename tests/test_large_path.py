@@ -40,3 +40,27 @@ def test_no_broadcast_in_forced_plan(spark, no_broadcast):
     with contextlib.redirect_stdout(buf):
         df.explain()
     assert "BroadcastHashJoin" not in buf.getvalue()
+
+
+@pytest.mark.parametrize("name", ["report_deltas", "context_document", "null_safe_delta"])
+def test_hot_key_split_matches_oracle(spark, no_broadcast, monkeypatch, name):
+    """Every post with more than 3 snapshots is treated as hot; the post
+    table (200 rows) is over the broadcast bound, the hot set (15) under it."""
+    monkeypatch.setattr(guards, "HOT_KEY_ROWS", 3)
+    monkeypatch.setattr(guards, "MAX_BROADCAST_ROWS", 150)
+    e = entries()[name]
+    r = compare(spark, duck_connect(SF_SMALL), name, e.fn, e.sql, SF_SMALL)
+    assert r["status"] == "ok", r
+
+
+def test_hot_key_split_in_plan(spark, no_broadcast, monkeypatch):
+    import contextlib
+    import io
+    monkeypatch.setattr(guards, "HOT_KEY_ROWS", 3)
+    monkeypatch.setattr(guards, "MAX_BROADCAST_ROWS", 150)
+    df = entries()["report_deltas"].fn(spark, SF_SMALL)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
+    assert "Union" in plan and "BroadcastHashJoin" in plan and "LeftAnti" in plan
