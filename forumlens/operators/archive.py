@@ -130,13 +130,19 @@ def latest_letter(pages: DataFrame) -> DataFrame:
                                           F.max_by("url", "letter_date").alias("url"))
 
 
-def rss_feed(pages: DataFrame, base_url: str = DEFAULT_BASE_URL, n: int = RSS_LENGTH) -> DataFrame:
-    """H4: the ``n`` newest letters per community as feed items; the title is
-    not XML-escaped, dates print as ``Fri, 21 Aug 2026 00:00:00 +0000``."""
+def rss_feed(pages: DataFrame, base_url: str = DEFAULT_BASE_URL, n: int = RSS_LENGTH,
+             escape_title: bool = False) -> DataFrame:
+    """H4: the ``n`` newest letters per community as feed items; dates print
+    as ``Fri, 21 Aug 2026 00:00:00 +0000``.  Titles go out as they are by
+    default, as the reference does; ``escape_title`` XML-escapes them."""
     w = Window.partitionBy("subreddit").orderBy(F.col("letter_date").desc())
     link = F.concat(F.lit(base_url.rstrip("/") + "/"), F.col("url"))
+    title = F.col("title")
+    if escape_title:
+        title = F.replace(F.replace(F.replace(title, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                          F.lit(">"), F.lit("&gt;"))
     return (pages.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-                 .select("subreddit", F.col("rank").cast("bigint").alias("rank"), "title",
+                 .select("subreddit", F.col("rank").cast("bigint").alias("rank"), title.alias("title"),
                          link.alias("link"), link.alias("guid"),
                          F.concat(F.date_format("letter_date", "EEE, dd MMM yyyy"), F.lit(" 00:00:00 +0000"))
                           .alias("pub_date"),

@@ -20,13 +20,16 @@ def ingest_rss(payloads: DataFrame, key: list[str], xml: str = "xml",
     """A4: RSS payload rows to news item rows.
 
     Items without title or link are dropped **before** the per-payload cap
-    of ``per_query``; ``item_pos`` keeps feed order.  XML decoding removes
-    one escape level, ``clean_text`` the second.
+    of ``per_query``; ``item_pos`` keeps feed order and ``raw`` the item's
+    XML text.  XML decoding removes one escape level, ``clean_text`` the
+    second.
     """
-    parsed = payloads.select(*key, F.from_xml(F.col(xml), RSS_DOC, {"rowTag": "rss"}).alias("_d"))
-    items = parsed.select(*key, F.posexplode("_d.channel.item").alias("item_pos", "it"))
+    parsed = payloads.select(*key, F.from_xml(F.col(xml), RSS_DOC, {"rowTag": "rss"}).alias("_d"),
+                             F.regexp_extract_all(F.col(xml), F.lit(r"(?s)<item\b.*?</item>"), 0).alias("_raw"))
+    items = parsed.select(*key, "_raw", F.posexplode("_d.channel.item").alias("item_pos", "it"))
     cleaned = items.select(
         *key, F.col("item_pos").cast("bigint").alias("item_pos"),
+        F.element_at("_raw", F.col("item_pos") + 1).alias("raw"),
         N.clean_text(F.col("it.title")).alias("title"),
         N.clean_text(F.col("it.link")).alias("url"),
         N.clean_text(F.col("it.source._VALUE")).alias("source_name"),

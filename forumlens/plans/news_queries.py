@@ -82,7 +82,8 @@ from (select cl.*, row_number() over (partition by query, bucket order by item_p
       from cl where title <> '' and url <> '') t
 where rn <= 3""")
 def q_ingest_rss(spark, sf):
-    return news.ingest_rss(fx.rss_payloads(spark, sf), ["query", "bucket"])
+    return news.ingest_rss(fx.rss_payloads(spark, sf), ["query", "bucket"]).select(
+        "query", "bucket", "item_pos", "title", "url", "source_name", "published_at", "summary", "provider")
 
 
 # ---------------------------------------------------------------- C4

@@ -49,8 +49,11 @@ def test_ingest_rss_drops_before_cap(spark):
            "<item><title>t5</title><link>l5</link></item>"
            "</channel></rss>")
     df = spark.createDataFrame([("q", xml)], "query string, xml string")
-    got = rows(news.ingest_rss(df, ["query"]), "item_pos", "title", "url", "source_name")
+    out = news.ingest_rss(df, ["query"])
+    got = rows(out, "item_pos", "title", "url", "source_name")
     assert got == [(1, "A & B", "l1", "Src"), (2, "t2", "l2", ""), (4, "t4", "l4", "")]
+    raw = {r["item_pos"]: r["raw"] for r in out.collect()}
+    assert raw[2] == "<item><title>t2</title><link>l2</link></item>"
 
 
 def test_news_context_text(spark):
@@ -122,3 +125,11 @@ def test_letter_qa_rules(spark):
     assert not out[2]["passes"] and out[2]["entries_without_link"] == 1 and out[2]["trailing_link_line"]
     links = letter_qa.entry_links(letter_qa.letter_entries(df)).select("kind").distinct().collect()
     assert [r[0] for r in links] == ["comment"]
+
+
+def test_rss_title_escape_option(spark):
+    pages = spark.createDataFrame([("s", dt.date(2026, 1, 1), "a.html", "A & <B>", "<p>x</p>")],
+                                  "subreddit string, letter_date date, url string, title string, content_html string")
+    assert archive.rss_feed(pages).first()["title"] == "A & <B>"
+    assert archive.rss_feed(pages, escape_title=True).first()["title"] == "A &amp; &lt;B&gt;"
+    assert archive.rss_feed(pages).first()["pub_date"] == "Thu, 01 Jan 2026 00:00:00 +0000"
