@@ -42,20 +42,52 @@ def write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/epoch={epoch_id}")
 
 
+def _compactions(spark: SparkSession, path: str) -> list[int]:
+    base = f"{path}_compacted"
+    if not _exists(spark, base):
+        return []
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(int(st.getPath().getName().split("=")[1]) for st in fs.listStatus(jvm_path)
+                  if st.getPath().getName().startswith("upto=")
+                  and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{st.getPath()}/_SUCCESS")))
+
+
 def current_view(spark: SparkSession, path: str, key: str, before: int | None = None) -> DataFrame | None:
     """Merge-on-read state: per key, the row of the newest epoch (epochs
     before ``before`` only).  Each epoch holds complete rows for the keys
-    it changed, so the newest epoch's row is the current one."""
-    if not _exists(spark, path):
+    it changed, so the newest epoch's row is the current one.  The newest
+    finished compaction (see :func:`compact`) stands in for all epochs it
+    covers."""
+    parts = []
+    usable = [u for u in _compactions(spark, path) if before is None or u < before]
+    floor = usable[-1] if usable else None
+    if floor is not None:
+        parts.append(spark.read.parquet(f"{path}_compacted/upto={floor}").withColumn("epoch", F.lit(floor)))
+    if _exists(spark, path):
+        d = spark.read.parquet(path)
+        if before is not None:
+            d = d.where(F.col("epoch") < before)
+        if floor is not None:
+            d = d.where(F.col("epoch") > floor)
+        parts.append(d)
+    if not parts:
         return None
-    df = spark.read.parquet(path)
-    if before is not None:
-        df = df.where(F.col("epoch") < before)
+    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     cols = [c for c in df.columns if c not in (key, "epoch")]
     agg = df.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("epoch")).alias("_r"))
     return agg.select(key, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
+def compact(spark: SparkSession, path: str, key: str, upto_epoch: int) -> None:
+    """Fold all epochs up to ``upto_epoch`` into one table; later reads use
+    it plus the newer epochs only.  Written next to the epochs and visible
+    only once complete, so a failed compaction changes nothing."""
+    view = current_view(spark, path, key, before=upto_epoch + 1)
+    if view is not None:
+        view.write.mode("overwrite").parquet(f"{path}_compacted/upto={upto_epoch}")
+
+
 def upsert_sink(posts_path: str, snapshots_path: str):
     """K1 ``foreachBatch`` body: merge the epoch's listing rows (B1) with the
     current rows of the same posts and write the merged rows as the epoch's

@@ -58,3 +58,15 @@ def test_latest_stream_equals_batch(spark):
     want = S.newest_values(fx.post_snapshots(spark, SF_SMALL), "post_reddit_id", ("score",)).select(
         "post_reddit_id", "scraped_at", "score")
     assert rows(got) == rows(want)
+
+
+def test_compaction_keeps_the_view(spark):
+    base = tempfile.mkdtemp(prefix="compact-", dir="/tmp") + "/state"
+    mk = lambda data: spark.createDataFrame(data, "k bigint, v string")
+    K.write_epoch(mk([(1, "a"), (2, "b")]), base, 0)
+    K.write_epoch(mk([(1, "c")]), base, 1)
+    K.compact(spark, base, "k", 1)
+    K.write_epoch(mk([(2, "d"), (3, "e")]), base, 2)
+    assert rows(K.current_view(spark, base, "k")) == [(1, "c"), (2, "d"), (3, "e")]
+    assert rows(K.current_view(spark, base, "k", before=2)) == [(1, "c"), (2, "b")]
+    assert rows(K.current_view(spark, base, "k", before=1)) == [(1, "a"), (2, "b")]
