@@ -232,12 +232,13 @@ def q_ingest_listing(spark, sf):
     """Listing records land as JSON lines (written here from events), then
     are read back with the fixed schema and normalised."""
     import uuid
+    from ..functions import text as T
     from ..session import shared_path
     from ..sources import landing
     secs = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     landed = listing_batches(spark, sf).join(
         table(spark, sf, "events").select(F.col("event_id").alias("position"),
-                                          secs.cast("double").cast("string").alias("created_utc2")), "position")
+                                          T.py_float_str(secs.cast("double")).alias("created_utc2")), "position")
     landed = (landed.drop("created_utc").withColumnRenamed("created_utc2", "created_utc")
                     .withColumn("is_pinned", F.when(F.col("is_pinned"), F.lit(True)))   # absent when false
                     .withColumn("reddit_id", F.col("reddit_id").cast("string")))
