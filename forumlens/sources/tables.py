@@ -17,7 +17,22 @@ TABLES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on a small input.
+
+    A file with a single row group is one scan task, so everything up to
+    the first shuffle (regexes over whole texts, key building) would run on
+    one core.  When a scan yields fewer partitions than the cluster's
+    parallelism it is spread round-robin; at scale inputs have many splits
+    and this is a no-op.  Filters and column pruning still reach the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def ntz(text: str) -> Column:
