@@ -29,10 +29,12 @@ def spread(df: DataFrame) -> DataFrame:
     parallelism it is spread round-robin; at scale inputs have many splits
     and this is a no-op.  Filters and column pruning still reach the scan.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without an RDD view (Spark Connect): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def ntz(text: str) -> Column:
