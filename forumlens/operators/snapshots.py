@@ -83,7 +83,7 @@ def _cutoffs_per_post(posts: DataFrame, reports: DataFrame) -> DataFrame:
     return posts.select("reddit_id", "subreddit").join(cut, "subreddit", "left")
 
 
-def _asof_and_latest(post_cut: DataFrame, snapshots: DataFrame) -> DataFrame:
+def _asof_and_latest(post_cut: DataFrame, snapshots: DataFrame, known_small: bool = False) -> DataFrame:
     """Newest snapshot overall and newest at or before the post's cutoff,
     both from one aggregation over the series.
 
@@ -106,7 +106,7 @@ def _asof_and_latest(post_cut: DataFrame, snapshots: DataFrame) -> DataFrame:
                       F.max(at_cut).alias("_has_prev")))
 
     cut = post_cut.select("reddit_id", "previous_report_at")
-    small = small_side(cut)
+    small = F.broadcast(cut) if known_small else small_side(cut)
     if small is not None:
         return reduce(snapshots.join(small, snapshots.post_reddit_id == small.reddit_id, "inner"))
     hot = hot_keys(snapshots, "post_reddit_id")
@@ -130,16 +130,19 @@ def asof_snapshot(posts: DataFrame, snapshots: DataFrame, reports: DataFrame) ->
     return n.select("post_reddit_id", F.col("scraped_at"), *POST_METRICS, "previous_report_at")
 
 
-def report_deltas(posts: DataFrame, snapshots: DataFrame, reports: DataFrame) -> DataFrame:
+def report_deltas(posts: DataFrame, snapshots: DataFrame, reports: DataFrame,
+                  posts_small: bool = False) -> DataFrame:
     """Current metrics, previous-report cutoff, three-valued
     ``new_since_previous_report`` and null-safe deltas.
 
     No report for the subreddit: flag and deltas null.  Report but no
     snapshot at or before it: flag true, deltas null.  Otherwise flag false
     and ``current - as_of`` (null when either side is null).
+    ``posts_small``: the caller has already proved ``posts`` small enough to
+    broadcast (skips counting it again).
     """
     post_cut = _cutoffs_per_post(posts, reports)
-    agg = _asof_and_latest(post_cut, snapshots)
+    agg = _asof_and_latest(post_cut, snapshots, posts_small)
     joined = post_cut.join(agg, post_cut.reddit_id == agg.post_reddit_id, "left")
     has_report = F.col("previous_report_at").isNotNull()
     has_prev = F.col("_has_prev").isNotNull()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..session import ensure_checkpoint_dir
-from .guards import broadcast_if_small
+from .guards import small_side
 from .snapshots import latest_comment_snapshot, report_deltas
 
 
@@ -35,12 +35,18 @@ def select_recent(posts: DataFrame, n: int = 25) -> DataFrame:
     of the at most ``n`` posts per community are joined back with a
     broadcast of the (size-checked) selection.
     """
+    return _select_recent(posts, n)[0]
+
+
+def _select_recent(posts: DataFrame, n: int) -> tuple[DataFrame, bool]:
+    """``select_recent`` plus whether the selection passed the size check."""
     ranked = recent_posts(posts.select("reddit_id", "subreddit", "last_scraped_at"), n)
     # The selection feeds several joins and size checks; a reliable
     # checkpoint in the shared folder computes it once and cuts the lineage.
     ensure_checkpoint_dir(posts.sparkSession)
-    chosen = broadcast_if_small(ranked.select("reddit_id", "pos").checkpoint(eager=True))
-    return posts.join(chosen, "reddit_id", "inner")
+    chosen = ranked.select("reddit_id", "pos").checkpoint(eager=True)
+    small = small_side(chosen)
+    return posts.join(chosen if small is None else small, "reddit_id", "inner"), small is not None
 
 
 def comment_order() -> list[Column]:
@@ -122,11 +128,14 @@ def post_blocks(posts: DataFrame, snapshots: DataFrame, reports: DataFrame,
     last_scraped_at; ``comments`` needs reddit_id, post_reddit_id, body,
     author, url.
     """
-    recent = select_recent(posts, n_posts)
-    deltas = report_deltas(recent.select("reddit_id", "subreddit"), snapshots, reports).drop("subreddit")
-    # Only comments of the selected posts: a semi join against a set bounded
-    # by n_posts per community.
-    ids = broadcast_if_small(recent.select(F.col("reddit_id").alias("post_reddit_id")))
+    recent, small = _select_recent(posts, n_posts)
+    # The selection passed its size check once; its cutoffs and ids have the
+    # same row count, so they are broadcast without counting again.
+    deltas = report_deltas(recent.select("reddit_id", "subreddit"), snapshots, reports,
+                           posts_small=small).drop("subreddit")
+    # Only comments of the selected posts: a semi join against that set.
+    ids = recent.select(F.col("reddit_id").alias("post_reddit_id"))
+    ids = F.broadcast(ids) if small else ids
     c = latest_comment_snapshot(comments.join(ids, "post_reddit_id", "left_semi"), comment_snapshots)
     lines = comment_lines(top_comments(c))
     p = (recent.join(deltas, "reddit_id", "left")
