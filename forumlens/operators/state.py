@@ -62,6 +62,24 @@ def _upsert(existing: DataFrame | None, batch: DataFrame, key: str, value_cols:
     return merged.unionByName(untouched.select(key, *value_cols, "first_scraped_at", "last_scraped_at"))
 
 
+POST_NOT_NULL = ("subreddit", "title", "url")
+COMMENT_NOT_NULL = ("post_reddit_id", "body")
+
+
+def quarantine(batch: DataFrame, not_null: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Split a batch on the NOT NULL columns of its table: ``(clean,
+    quarantined)``, the latter with a ``violations`` list of column names.
+
+    The stored schema would reject the whole batch; here only the
+    violating rows are held back and the job goes on.
+    """
+    bad = F.lit(False)
+    for c in not_null:
+        bad = bad | F.col(c).isNull()
+    why = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in not_null])
+    return batch.where(~bad), batch.where(bad).withColumn("violations", why)
+
+
 def upsert_posts(existing: DataFrame | None, batch: DataFrame,
                  value_cols: tuple[str, ...] = POST_COLUMNS,
                  order_cols: tuple[str, ...] = ("batch_id", "position")) -> DataFrame:

@@ -101,3 +101,11 @@ def test_append_reports_ids(spark):
     new = spark.createDataFrame([("b", ts(2)), ("a", ts(2))], "subreddit string, generated_at timestamp_ntz")
     got = rows(S.append_reports(existing, new), "id", "subreddit")
     assert got == sorted([(5, "a"), (6, "a"), (7, "b")], key=repr)
+
+
+def test_quarantine_not_null(spark):
+    b = _batch(spark).withColumn("title", F.when(F.col("position") == 2, F.lit(None)).otherwise(F.col("title")))
+    clean, held = S.quarantine(b, S.POST_NOT_NULL)
+    assert clean.count() == 3 and rows(held, "position", "violations") == [(2, "title")]
+    out = {r["reddit_id"] for r in S.upsert_posts(None, clean).collect()}
+    assert out == {"p1"}
