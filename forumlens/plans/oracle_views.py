@@ -63,7 +63,13 @@ def with_views(body: str, *names: str) -> str:
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
     return f"WITH {ctes}\n{body}"
 
-LETTERS_SQL = """
+def letters_sql(period: str = "day") -> str:
+    """The letters fixture; ``period`` 'month' gives monthly letters."""
+    when = "cast(o.o_orderdate as date)" if period == "day" else "cast(date_trunc('month', o.o_orderdate) as date)"
+    return _LETTERS_SQL.replace("cast(o.o_orderdate as date)", when)
+
+
+_LETTERS_SQL = """
 lsrc AS (select * from (
   select lower(c.c_mktsegment) as subreddit, cast(o.o_orderdate as date) as letter_date, o.o_orderkey,
          o.o_custkey, c.c_name, o.o_orderstatus, o.o_orderpriority, o.o_totalprice,
@@ -99,3 +105,6 @@ letters AS (select subreddit, letter_date, strftime(letter_date, '%Y-%m-%d') ||
   string_agg(entry, chr(10) || chr(10) order by rank) ||
   (case when day(letter_date) = 13 then chr(10) || chr(10) || 'Link:' else '' end) || chr(10) as markdown
   from lent group by subreddit, letter_date)"""
+
+
+LETTERS_SQL = letters_sql("day")

@@ -174,13 +174,14 @@ def rss_payloads(spark: SparkSession, sf: str) -> DataFrame:
 LETTERS_PER_DAY_ENTRIES = 12   # a letter covers the day's 12 largest orders of a segment
 
 
-def letter_entries_source(spark: SparkSession, sf: str) -> DataFrame:
-    """The orders a letter covers: per (segment, day) the 12 largest."""
+def letter_entries_source(spark: SparkSession, sf: str, period: str = "day") -> DataFrame:
+    """The orders a letter covers: per (segment, day) -- or month -- the 12 largest."""
     from pyspark.sql import Window
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    when = F.to_date("o_orderdate") if period == "day" else F.trunc(F.to_date("o_orderdate"), "month")
     j = o.join(c, o.o_custkey == c.c_custkey).select(
-        F.lower("c_mktsegment").alias("subreddit"), F.to_date("o_orderdate").alias("letter_date"),
+        F.lower("c_mktsegment").alias("subreddit"), when.alias("letter_date"),
         "o_orderkey", "o_custkey", "c_name", "o_orderstatus", "o_orderpriority", "o_totalprice")
     w = Window.partitionBy("subreddit", "letter_date").orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey"))
     return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= LETTERS_PER_DAY_ENTRIES)
@@ -208,12 +209,14 @@ def _entry_text() -> "F.Column":
                     .otherwise(F.concat(linked, F.coalesce(tail, F.lit("")))))
 
 
-def letters(spark: SparkSession, sf: str) -> DataFrame:
-    """One Markdown letter per (segment, day): header block, greeting, one
+def letters(spark: SparkSession, sf: str, period: str = "day") -> DataFrame:
+    """One Markdown letter per (segment, day) -- or per month, a monthly
+    letter dated the 1st: header block, greeting, one
     ``**LABEL:**`` entry per covered order.  Some days vary the layout: no
     subject (day 20), a heading (day 7), a trailing ``Link:`` line (day 13),
     date with or without time (odd/even day)."""
-    e = letter_entries_source(spark, sf).select("subreddit", "letter_date", "rank", _entry_text().alias("entry"))
+    e = letter_entries_source(spark, sf, period).select("subreddit", "letter_date", "rank",
+                                                          _entry_text().alias("entry"))
     g = (e.groupBy("subreddit", "letter_date")
           .agg(F.array_sort(F.collect_list(F.struct("rank", "entry"))).alias("_e")))
     d = F.col("letter_date")
