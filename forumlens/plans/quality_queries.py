@@ -129,19 +129,18 @@ sources AS (select post as url from src where o_orderstatus <> 'P'
 
 def _sources(spark, sf):
     """Source URLs a letter may cite: posts (not the partially filled
-    orders), their comments, and news items."""
+    orders), their comments, and news items -- one pass over the orders,
+    three URLs per order."""
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     key = o.o_orderkey.cast("string")
-    j = o.join(c, o.o_custkey == c.c_custkey).select(
-        F.concat(F.lit("https://www.reddit.com/r/"), F.lower("c_mktsegment"), F.lit("/comments/"), key,
-                 F.lit("/order_"), key, F.lit("/")).alias("post"),
-        "o_custkey", "o_orderkey", "o_orderstatus")
-    posts = j.where(F.col("o_orderstatus") != "P").select(F.col("post").alias("url"))
-    comments = j.select(F.concat("post", F.lit("c"), F.col("o_custkey").cast("string"), F.lit("/")).alias("url"))
-    newsu = j.select(F.concat(F.lit("https://news.google.com/rss/articles/"),
-                              F.col("o_orderkey").cast("string")).alias("url"))
-    return posts.unionByName(comments).unionByName(newsu)
+    post = F.concat(F.lit("https://www.reddit.com/r/"), F.lower("c_mktsegment"), F.lit("/comments/"), key,
+                    F.lit("/order_"), key, F.lit("/"))
+    urls = F.array(F.when(o.o_orderstatus != "P", post),
+                   F.concat(post, F.lit("c"), o.o_custkey.cast("string"), F.lit("/")),
+                   F.concat(F.lit("https://news.google.com/rss/articles/"), key))
+    j = o.join(c, o.o_custkey == c.c_custkey).select(F.explode(urls).alias("url"))
+    return j.where(F.col("url").isNotNull())
 
 
 @query("link_grounding", "E10", f"""WITH {LETTERS_SQL}, {_M1}, {_M3}, {_SOURCES_SQL}
