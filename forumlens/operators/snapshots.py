@@ -84,40 +84,47 @@ def _cutoffs_per_post(posts: DataFrame, reports: DataFrame) -> DataFrame:
 
 
 def _asof_and_latest(post_cut: DataFrame, snapshots: DataFrame, known_small: bool = False) -> DataFrame:
-    """Newest snapshot overall and newest at or before the post's cutoff,
-    both from one aggregation over the series.
-
-    The series must meet each post's cutoff before it can be reduced.  Hot
-    posts (more than ``guards.HOT_KEY_ROWS`` snapshots) meet it through a
-    broadcast of their few cutoff rows, map-side, so their series is reduced
-    by partial aggregation and never lands whole in one task; the other
-    posts take a shuffle join.  A report's small selection is broadcast
-    whole.
+    """Per post of ``post_cut``: its subreddit and cutoff, the newest snapshot
+    overall (``_cur``) and the newest at or before the cutoff (``_prev``),
+    from one aggregation over the series.  Posts without snapshots get one
+    row with null metrics.
+
+    The series must meet each post's cutoff before it can be reduced.  A
+    report's small selection is broadcast whole.  Otherwise hot posts (more
+    than ``guards.HOT_KEY_ROWS`` snapshots) meet it through a broadcast of
+    their few cutoff rows, map-side, so their series is reduced by partial
+    aggregation and never lands whole in one task; the other posts take a
+    shuffle join that keeps posts without snapshots, so no final join back
+    to the posts is needed.
     """
     order = _newest_key()
     row = F.struct(*[F.col(c) for c in POST_METRICS])
     at_cut = F.when(F.col("scraped_at") <= F.col("previous_report_at"), order)
+    cut = post_cut.select("reddit_id", "subreddit", "previous_report_at")
+    snaps = snapshots.withColumnRenamed("post_reddit_id", "reddit_id")
 
     def reduce(s: DataFrame) -> DataFrame:
-        return (s.groupBy("post_reddit_id")
-                 .agg(F.max_by(row, order).alias("_cur"),
+        return (s.groupBy("reddit_id")
+                 .agg(F.max("subreddit").alias("subreddit"),
+                      F.max("previous_report_at").alias("previous_report_at"),
+                      F.max_by(row, order).alias("_cur"),
                       F.max_by(F.struct(F.col("scraped_at"), *[F.col(c) for c in POST_METRICS]),
                                at_cut).alias("_prev"),
                       F.max(at_cut).alias("_has_prev")))
 
-    cut = post_cut.select("reddit_id", "previous_report_at")
     small = F.broadcast(cut) if known_small else small_side(cut)
     if small is not None:
-        return reduce(snapshots.join(small, snapshots.post_reddit_id == small.reddit_id, "inner"))
+        got = reduce(snaps.join(small, "reddit_id", "inner")).drop("subreddit", "previous_report_at")
+        return cut.join(got, "reddit_id", "left")
     hot = hot_keys(snapshots, "post_reddit_id")
     if hot is None:
-        return reduce(snapshots.join(cut, snapshots.post_reddit_id == cut.reddit_id, "inner"))
+        return reduce(cut.join(snaps, "reddit_id", "left"))
     hot_ids = hot.withColumnRenamed("post_reddit_id", "reddit_id")
     hot_cut = broadcast_if_small(cut.join(hot_ids, "reddit_id", "left_semi"))
-    hot_part = snapshots.join(hot_cut, snapshots.post_reddit_id == hot_cut.reddit_id, "inner")
-    cold = snapshots.join(hot, "post_reddit_id", "left_anti")
-    cold_part = cold.join(cut, cold.post_reddit_id == cut.reddit_id, "inner")
-    return reduce(hot_part).unionByName(reduce(cold_part))
+    hot_part = reduce(snaps.join(hot_cut, "reddit_id", "inner"))
+    cold_cut = cut.join(hot_ids, "reddit_id", "left_anti")
+    cold_part = reduce(cold_cut.join(snaps.join(hot_ids, "reddit_id", "left_anti"), "reddit_id", "left"))
+    return hot_part.unionByName(cold_part)
 
 
 def asof_snapshot(posts: DataFrame, snapshots: DataFrame, reports: DataFrame) -> DataFrame:
@@ -142,8 +149,7 @@ def report_deltas(posts: DataFrame, snapshots: DataFrame, reports: DataFrame,
     broadcast (skips counting it again).
     """
     post_cut = _cutoffs_per_post(posts, reports)
-    agg = _asof_and_latest(post_cut, snapshots, posts_small)
-    joined = post_cut.join(agg, post_cut.reddit_id == agg.post_reddit_id, "left")
+    joined = _asof_and_latest(post_cut, snapshots, posts_small)
     has_report = F.col("previous_report_at").isNotNull()
     has_prev = F.col("_has_prev").isNotNull()
 
