@@ -115,7 +115,8 @@ def _asof_and_latest(post_cut: DataFrame, snapshots: DataFrame, known_small: boo
     small = F.broadcast(cut) if known_small else small_side(cut)
     if small is not None:
         got = reduce(snaps.join(small, "reddit_id", "inner")).drop("subreddit", "previous_report_at")
-        return cut.join(got, "reddit_id", "left")
+        # At most one row per selected post: as small as the checked selection.
+        return cut.join(F.broadcast(got), "reddit_id", "left")
     hot = hot_keys(snapshots, "post_reddit_id")
     if hot is None:
         return reduce(cut.join(snaps, "reddit_id", "left"))
