@@ -130,12 +130,12 @@ def _asof_and_latest(post_cut: DataFrame, snapshots: DataFrame, known_small: boo
 
 def asof_snapshot(posts: DataFrame, snapshots: DataFrame, reports: DataFrame) -> DataFrame:
     """Per post, the newest snapshot with ``scraped_at <= previous_report_at``
-    (inclusive).  Posts without such a snapshot are absent."""
+    (inclusive).  Posts without such a snapshot are absent.  Same plan as
+    E4 (hot posts split out), keeping only the as-of side."""
     post_cut = _cutoffs_per_post(posts, reports).where(F.col("previous_report_at").isNotNull())
-    snap = snapshots.join(post_cut, snapshots.post_reddit_id == post_cut.reddit_id, "inner") \
-                    .where(F.col("scraped_at") <= F.col("previous_report_at"))
-    n = newest_values(snap, "post_reddit_id", POST_METRICS + ("previous_report_at",))
-    return n.select("post_reddit_id", F.col("scraped_at"), *POST_METRICS, "previous_report_at")
+    agg = _asof_and_latest(post_cut, snapshots).where(F.col("_has_prev").isNotNull())
+    return agg.select(F.col("reddit_id").alias("post_reddit_id"), F.col("_prev.scraped_at").alias("scraped_at"),
+                      *[F.col(f"_prev.{c}").alias(c) for c in POST_METRICS], "previous_report_at")
 
 
 def report_deltas(posts: DataFrame, snapshots: DataFrame, reports: DataFrame,

@@ -10,7 +10,7 @@ from forumlens.plans.registry import entries
 
 from conftest import SF_SMALL
 
-QUERIES = ["report_deltas", "asof_snapshot", "context_document", "top_comments", "upsert_posts",
+QUERIES = ["report_deltas", "asof_snapshot", "latest_post_snapshot", "context_document", "top_comments", "upsert_posts",
            "upsert_comments", "by_id_list", "stale_posts", "link_grounding", "nest_comments", "stream_ingest"]
 
 
@@ -42,7 +42,7 @@ def test_no_broadcast_in_forced_plan(spark, no_broadcast):
     assert "BroadcastHashJoin" not in buf.getvalue()
 
 
-@pytest.mark.parametrize("name", ["report_deltas", "context_document", "null_safe_delta"])
+@pytest.mark.parametrize("name", ["report_deltas", "asof_snapshot", "context_document", "null_safe_delta"])
 def test_hot_key_split_matches_oracle(spark, no_broadcast, monkeypatch, name):
     """Every post with more than 3 snapshots is treated as hot; the post
     table (200 rows) is over the broadcast bound, the hot set (15) under it."""
