@@ -40,9 +40,6 @@ VIEWS = {
         select event_id as id, 'src' || cast(event_id % 20 as varchar) as subreddit,
                ts as generated_at, cast(ts as date) as report_date
         from events where event_type = 'purchase' and ts < timestamp '2024-01-02 00:00:00'""",
-    "volume_posts": """
-        select o_orderkey as reddit_id, o_orderpriority as subreddit, o_orderdate as last_scraped_at
-        from orders""",
     "volume_comments": """
         select l_orderkey as post_reddit_id, l_linenumber as line, l_partkey, l_suppkey,
                l_shipdate as last_scraped_at, cast(l_quantity as bigint) as score
@@ -50,12 +47,6 @@ VIEWS = {
     "listing_batch_ids": "select distinct o_custkey as reddit_id from orders",
 }
 
-# Views built on other views, listed after what they need.
-DEPENDS = {
-    "latest_post_snap": ["post_snapshots"],
-}
-
-
 def with_views(body: str, *names: str) -> str:
     """Prefix ``body`` with the CTEs it names, in dependency order."""
     if not names:

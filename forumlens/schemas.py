@@ -77,6 +77,16 @@ REPORT_NEWS_ITEMS = T.StructType([
     T.StructField("included_at", T.TimestampNTZType(), False),
 ])
 
+STORED = {
+    "posts": POSTS,
+    "comments": COMMENTS,
+    "post_snapshots": POST_SNAPSHOTS,
+    "comment_snapshots": COMMENT_SNAPSHOTS,
+    "reports": REPORTS,
+    "news_items": NEWS_ITEMS,
+    "report_news_items": REPORT_NEWS_ITEMS,
+}
+
 # Landed listing record (one post of a listing page) with its comments.
 LISTING_COMMENT = T.StructType([
     T.StructField("reddit_id", T.StringType(), True),

@@ -91,13 +91,6 @@ def reports(spark: SparkSession, sf: str) -> DataFrame:
                     F.to_date(F.col("ts")).alias("report_date")))
 
 
-def volume_posts(spark: SparkSession, sf: str) -> DataFrame:
-    """Large post table: orders (subreddit = priority)."""
-    o = table(spark, sf, "orders")
-    return o.select(o.o_orderkey.alias("reddit_id"), o.o_orderpriority.alias("subreddit"),
-                    o.o_orderdate.alias("last_scraped_at"))
-
-
 def volume_comments(spark: SparkSession, sf: str) -> DataFrame:
     """Large comment table: lineitem (post = order)."""
     li = table(spark, sf, "lineitem")

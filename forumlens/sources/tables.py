@@ -40,3 +40,10 @@ def spread(df: DataFrame) -> DataFrame:
 def ntz(text: str) -> Column:
     """A TIMESTAMP_NTZ literal: independent of the session time zone."""
     return F.lit(text).cast("timestamp_ntz")
+
+
+def read_relation(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A1: a stored relation read with its fixed schema (``schemas.STORED``),
+    never inferred; callers select the columns they use."""
+    from ..schemas import STORED
+    return spark.read.schema(STORED[name]).parquet(path)

@@ -109,3 +109,13 @@ def test_quarantine_not_null(spark):
     assert clean.count() == 3 and rows(held, "position", "violations") == [(2, "title")]
     out = {r["reddit_id"] for r in S.upsert_posts(None, clean).collect()}
     assert out == {"p1"}
+
+
+def test_versioned_write_and_fixed_schema_read(spark):
+    from forumlens.sources.tables import read_relation
+    stored = spark.createDataFrame([("p1", "s", "old", "", "u", "carol", None, ts(1), ts(2))], STORED)
+    once = S.upsert_posts(stored, _batch(spark))
+    path = S.write_version(once, spark, "posts_test", 1)
+    back = read_relation(spark, path, "posts")
+    assert [f.name for f in back.schema.fields][:3] == ["reddit_id", "subreddit", "title"]
+    assert rows(back.select(*once.columns)) == rows(once)
