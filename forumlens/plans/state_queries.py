@@ -114,13 +114,12 @@ def q_append_comment_snapshots(spark, sf):
 
 
 @query("append_report", "B5", with_views("""
-, newr AS (select subreddit, max(last_scraped_at) as generated_at from posts group by subreddit),
-top AS (select coalesce(max(id), 0) as m from reports)
+, newr AS (select subreddit, max(last_scraped_at) as generated_at from posts group by subreddit)
 select id, subreddit, generated_at, report_date from reports
 union all
-select cast(top.m + row_number() over (order by subreddit, generated_at) as bigint) as id, subreddit,
-       generated_at, cast(generated_at as date) as report_date
-from newr, top""", "reports", "posts"))
+select cast((select coalesce(max(id), 0) from reports) + row_number() over (order by subreddit, generated_at)
+            as bigint) as id, subreddit, generated_at, cast(generated_at as date) as report_date
+from newr""", "reports", "posts"))
 def q_append_report(spark, sf):
     existing = fx.reports(spark, sf).select("id", "subreddit", "generated_at", "report_date")
     new = (fx.posts(spark, sf, with_text=False).groupBy("subreddit")
