@@ -20,20 +20,18 @@ TICKER_TOKEN = r"^[A-Z]{2,5}$"      # our theme heuristic: 2-5 capital letters
 TICKER_SCAN = r"(?<![A-Za-z0-9_])[A-Z]{2,5}(?![A-Za-z0-9_])"
 
 
-def _is_entry(line: Column) -> Column:
-    label = F.regexp_extract(line, L.ENTRY_RE, 2)
-    return line.rlike(L.ENTRY_RE) & ~label.isin(*L.HEADER_LABELS)
-
-
 def letter_entries(letters: DataFrame) -> DataFrame:
     """M1: ``**LABEL:** body`` / ``**[LABEL]:** body`` lines of each letter,
-    header lines (To, Date, Subject) excluded; ``entry_pos`` is 0-based."""
-    kept = letters.select("subreddit", "letter_date",
-                          F.filter(L.entry_lines(F.col("markdown")), _is_entry).alias("_e"))
-    e = kept.select("subreddit", "letter_date", F.posexplode("_e").alias("entry_pos", "line"))
+    header lines (To, Date, Subject) excluded; ``entry_pos`` is 0-based.
+
+    Each line is parsed once into (label, body); a non-empty label means
+    the line is an entry."""
+    parsed = F.transform(L.entry_lines(F.col("markdown")), lambda l: F.struct(
+        F.regexp_extract(l, L.ENTRY_RE, 2).alias("label"), F.regexp_extract(l, L.ENTRY_RE, 4).alias("body")))
+    kept = F.filter(parsed, lambda x: (x["label"] != "") & ~x["label"].isin(*L.HEADER_LABELS))
+    e = letters.select("subreddit", "letter_date", F.posexplode(kept).alias("entry_pos", "x"))
     return e.select("subreddit", "letter_date", F.col("entry_pos").cast("bigint").alias("entry_pos"),
-                    F.trim(F.regexp_extract("line", L.ENTRY_RE, 2)).alias("ticker"),
-                    F.regexp_extract("line", L.ENTRY_RE, 4).alias("body"))
+                    F.trim(F.col("x.label")).alias("ticker"), F.col("x.body").alias("body"))
 
 
 def ticker_mentions(entries: DataFrame) -> DataFrame:
