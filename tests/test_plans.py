@@ -36,3 +36,13 @@ def test_no_python_udf_in_core_queries(spark):
 def test_top_k_limits_before_shuffle(spark):
     p = plan(all_queries()["top_comments"](spark, SF_SMALL))
     assert "WindowGroupLimit" in p
+
+
+def test_no_cross_or_nested_loop_joins(spark):
+    """No registered query pairs rows without an equi-join key."""
+    side_effects = {"letter_files", "write_pages", "ingest_letters", "ingest_listing"}
+    for name, fn in all_queries().items():
+        if name.startswith("stream_") or name in side_effects:
+            continue
+        p = plan(fn(spark, SF_SMALL))
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
