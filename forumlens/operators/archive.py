@@ -105,10 +105,14 @@ def letter_pages(letters: DataFrame) -> DataFrame:
 
 
 def write_pages(pages: DataFrame, path: str) -> None:
-    """The pages table, partitioned by community and month."""
+    """The pages table, partitioned by month (community is a column).
+
+    A month holds at most one page per community and day, so one task per
+    month stays bounded, and each month directory gets one file."""
     (pages.withColumn("month", F.date_format("letter_date", "yyyy-MM"))
-          .repartition("subreddit", "month")
-          .write.mode("overwrite").partitionBy("subreddit", "month").parquet(path))
+          .repartition("month")
+          .sortWithinPartitions("subreddit", "letter_date")
+          .write.mode("overwrite").partitionBy("month").parquet(path))
 
 
 def month_catalog(pages: DataFrame) -> DataFrame:
