@@ -119,3 +119,25 @@ def test_versioned_write_and_fixed_schema_read(spark):
     back = read_relation(spark, path, "posts")
     assert [f.name for f in back.schema.fields][:3] == ["reddit_id", "subreddit", "title"]
     assert rows(back.select(*once.columns)) == rows(once)
+
+
+def test_attach_only_refreshed_and_refresh_set(spark):
+    batch = spark.createDataFrame([(1,), (2,), (3,)], "reddit_id bigint")
+    fetched = spark.createDataFrame([("c1", 1), ("c2", 1), ("c3", 2)], "reddit_id string, post_reddit_id bigint")
+    new = spark.createDataFrame([(1,), (9,)], "reddit_id bigint")
+    stale = spark.createDataFrame([(1,), (3,)], "reddit_id bigint")
+    refresh_ids = R.refresh_set(new, stale)
+    assert rows(refresh_ids) == [(1,), (3,), (9,)]
+    got = rows(R.attach_fetched_comments(batch, fetched, refresh_ids), "reddit_id", "comment_id")
+    # post 2 was not refreshed: its fetched comment is not attached (empty list)
+    assert got == sorted([(1, "c1"), (1, "c2"), (2, None), (3, None)], key=repr)
+    assert [r[0] for r in R.refresh_worklist(refresh_ids).collect()] == [1, 3, 9]
+
+
+def test_existing_and_new_ids(spark):
+    batch = spark.createDataFrame([(1,), (2,), (5,)], "reddit_id bigint")
+    posts = spark.createDataFrame([(1,), (5,), (7,)], "reddit_id bigint")
+    assert rows(R.existing_ids(batch, posts)) == [(1,), (5,)]
+    assert rows(R.new_ids(batch, posts)) == [(2,)]
+    empty = spark.createDataFrame([], "reddit_id bigint")
+    assert R.by_id_list(posts, empty).count() == 0          # an empty id list gives nothing
