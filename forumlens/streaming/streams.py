@@ -121,14 +121,25 @@ def final_posts(spark: SparkSession, posts_path: str) -> DataFrame:
     return current_view(spark, posts_path, "reddit_id")
 
 
-def dedupe_snapshots(snapshots: DataFrame, event_time: str, delay: str, keys: list[str]) -> DataFrame:
+def _epoch(col: str, unit: str) -> F.Column:
+    """Zone-less time as a count of ``unit`` since 1970-01-01 (no time zone
+    or daylight-saving shift involved)."""
+    return F.expr(f"timestampdiff({unit}, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+
+
+def event_time(col: str) -> F.Column:
+    """A TIMESTAMP for ``withWatermark`` from a zone-less time, read as UTC
+    whatever the session time zone, so durations are never bent by DST."""
+    return F.timestamp_micros(_epoch(col, "MICROSECOND"))
+
+
+def dedupe_snapshots(snapshots: DataFrame, event_time_col: str, delay: str, keys: list[str]) -> DataFrame:
     """K2: drop replayed snapshots (same keys) within the watermark delay.
 
     ``withWatermark`` needs a TIMESTAMP; landed times are zone-less, so a
     UTC-based TIMESTAMP copy drives the watermark and the original column is
     kept for output."""
-    wm = F.to_utc_timestamp(F.col(event_time).cast("timestamp"), F.current_timezone())
-    return (snapshots.withColumn("_wm", wm).withWatermark("_wm", delay)
+    return (snapshots.withColumn("_wm", event_time(event_time_col)).withWatermark("_wm", delay)
                      .dropDuplicatesWithinWatermark(keys).drop("_wm"))
 
 
@@ -149,8 +160,8 @@ def merge_updates_sink(path: str, key: str):
 
 STALE_SCHEMA = T.StructType([
     T.StructField("post_reddit_id", T.LongType()),
-    T.StructField("comments_scraped_at", T.TimestampType()),
-    T.StructField("stale_at", T.TimestampType()),
+    T.StructField("comments_scraped_at", T.TimestampNTZType()),
+    T.StructField("stale_at", T.TimestampNTZType()),
 ])
 STALE_STATE = T.StructType([T.StructField("last_ms", T.LongType())])
 
@@ -168,7 +179,7 @@ def _staleness(hours: int):
             return
         last = state.get[0] if state.exists else None
         for pdf in pdfs:
-            m = int(pdf["_wm"].max().value // 1_000_000)
+            m = int(pdf["_ms"].max())   # epoch milliseconds, zone-less
             last = m if last is None else max(last, m)
         state.update((last,))
         # Stale once event time passes the last comment scrape plus the horizon.
@@ -183,7 +194,7 @@ def stale_posts_stream(comments: DataFrame, delay: str, hours: int = COMMENT_REF
     """K4: keyed state per post holding its newest comment scrape; an
     event-time timer at ``scrape + hours`` emits the post once the
     watermark passes it (a newer scrape pushes the timer back)."""
-    wm = F.to_utc_timestamp(F.col("last_scraped_at").cast("timestamp"), F.current_timezone())
-    s = comments.select("post_reddit_id", wm.alias("_wm")).withWatermark("_wm", delay)
+    s = comments.select("post_reddit_id", event_time("last_scraped_at").alias("_wm"),
+                        _epoch("last_scraped_at", "MILLISECOND").alias("_ms")).withWatermark("_wm", delay)
     return s.groupBy("post_reddit_id").applyInPandasWithState(
         _staleness(hours), STALE_SCHEMA, STALE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
