@@ -70,3 +70,20 @@ def test_compaction_keeps_the_view(spark):
     assert rows(K.current_view(spark, base, "k")) == [(1, "c"), (2, "d"), (3, "e")]
     assert rows(K.current_view(spark, base, "k", before=2)) == [(1, "c"), (2, "b")]
     assert rows(K.current_view(spark, base, "k", before=1)) == [(1, "a"), (2, "b")]
+
+
+def test_streams_independent_of_session_time_zone(spark):
+    """Watermarks and timers use zone-less event time: a session in a zone
+    with daylight saving gives the same stale set as UTC."""
+    from forumlens.plans.oracle_check import compare, duck_connect
+    from forumlens.plans.registry import entries
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        con = duck_connect(SF_SMALL)
+        for name in ("stream_staleness", "stream_dedupe"):
+            e = entries()[name]
+            r = compare(spark, con, name, e.fn, e.sql, SF_SMALL)
+            assert r["status"] == "ok", r
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
