@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.llm import common as C
+from forumlens.llm.decontaminate import decontaminate
 from forumlens.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup(C.read(spark, sf_dir, "documents"), window=35)
     return out.select("doc_id", "n_words", "n_removed",
                       F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op3_decontaminate")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = decontaminate(docs, C.read(spark, sf_dir, "benchmark"), width=10)
+    n_hit = F.aggregate("contamination.spans", F.lit(0).cast("long"),
+                        lambda n, s: n + s["end"] - s["start"])
+    return out.select(
+        "doc_id", "contamination.n_words", n_hit.alias("n_hit"),
+        F.size("contamination.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("contamination.items", ",").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"))
