@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from forumlens.llm import common as C
 from forumlens.llm.decontaminate import decontaminate
+from forumlens.llm.simhash import near_duplicates
 from forumlens.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +43,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("contamination.items").cast("long").alias("n_items"),
         F.sha2(F.array_join("contamination.items", ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"))
+
+
+@query("op6_simhash")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(C.read(spark, sf_dir, "documents"), shingle=4, radius=4)
+    return out.select("doc_id", "fingerprint", "component_id")
