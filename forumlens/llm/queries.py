@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from forumlens.llm import common as C
 from forumlens.llm.decontaminate import decontaminate
+from forumlens.llm.line_dedup import line_dedup
+from forumlens.llm.mixing import mix_sources
 from forumlens.llm.simhash import near_duplicates
 from forumlens.llm.substring_dedup import substring_dedup
 
@@ -49,3 +51,88 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(C.read(spark, sf_dir, "documents"), shingle=4, radius=4)
     return out.select("doc_id", "fingerprint", "component_id")
+
+
+OP8_SQL = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+           md5('17:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+    FROM documents),
+src AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS s,
+           [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w
+    FROM docs GROUP BY source),
+fill AS (
+    SELECT 0 AS step, CAST((SELECT sum(s) FROM src) AS DOUBLE) / (SELECT sum(w) FROM src) AS level
+    UNION ALL
+    SELECT step + 1,
+           (SELECT CAST(sum(s) - sum(CASE WHEN w * f.level > 3 * s THEN 3 * s ELSE 0 END) AS DOUBLE)
+                   / sum(CASE WHEN w * f.level > 3 * s THEN 0 ELSE w END) FROM src)
+    FROM fill f WHERE step < 40),
+plan AS (
+    SELECT source, s, least(CAST(3 * s AS DOUBLE), w * level) AS target
+    FROM src, (SELECT level FROM fill ORDER BY step DESC LIMIT 1)),
+more AS (
+    SELECT source, s, target, CASE WHEN s > 0 THEN CAST(floor(target / s) AS BIGINT) ELSE 0 END AS whole,
+           CAST(floor(target + 0.5) AS BIGINT) AS t
+    FROM plan),
+run AS (
+    SELECT d.doc_id, d.size, m.s, m.target, m.whole, m.t - m.whole * m.s AS more,
+           sum(d.size) OVER (PARTITION BY d.source ORDER BY d.k, d.doc_id
+                             ROWS UNBOUNDED PRECEDING) - d.size AS before
+    FROM docs d JOIN more m ON d.source IS NOT DISTINCT FROM m.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, s AS source_size, target,
+       CAST(size * whole + greatest(0, least(size, more - before)) AS BIGINT) AS taken
+FROM run
+"""
+
+
+@query("op8_mix_sources", OP8_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    out = mix_sources(docs, weights=(5, 2, 1), max_epochs=3, seed=17)
+    return out.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
+OP9_SQL = r"""
+WITH cut AS (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
+    FROM documents),
+lines AS (
+    SELECT doc_id, pos, line, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS j,
+           len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+    FROM cut WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+runs AS (  -- runs of pos most ten lines, which hold ten words pos least
+    SELECT a.doc_id, a.j, b.j AS e, b.words AS last, a.words AS first,
+           (SELECT sum(c.words) FROM lines c WHERE c.doc_id = a.doc_id AND c.j BETWEEN a.j AND b.j) AS words
+    FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND b.j BETWEEN a.j AND a.j + 9),
+shortest AS (
+    SELECT doc_id, j, e FROM runs WHERE words >= 10 AND (words - last < 10 OR words - first < 10)),
+named AS (
+    SELECT s.doc_id, s.j, s.e, string_agg(l.line, chr(10) ORDER BY l.j) AS content
+    FROM shortest s JOIN lines l ON l.doc_id = s.doc_id AND l.j BETWEEN s.j AND s.e GROUP BY ALL),
+ordered AS (
+    SELECT doc_id, j, e, row_number() OVER (PARTITION BY content ORDER BY doc_id, j) AS nth FROM named),
+gone AS (
+    SELECT DISTINCT l.doc_id, l.pos FROM ordered o
+    JOIN lines l ON l.doc_id = o.doc_id AND l.j BETWEEN o.j AND o.e WHERE o.nth > 1),
+kept AS (
+    SELECT c.doc_id, string_agg(c.line, chr(10) ORDER BY c.pos) AS text,
+           bool_or(regexp_matches(c.line, '[^\x20\x09-\x0D]')) AS has_words
+    FROM cut c LEFT JOIN gone g ON c.doc_id = g.doc_id AND c.pos = g.pos WHERE g.pos IS NULL GROUP BY c.doc_id)
+SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS INT) AS n_lines,
+       CAST(coalesce(n, 0) AS INT) AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN
+           sha256(CASE WHEN n > 0 AND NOT coalesce(has_words, false) THEN '' ELSE coalesce(k.text, '') END) END AS kept_sha256
+FROM documents d
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g ON d.doc_id = g.doc_id
+LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+@query("op9_line_dedup", OP9_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup(C.read(spark, sf_dir, "documents").select("doc_id", "text"), min_words=10)
+    return out.select("doc_id", "line_runs.n_lines", "line_runs.n_removed",
+                      F.sha2(F.col("line_runs.clean_text").cast("binary"), 256).alias("kept_sha256"))
