@@ -11,6 +11,7 @@ from forumlens.llm import common as C
 from forumlens.llm.decontaminate import decontaminate
 from forumlens.llm.line_dedup import line_dedup
 from forumlens.llm.mixing import mix_sources
+from forumlens.llm.quality import GRADES, accepted, label_grades, rate, train
 from forumlens.llm.simhash import near_duplicates
 from forumlens.llm.substring_dedup import substring_dedup
 
@@ -136,3 +137,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(C.read(spark, sf_dir, "documents").select("doc_id", "text"), min_words=10)
     return out.select("doc_id", "line_runs.n_lines", "line_runs.n_removed",
                       F.sha2(F.col("line_runs.clean_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op2_quality")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, label_grades(C.read(spark, sf_dir, "labels")), GRADES)
+    out = rate(docs, model)
+    return out.select("doc_id", F.col("rating.expected").alias("expected_grade"),
+                      F.col("rating.tail")[0].alias("p_harmless"), F.col("rating.tail")[1].alias("p_good"),
+                      accepted(F.col("rating")).alias("accepted"))
