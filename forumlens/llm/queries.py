@@ -11,9 +11,11 @@ from forumlens.llm import common as C
 from forumlens.llm.decontaminate import decontaminate
 from forumlens.llm.line_dedup import line_dedup
 from forumlens.llm.mixing import mix_sources
+from forumlens.llm.personal_data import BASE, find_personal_data
 from forumlens.llm.quality import GRADES, accepted, label_grades, rate, train
 from forumlens.llm.simhash import near_duplicates
 from forumlens.llm.substring_dedup import substring_dedup
+from forumlens.llm.warc import through_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -147,3 +149,43 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("rating.expected").alias("expected_grade"),
                       F.col("rating.tail")[0].alias("p_harmless"), F.col("rating.tail")[1].alias("p_good"),
                       accepted(F.col("rating")).alias("accepted"))
+
+
+@query("op4_personal_data")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_personal_data(C.read(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("personal_data")
+
+    def told(some):
+        return F.array_join(F.transform(some, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def of(kind):
+        return F.filter(spans, lambda s: s["kind"] == kind)
+
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in BASE]
+    base = F.filter(spans, lambda s: s["kind"].isin(*BASE))
+    return out.select("doc_id", *counts, F.sha2(told(base).cast("binary"), 256).alias("base_sha256"),
+                      told(spans).alias("spans"))
+
+
+OP5_SQL = r"""
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+digits AS (
+    SELECT h, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + CAST((CAST('0x' || substr(h, 1 + 5 * (k // 4), 5) AS BIGINT) >> (5 * (3 - k % 4))) & 31 AS INT), 1),
+               '' ORDER BY k) AS d
+    FROM (SELECT DISTINCT h FROM p), range(32) t(k) GROUP BY h),
+best AS (SELECT h, max(page_id) AS best FROM p GROUP BY h)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN page_id = best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> best THEN best END AS refers_to
+FROM p JOIN best USING (h) JOIN digits USING (h)
+"""
+
+
+@query("op5_warc", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = through_archives(C.read(spark, sf_dir, "pages"), least_bytes=0)
+    return out.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                      F.col("refers_to").cast("long").alias("refers_to"))
