@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.llm import common as C
+from forumlens.llm.ann import nearest
 from forumlens.llm.decontaminate import decontaminate
 from forumlens.llm.line_dedup import line_dedup
 from forumlens.llm.mixing import mix_sources
@@ -189,3 +190,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = through_archives(C.read(spark, sf_dir, "pages"), least_bytes=0)
     return out.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                       F.col("refers_to").cast("long").alias("refers_to"))
+
+
+@query("op7_nearest")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(C.read(spark, sf_dir, "embeddings"), every=20, k=20)
