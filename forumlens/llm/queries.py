@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from forumlens.llm import common as C
 from forumlens.llm.ann import nearest
+from forumlens.llm.chat import as_transcripts, parse_transcripts
+from forumlens.llm.chat import train as train_chat
 from forumlens.llm.decontaminate import decontaminate
 from forumlens.llm.line_dedup import line_dedup
 from forumlens.llm.mixing import mix_sources
@@ -195,3 +197,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_nearest")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(C.read(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+@query("op10_chat")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled turns as raw transcripts, parsed again without their roles."""
+    pieces = as_transcripts(C.read(spark, sf_dir, "conversations"))
+    model = train_chat(pieces, piece="piece")
+    return parse_transcripts(pieces.drop("role"), model)
