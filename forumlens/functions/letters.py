@@ -16,7 +16,7 @@ HEADER_LABELS = ("To", "Date", "Subject")
 # (?d): only \n ends a line for '.', as in Python's re.
 SUBJECT_RE = r"(?d)\*\*Subject:\*\*" + WS_CLASS + r"*(.*)"
 DATE_RE = r"(?d)\*\*Date:\*\*" + WS_CLASS + r"*(.+)"
-DATE_VALUE_RE = r"^([A-Za-z]+) ([0-9]{1,2}), ([0-9]{4})(?: at ([0-9]{1,2}):([0-9]{2}) ([AP]M) ([A-Za-z]+))?$"
+DATE_VALUE_RE = r"^([A-Za-z]+) ([0-9]{1,2}), ([0-9]{4})(?: at (0?[1-9]|1[0-2]):([0-5][0-9]) ([AP]M) ([A-Za-z]+))?$"
 ENTRY_RE = r"^\*\*(\[?)([^*\]\n]+?)(\]?):\*\*" + WS_CLASS + r"*(.*)$"
 LINK_RE = r"\[([^\]]+)\]\(([^)\s]+)\)"
 BLOCK_SPLIT = r"\n([ \t]*\n)+"
@@ -74,7 +74,10 @@ def fill_template(template: Column, pairs: list[tuple[str, Column]]) -> Column:
 
 
 def _inline(b: Column) -> Column:
-    s = F.regexp_replace(b, LINK_RE, '<a href="$2">$1</a>')
+    # a bare & or < is text; entities and tags pass through
+    s = F.regexp_replace(b, r"&(?!#?[0-9A-Za-z]+;)", "&amp;")
+    s = F.regexp_replace(s, r"<(?![A-Za-z/!])", "&lt;")
+    s = F.regexp_replace(s, LINK_RE, '<a href="$2">$1</a>')
     s = F.regexp_replace(s, r"\*\*([^*]+)\*\*", "<strong>$1</strong>")
     return F.regexp_replace(s, r"\*([^*]+)\*", "<em>$1</em>")
 

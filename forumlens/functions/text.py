@@ -98,9 +98,27 @@ def py_float_str(c: Column) -> Column:
              .otherwise(sci))
 
 
+def round4(c: Column) -> Column:
+    """Python ``round(x, 4)`` for a DOUBLE: half-way cases go by the exact
+    binary value, which ``bround`` (it rounds the printed decimal) does not see.
+
+    20,000 x is odd at a half-way case.  When the rounded product is odd, the
+    product's exact rounding error says on which side of it x lies.
+    """
+    p = c * 20000.0
+    spread = c * 134217729.0  # 2**27 + 1: splits x into halves whose products are exact
+    high = spread - (spread - c)
+    error = (high * 20000.0 - p) + (c - high) * 20000.0
+    half = p / 2.0
+    units = (F.when((F.abs(p % 2.0) == 1.0) & (error > 0), F.ceil(half).cast("double"))
+              .when((F.abs(p % 2.0) == 1.0) & (error < 0), F.floor(half).cast("double"))
+              .otherwise(F.rint(half)))
+    return F.when(F.abs(c) < 1e11, units / 10000.0).otherwise(c)
+
+
 def round4_str(c: Column) -> Column:
     """Python ``str(round(x, 4))`` for a DOUBLE; keeps a negative zero."""
-    r = F.bround(c, 4)
+    r = round4(c)
     txt = py_float_str(r)
     return F.when((r == 0) & (c < 0), F.lit("-0.0")).otherwise(txt)
 
@@ -108,7 +126,7 @@ def round4_str(c: Column) -> Column:
 def delta_text(c: Column, is_float: bool) -> Column:
     """J3 value part: null stays null; ``+`` only when the (rounded) value is > 0."""
     if is_float:
-        r = F.bround(c, 4)
+        r = round4(c)
         return F.when(c.isNull(), F.lit(None)).otherwise(
             F.concat(F.when(r > 0, F.lit("+")).otherwise(F.lit("")), round4_str(c)))
     return F.when(c.isNull(), F.lit(None)).otherwise(

@@ -16,7 +16,7 @@ from ..functions import letters as L
 RSS_LENGTH = 10
 DEFAULT_BASE_URL = "https://example.org/letters"   # site address is a parameter
 
-# Page templates: placeholders filled in this order.
+# Page templates, placeholders filled in this order.
 INNER_TEMPLATE = "<nav>{{NAV_TOP}}</nav>\n<article>{{LETTER_CONTENT}}</article>\n{{NAV_BOTTOM}}"
 BASE_TEMPLATE = ("<!DOCTYPE html>\n<html><head><title>r/{{SUBREDDIT}} {{DATE_YMD}}</title></head>\n"
                  "<body><h1>{{DATE_FULL}}</h1>\n{{CONTENT}}\n</body></html>")
@@ -37,7 +37,8 @@ def ingest_letters(spark: SparkSession, path: str, layout: str = "flat") -> Data
         df = reader.text(path, wholetext=True)
         return df.select("subreddit", F.col("letter_date").cast("date").alias("letter_date"),
                          F.concat(F.date_format("letter_date", "yyyy-MM-dd"), F.lit(".md")).alias("file_name"),
-                         F.col("value").alias("markdown"))
+                         # the one newline that the text writer adds
+                         F.expr("left(value, length(value) - 1)").alias("markdown"))
     df = reader.text(path, wholetext=True, pathGlobFilter="*.md")
     named = df.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("markdown"))
     dated = named.withColumn("letter_date", L.file_date(F.col("file_name"))).where(F.col("letter_date").isNotNull())
@@ -52,12 +53,11 @@ def write_letter_files(letters: DataFrame, path: str) -> None:
     directory gets exactly one file.  Tiny files are slow on any file
     system; the archive itself is kept as a table (:func:`write_letters`).
     """
-    # The text writer ends every row with a newline: drop one so that a
-    # letter ending in a newline reads back unchanged.
+    # The text writer ends every file with a newline of its own, which
+    # ``ingest_letters`` takes off again: any letter reads back unchanged.
     (letters.repartition("subreddit", "letter_date")
-            .select("subreddit", "letter_date", F.regexp_replace("markdown", "\n$", "").alias("markdown"))
-            .write.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-            .mode("overwrite").partitionBy("subreddit", "letter_date").text(path))
+            .select("subreddit", "letter_date", "markdown")
+            .write.mode("overwrite").partitionBy("subreddit", "letter_date").text(path))
 
 
 def write_letters(letters: DataFrame, path: str) -> None:
@@ -107,11 +107,10 @@ def letter_pages(letters: DataFrame) -> DataFrame:
 def write_pages(pages: DataFrame, path: str) -> None:
     """The pages table, partitioned by month (community is a column).
 
-    A month holds at most one page per community and day, so one task per
-    month stays bounded, and each month directory gets one file."""
+    Rows stay spread as they are: a month of all communities may be large.
+    Sorting within each task keeps one open file per month."""
     (pages.withColumn("month", F.date_format("letter_date", "yyyy-MM"))
-          .repartition("month")
-          .sortWithinPartitions("subreddit", "letter_date")
+          .sortWithinPartitions("month", "subreddit", "letter_date")
           .write.mode("overwrite").partitionBy("month").parquet(path))
 
 

@@ -25,11 +25,11 @@ def ingest_rss(payloads: DataFrame, key: list[str], xml: str = "xml",
     second.
     """
     parsed = payloads.select(*key, F.from_xml(F.col(xml), RSS_DOC, {"rowTag": "rss"}).alias("_d"),
-                             F.regexp_extract_all(F.col(xml), F.lit(r"(?s)<item\b.*?</item>"), 0).alias("_raw"))
+                             F.regexp_extract_all(F.col(xml), F.lit(r"(?s)<item\b[^>]*/>|<item\b.*?</item>"), 0).alias("_raw"))
     items = parsed.select(*key, "_raw", F.posexplode("_d.channel.item").alias("item_pos", "it"))
     cleaned = items.select(
         *key, F.col("item_pos").cast("bigint").alias("item_pos"),
-        F.element_at("_raw", F.col("item_pos") + 1).alias("raw"),
+        F.try_element_at("_raw", F.col("item_pos") + 1).alias("raw"),
         N.clean_text(F.col("it.title")).alias("title"),
         N.clean_text(F.col("it.link")).alias("url"),
         N.clean_text(F.col("it.source._VALUE")).alias("source_name"),

@@ -95,18 +95,18 @@ def _asof_and_latest(post_cut: DataFrame, snapshots: DataFrame, known_small: boo
     their few cutoff rows, map-side, so their series is reduced by partial
     aggregation and never lands whole in one task; the other posts take a
     shuffle join that keeps posts without snapshots, so no final join back
-    to the posts is needed.
+    to the posts is needed.  Every plan gives one row per post id and
+    community, repeated and null ids included.
     """
     order = _newest_key()
     row = F.struct(*[F.col(c) for c in POST_METRICS])
     at_cut = F.when(F.col("scraped_at") <= F.col("previous_report_at"), order)
-    cut = post_cut.select("reddit_id", "subreddit", "previous_report_at")
+    cut = post_cut.select("reddit_id", "subreddit", "previous_report_at").distinct()
     snaps = snapshots.withColumnRenamed("post_reddit_id", "reddit_id")
 
     def reduce(s: DataFrame) -> DataFrame:
-        return (s.groupBy("reddit_id")
-                 .agg(F.max("subreddit").alias("subreddit"),
-                      F.max("previous_report_at").alias("previous_report_at"),
+        return (s.groupBy("reddit_id", "subreddit")
+                 .agg(F.max("previous_report_at").alias("previous_report_at"),
                       F.max_by(row, order).alias("_cur"),
                       F.max_by(F.struct(F.col("scraped_at"), *[F.col(c) for c in POST_METRICS]),
                                at_cut).alias("_prev"),
@@ -114,9 +114,11 @@ def _asof_and_latest(post_cut: DataFrame, snapshots: DataFrame, known_small: boo
 
     small = F.broadcast(cut) if known_small else small_side(cut)
     if small is not None:
-        got = reduce(snaps.join(small, "reddit_id", "inner")).drop("subreddit", "previous_report_at")
+        got = reduce(snaps.join(small, "reddit_id", "inner")).drop("previous_report_at")
+        got = got.withColumnsRenamed({"reddit_id": "_id", "subreddit": "_sub"})
         # At most one row per selected post: as small as the checked selection.
-        return cut.join(F.broadcast(got), "reddit_id", "left")
+        same = (F.col("reddit_id") == F.col("_id")) & F.col("subreddit").eqNullSafe(F.col("_sub"))
+        return cut.join(F.broadcast(got), same, "left").drop("_id", "_sub")
     hot = hot_keys(snapshots, "post_reddit_id")
     if hot is None:
         return reduce(cut.join(snaps, "reddit_id", "left"))

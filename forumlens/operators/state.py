@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_path
-from .guards import small_side
+from .guards import broadcast_if_small
 from .refresh import valid_keys
 
 POST_COLUMNS = ("subreddit", "title", "selftext", "url", "author", "created_utc")
@@ -37,13 +37,12 @@ def _upsert(existing: DataFrame | None, batch: DataFrame, key: str, value_cols:
     rows = b
     untouched = None
     if existing is not None:
-        stored = existing
-        keys = small_side(b.select(key).distinct())
-        if keys is not None:
-            # A scrape batch touches few ids: only those stored rows take part
-            # in the merge; the rest of the table passes through unshuffled.
-            untouched = existing.join(keys, key, "left_anti")
-            stored = existing.join(keys, key, "left_semi")
+        # A scrape batch touches few ids: only those stored rows take part in
+        # the merge; the rest of the table passes through as it is, unshuffled
+        # when the ids can be broadcast.
+        keys = broadcast_if_small(b.select(key).distinct())
+        untouched = existing.join(keys, key, "left_anti")
+        stored = existing.join(keys, key, "left_semi")
         e = stored.select(F.col(key), *[F.col(c) for c in value_cols], F.lit(0).alias("_src"),
                           *[F.lit(None).cast(b.schema[c].dataType).alias(c) for c in order_cols],
                           "first_scraped_at", "last_scraped_at")

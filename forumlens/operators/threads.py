@@ -50,7 +50,7 @@ def _select_recent(posts: DataFrame, n: int) -> tuple[DataFrame, bool]:
 
 
 def comment_order() -> list[Column]:
-    """G2/H2 order: null score ranks as -1, ties keep the stored order
+    """G2 order: null score ranks as -1, ties keep the stored order
     (score DESC NULLS LAST), then comment id."""
     return [F.coalesce(F.col("score"), F.lit(-1)).desc(), F.col("score").desc_nulls_last(),
             F.col("reddit_id").asc()]
@@ -74,8 +74,10 @@ def top_comments(comments: DataFrame, k: int = T.COMMENTS_PER_POST) -> DataFrame
 
 
 def comments_by_score(comments: DataFrame) -> DataFrame:
-    """H2: comments ordered by post, then the G2 order (a distributed sort)."""
-    return comments.orderBy(F.col("post_reddit_id"), *comment_order())
+    """H2: comments by score within their post, a missing score last, ties by
+    id; ``pos`` is the 1-based place."""
+    w = Window.partitionBy("post_reddit_id").orderBy(F.col("score").desc_nulls_last(), F.col("reddit_id").asc())
+    return comments.withColumn("pos", F.row_number().over(w).cast("bigint")).orderBy("post_reddit_id", "pos")
 
 
 def nest_comments(posts: DataFrame, comments: DataFrame) -> DataFrame:
@@ -163,25 +165,26 @@ def context_documents(posts: DataFrame, snapshots: DataFrame, reports: DataFrame
                           F.array_join(F.transform("_b", lambda x: x["block"]), "").alias("content")))
 
 
+# Turns put together at a time, before a conversation's parts are joined.
 PROMPT_BLOCK_TURNS = 1000
 
 
 def messages_to_prompt(messages: DataFrame, key: str = "conv_id", order: str = "turn",
                        role: str = "role", content: str = "text",
                        block_turns: int = PROMPT_BLOCK_TURNS) -> DataFrame:
-    """``ROLE:\ncontent`` blocks joined by a blank line, per conversation.
-
-    A conversation is assembled in parts of at most ``block_turns`` turns
-    (``part`` = turn // block_turns), so no group collects more than that
-    however long one conversation is; the parts joined by a blank line, in
-    ``part`` order, are the whole prompt.  Shorter conversations have the
-    single part 0.
+    """``ROLE:\ncontent`` blocks joined by a blank line, one prompt per
+    conversation.  Parts of ``block_turns`` turns are assembled first, each in
+    a task of its own, then joined in order; the result has no trace of them.
     """
     block = F.concat(F.upper(F.col(role)), F.lit(":\n"), F.coalesce(F.col(content), F.lit("")))
-    part = F.floor(F.col(order) / block_turns).cast("bigint")
-    return (messages.groupBy(key, part.alias("part"))
-                    .agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), block.alias("b")))).alias("_m"))
-                    .select(key, "part", F.array_join(F.transform("_m", lambda x: x["b"]), "\n\n").alias("prompt")))
+
+    def joined(df: DataFrame, keys: list, at: Column, text: Column, name: str) -> DataFrame:
+        rows = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(at.alias("o"), text.alias("b")))).alias("_m"))
+        return rows.withColumn(name, F.array_join(F.transform("_m", lambda x: x["b"]), "\n\n")).drop("_m")
+
+    part = F.floor(F.col(order) / block_turns).cast("bigint").alias("_part")
+    parts = joined(messages, [key, part], F.col(order), block, "_text")
+    return joined(parts, [key], F.col("_part"), F.col("_text"), "prompt")
 
 
 def prompt_dataset(contexts: DataFrame, template: str, model_name: str, date_text: Column) -> DataFrame:

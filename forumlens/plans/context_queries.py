@@ -83,10 +83,12 @@ def q_top_comments(spark, sf):
 
 
 @query("comments_by_score", "H2", with_views(f""", {_LC}
-select post_reddit_id, reddit_id, score from cm""", "comments", "comment_snapshots"))
+select post_reddit_id, reddit_id, score,
+       row_number() over (partition by post_reddit_id order by score desc nulls last, reddit_id) as pos
+from cm""", "comments", "comment_snapshots"))
 def q_comments_by_score(spark, sf):
     return threads.comments_by_score(_comments_with_score(spark, sf)).select(
-        "post_reddit_id", "reddit_id", "score")
+        "post_reddit_id", "reddit_id", "score", "pos")
 
 
 @query("nest_comments", "E7", with_views(f""", {_LC}
@@ -313,10 +315,10 @@ def q_prompt_dataset(spark, sf):
 
 
 @query("messages_to_prompt", "J18", """
-select conv_id, cast(floor(turn / 1000) as bigint) as part,
+select conv_id,
        string_agg(upper(role) || chr(10) || coalesce(text, ''), chr(10) || chr(10) order by turn) as prompt
 from (select conv_id, turn, role || ':' as role, text from conversations) t
-group by conv_id, cast(floor(turn / 1000) as bigint)""")
+group by conv_id""")
 def q_messages_to_prompt(spark, sf):
     from ..sources.tables import table
     return threads.messages_to_prompt(table(spark, sf, "conversations"))

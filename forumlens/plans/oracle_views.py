@@ -13,8 +13,8 @@ VIEWS = {
                event_id % 97 as num_comments, event_type = 'signup' as is_pinned
         from events""",
     "posts": """
-        select d.doc_id as reddit_id, d.source as subreddit, substr(d.text, 1, 60) as title,
-               d.text as selftext,
+        select d.doc_id as reddit_id, d.source as subreddit, split_part(d.text, chr(10), 1) as title,
+               substr(d.text, length(split_part(d.text, chr(10), 1)) + 2) as selftext,
                case when d.doc_id % 3 = 0
                     then 'https://www.reddit.com/r/' || d.source || '/comments/' || cast(d.doc_id as varchar) || '/'
                     else 'https://' || d.source || '.example.com/p/' || cast(d.doc_id as varchar) end as url,
@@ -30,7 +30,7 @@ VIEWS = {
                '/r/c/comments/' || cast(conv_id as varchar) || '/x/' || cast(conv_id as varchar) || '_'
                  || cast(turn as varchar) || '/' as permalink,
                timestamp '2024-01-01 00:00:00' + to_hours(cast(turn as bigint)) as last_scraped_at
-        from conversations where role <> 'system'""",
+        from conversations""",
     "comment_snapshots": """
         select l_orderkey*10 + l_linenumber as id,
                cast(l_orderkey as varchar) || '_' || cast(l_linenumber - 1 as varchar) as comment_reddit_id,
@@ -47,6 +47,7 @@ VIEWS = {
     "listing_batch_ids": "select distinct o_custkey as reddit_id from orders",
 }
 
+
 def with_views(body: str, *names: str) -> str:
     """Prefix ``body`` with the CTEs it names, in dependency order."""
     if not names:
@@ -54,19 +55,14 @@ def with_views(body: str, *names: str) -> str:
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in names)
     return f"WITH {ctes}\n{body}"
 
-def letters_sql(period: str = "day") -> str:
-    """The letters fixture; ``period`` 'month' gives monthly letters."""
-    when = "cast(o.o_orderdate as date)" if period == "day" else "cast(date_trunc('month', o.o_orderdate) as date)"
-    return _LETTERS_SQL.replace("cast(o.o_orderdate as date)", when)
-
 
-_LETTERS_SQL = """
-lsrc AS (select * from (
+LETTERS_SQL = """
+lsrc AS (
   select lower(c.c_mktsegment) as subreddit, cast(o.o_orderdate as date) as letter_date, o.o_orderkey,
          o.o_custkey, c.c_name, o.o_orderstatus, o.o_orderpriority, o.o_totalprice,
          row_number() over (partition by lower(c.c_mktsegment), cast(o.o_orderdate as date)
                             order by o.o_totalprice desc, o.o_orderkey) as rank
-  from orders o join customer c on o.o_custkey = c.c_custkey) t where rank <= 12),
+  from orders o join customer c on o.o_custkey = c.c_custkey),
 lent AS (select subreddit, letter_date, rank,
   (case when o_orderkey % 2 = 0 then '**[' || lbl || ']:** ' else '**' || lbl || ':** ' end) ||
   (case when o_orderkey % 11 = 0
@@ -96,6 +92,3 @@ letters AS (select subreddit, letter_date, strftime(letter_date, '%Y-%m-%d') ||
   string_agg(entry, chr(10) || chr(10) order by rank) ||
   (case when day(letter_date) = 13 then chr(10) || chr(10) || 'Link:' else '' end) || chr(10) as markdown
   from lent group by subreddit, letter_date)"""
-
-
-LETTERS_SQL = letters_sql("day")

@@ -14,14 +14,12 @@ from .registry import query
 AS_OF = "2024-01-01 05:00:00"   # refresh check time for the fixture comments
 
 _STALE_SQL = f"""
-ex AS (select b.reddit_id from listing_batch_ids b where b.reddit_id in (select reddit_id from posts)),
-nw AS (select b.reddit_id from listing_batch_ids b where b.reddit_id not in (select reddit_id from posts)),
-st AS (select p.reddit_id from posts p
-       left join (select post_reddit_id, max(last_scraped_at) as comments_scraped_at
-                  from comments group by post_reddit_id) c on c.post_reddit_id = p.reddit_id
-       where p.reddit_id in (select reddit_id from ex)
-         and (c.comments_scraped_at is null
-              or c.comments_scraped_at < timestamp '{AS_OF}' - interval 2 hour)),
+ex AS (select reddit_id from listing_batch_ids intersect select reddit_id from posts),
+nw AS (select reddit_id from listing_batch_ids except select reddit_id from posts),
+fresh AS (select distinct post_reddit_id from comments
+          where date_diff('second', last_scraped_at, timestamp '{AS_OF}') <= 7200),
+st AS (select reddit_id from ex
+       where not exists (select 1 from fresh where fresh.post_reddit_id = ex.reddit_id)),
 rs AS (select reddit_id from nw union select reddit_id from st)"""
 _STALE_VIEWS = ("posts", "comments", "listing_batch_ids")
 
@@ -155,19 +153,14 @@ def q_skip_pinned(spark, sf):
         "subreddit", "reddit_id", "listing_pos")
 
 
-LISTING_LIMIT = 75   # a listing page: 3 x 25 posts, as fetched when skipping pinned posts
-
-
 @query("listing_order", "H5", with_views(f"""{_LISTING_SQL}
-select * from (
-  select 'top' as mode, subreddit, reddit_id,
-         row_number() over (partition by subreddit order by score desc nulls last, reddit_id asc) as listing_rank
-  from listing) a where listing_rank <= {LISTING_LIMIT}
+select 'top' as mode, subreddit, reddit_id,
+       row_number() over (partition by subreddit order by score desc nulls last, reddit_id asc) as listing_rank
+from listing
 union all
-select * from (
-  select 'new' as mode, subreddit, reddit_id,
-         row_number() over (partition by subreddit order by created_at desc, reddit_id asc) as listing_rank
-  from listing) b where listing_rank <= {LISTING_LIMIT}""", "posts", "post_snapshots"))
+select 'new' as mode, subreddit, reddit_id,
+       row_number() over (partition by subreddit order by created_at desc, reddit_id asc) as listing_rank
+from listing""", "posts", "post_snapshots"))
 def q_listing_order(spark, sf):
     from pyspark.sql import Window
     l = _listing(spark, sf)
@@ -175,7 +168,6 @@ def q_listing_order(spark, sf):
     for mode in ("top", "new"):
         w = Window.partitionBy("subreddit").orderBy(*refresh.listing_order(mode))
         part = (l.withColumn("listing_rank", F.row_number().over(w))
-                 .where(F.col("listing_rank") <= LISTING_LIMIT)
                  .select(F.lit(mode).alias("mode"), "subreddit", "reddit_id",
                          F.col("listing_rank").cast("bigint").alias("listing_rank")))
         out = part if out is None else out.unionByName(part)

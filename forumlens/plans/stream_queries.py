@@ -54,13 +54,9 @@ def q_stream_dedupe(spark, sf):
     base = shared_path(spark, "streams", "dedupe", uuid.uuid4().hex)
     # The landed file delivered twice (a replay): two sources over the same files.
     s = _snapshots(_events_stream(spark, sf)).unionByName(_snapshots(_events_stream(spark, sf)))
-    d = K.dedupe_snapshots(s, "scraped_at", "1 day", ["id", "post_reddit_id", "scraped_at"])
     out = f"{base}/out"
-
-    def sink(df, epoch_id):
-        df.write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
-
-    q = (d.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/_checkpoint")
+    sink = K.dedupe_sink(out, ["id", "post_reddit_id", "scraped_at"], "scraped_at")
+    q = (s.writeStream.foreachBatch(sink).option("checkpointLocation", f"{base}/_checkpoint")
           .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out).select("id", "post_reddit_id", "scraped_at", "score")
@@ -103,7 +99,6 @@ def q_stream_staleness(spark, sf):
     q = (stale.writeStream.outputMode("append").foreachBatch(sink)
               .option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
-    try:
-        return spark.read.schema(K.STALE_SCHEMA).parquet(out).select("post_reddit_id")
-    except Exception:  # nothing emitted: no output folder
+    if not K.exists(spark, out):  # nothing emitted
         return spark.createDataFrame([], K.STALE_SCHEMA).select("post_reddit_id")
+    return spark.read.schema(K.STALE_SCHEMA).parquet(out).select("post_reddit_id")

@@ -36,13 +36,15 @@ def posts(spark: SparkSession, sf: str, with_text: bool = True) -> DataFrame:
             .agg(F.min("ts").alias("f"), F.max("ts").alias("l")))
     discussion = F.concat(F.lit("https://www.reddit.com/r/"), d.source, F.lit("/comments/"),
                           d.doc_id.cast("string"), F.lit("/"))
+    # The first line is the title, the rest the body: each word is in one of them.
+    title = F.substring_index(d.text, "\n", 1)
     cols = [
         d.doc_id.alias("reddit_id"),
         d.source.alias("subreddit"),
-        F.substring(d.text, 1, 60).alias("title"),
+        title.alias("title"),
     ]
     if with_text:
-        cols.append(d.text.alias("selftext"))
+        cols.append(F.substr(d.text, F.length(title) + 2).alias("selftext"))
     cols += [
         F.when(d.doc_id % 3 == 0, discussion)
          .otherwise(F.concat(F.lit("https://"), d.source, F.lit(".example.com/p/"),
@@ -57,7 +59,7 @@ def posts(spark: SparkSession, sf: str, with_text: bool = True) -> DataFrame:
 
 
 def comments(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "conversations").where(F.col("role") != "system")
+    c = table(spark, sf, "conversations")
     rid = F.concat(c.conv_id.cast("string"), F.lit("_"), c.turn.cast("string"))
     return c.select(
         rid.alias("reddit_id"),
@@ -164,21 +166,16 @@ def rss_payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 # ---------------------------------------------------------------- letters
 
-LETTERS_PER_DAY_ENTRIES = 12   # a letter covers the day's 12 largest orders of a segment
-
-
-def letter_entries_source(spark: SparkSession, sf: str, period: str = "day") -> DataFrame:
-    """The orders a letter covers: per (segment, day) -- or month -- the 12 largest."""
+def letter_entries_source(spark: SparkSession, sf: str) -> DataFrame:
+    """The orders a letter covers: all of a (segment, day), largest first."""
     from pyspark.sql import Window
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    when = F.to_date("o_orderdate") if period == "day" else F.trunc(F.to_date("o_orderdate"), "month")
     j = o.join(c, o.o_custkey == c.c_custkey).select(
-        F.lower("c_mktsegment").alias("subreddit"), when.alias("letter_date"),
+        F.lower("c_mktsegment").alias("subreddit"), F.to_date("o_orderdate").alias("letter_date"),
         "o_orderkey", "o_custkey", "c_name", "o_orderstatus", "o_orderpriority", "o_totalprice")
     w = Window.partitionBy("subreddit", "letter_date").orderBy(F.col("o_totalprice").desc(), F.col("o_orderkey"))
-    return (j.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= LETTERS_PER_DAY_ENTRIES)
-             .withColumn("rank", F.col("rank").cast("bigint")))
+    return j.withColumn("rank", F.row_number().over(w).cast("bigint"))
 
 
 def _entry_text() -> "F.Column":
@@ -202,13 +199,12 @@ def _entry_text() -> "F.Column":
                     .otherwise(F.concat(linked, F.coalesce(tail, F.lit("")))))
 
 
-def letters(spark: SparkSession, sf: str, period: str = "day") -> DataFrame:
-    """One Markdown letter per (segment, day) -- or per month, a monthly
-    letter dated the 1st: header block, greeting, one
-    ``**LABEL:**`` entry per covered order.  Some days vary the layout: no
+def letters(spark: SparkSession, sf: str) -> DataFrame:
+    """One Markdown letter per (segment, day): header block, greeting, one
+    ``**LABEL:**`` entry per order.  Some days vary the layout: no
     subject (day 20), a heading (day 7), a trailing ``Link:`` line (day 13),
     date with or without time (odd/even day)."""
-    e = letter_entries_source(spark, sf, period).select("subreddit", "letter_date", "rank",
+    e = letter_entries_source(spark, sf).select("subreddit", "letter_date", "rank",
                                                           _entry_text().alias("entry"))
     g = (e.groupBy("subreddit", "letter_date")
           .agg(F.array_sort(F.collect_list(F.struct("rank", "entry"))).alias("_e")))

@@ -31,7 +31,7 @@ def read_landed(spark: SparkSession, directory: str, file_glob: str, schema: T.S
     return r.parquet(directory)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # listing only, no data
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
@@ -44,7 +44,7 @@ def write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
 
 def _compactions(spark: SparkSession, path: str) -> list[int]:
     base = f"{path}_compacted"
-    if not _exists(spark, base):
+    if not exists(spark, base):
         return []
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(base)
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -64,7 +64,7 @@ def current_view(spark: SparkSession, path: str, key: str, before: int | None =
     floor = usable[-1] if usable else None
     if floor is not None:
         parts.append(spark.read.parquet(f"{path}_compacted/upto={floor}").withColumn("epoch", F.lit(floor)))
-    if _exists(spark, path):
+    if exists(spark, path):
         d = spark.read.parquet(path)
         if before is not None:
             d = d.where(F.col("epoch") < before)
@@ -133,14 +133,21 @@ def event_time(col: str) -> F.Column:
     return F.timestamp_micros(_epoch(col, "MICROSECOND"))
 
 
-def dedupe_snapshots(snapshots: DataFrame, event_time_col: str, delay: str, keys: list[str]) -> DataFrame:
-    """K2: drop replayed snapshots (same keys) within the watermark delay.
-
-    ``withWatermark`` needs a TIMESTAMP; landed times are zone-less, so a
-    UTC-based TIMESTAMP copy drives the watermark and the original column is
-    kept for output."""
-    return (snapshots.withColumn("_wm", event_time(event_time_col)).withWatermark("_wm", delay)
-                     .dropDuplicatesWithinWatermark(keys).drop("_wm"))
+def dedupe_sink(path: str, keys: list[str], time_col: str):
+    """K2 ``foreachBatch`` body: append the rows whose ``keys`` aren't stored
+    yet, however late they come.  Stored rows lie by day of ``time_col``, which
+    is one of the keys, so a batch is compared with the days that it holds; a
+    replayed epoch rewrites its own rows."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        new = batch.dropDuplicates(keys).withColumn("_day", F.to_date(time_col))
+        if exists(spark, path):
+            # a schema and a partition filter: nothing is inferred, no other epoch's day is read
+            old = spark.read.schema(new.schema.add("epoch", "long")).parquet(path).where(F.col("epoch") < epoch_id)
+            same = [old[k].eqNullSafe(new[k]) for k in ["_day", *keys]]
+            new = new.join(old, same, "left_anti")
+        new.write.mode("overwrite").partitionBy("_day").parquet(f"{path}/epoch={epoch_id}")
+    return run
 
 
 def latest_metrics(snapshots: DataFrame, key: str, cols: list[str]) -> DataFrame:

@@ -64,3 +64,29 @@ def test_hot_key_split_in_plan(spark, no_broadcast, monkeypatch):
         df.explain()
     plan = buf.getvalue()
     assert "Union" in plan and "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_repeated_and_null_keys_fare_alike(spark, monkeypatch):
+    """The size check picks a plan, never an answer."""
+    from forumlens.operators import snapshots, state
+    ts = "timestamp_ntz'2024-01-0%d 00:00:00'"
+    posts = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (None, "a"), (2, None), (3, "c")],
+                                  "reddit_id bigint, subreddit string")
+    snaps = spark.sql(" union all ".join(
+        f"select bigint({i}) id, bigint({p}) post_reddit_id, {ts % d} scraped_at, bigint({s}) score, "
+        f"double(0.5) upvote_ratio, bigint(1) num_comments, false is_pinned"
+        for i, p, d, s in ((1, 1, 1, 5), (2, 1, 3, 9), (3, 2, 1, 1), (4, "null", 1, 1))))
+    reports = spark.sql(" union all ".join(
+        f"select bigint({i}) id, '{x}' subreddit, {ts % d} generated_at" for i, x, d in ((1, "a", 2), (2, "b", 1), (3, "c", 1))))
+    stored = spark.sql(f"select bigint(k) reddit_id, t title, {ts % 1} first_scraped_at, {ts % 1} last_scraped_at "
+                       "from values (1, 'x'), (7, 'y'), (7, 'z'), (null, 'n') v(k, t)")
+    batch = spark.sql(f"select bigint(k) reddit_id, t title, {ts % 2} scraped_at, bigint(0) batch_id, bigint(p) position "
+                      "from values (1, 'new', 0), (1, 'newer', 1), (9, 'q', 2), (null, 'm', 3) v(k, t, p)")
+    answers = []
+    for bound in (0, 2_000_000):
+        monkeypatch.setattr(guards, "MAX_BROADCAST_ROWS", bound)
+        answers.append([sorted(map(str, df.collect())) for df in (
+            snapshots.report_deltas(posts, snaps, reports), snapshots.asof_snapshot(posts, snaps, reports),
+            state.upsert_posts(stored, batch, value_cols=("title",)))])
+    assert answers[0] == answers[1]
+    assert len(answers[0][0]) == 5 and len(answers[0][2]) == 5

@@ -1,7 +1,6 @@
 """Edge rows for news (J9, J10, A4, F6, L5) and the archive."""
 
 import datetime as dt
-import html
 import os
 import tempfile
 
@@ -24,11 +23,9 @@ def test_clean_text_cases(spark):
     assert got == ["<i>x</i>", "A & B", "&lt;", "", "x"]
 
 
-def test_clean_text_exact_matches_html_unescape(spark):
-    vals = ["&copy; 2024 &middot; x", "<p>&eacute;t&eacute;</p>", "&#8212;dash"]
-    got = _col(spark, vals, N.clean_text_exact)
-    import re
-    assert got == [html.unescape(re.sub(r"<[^>]+>", "", v)).strip() for v in vals]
+def test_clean_text_exact(spark):
+    got = _col(spark, ["&copy; 2024 &middot; x", "<p>&eacute;t&eacute;</p>", "&#8212;dash"], N.clean_text_exact)
+    assert got == ["\u00a9 2024 \u00b7 x", "\u00e9t\u00e9", "\u2014dash"]
 
 
 def test_parse_rfc822_cases(spark):
@@ -133,3 +130,31 @@ def test_rss_title_escape_option(spark):
     assert archive.rss_feed(pages).first()["title"] == "A & <B>"
     assert archive.rss_feed(pages, escape_title=True).first()["title"] == "A &amp; &lt;B&gt;"
     assert archive.rss_feed(pages).first()["pub_date"] == "Thu, 01 Jan 2026 00:00:00 +0000"
+
+
+def test_letter_files_round_trip(spark):
+    path = tempfile.mkdtemp(prefix="letters-", dir="/tmp") + "/md"
+    texts = {"2024-01-01": "a", "2024-01-02": "a\n", "2024-01-03": "a\n\n", "2024-01-04": "\n", "2024-01-05": "b\r\n"}
+    df = spark.createDataFrame([("s", dt.date.fromisoformat(d), t) for d, t in texts.items()],
+                               "subreddit string, letter_date date, markdown string")
+    archive.write_letter_files(df, path)
+    got = archive.ingest_letters(spark, path, layout="partitioned").collect()
+    assert {r.letter_date.isoformat(): r.markdown for r in got} == texts
+
+
+def test_bare_marks_are_escaped(spark):
+    got = _col(spark, ["S&P up 1 < 2", "A &amp; <b>B</b>", "[a](http://x/?a=1&b=2)"], L.render_markdown)
+    assert got == ["<p>S&amp;P up 1 &lt; 2</p>", "<p>A &amp; <b>B</b></p>", '<p><a href="http://x/?a=1&amp;b=2">a</a></p>']
+
+
+def test_date_line_needs_a_clock_time(spark):
+    lines = ["**Date:** August 21, 2026 at 13:45 PM EDT", "**Date:** August 21, 2026 at 07:60 PM EDT",
+             "**Date:** August 21, 2026 at 7:45 PM EDT"]
+    df = spark.createDataFrame([(x,) for x in lines], "x string").select(L.letter_date_parts(F.col("x"))[1])
+    assert [r[0] for r in df.collect()] == [None, None, "August 21, 2026 at 07:45 PM EDT"]
+
+
+def test_empty_item_in_a_feed(spark):
+    xml = "<rss><channel><item/><item><title>t</title><link>l</link></item></channel></rss>"
+    out = news.ingest_rss(spark.createDataFrame([("q", xml)], "query string, xml string"), ["query"]).collect()
+    assert [(r.title, r.url, r.raw) for r in out] == [("t", "l", "<item><title>t</title><link>l</link></item>")]

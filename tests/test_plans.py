@@ -46,14 +46,3 @@ def test_no_cross_or_nested_loop_joins(spark):
             continue
         p = plan(fn(spark, SF_SMALL))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
-
-
-def test_spread_only_for_few_splits(spark):
-    import tempfile
-    from forumlens.sources.tables import spread
-    d = tempfile.mkdtemp(prefix="splits-", dir="/tmp")
-    spark.range(0, 10000, 1, 32).write.mode("overwrite").parquet(d + "/many")
-    spark.range(0, 10, 1, 1).write.mode("overwrite").parquet(d + "/one")
-    many = spark.read.option("maxPartitionBytes", 1024).parquet(d + "/many")
-    assert "RoundRobinPartitioning" not in plan(spread(many))
-    assert "RoundRobinPartitioning" in plan(spread(spark.read.parquet(d + "/one")))

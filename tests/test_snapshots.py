@@ -76,9 +76,15 @@ def test_messages_to_prompt_parts(spark):
     full = {r["conv_id"]: r["prompt"] for r in threads.messages_to_prompt(msgs).collect()}
     assert full[1] == "\n\n".join(f"{'USER' if t % 2 == 0 else 'ASSISTANT'}:\nm{t}" for t in range(5))
     assert full[2] == "SYSTEM:\n"
-    parts = threads.messages_to_prompt(msgs, block_turns=2).where("conv_id = 1").orderBy("part").collect()
-    assert [p["part"] for p in parts] == [0, 1, 2]
-    assert "\n\n".join(p["prompt"] for p in parts) == full[1]
+    for turns in (1, 2, 3):
+        assert {r["conv_id"]: r["prompt"] for r in threads.messages_to_prompt(msgs, block_turns=turns).collect()} == full
+
+
+def test_comments_by_score_puts_missing_scores_last(spark):
+    c = spark.createDataFrame([("a", 1, -5), ("b", 1, None), ("c", 1, 3), ("d", 1, 3)],
+                              "reddit_id string, post_reddit_id bigint, score bigint")
+    got = rows(threads.comments_by_score(c), "pos", "reddit_id")
+    assert got == [(1, "c"), (2, "d"), (3, "a"), (4, "b")]
 
 
 def test_nest_comments_keeps_lonely_posts(spark):

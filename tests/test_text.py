@@ -1,45 +1,40 @@
-"""Scalar text rules against plain-Python versions of the same rules."""
+"""Scalar text rules against tables of inputs and expected outputs."""
 
 from pyspark.sql import functions as F
 
 from forumlens.functions import text as T
 
 
-def py_clip(text, n=220):
-    w = text.strip().split()
-    return " ".join(w) if len(w) <= n else " ".join(w[:n]).rstrip() + "..."
-
-
-def py_delta(v):
-    if v is None:
-        return None
-    if isinstance(v, float):
-        v = round(v, 4)
-    return f"{'+' if v > 0 else ''}{v}"
-
-
 def one(spark, col, value, dtype="string"):
     return spark.createDataFrame([(value,)], f"x {dtype}").select(col(F.col("x")).alias("y")).first()["y"]
 
 
-def test_clip_text_matches_python(spark):
-    nbsp = "a\u00a0b c"
-    cases = [" ".join(["w"] * 220), " ".join(["w"] * 221), nbsp, "  lead and trail  ", "", "x\x1cy",
-             "tab\tand\nnewline", "\u3000wide\u2003space"]
-    df = spark.createDataFrame([(c,) for c in cases], "x string").select("x", T.clip_text(F.col("x")).alias("y"))
-    for r in df.collect():
-        assert r["y"] == py_clip(r["x"]), repr(r["x"])
+def mapped(spark, col, table, dtype):
+    """What ``col`` makes of each input of ``table``, beside what it should be."""
+    got = spark.createDataFrame([(i, x) for i, (x, _) in enumerate(table)], f"i int, x {dtype}")
+    got = dict(got.select("i", col(F.col("x")).alias("y")).collect())
+    return [(x, got[i]) for i, (x, _) in enumerate(table)], table
+
+
+def test_clip_text(spark):
+    full = ("w " * 220)[:-1]
+    got, want = mapped(spark, T.clip_text, [
+        (full, full), (full + " w", full + "..."), ("a\u00a0b c", "a b c"), ("  lead and trail  ", "lead and trail"),
+        ("", ""), ("x\x1cy", "x y"), ("tab\tand\nnewline", "tab and newline"), ("\u3000wide\u2003space", "wide space")],
+        "string")
+    assert got == want
 
 
 def test_delta_labels(spark):
-    ints = [5, 0, -2, None]
-    df = spark.createDataFrame([(v,) for v in ints], "x bigint").select("x", T.delta_text(F.col("x"), False).alias("y"))
-    for r in df.collect():
-        assert r["y"] == py_delta(r["x"])
-    floats = [0.01, 0.00004, -0.00004, 0.123456, -0.5, 1.0, None, 2.5e-3]
-    df = spark.createDataFrame([(v,) for v in floats], "x double").select("x", T.delta_text(F.col("x"), True).alias("y"))
-    for r in df.collect():
-        assert r["y"] == py_delta(r["x"]), r["x"]
+    got, want = mapped(spark, lambda c: T.delta_text(c, False), [(5, "+5"), (0, "0"), (-2, "-2"), (None, None)], "bigint")
+    assert got == want
+    got, want = mapped(spark, lambda c: T.delta_text(c, True), [
+        (0.01, "+0.01"), (0.00004, "0.0"), (-0.00004, "-0.0"), (0.123456, "+0.1235"), (-0.5, "-0.5"), (1.0, "+1.0"),
+        (None, None), (0.0025, "+0.0025"), (0.0, "0.0"), (12345678.9, "+12345678.9"),
+        # half-way cases: the exact binary values decide
+        (0.00005, "+0.0001"), (0.12345, "+0.1235"), (0.00015, "+0.0001"), (0.00025, "+0.0003"), (-0.12345, "-0.1235"),
+        (0.5 + 2 ** -5, "+0.5312"), (0.5 + 3 * 2 ** -5, "+0.5938")], "double")
+    assert got == want
 
 
 def test_py_float_str(spark):
@@ -50,28 +45,20 @@ def test_py_float_str(spark):
 
 
 def test_reportable_comments(spark):
-    bodies = ["  [deleted] x", "[Removed]", "   ", None, "[removed]", "ok", " [deleted]"]
-
-    def py(b):
-        b = (b or "").strip()
-        return bool(b) and not b.startswith("[deleted]") and not b.startswith("[removed]")
-    df = spark.createDataFrame([(b,) for b in bodies], "x string").select(
-        "x", T.reportable_comment(F.col("x")).alias("y"))
-    for r in df.collect():
-        assert r["y"] == py(r["x"]), repr(r["x"])
+    got, want = mapped(spark, T.reportable_comment, [
+        ("  [deleted] x", False), ("[Removed]", True), ("   ", False), (None, False), ("[removed]", False), ("ok", True),
+        (" [deleted]", False)], "string")
+    assert got == want
 
 
 def test_query_line_clean_and_filter(spark):
-    lines = ['- crude oil prices', '"Fed"', 'Here are queries', '  **Nvidia stock news**  ', '"-x-"', '', 'Post 1']
-
-    def py(line):
-        c = line.strip().strip('"').strip("*").strip("-").strip()
-        return c, bool(c) and not c.startswith(("Here", "Based", "Post", "Example", "Extract"))
-    df = spark.createDataFrame([(x,) for x in lines], "x string").select(
-        "x", T.query_line_clean(F.col("x")).alias("c"))
-    df = df.withColumn("k", T.query_line_keep(F.col("c")))
-    for r in df.collect():
-        assert (r["c"], r["k"]) == py(r["x"]), r["x"]
+    clean = [("- crude oil prices", "crude oil prices"), ('"Fed"', "Fed"), ("Here are queries", "Here are queries"),
+             ("  **Nvidia stock news**  ", "Nvidia stock news"), ('"-x-"', "x"), ("", ""), ("Post 1", "Post 1")]
+    got, want = mapped(spark, T.query_line_clean, clean, "string")
+    assert got == want
+    keep = [True, True, False, True, True, False, False]
+    got, want = mapped(spark, T.query_line_keep, [(c, k) for (_, c), k in zip(clean, keep, strict=True)], "string")
+    assert got == want
 
 
 def test_discussion_url_without_id(spark):
