@@ -8,10 +8,14 @@ communities there are.
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import letters as L
+from ..sources.files import file_system, put
 
 RSS_LENGTH = 10
 DEFAULT_BASE_URL = "https://example.org/letters"   # site address is a parameter
@@ -25,39 +29,45 @@ BASE_ORDER = ("{{SUBREDDIT}}", "{{DATE_YMD}}", "{{DATE_FULL}}", "{{CONTENT}}")
 
 
 def ingest_letters(spark: SparkSession, path: str, layout: str = "flat") -> DataFrame:
-    """A5: letters from Markdown files.
+    """A5: letters from Markdown files, byte for byte, one per file.
 
-    ``flat``: ``<path>/*.md`` whose stem parses as a date (others skipped),
-    the community given by the caller's ``subreddit`` column absent (null).
-    ``partitioned``: the ``subreddit=/letter_date=`` layout written by
-    :func:`write_letter_files`.
+    ``flat``: ``<path>/*.md``, no community (null).  ``partitioned``: the
+    ``subreddit=<s>/<date>.md`` layout of :func:`write_letter_files`.  Files
+    whose stem doesn't parse as a date are skipped.
     """
-    reader = spark.read
-    if layout == "partitioned":
-        df = reader.text(path, wholetext=True)
-        return df.select("subreddit", F.col("letter_date").cast("date").alias("letter_date"),
-                         F.concat(F.date_format("letter_date", "yyyy-MM-dd"), F.lit(".md")).alias("file_name"),
-                         # the one newline that the text writer adds
-                         F.expr("left(value, length(value) - 1)").alias("markdown"))
-    df = reader.text(path, wholetext=True, pathGlobFilter="*.md")
-    named = df.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("markdown"))
+    schema = "value string, subreddit string" if layout == "partitioned" else "value string"
+    df = spark.read.schema(schema).text(path, wholetext=True, pathGlobFilter="*.md")
+    community = F.col("subreddit") if layout == "partitioned" else F.lit(None).cast("string")
+    named = df.select(community.alias("subreddit"), F.col("_metadata.file_name").alias("file_name"),
+                      F.col("value").alias("markdown"))
     dated = named.withColumn("letter_date", L.file_date(F.col("file_name"))).where(F.col("letter_date").isNotNull())
-    return dated.select(F.lit(None).cast("string").alias("subreddit"), "letter_date", "file_name", "markdown")
+    return dated.select("subreddit", "letter_date", "file_name", "markdown")
 
 
-def write_letter_files(letters: DataFrame, path: str) -> None:
-    """Markdown export: one file per (community, day) under
-    ``subreddit=<s>/letter_date=<d>/``, for publishing and for A5.
+def write_letter_files(letters: DataFrame, path: str) -> int:
+    """Markdown export: ``subreddit=<s>/<date>.md``, for publishing and for A5;
+    the number of files.
 
-    Repartitioning by the same keys puts each letter in one task, so each
-    directory gets exactly one file.  Tiny files are slow on any file
+    Tasks write the files themselves: Spark's text writer would add a newline
+    to each, and takes a folder per file.  Tiny files are slow on any file
     system; the archive itself is kept as a table (:func:`write_letters`).
     """
-    # The text writer ends every file with a newline of its own, which
-    # ``ingest_letters`` takes off again: any letter reads back unchanged.
-    (letters.repartition("subreddit", "letter_date")
-            .select("subreddit", "letter_date", "markdown")
-            .write.mode("overwrite").partitionBy("subreddit", "letter_date").text(path))
+    def write(batches):
+        store, base = file_system(path)
+        made = set()
+        for batch in batches:
+            for row in batch.to_pylist():
+                name = "__HIVE_DEFAULT_PARTITION__" if row["subreddit"] is None else quote(row["subreddit"], safe="")
+                folder = f"{base}/subreddit={name}"
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                put(store, f"{folder}/{row['file']}", (row["markdown"] or "").encode())
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    file = F.concat(F.date_format("letter_date", "yyyy-MM-dd"), F.lit(".md"))
+    done = letters.select("subreddit", file.alias("file"), "markdown").mapInArrow(write, "n long")
+    return done.agg(F.sum("n")).first()[0] or 0
 
 
 def write_letters(letters: DataFrame, path: str) -> None:

@@ -112,7 +112,8 @@ def query_keep(e: str) -> str:
 
 
 _ENT_SQL = (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "''''"), ("&#x27;", "''''"),
-            ("&apos;", "''''"), ("&nbsp;", "chr(160)"), ("&amp;", "'&'"))
+            ("&apos;", "''''"), ("&nbsp;", "chr(160)"), ("&middot;", "chr(183)"), ("&copy;", "chr(169)"),
+            ("&amp;", "'&'"))
 
 
 def clean_text(e: str) -> str:
@@ -123,7 +124,10 @@ def clean_text(e: str) -> str:
 
 
 def rfc822(c: str) -> str:
-    from ..functions.news_text import MONTHS, ZONES, _ISO, _RFC
+    from ..functions.news_text import MONTHS, ZONES
+    _RFC = (r"^\s*(?:[A-Za-z]{3},\s*)?(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4})\s+(\d{1,2}):(\d{2})(?::(\d{2}))?"
+            r"(?:\s+([+-]\d{4}|[A-Za-z]+))?\s*$")
+    _ISO = r"^(\d{4})-(\d{2})-(\d{2})T(\d{2}):(\d{2})(?::(\d{2}))?$"
     g = lambda i: f"regexp_extract({c}, '{_RFC}', {i})"
     months = "[" + ", ".join(f"'{m.upper()}'" for m in MONTHS) + "]"
     month = f"list_position({months}, upper({g(2)}))"

@@ -52,11 +52,12 @@ def q_clean_text(spark, sf):
                     N.clean_text(F.regexp_extract("html", r"<p>(.*?)</p>", 1)).alias("first_paragraph"))
 
 
-@query("unescape_html", "L2")
+@query("unescape_html", "L2", f"""
+select page_id, {D.clean_text("html")} as text from pages""")
 def q_unescape_html(spark, sf):
-    """Full entity decoding of every page body (rows-only check)."""
+    """Entity decoding of every whole page."""
     p = table(spark, sf, "pages")
-    return p.select("page_id", N.clean_text_exact(F.col("html")).alias("text"))
+    return p.select("page_id", N.clean_text(F.col("html")).alias("text"))
 
 
 @query("parse_rfc822", "J10", f"""WITH {_NB}

@@ -23,9 +23,14 @@ def test_clean_text_cases(spark):
     assert got == ["<i>x</i>", "A & B", "&lt;", "", "x"]
 
 
-def test_clean_text_exact(spark):
-    got = _col(spark, ["&copy; 2024 &middot; x", "<p>&eacute;t&eacute;</p>", "&#8212;dash"], N.clean_text_exact)
-    assert got == ["\u00a9 2024 \u00b7 x", "\u00e9t\u00e9", "\u2014dash"]
+def test_clean_text_decodes_all_entities(spark):
+    table = [
+        ("&copy; 2024 &middot; x", "\u00a9 2024 \u00b7 x"), ("<p>&eacute;t&eacute;</p>", "\u00e9t\u00e9"),
+        ("&#8212;dash", "\u2014dash"), ("&#8217;s &rsquo;s &mdash; &#039;q&#039;", "\u2019s \u2019s \u2014 'q'"),
+        ("&#x1F600; &#X41;&#65", "\U0001f600 AA"), ("&amp;amp; &amp;lt;", "&amp; &lt;"), ("AT&T &c. a & b &", "AT&T &c. a & b &"),
+        ("&notit; &ampx &unknown; &notin;", "\u00acit; &x &unknown; \u2209"), ("&#128; &#0; &#xD800; &#1; &#9999999999;", "\u20ac \ufffd \ufffd  \ufffd"),
+        ("&NotEqualTilde;", "\u2242\u0338"), ("&#;&#x;", "&#;&#x;"), ("line\none &lt;b&gt;", "line\none <b>")]
+    assert _col(spark, [x for x, _ in table], N.clean_text) == [y for _, y in table]
 
 
 def test_parse_rfc822_cases(spark):
@@ -36,6 +41,16 @@ def test_parse_rfc822_cases(spark):
                    "2026-08-22T01:02:03+00:00", "2026-08-21T19:00:00", None, "2026-08-22T00:00:00+00:00"]
 
 
+def test_parse_rfc822_other_forms(spark):
+    table = [
+        ("Friday, 21 Aug 2026 19:00:00 +0000 (UTC)", "2026-08-21T19:00:00+00:00"), ("21 August 26 19:00 Z", "2026-08-21T19:00:00+00:00"),
+        ("Fri, 21 Aug 70 19:00:00 GMT", "1970-08-21T19:00:00+00:00"), ("2026-08-21", "2026-08-21T00:00:00"),
+        ("2026-08-21T19:00:05.678", "2026-08-21T19:00:05"), ("2026-08-21T19:00:05Z", "2026-08-21T19:00:05+00:00"),
+        ("2026-08-21 19:00:05+0200", "2026-08-21T19:00:05+02:00"), ("2024-13-45T00:00", "2024-13-45T00:00"),
+        ("Fri, 32 Aug 2026 19:00:00 GMT", "Fri, 32 Aug 2026 19:00:00 GMT"), ("", None)]
+    assert _col(spark, [x for x, _ in table], N.parse_rfc822) == [y for _, y in table]
+
+
 def test_ingest_rss_drops_before_cap(spark):
     xml = ("<rss><channel>"
            "<item><title></title><link>l0</link></item>"
@@ -132,7 +147,7 @@ def test_rss_title_escape_option(spark):
     assert archive.rss_feed(pages).first()["pub_date"] == "Thu, 01 Jan 2026 00:00:00 +0000"
 
 
-def test_letter_files_round_trip(spark):
+def test_letter_files_keep_their_ends(spark):
     path = tempfile.mkdtemp(prefix="letters-", dir="/tmp") + "/md"
     texts = {"2024-01-01": "a", "2024-01-02": "a\n", "2024-01-03": "a\n\n", "2024-01-04": "\n", "2024-01-05": "b\r\n"}
     df = spark.createDataFrame([("s", dt.date.fromisoformat(d), t) for d, t in texts.items()],
