@@ -6,7 +6,7 @@ product of query and centroid, and yields leaves in order of promise.  How many
 leaves a query visits is calibrated: brute force answers a bounded set of
 queries over all vectors, and visits widen until the wanted recall is reached.
 
-Leaves are cut into cells of about ``CELL`` vectors by a hash of the id, so a
+Leaves of more than ``CELL`` vectors are cut into cells by a hash of the id, so a
 vector that a third of the rows share fills many cells, not one task.  A cell
 scores its queries exactly and answers with each one's best ``k``.
 """
@@ -25,12 +25,12 @@ from pyspark.sql.types import FloatType
 from forumlens.llm import common as C
 
 MAX_SAMPLE = 16_384
+LEAVES = 64  # as many for any number of vectors, so that a query's answers don't grow with it
 LEAF_SAMPLE = 48  # sampled vectors per leaf at least, on average
-LEAF = 400  # vectors per leaf, where the sample allows so many leaves
-CELL = 4096
+CELL = (2048, 32_768)  # vectors per cell: an average leaf, within these bounds
 BRANCH = 12
 CALIBRATION = 96
-TARGET = 0.97
+TARGET = 0.95
 
 
 @dataclass
@@ -270,18 +270,16 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id
     parts = C.stored(parts, "vectors")
     n = parts.count()
     queries = parts.where(F.col("id") % every == 0).groupBy("id").agg(F.min("vec").alias("vec"))
-    if n <= k * LEAF:  # so few that one leaf holds all
-        sample = parts.limit(1)
-    else:
-        sample = parts.where(F.pmod(F.xxhash64("id", F.lit("tree")), F.lit(1_000_000)) < 1e6 * MAX_SAMPLE / n)
+    sample = parts.where(F.pmod(F.xxhash64("id", F.lit("tree")), F.lit(1_000_000)) < 1e6 * MAX_SAMPLE / max(n, 1))
     sample = _matrix(sample.select("vec").toArrow().column("vec"), kind)
     if not len(sample):
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    tree = fit_tree(sample, min(len(sample) // LEAF_SAMPLE, n // LEAF))
+    tree = fit_tree(sample, min(LEAVES, len(sample) // LEAF_SAMPLE))
     visits = calibrate(parts, queries, tree, k, target, kind) if tree.leaves > 1 else 1
     dealt = C.stored(parts.mapInArrow(_deal(tree, kind), "id long, vec binary, leaf int"), "leaves")
     sizes = {r.leaf: r["count"] for r in dealt.groupBy("leaf").count().collect()}  # as many rows as leaves
-    cells = np.array([max(1, -(-sizes.get(i, 0) // CELL)) for i in range(tree.leaves)])
+    size = min(max(CELL[0], n // LEAVES), CELL[1])
+    cells = np.array([max(1, -(-sizes.get(i, 0) // size)) for i in range(tree.leaves)])
     first = np.cumsum(cells) - cells
     counts, starts = (F.array(*[F.lit(int(v)) for v in x]) for x in (cells, first))
     leaf = F.col("leaf")

@@ -40,9 +40,8 @@ def test_query_recall_against_brute_force(spark):
 
 @pytest.mark.parametrize("clusters", [1, 30])
 def test_tree_search(spark, monkeypatch, clusters):
-    monkeypatch.setattr(ann, "LEAF", 20)
     monkeypatch.setattr(ann, "LEAF_SAMPLE", 5)
-    monkeypatch.setattr(ann, "CELL", 64)
+    monkeypatch.setattr(ann, "CELL", (64, 64))
     rng = np.random.default_rng(clusters)
     x = (rng.normal(size=(clusters, 8))[rng.integers(0, clusters, 1500)] + 0.4 * rng.normal(size=(1500, 8))).round(3)
     x[400:900] = x[400]  # a very common vector
