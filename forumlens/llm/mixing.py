@@ -6,8 +6,9 @@ words.  A document is taken whole as often as its source's target holds the
 source, and a seeded order of the documents decides who is taken once more: all
 before a cut, and at the cut as many words as the target still lacks.
 
-The cut is found in two levels: running sums over 65,536 buckets of the seeded
-order per source, then over the documents of the one bucket that holds the cut.
+The cut is found in levels: running sums per source over 256 parts of the seeded
+order, then over 256 parts of the one that holds the cut, and so on; the last
+sum runs over the documents of a part of 1 / 16,777,216.
 """
 
 from __future__ import annotations
@@ -18,9 +19,15 @@ from pyspark.sql import functions as F
 from forumlens.llm import common as C
 
 MAX_BROADCAST_SOURCES = 10_000
+LEVELS = (2, 4, 6)  # leading hex digits of the seeded order
 UP_TO = (Window.unboundedPreceding, Window.currentRow)
 
 
+def _small(per_source: DataFrame) -> DataFrame:
+    """A table of one row per source, to broadcast if the sources are few."""
+    return F.broadcast(per_source) if per_source.count() <= MAX_BROADCAST_SOURCES else per_source
+
+
 def water_level(sources: DataFrame, max_epochs: int) -> float:
     """The level at which ``sources`` (source_size, weight), each clamped at
     ``max_epochs`` sizes, share out all words: clamp, share the excess anew, repeat."""
@@ -62,15 +69,15 @@ def _plan(rows: DataFrame, weights: tuple[int, ...], max_epochs: int) -> DataFra
         right = right.withColumnRenamed("source", "its_source")
         return left.join(right, left["source"].eqNullSafe(right["its_source"])).drop("its_source")
 
-    some = sources.where("more > 0").select("source", "more")
-    if sources.count() <= MAX_BROADCAST_SOURCES:
-        some = F.broadcast(some)
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
-    found = cut(beside(sums, some), "bucket")
-    found = C.stored(found.select("source", F.col("bucket").alias("its_bucket"),
-                                  (F.col("more") - F.col("upto") + F.col("words")).alias("more")), "cuts")
-    near = F.broadcast(found) if found.count() <= MAX_BROADCAST_SOURCES else found
-    inside = beside(rows, near).where("bucket = its_bucket")
+    # the cut's place in the seeded order, some digits of it more at a time
+    found = sources.where("more > 0").select("source", F.lit("").alias("digits"), "more")
+    for n in LEVELS:
+        inside = beside(rows, _small(found)).where(F.expr("startswith(place.key, digits)"))
+        sums = inside.groupBy("source", F.substring("place.key", 1, n).alias("digits"), "more").agg(
+            F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
+        left = F.col("more") - F.col("upto") + F.col("words")
+        found = C.stored(cut(sums, "digits").select("source", "digits", left.alias("more")), "cuts")
+    inside = beside(rows, _small(found)).where(F.expr("startswith(place.key, digits)"))
     sums = inside.groupBy("source", "place", "more").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
     found = cut(sums, "place").select(
         "source", F.col("place").alias("cut"),
@@ -102,12 +109,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.withColumns({size: C.n_words(docs[text_col]), place: F.struct(
         key.alias("key"), docs[id_col].alias("id"), F.xxhash64(docs[text_col]).alias("version"))})
     narrow = C.stored(rows.select(docs[source_col].alias("source"), F.col(size).alias("size"),
-                                  F.col(place).alias("place"), F.substring(F.col(f"{place}.key"), 1, 4).alias("bucket")),
-                      "sizes")
+                                  F.col(place).alias("place")), "sizes")
     plan = _plan(narrow, weights, max_epochs)
     plan = plan.select(F.struct(*plan.columns).alias(mine))
-    if plan.count() <= MAX_BROADCAST_SOURCES:
-        plan = F.broadcast(plan)
+    plan = _small(plan)
     rows = rows.join(plan, rows[source_col].eqNullSafe(plan[f"{mine}.source"]))
     p = F.col(mine)
     whole_part = F.when(F.col(place) < p["cut"], F.col(size)).when(F.col(place) == p["cut"], p["part"]).otherwise(0)
