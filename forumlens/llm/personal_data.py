@@ -4,6 +4,7 @@ One Aho-Corasick pass per text finds anchors: at-signs, plus signs, digits,
 ``://`` and identifier cues.  A parser of the anchor's kind expands it to its
 boundaries, left and right, and validates what it holds.  Within a kind, spans
 don't overlap and the leftmost wins; what fails validation is not tried again.
+Secrets and logins run to their delimiter, however long they are.
 """
 
 from __future__ import annotations
@@ -29,10 +30,20 @@ _GLUE = r"[ \t]{0,3}(?:(?:no|nr|number|is|id)\b\.?)?[ \t]{0,3}[:=#]?[ \t]{0,3}"
 _IBAN = re.compile(_GLUE + r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
 _SSN = re.compile(_GLUE + r"([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
 _ACCOUNT = re.compile(_GLUE + r"([0-9](?:-?[0-9]){5,16})(?![0-9-])")
-_SECRET = re.compile(r"[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?([^\s\"'<>,;]{8,256})")
+_SECRET_GLUE = re.compile(r"[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?")
+_SECRET = re.compile(r"[^\s\"'<>,;]{8,}")
 _KEY = re.compile(r"[0-9A-Z]{16}(?![0-9A-Za-z])")
 _SCHEME = frozenset(string.ascii_letters + string.digits + "+.-")
-_LOGIN = re.compile(r"[^\s/@\"'<>]{1,256}@[A-Za-z0-9.-]+")
+_LOGIN = re.compile(r"[^\s/@\"'<>]++@[A-Za-z0-9.-]+")
+
+#: Characters of an IBAN by country (the registry's fixed lengths), without spaces.
+IBAN_SIZE = {
+    code: int(size) for size, codes in {
+        "15": "NO", "16": "BE", "18": "DK FI FK FO GL NL SD", "19": "MK SI", "20": "AT BA EE KZ LT LU MN XK",
+        "21": "CH HR LI LV", "22": "BG BH CR DE GB GE IE ME RS VA", "23": "AE GI IL IQ OM SO TL",
+        "24": "AD CZ ES MD PK RO SA SE SK TN VG", "25": "LY PT ST", "26": "IS TR", "27": "BI DJ FR GR IT MC MR SM",
+        "28": "AL AZ BY CY DO GT HN HU LB NI PL SV", "29": "BR EG PS QA UA", "30": "JO KW MU YE",
+        "31": "MT SC", "32": "LC", "33": "RU"}.items() for code in codes.split()}
 
 #: Identifier cues and the kind of what follows them.
 CUES = {"iban": "iban", "ssn": "ssn", "social security": "ssn", "account": "account", "acct": "account",
@@ -62,9 +73,19 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def _iban_ok(text: str) -> bool:
-    t = text.replace(" ", "")
-    return len(t) <= 34 and int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1
+def _iban_end(text: str, start: int, end: int) -> int | None:
+    """Where the IBAN at ``start`` ends: at the country's length, for other
+    countries the last end of a word up to ``end``, if the checksum holds there."""
+    size = IBAN_SIZE.get(text[start:start + 2])
+    while end > start:
+        t = text[start:end].replace(" ", "")
+        if len(t) < (size or 15):
+            return None
+        whole = not text[end - 1].isspace() and not re.match("[A-Za-z0-9]", text[end:end + 1])
+        if whole and len(t) == (size or len(t)) and int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1:
+            return end
+        end -= 1
+    return None
 
 
 def _addresses(text: str, at: int) -> tuple[int, list[tuple[int, int]]]:
@@ -82,7 +103,7 @@ def _addresses(text: str, at: int) -> tuple[int, list[tuple[int, int]]]:
 
 def find_spans(text: str) -> Iterator[tuple[int, int, str]]:
     """(start, end, kind) of all personal data, in code points, in no order."""
-    email_end = dotted_end = grouped_end = 0
+    email_end = dotted_end = grouped_end = plain_end = 0
     last = dict.fromkeys(KINDS, 0)
     for end, (mark, size) in ANCHORS.iter(text):
         at = end - size + 1
@@ -110,7 +131,7 @@ def find_spans(text: str) -> Iterator[tuple[int, int, str]]:
                 yield at, m.end(), "phone"
         elif mark == "://":
             start = at
-            while start > last["login"] and at - start < 32 and text[start - 1] in _SCHEME:
+            while start > last["login"] and text[start - 1] in _SCHEME:
                 start -= 1
             if start < at and (m := _LOGIN.match(text, end + 1)):
                 last["login"] = m.end()
@@ -119,14 +140,24 @@ def find_spans(text: str) -> Iterator[tuple[int, int, str]]:
             if at >= last["secret"] and not text[at - 1:at].isalnum() and (m := _KEY.match(text, end + 1)):
                 last["secret"] = m.end()
                 yield at, m.end(), "secret"
+        elif mark == "secret":
+            # a run is read once: what starts inside one of before shares its end
+            if (glue := _SECRET_GLUE.match(text, end + 1)) and glue.end() >= max(last[mark], plain_end):
+                if not (m := _SECRET.match(text, glue.end())):
+                    continue
+                if not re.search("[0-9]", m.group()):
+                    plain_end = m.end()
+                    continue
+                last[mark] = m.end()
+                yield m.start(), m.end(), mark
         else:
-            rule = {"iban": _IBAN, "ssn": _SSN, "account": _ACCOUNT, "secret": _SECRET}[mark]
+            rule = {"iban": _IBAN, "ssn": _SSN, "account": _ACCOUNT}[mark]
             if (m := rule.match(text, end + 1)) and m.start(1) >= last[mark]:
-                value = m.group(1)
-                if mark == "iban" and not _iban_ok(value) or mark == "secret" and not re.search("[0-9]", value):
+                stop = _iban_end(text, m.start(1), m.end(1)) if mark == "iban" else m.end(1)
+                if stop is None:
                     continue
-                last[mark] = m.end(1)
-                yield m.start(1), m.end(1), mark
+                last[mark] = stop
+                yield m.start(1), stop, mark
 
 
 def _scan(text_at: int, name: str):

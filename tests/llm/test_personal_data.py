@@ -65,6 +65,29 @@ def test_added_kinds():
         ("login", "ftp://bob:pw@files.example.org")]
 
 
+def test_added_kinds_run_to_their_end():
+    def kinds(t):
+        return sorted((k, t[a:b]) for a, b, k in find_spans(t) if k not in BASE)
+    jwt = "eyJ0." * 160
+    assert kinds(f'token: "{jwt}" next') == [("secret", jwt)]
+    assert kinds("token=" + "x" * 300 + "1, so") == [("secret", "x" * 300 + "1")]
+    login = "https://" + "u" * 300 + ":" + "p" * 300 + "@example.org"
+    assert kinds(f"at {login}/x") == [("login", login)]
+    assert kinds("a" * 40 + "://b:c@d.e") == [("login", "a" * 40 + "://b:c@d.e")]
+    iban = "GB82 WEST 1234 5698 7654 32"
+    for more in (" BIC NWBKGB2L", " 2024-01-05", " BIC", " 1", " PAID IN FULL ON TIME", "", "."):
+        assert kinds(f"IBAN: {iban}{more}") == [("iban", iban)], more
+    assert kinds("IBAN NO93 8601 1117 947 SWIFT DNBANOKK") == [("iban", "NO93 8601 1117 947")]
+    assert kinds("IBAN ZZ33 WEST 1234 5698 7654 32 BIC") == [("iban", "ZZ33 WEST 1234 5698 7654 32")]
+    assert kinds("iban GB82 WEST 1234 5698 7654 33 BIC") == kinds("iban GB82 WEST 1234 5698 7654 3") == []
+
+
+def test_long_values_take_linear_time():
+    for t in ("token:" * 50_000, "token:1" * 50_000, "a://" * 50_000, "a" * 300_000 + "://" + "b" * 300_000,
+              "iban " * 50_000, "IBAN GB82 " * 30_000):
+        assert all(0 <= a < b <= len(t) for a, b, _ in find_spans(t))
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (None, "a@b.cd é 1.2.3.4"), (3, "é😀 a@b.cd"), (3, "é😀 a@b.cd"), (4, "x" * 1_000_000 + "@b.cd"),
             (5, "1" * 3000), (6, "+1" + " " * 3000), (7, "1.2" + ".3" * 3000), (8, "@" * 3000)]
