@@ -30,7 +30,7 @@ LEAF_SAMPLE = 48  # sampled vectors per leaf at least, on average
 CELL = (2048, 32_768)  # vectors per cell: an average leaf, within these bounds
 BRANCH = 12
 CALIBRATION = 96
-TARGET = 0.95
+TARGET = 0.97
 
 
 @dataclass

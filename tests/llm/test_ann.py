@@ -38,6 +38,18 @@ def test_query_recall_against_brute_force(spark):
     assert hits / total >= 0.9
 
 
+def test_calibrated_recall(spark):
+    """What the calibration aims at, within a hundredth, over all queries."""
+    x = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    ids, m = x.toPandas().vec_id.to_numpy(), np.array(x.toPandas().embedding.tolist(), np.float64)
+    got = {(r.query_id, r.vec_id) for r in ann.nearest(x).collect()}
+    queries = np.flatnonzero(ids % 20 == 0)
+    score = m[queries] @ m.T
+    score[np.arange(len(queries)), queries] = -np.inf
+    want = {(ids[q], i) for q, s in zip(queries, score, strict=True) for i in ids[np.lexsort((ids, -s))[:20]]}
+    assert len(want & got) / len(want) >= 0.96
+
+
 @pytest.mark.parametrize("clusters", [1, 30])
 def test_tree_search(spark, monkeypatch, clusters):
     monkeypatch.setattr(ann, "LEAF_SAMPLE", 5)
