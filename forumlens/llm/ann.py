@@ -8,7 +8,9 @@ queries over all vectors, and visits widen until the wanted recall is reached.
 
 Leaves of more than ``CELL`` vectors are cut into cells by a hash of the id, so a
 vector that a third of the rows share fills many cells, not one task.  A cell
-scores its queries exactly and answers with each one's best ``k``.
+scores its queries exactly and answers with each one's best ``k``; where there
+are more than ``QUERIES``, they too are dealt by a hash of the id, and each block
+of them meets a copy of the cell.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ MAX_SAMPLE = 16_384
 LEAVES = 64  # as many for any number of vectors, so that a query's answers don't grow with it
 LEAF_SAMPLE = 48  # sampled vectors per leaf at least, on average
 CELL = (2048, 32_768)  # vectors per cell: an average leaf, within these bounds
+QUERIES = 32_768  # queries that meet a cell at a time, on average
 BRANCH = 12
 CALIBRATION = 96
 TARGET = 0.97
@@ -268,8 +271,9 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id
     """
     parts, kind = vectors(rows, id_col, vec_col)
     parts = C.stored(parts, "vectors")
-    n = parts.count()
-    queries = parts.where(F.col("id") % every == 0).groupBy("id").agg(F.min("vec").alias("vec"))
+    asks = F.col("id") % every == 0
+    n, n_queries = parts.agg(F.count(F.lit(1)), F.approx_count_distinct(F.when(asks, F.col("id")))).first()
+    queries = parts.where(asks).groupBy("id").agg(F.min("vec").alias("vec"))
     sample = parts.where(F.pmod(F.xxhash64("id", F.lit("tree")), F.lit(1_000_000)) < 1e6 * MAX_SAMPLE / max(n, 1))
     sample = _matrix(sample.select("vec").toArrow().column("vec"), kind)
     if not len(sample):
@@ -285,6 +289,10 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id
     leaf = F.col("leaf")
     cell = F.get(starts, leaf) + F.pmod(F.xxhash64("id"), F.get(counts, leaf)).cast("int")
     sent = queries.mapInArrow(_send(tree, visits, cells, first, kind), "id long, vec binary, cell int")
-    found = (dealt.select("id", "vec", cell.alias("cell")).groupBy("cell").cogroup(sent.groupBy("cell"))
+    blocks = max(1, -(-n_queries // QUERIES))
+    block = F.pmod(F.xxhash64("id", F.lit("block")), F.lit(blocks)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))) if blocks > 1 else F.lit(0)
+    found = (dealt.select("id", "vec", cell.alias("cell"), copies.alias("block")).groupBy("cell", "block")
+             .cogroup(sent.withColumn("block", block).groupBy("cell", "block"))
              .applyInArrow(_search(k, kind), FOUND))
     return _top(found, k).select("query_id", "rank", "vec_id", "score")

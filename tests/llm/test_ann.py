@@ -69,6 +69,29 @@ def test_tree_search(spark, monkeypatch, clusters):
     assert all(len(got[q]) == 20 for q in want)
 
 
+def test_blocks_of_queries(spark, monkeypatch):
+    """No cell meets more queries than a block, and the answers are the same."""
+    monkeypatch.setattr(ann, "LEAF_SAMPLE", 20)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(1500, 6)).round(3)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = sorted(tuple(r) for r in ann.nearest(df, every=2).collect())
+    search = ann._search
+
+    def bounded(k, kind):
+        run = search(k, kind)
+
+        def checked(cell, queries):
+            assert queries.num_rows <= 90
+            return run(cell, queries)
+        return checked
+
+    monkeypatch.setattr(ann, "_search", bounded)
+    monkeypatch.setattr(ann, "QUERIES", 40, raising=False)
+    assert sorted(tuple(r) for r in ann.nearest(df, every=2).collect()) == want
+    assert len(want) == 750 * 20
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (20, [0.5, 0.5]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (3, None), (4, []),
