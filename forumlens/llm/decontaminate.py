@@ -6,7 +6,8 @@ benchmark word, one for all others (runs of those shrink to one).  Every
 distinct benchmark window is searched backwards, its occurrences are located by
 sampled suffix positions, and the covered words merge into removal spans.
 
-The benchmark travels in blocks of at most ``BLOCK_BYTES`` of text on average;
+Tasks cut the benchmark into its distinct windows, a table in the shared folder.
+It travels in blocks of at most ``BLOCK_BYTES`` of windows and ids on average;
 more blocks mean more passes over the corpus, whose spans merge.
 """
 
@@ -23,6 +24,7 @@ from forumlens.llm import common as C
 from forumlens.llm.fm_index import FMIndex
 
 BLOCK_BYTES = 32 << 20
+BATCH = 65_536  # windows of an item that a task holds at a time
 SPAN = "array<struct<start:long,end:long>>"
 
 
@@ -36,19 +38,40 @@ class Phrases:
     items: list[list[str]]  # ids of the items that have each window
 
 
-def phrases(items: list[tuple[str | None, str | None]], width: int) -> Phrases:
-    words = [C.scan_words((t or "").encode(), C.IS_ALNUM, C.FOLD)[2] for _, t in items]
-    vocabulary = np.unique(np.concatenate([*words, np.zeros(0, np.uint64)]))
-    owners: dict[tuple[int, ...], set[str]] = {}
-    for (key, _), v in zip(items, words, strict=True):
-        symbols = (np.searchsorted(vocabulary, v) + 2).tolist()
-        for i in range(max(1, len(symbols) - width + 1) if symbols else 0):
-            owners.setdefault(tuple(symbols[i:i + width]), set()).update([] if key is None else [key])
-    windows = np.zeros((len(owners), width), np.int64)
-    for row, w in zip(windows, owners, strict=True):
-        row[width - len(w):] = w
-    return Phrases(vocabulary, windows, np.array([len(w) for w in owners], np.int64),
-                   [sorted(x) for x in owners.values()])
+def _windows(width: int):
+    """(window, id) for every window of an item: the 64-bit values of its words."""
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary())
+            for key, text in zip(batch.column("id"), texts, strict=True):
+                v = C.scan_words(text.as_py() or b"", C.IS_ALNUM, C.FOLD)[2].astype("<u8")
+                n = max(1, len(v) - width + 1) if len(v) else 0
+                for a in range(0, n, BATCH):
+                    found = [v[i:i + width].tobytes() for i in range(a, min(a + BATCH, n))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found, pa.binary()), pa.array([key.as_py()] * len(found), pa.string())],
+                        ["window", "id"])
+    return run
+
+
+def window_table(items: DataFrame, width: int) -> DataFrame:
+    """(window, items, size): the distinct windows of ``items`` (id, text), the ids
+    of the items that have each, and the bytes of both."""
+    found = items.mapInArrow(_windows(width), "window binary, id string").groupBy("window").agg(
+        F.collect_set("id").alias("items"))
+    size = F.aggregate("items", F.octet_length("window").cast("long"), lambda n, x: n + F.octet_length(x))
+    return found.withColumn("size", size)
+
+
+def phrases(table: pa.Table, width: int) -> Phrases:
+    rows = table.column("window").to_pylist()
+    lengths = np.array([len(w) // 8 for w in rows], np.int64)
+    vocabulary, symbols = np.unique(np.frombuffer(b"".join(rows), "<u8"), return_inverse=True)
+    row = np.repeat(np.arange(len(rows)), lengths)
+    at = np.arange(len(symbols)) - (np.cumsum(lengths) - width)[row]
+    windows = np.zeros((len(rows), width), np.int64)
+    windows[row, at] = symbols + 2
+    return Phrases(vocabulary, windows, lengths, table.column("items").to_pylist())
 
 
 def shard_hits(values: np.ndarray, first: np.ndarray, ph: Phrases) -> tuple[np.ndarray, np.ndarray]:
@@ -151,17 +174,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     if result.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"docs already has a column {result}")
     items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
+    table = C.stored(window_table(items, width), "benchmark")
+    blocks = max(1, -(-(table.agg(F.sum("size")).first()[0] or 0) // block_bytes))
+    numbers = [0]
+    if blocks > 1:
+        table, path = table.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks))), C.new_folder(
+            docs.sparkSession, "benchmark-blocks")
+        table.repartition("block").write.partitionBy("block").parquet(path)
+        table = docs.sparkSession.read.schema(table.schema).parquet(path)
+        numbers = sorted(r.block for r in table.select("block").distinct().collect())  # as many rows as passes
     out, columns, name = docs, docs.columns, C.free_name(docs, "_found")
-    for k in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == k).distinct()
-        ph = phrases([tuple(r) for r in mine.collect()], width)
+    for k, number in enumerate(numbers):
+        mine = table.where(F.col("block") == number) if blocks > 1 else table
+        ph = phrases(mine.select("window", "items").toArrow(), width)
         before = None if k == 0 else len(columns)
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
         out = out.mapInArrow(
             _scan(ph, columns.index(text_col), before, name),
             f"{schema}, `{name}` struct<n_words:long,spans:{SPAN},items:array<string>,clean_text:string>")
-        if blocks > 1:
+        if len(numbers) > 1:
             out = C.stored(out, "decontaminate")
     return out.withColumnRenamed(name, result)

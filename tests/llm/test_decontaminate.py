@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from forumlens.llm import decontaminate as decontamination
 from forumlens.llm.decontaminate import decontaminate
 from forumlens.llm.fm_index import FMIndex, suffix_array
 from forumlens.llm.queries import QUERIES
@@ -58,6 +59,21 @@ def test_edges(spark, block_bytes):
     assert out[0].n_words == 7
 
 
+def test_blocks_are_bounded_by_their_windows(spark, monkeypatch):
+    """One pass never holds much more than a block of windows, whatever the text."""
+    words_of = [f"{chr(97 + k % 26)}{k}" for k in range(600)]
+    items = spark.createDataFrame([(1, " ".join(words_of)), (2, " ".join(words_of[300:]))], "item_id long, text string")
+    docs = [(k, " ".join(words_of[k:k + 12])) for k in range(0, 590, 7)]
+    held, scan = [], decontamination._scan
+    monkeypatch.setattr(decontamination, "_scan", lambda ph, *a: held.append(len(ph.windows)) or scan(ph, *a))
+    out = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), items, block_bytes=16_384).collect()
+    got = [(r.doc_id, r.contamination.n_words, sum(s.end - s.start for s in r.contamination.spans),
+            r.contamination.items) for r in out]
+    rows = [tuple(r) for r in items.collect()]
+    assert sorted(got) == sorted(brute(docs, rows, 10))
+    assert sum(held) == 591 and len(held) > 1 and max(held) <= 2 * 16_384 // 80
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
