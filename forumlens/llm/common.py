@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forumlens.session import ensure_checkpoint_dir, shared_path
 
@@ -66,6 +67,14 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return shared_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
 
+def add_in_arrow(df: DataFrame, job, name: str, kind: T.DataType) -> DataFrame:
+    """``df`` with a last column made by ``job`` over its record batches, which
+    sees the columns by place: their names may be any."""
+    plain = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    schema = T.StructType([*plain.schema.fields, T.StructField("made", kind)])
+    return plain.mapInArrow(job, schema).toDF(*df.columns, name)
+
+
 def n_words(text: Column) -> Column:
     """Number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_RE)), F.lit(0)).cast("long")

@@ -12,7 +12,10 @@ from forumlens.llm.ann import nearest
 from forumlens.llm.chat import as_transcripts, parse_transcripts
 from forumlens.llm.chat import train as train_chat
 from forumlens.llm.decontaminate import decontaminate
+from forumlens.llm.hard_negatives import mine_hard_negatives
+from forumlens.llm.lexical_search import ranked_search
 from forumlens.llm.line_dedup import line_dedup
+from forumlens.llm.main_text import extract_main_text
 from forumlens.llm.mixing import mix_sources
 from forumlens.llm.personal_data import BASE, find_personal_data
 from forumlens.llm.quality import GRADES, accepted, label_grades, rate, train
@@ -205,3 +208,73 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = as_transcripts(C.read(spark, sf_dir, "conversations"))
     model = train_chat(pieces, piece="piece")
     return parse_transcripts(pieces.drop("role"), model)
+
+
+@query("op11_main_text")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract_main_text(C.read(spark, sf_dir, "pages").select("page_id", "url", "html"), result="main")
+    return out.select("page_id", "url", F.col("main").alias("text"), F.length("main").cast("long").alias("n_chars"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents),
+corpus AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d),
+size AS (SELECT doc_id, 100 - 25 + (25 * len(terms) * n_docs) // n_terms AS m FROM d, corpus WHERE len(terms) > 0),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(terms) AS term FROM d) GROUP BY ALL),
+weight AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM tf, corpus GROUP BY term),
+item AS (
+    SELECT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+score AS (
+    SELECT item_id, doc_id, CAST(sum(n * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+    FROM (SELECT item_id, term, count(*) AS n FROM item GROUP BY ALL) JOIN weight USING (term)
+    JOIN tf USING (term) JOIN size USING (doc_id) GROUP BY ALL),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op12_ranked_search", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked_search(docs, C.read(spark, sf_dir, "benchmark"), k=20)
+
+
+OP13_SQL = r"""
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+           CAST(list_sum(list_transform(list_zip(a.c, b.c), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND a.vec_id % 100 = 0),
+positive AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pair WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+negative AS (
+    SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY n.score DESC, other_id) AS rank
+    FROM positive p JOIN pair n ON n.anchor_id = p.anchor_id AND NOT n.same
+     AND 30 * positive_score <= 100 * n.score AND 100 * n.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score
+FROM negative WHERE rank <= 10
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = C.read(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return mine_hard_negatives(rows, every=100, positives=5, negatives=10, low=30, high=90, scale=256.0)
