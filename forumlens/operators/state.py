@@ -111,11 +111,12 @@ def comment_snapshot_rows(batch: DataFrame) -> DataFrame:
 
 def explode_listing_comments(listing: DataFrame) -> DataFrame:
     """Nested listing comments to flat comment rows (plain-string or id-less
-    entries are dropped by D1 downstream)."""
-    c = listing.select("batch_id", "scraped_at", F.col("reddit_id").alias("post_reddit_id"),
+    entries are dropped by D1 downstream); ``position`` is the post's place in
+    the listing, then the comment's in the post."""
+    c = listing.select("batch_id", "position", "scraped_at", F.col("reddit_id").alias("post_reddit_id"),
                        F.posexplode("comments").alias("cpos", "c"))
     return c.select("batch_id", "scraped_at", "post_reddit_id",
-                    F.struct(F.col("cpos")).alias("position"),
+                    F.struct("position", "cpos").alias("position"),
                     F.col("c.reddit_id").alias("reddit_id"), F.col("c.body").alias("body"),
                     F.col("c.author").alias("author"), F.col("c.url").alias("url"),
                     F.col("c.created_utc").alias("created_utc"), F.col("c.score").alias("score"))

@@ -246,3 +246,34 @@ def listing_from_events(events: DataFrame) -> DataFrame:
         F.round(F.col("value") / 100.0, 4).alias("upvote_ratio"),
         (F.col("event_id") % 97).alias("num_comments"),
         (F.col("event_type") == "signup").alias("is_pinned"))
+
+
+def with_nested_comments(listing: DataFrame) -> DataFrame:
+    """Listing rows with none to three nested comments each.  Two posts share a
+    pool of comment ids, so comments move between posts; some have no id."""
+    one = F.col("position")
+
+    def comment(i):
+        key = F.concat(F.lit("c"), (F.floor(F.col("reddit_id") / 2) * 10 + (one + i) % 10).cast("string"))
+        return F.struct(
+            F.when((one + i) % 11 == 0, F.lit("")).when((one + i) % 13 != 0, key).alias("reddit_id"),
+            F.concat(F.lit("note "), i.cast("string"), F.lit(" "), F.col("selftext")).alias("body"),
+            F.concat(F.col("url"), F.lit("#"), i.cast("string")).alias("url"),
+            F.col("author").alias("author"), (F.col("score") - i).alias("score"),
+            F.lit(None).cast("string").alias("created_utc"))
+
+    numbers = F.filter(F.sequence(F.lit(0).cast("bigint"), one % 4), lambda i: i > 0)
+    return listing.withColumn("comments", F.transform(numbers, comment))
+
+
+def landed_lines(listing: DataFrame) -> DataFrame:
+    """Nested listing rows as JSON lines, one column ``value``: every 50th line
+    is cut, every 53rd holds a null title, every 59th no title at all, every 61st
+    no community."""
+    k, cols = F.col("position"), [c for c in listing.columns if c not in ("title", "subreddit")]
+    rest = F.to_json(F.struct(*cols))
+    title = F.when(k % 53 == 5, F.lit('"title":null,')).when(k % 59 == 5, F.lit("")).otherwise(
+        F.concat(F.lit('"title":"'), F.col("title"), F.lit('",')))
+    community = F.when(k % 61 == 5, F.lit("")).otherwise(F.concat(F.lit('"subreddit":"'), F.col("subreddit"), F.lit('",')))
+    line = F.concat(F.lit("{"), title, community, F.substr(rest, F.lit(2)))
+    return listing.select(F.when(k % 50 == 7, F.substr(line, F.lit(1), F.lit(40))).otherwise(line).alias("value"))

@@ -9,17 +9,9 @@ checkpoint folder.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from ..operators import state as S
-from ..operators.guards import small_side
-from ..operators.refresh import COMMENT_REFRESH_HOURS
 
 
 def read_landed(spark: SparkSession, directory: str, file_glob: str, schema: T.StructType,
@@ -88,65 +80,64 @@ def compact(spark: SparkSession, path: str, key: str, upto_epoch: int) -> None:
         view.write.mode("overwrite").parquet(f"{path}_compacted/upto={upto_epoch}")
 
 
-def upsert_sink(posts_path: str, snapshots_path: str):
-    """K1 ``foreachBatch`` body: merge the epoch's listing rows (B1) with the
-    current rows of the same posts and write the merged rows as the epoch's
-    delta; write the epoch's snapshots (B2) into its partition.  Only the
-    touched posts are read and written, and a replayed epoch rewrites the
-    same partitions."""
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        b = batch.withColumn("batch_id", F.lit(epoch_id).cast("bigint"))
-        prev = current_view(spark, posts_path, "reddit_id", before=epoch_id)
-        if prev is not None:
-            keys = b.select("reddit_id").distinct()
-            small = small_side(keys)
-            prev = prev.join(small if small is not None else keys, "reddit_id", "left_semi")
-        write_epoch(S.upsert_posts(prev, b), posts_path, epoch_id)
-        write_epoch(S.post_snapshot_rows(b), snapshots_path, epoch_id)
-    return run
+def epoch_count(col: str, unit: str) -> Column:
+    """Zone-less time as a count of ``unit`` since 1970-01-01 (no time zone
+    or daylight-saving shift involved)."""
+    return F.expr(f"timestampdiff({unit}, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
 
 
-def run_ingest(spark: SparkSession, listing: DataFrame, base: str) -> tuple[str, str]:
-    """K1: run the ingest stream over everything landed (availableNow)."""
-    posts_path, snaps_path = f"{base}/posts", f"{base}/post_snapshots"
-    q = (listing.writeStream.foreachBatch(upsert_sink(posts_path, snaps_path))
-                .option("checkpointLocation", f"{base}/_checkpoint")
-                .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return posts_path, snaps_path
+def event_time(col: str) -> Column:
+    """A TIMESTAMP for ``withWatermark`` from a zone-less time, read as UTC
+    whatever the session time zone, so durations are never bent by DST."""
+    return F.timestamp_micros(epoch_count(col, "MICROSECOND"))
 
 
-def final_posts(spark: SparkSession, posts_path: str) -> DataFrame:
-    return current_view(spark, posts_path, "reddit_id")
+def deduplicated(stream: DataFrame, keys: list[str], time_col: str, delay: str) -> DataFrame:
+    """K2 source for :func:`dedupe_sink`: the first row of each of the
+    ``keys`` (``time_col`` is one of them) by the state store, which forgets a
+    key once the watermark is ``delay`` past it, and beside them every row once
+    more with ``_raw`` true: the state store drops rows behind the watermark
+    unseen, and the sink finds those among the raw ones."""
+    clock = "_clock"
+    seen = (stream.withColumn(clock, event_time(time_col)).withWatermark(clock, delay)
+                  .dropDuplicatesWithinWatermark(keys).drop(clock))
+    return seen.withColumn("_raw", F.lit(False)).unionByName(stream.withColumn("_raw", F.lit(True)))
 
 
-def _epoch(col: str, unit: str) -> F.Column:
-    """Zone-less time as a count of ``unit`` since 1970-01-01 (no time zone
-    or daylight-saving shift involved)."""
-    return F.expr(f"timestampdiff({unit}, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{col}`)")
+def late_rows(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Raw rows, one per key, that the state store did not let pass: they came
+    behind the watermark, or their key is known already."""
+    raw, passed = batch.where("_raw").drop("_raw").dropDuplicates(keys), batch.where("not _raw").select(*keys)
+    return raw.join(passed, [raw[k].eqNullSafe(passed[k]) for k in keys], "left_anti")
 
 
-def event_time(col: str) -> F.Column:
-    """A TIMESTAMP for ``withWatermark`` from a zone-less time, read as UTC
-    whatever the session time zone, so durations are never bent by DST."""
-    return F.timestamp_micros(_epoch(col, "MICROSECOND"))
+def not_stored(rows: DataFrame, stored: DataFrame, keys: list[str], days: list) -> DataFrame:
+    """``rows`` whose keys aren't among the stored rows of the same ``days``:
+    the list is a literal, so the scan opens those days' partitions only."""
+    old = stored.where(F.col("_day").isin(*days)).select("_day", *keys)
+    return rows.join(old, [old[k].eqNullSafe(rows[k]) for k in ["_day", *keys]], "left_anti")
 
 
 def dedupe_sink(path: str, keys: list[str], time_col: str):
-    """K2 ``foreachBatch`` body: append the rows whose ``keys`` aren't stored
-    yet, however late they come.  Stored rows lie by day of ``time_col``, which
-    is one of the keys, so a batch is compared with the days that it holds; a
-    replayed epoch rewrites its own rows."""
+    """K2 ``foreachBatch`` body over :func:`deduplicated`: append the rows whose
+    ``keys`` aren't stored yet, however late they come.  Rows that the state
+    store let pass are new and written as they are; only the others are compared
+    with stored rows, and only with those of their own days (``time_col`` is one
+    of the keys, and stored rows lie by its day).  A replayed epoch rewrites its
+    own rows."""
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        new = batch.dropDuplicates(keys).withColumn("_day", F.to_date(time_col))
-        if exists(spark, path):
-            # a schema and a partition filter: nothing is inferred, no other epoch's day is read
-            old = spark.read.schema(new.schema.add("epoch", "long")).parquet(path).where(F.col("epoch") < epoch_id)
-            same = [old[k].eqNullSafe(new[k]) for k in ["_day", *keys]]
-            new = new.join(old, same, "left_anti")
-        new.write.mode("overwrite").partitionBy("_day").parquet(f"{path}/epoch={epoch_id}")
+        batch = batch.withColumn("_day", F.to_date(time_col)).persist()
+        try:
+            late = late_rows(batch, keys)
+            days = [r[0] for r in late.select("_day").distinct().collect()]  # the days of one batch's late rows
+            if days and exists(spark, path):
+                stored = spark.read.schema(batch.drop("_raw").schema.add("epoch", "long")).parquet(path)
+                late = not_stored(late, stored.where(F.col("epoch") < epoch_id), keys, [d for d in days if d])
+            new = batch.where("not _raw").drop("_raw").unionByName(late)
+            new.write.mode("overwrite").partitionBy("_day").parquet(f"{path}/epoch={epoch_id}")
+        finally:
+            batch.unpersist()
     return run
 
 
@@ -163,45 +154,3 @@ def merge_updates_sink(path: str, key: str):
     def run(updates: DataFrame, epoch_id: int) -> None:
         write_epoch(updates, path, epoch_id)
     return run
-
-
-STALE_SCHEMA = T.StructType([
-    T.StructField("post_reddit_id", T.LongType()),
-    T.StructField("comments_scraped_at", T.TimestampNTZType()),
-    T.StructField("stale_at", T.TimestampNTZType()),
-])
-STALE_STATE = T.StructType([T.StructField("last_ms", T.LongType())])
-
-
-def _staleness(hours: int):
-    horizon_ms = hours * 3600 * 1000
-
-    def fn(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            (last_ms,) = state.get
-            state.remove()
-            yield pd.DataFrame({"post_reddit_id": [key[0]],
-                                "comments_scraped_at": [pd.Timestamp(last_ms, unit="ms")],
-                                "stale_at": [pd.Timestamp(last_ms + horizon_ms, unit="ms")]})
-            return
-        last = state.get[0] if state.exists else None
-        for pdf in pdfs:
-            m = int(pdf["_ms"].max())   # epoch milliseconds, zone-less
-            last = m if last is None else max(last, m)
-        state.update((last,))
-        # Stale once event time passes the last comment scrape plus the horizon.
-        state.setTimeoutTimestamp(last + horizon_ms)
-        return
-        yield  # noqa: unreachable - generator
-
-    return fn
-
-
-def stale_posts_stream(comments: DataFrame, delay: str, hours: int = COMMENT_REFRESH_HOURS) -> DataFrame:
-    """K4: keyed state per post holding its newest comment scrape; an
-    event-time timer at ``scrape + hours`` emits the post once the
-    watermark passes it (a newer scrape pushes the timer back)."""
-    s = comments.select("post_reddit_id", event_time("last_scraped_at").alias("_wm"),
-                        _epoch("last_scraped_at", "MILLISECOND").alias("_ms")).withWatermark("_wm", delay)
-    return s.groupBy("post_reddit_id").applyInPandasWithState(
-        _staleness(hours), STALE_SCHEMA, STALE_STATE, "append", GroupStateTimeout.EventTimeTimeout)
