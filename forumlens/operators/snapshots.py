@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .guards import broadcast_if_small, hot_keys, small_side
+from .ordered import carried, range_parts
 
 POST_METRICS = ("score", "upvote_ratio", "num_comments", "is_pinned")
 
@@ -173,3 +174,53 @@ def report_deltas(posts: DataFrame, snapshots: DataFrame, reports: DataFrame,
     )
 
 
+
+
+def snapshot_trend(snapshots: DataFrame, parts: int | None = None) -> DataFrame:
+    """Each snapshot with the time of the post's previous one and the change of
+    score, comment count and ratio since (null for a post's first snapshot, and
+    where either side is null).  A post with a third of all snapshots is spread
+    over many tasks (see ``operators.ordered``)."""
+    order = ["scraped_at", "id"]
+    cols = ["post_reddit_id", *order, "score", "num_comments", "upvote_ratio"]
+    ranged = range_parts(snapshots.select(*cols), "post_reddit_id", order, parts)
+    row = F.struct(*[F.col(c) for c in cols[1:]])
+    got = carried(ranged, "post_reddit_id", order, row, "_p", inclusive=False)
+    return got.select("post_reddit_id", "id", "scraped_at", "score",
+                      F.col("_p.scraped_at").alias("previous_scraped_at"),
+                      *[(F.col(c) - F.col(f"_p.{c}")).alias(f"{c}_change")
+                        for c in ("score", "num_comments", "upvote_ratio")])
+
+
+def report_history(posts: DataFrame, snapshots: DataFrame, reports: DataFrame,
+                   parts: int | None = None) -> DataFrame:
+    """E3 and E4 for every report: one row per post and report of its community,
+    with the post's newest snapshot at or before the report, and the change
+    since the community's report before it.
+
+    ``new_since_previous_report`` and the changes are null at a community's
+    first report; the flag is true where the post had no snapshot at the report
+    before.  One pass over snapshots and report times in a common order, and one
+    over the report rows.  Posts of a community without reports have no rows.
+    """
+    key, order = "post_reddit_id", ["at", "kind", "id"]
+    metrics = [f.name for f in snapshots.schema.fields if f.name in POST_METRICS]
+    taken = snapshots.select(key, F.col("scraped_at").alias("at"), F.lit(0).alias("kind"), "id",
+                             F.struct("scraped_at", *metrics).alias("taken"))
+    told = reports.select("subreddit", F.col("generated_at").alias("at"), F.lit(1).alias("kind"), "id")
+    of_post = posts.select(F.col("reddit_id").alias(key), "subreddit").distinct()
+    asked = of_post.join(told, "subreddit").select(
+        key, "at", "kind", "id", F.lit(None).cast(taken.schema["taken"].dataType).alias("taken"), "subreddit")
+    both = taken.withColumn("subreddit", F.lit(None).cast(posts.schema["subreddit"].dataType)).unionByName(asked)
+    ranged = range_parts(both, key, order, parts)
+    now = carried(ranged, key, order, F.col("taken"), "_now", inclusive=True).where("kind = 1").drop("taken")
+    # The report before, whether or not it had a snapshot: the struct is never null.
+    got = carried(now, key, order, F.struct("at", "_now"), "_then", inclusive=False)
+    has_then = F.col("_then").isNotNull()
+    return got.select(
+        F.col(key), F.col("subreddit"), F.col("id").alias("report_id"), F.col("at").alias("generated_at"),
+        F.col("_now.scraped_at").alias("scraped_at"), *[F.col(f"_now.{c}").alias(c) for c in metrics],
+        F.col("_then.at").alias("previous_report_at"),
+        F.when(has_then, F.col("_then._now").isNull()).alias("new_since_previous_report"),
+        *[(F.col(f"_now.{c}") - F.col(f"_then._now.{c}")).alias(f"{c}_change")
+          for c in ("score", "num_comments", "upvote_ratio")])

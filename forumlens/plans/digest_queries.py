@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 
-from ..operators import snapshots
+import uuid
+
+from ..operators import layout, snapshots
 from ..sources import fixtures as fx
 from .oracle_views import with_views
-from .registry import query
+from .registry import entry_sql, query
 
 # ---------------------------------------------------------------- E1 / E2 / G1
 
@@ -109,3 +111,46 @@ left join prev on prev.post_reddit_id = pc.reddit_id""", "posts", "post_snapshot
 def q_report_deltas(spark, sf):
     posts = fx.posts(spark, sf, with_text=False).select("reddit_id", "subreddit")
     return snapshots.report_deltas(posts, fx.post_snapshots(spark, sf), fx.reports(spark, sf))
+
+
+# ------------------------------------------------- E3 / E4 at every report, and from snapshot to snapshot
+
+@query("report_history", "E3", with_views("""
+, taken AS (select post_reddit_id, scraped_at, score, upvote_ratio, num_comments, is_pinned from (
+    select *, row_number() over (partition by post_reddit_id, scraped_at order by id desc) as rn
+    from post_snapshots) t where rn = 1),
+asked AS (select p.reddit_id as post_reddit_id, r.subreddit, r.id as report_id, r.generated_at
+          from posts p join reports r using (subreddit)),
+now AS (select a.*, t.scraped_at, t.score, t.upvote_ratio, t.num_comments, t.is_pinned
+        from asked a asof left join taken t
+          on a.post_reddit_id = t.post_reddit_id and a.generated_at >= t.scraped_at)
+select *, lag(generated_at) over w as previous_report_at,
+       case when lag(report_id) over w is not null then lag(scraped_at) over w is null end as new_since_previous_report,
+       score - lag(score) over w as score_change,
+       num_comments - lag(num_comments) over w as num_comments_change,
+       upvote_ratio - lag(upvote_ratio) over w as upvote_ratio_change
+from now window w as (partition by post_reddit_id order by generated_at, report_id)""",
+    "posts", "post_snapshots", "reports"))
+def q_report_history(spark, sf):
+    posts = fx.posts(spark, sf, with_text=False).select("reddit_id", "subreddit")
+    return snapshots.report_history(posts, fx.post_snapshots(spark, sf), fx.reports(spark, sf))
+
+
+@query("snapshot_trend", "G1", with_views("""
+select post_reddit_id, id, scraped_at, score, lag(scraped_at) over w as previous_scraped_at,
+       score - lag(score) over w as score_change, num_comments - lag(num_comments) over w as num_comments_change,
+       upvote_ratio - lag(upvote_ratio) over w as upvote_ratio_change
+from post_snapshots window w as (partition by post_reddit_id order by scraped_at, id)""", "post_snapshots"))
+def q_snapshot_trend(spark, sf):
+    return snapshots.snapshot_trend(fx.post_snapshots(spark, sf))
+
+
+@query("bucketed_latest_snapshot", "E1", entry_sql("latest_post_snapshot"))
+def q_bucketed_latest_snapshot(spark, sf):
+    """E1 over tables that lie in buckets of the post id."""
+    name, n = uuid.uuid4().hex, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    posts = layout.write_bucketed(fx.posts(spark, sf, with_text=False).select("reddit_id", "subreddit", "title"),
+                                  f"posts_{name}", "reddit_id", n)
+    series = layout.write_bucketed(fx.post_snapshots(spark, sf), f"post_snapshots_{name}", "post_reddit_id", n)
+    return layout.latest_bucketed(posts, series).select(
+        "reddit_id", "subreddit", "title", "scraped_at", "score", "upvote_ratio", "num_comments", "is_pinned")

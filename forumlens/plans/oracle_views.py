@@ -37,9 +37,10 @@ VIEWS = {
                l_shipdate as scraped_at, cast(l_quantity as bigint) - 10 as score
         from lineitem""",
     "reports": """
-        select event_id as id, 'src' || cast(event_id % 20 as varchar) as subreddit,
-               ts as generated_at, cast(ts as date) as report_date
-        from events where event_type = 'purchase' and ts < timestamp '2024-01-02 00:00:00'""",
+        select event_id as id, subreddit, ts as generated_at, day as report_date from (
+          select event_id, 'src' || cast(event_id % 20 as varchar) as subreddit, ts, cast(ts as date) as day,
+                 row_number() over (partition by event_id % 20, cast(ts as date) order by ts, event_id) as nth
+          from events) e where nth = 1""",
     "volume_comments": """
         select l_orderkey as post_reddit_id, l_linenumber as line, l_partkey, l_suppkey,
                l_shipdate as last_scraped_at, cast(l_quantity as bigint) as score

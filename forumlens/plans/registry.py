@@ -36,6 +36,11 @@ def query(name: str, survey_id: str, sql: str | None = None):
     return deco
 
 
+def entry_sql(name: str) -> str | None:
+    """The oracle of a query that is registered already: another way to the same rows."""
+    return _REGISTRY[name].sql
+
+
 def _load_all() -> None:
     # Import for registration side effects.
     import importlib

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from ..operators import quality, state
+from ..operators import layout, quality, state
 from ..sources import fixtures as fx
 from ..sources.tables import ntz, table
 from .oracle_views import VIEWS, with_views
-from .registry import query
+from .registry import entry_sql, query
 
 # Landed listing batches derived from events: one batch per hour of scraping
 # (``scraped_at`` = the hour), ``position`` = arrival order in the batch.
@@ -66,6 +68,19 @@ def q_append_post_snapshots(spark, sf):
     return state.post_snapshot_rows(listing_batches(spark, sf))
 
 
+@query("bucketed_upsert_posts", "B1", entry_sql("upsert_posts"))
+def q_bucketed_upsert_posts(spark, sf):
+    """B1 into a stored table that lies in buckets of the post id."""
+    stored = layout.write_bucketed(_stored_posts(spark, sf), f"posts_{uuid.uuid4().hex}", "reddit_id", _buckets(spark))
+    out = layout.merge_bucketed(stored, listing_batches(spark, sf), "reddit_id", state.POST_COLUMNS)
+    return out.select("reddit_id", "subreddit", "title", F.length("selftext").cast("bigint").alias("selftext_chars"),
+                      "url", "author", "first_scraped_at", "last_scraped_at")
+
+
+def _buckets(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 # Comment observations from lineitem: comment = part, post = order, one batch
 # per ship date.  A part seen under several orders re-parents to the newest.
 _COMMENT_BATCH_SQL = """
@@ -104,6 +119,18 @@ def q_upsert_comments(spark, sf):
     return out.select("reddit_id", "post_reddit_id", "body", "author", "first_scraped_at", "last_scraped_at")
 
 
+@query("bucketed_upsert_comments", "B3", entry_sql("upsert_comments"))
+def q_bucketed_upsert_comments(spark, sf):
+    """B3 in two batches, the second into the first one's bucketed table:
+    comments shipped from 1995 on, which may move them to other posts."""
+    seen, later = (comment_batches(spark, sf).where(f"scraped_at {op} TIMESTAMP_NTZ'1995-01-01 00:00:00'")
+                   for op in ("<", ">="))
+    first = state.upsert_comments(None, seen)
+    stored = layout.write_bucketed(first, f"comments_{uuid.uuid4().hex}", "reddit_id", _buckets(spark))
+    out = layout.merge_bucketed(stored, later, "reddit_id", state.COMMENT_COLUMNS)
+    return out.select("reddit_id", "post_reddit_id", "body", "author", "first_scraped_at", "last_scraped_at")
+
+
 @query("append_comment_snapshots", "B4", f"""WITH {_COMMENT_BATCH_SQL}
 select reddit_id as comment_reddit_id, scraped_at, score, l_orderkey, l_linenumber from cobs""")
 def q_append_comment_snapshots(spark, sf):
@@ -230,7 +257,6 @@ from events""")
 def q_ingest_listing(spark, sf):
     """Listing records land as JSON lines (written here from events), then
     are read back with the fixed schema and normalised."""
-    import uuid
     from ..functions import text as T
     from ..session import shared_path
     from ..sources import landing

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from .tables import ntz, table
 
 DEFAULT_SCRAPE = "2024-01-01 00:00:00"
-REPORT_CUTOFF = "2024-01-02 00:00:00"
 
 
 def post_snapshots(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,12 +84,13 @@ def comment_snapshots(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def reports(spark: SparkSession, sf: str) -> DataFrame:
-    e = table(spark, sf, "events")
-    return (e.where((F.col("event_type") == "purchase") & (F.col("ts") < ntz(REPORT_CUTOFF)))
-            .select(F.col("event_id").alias("id"),
-                    F.concat(F.lit("src"), (F.col("event_id") % 20).cast("string")).alias("subreddit"),
-                    F.col("ts").alias("generated_at"),
-                    F.to_date(F.col("ts")).alias("report_date")))
+    """A report per community and day, at the community's first event of the day."""
+    e = table(spark, sf, "events").select(
+        F.concat(F.lit("src"), (F.col("event_id") % 20).cast("string")).alias("subreddit"),
+        F.to_date("ts").alias("day"), "event_id", "ts")
+    first = e.groupBy("subreddit", "day").agg(F.min(F.struct("ts", "event_id")).alias("f"))
+    return first.select(F.col("f.event_id").alias("id"), "subreddit", F.col("f.ts").alias("generated_at"),
+                        F.col("day").alias("report_date"))
 
 
 def volume_comments(spark: SparkSession, sf: str) -> DataFrame:
