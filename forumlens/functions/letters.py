@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import DEFAULT_LETTER_TITLE, WS_CLASS, py_strip
+from .text import DEFAULT_LETTER_TITLE, WS_CLASS, new_york, new_york_text, py_strip
 
 # ---- fixed values ----------------------------------------------------------
 MONTH_NAMES = ("January", "February", "March", "April", "May", "June", "July", "August",
@@ -50,6 +50,14 @@ def letter_date_parts(md: Column) -> tuple[Column, Column]:
     return date, text
 
 
+def letter_date_line(md: Column, run_at: Column) -> tuple[Column, Column]:
+    """J12 with its fallback: ``(date, display text)`` of the letter, or of the
+    run (a zone-less UTC time, in New York) where the letter has no date line
+    that parses."""
+    date, text = letter_date_parts(md)
+    return F.coalesce(date, F.to_date(new_york(run_at))), F.coalesce(text, new_york_text(run_at))
+
+
 def file_date(file_name: Column) -> Column:
     """Date from a ``YYYY-M-D.md`` stem (non-padded parts accepted);
     other names give null."""

@@ -6,6 +6,8 @@ the top.
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -70,6 +72,44 @@ def is_blank(c: Column) -> Column:
     return F.size(words(c)) == 0
 
 
+def bind(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` computed once, however often ``use`` names it."""
+    return F.element_at(F.transform(F.array(c), use), 1)
+
+
+def new_york(ts: Column) -> Column:
+    """A zone-less UTC time as New York's wall clock."""
+    return F.convert_timezone(F.lit("UTC"), F.lit("America/New_York"), ts)
+
+
+def new_york_text(ts: Column) -> Column:
+    """``January 30, 2026 at 07:05 PM EST`` of a zone-less UTC time,
+    whatever the session zone."""
+    def text(local: Column) -> Column:
+        hour = F.pmod(F.hour(local) + 11, F.lit(12)) + 1
+        return F.concat(
+            F.date_format(F.to_date(local), "MMMM dd, yyyy"), F.lit(" at "), F.lpad(hour.cast("string"), 2, "0"), F.lit(":"),
+            F.lpad(F.minute(local).cast("string"), 2, "0"), F.when(F.hour(local) < 12, " AM ").otherwise(" PM "),
+            F.when(local == ts - F.make_dt_interval(F.lit(0), F.lit(5)), "EST").otherwise("EDT"))
+    return bind(new_york(ts), text)
+
+
+def fill_format(template: str, values: dict[str, Column]) -> Column:
+    """L1: the template with its ``{name}`` fields filled, ``{{`` and ``}}`` as
+    braces, in one pass: braces inside a value stay as they are.  A null value
+    is empty; a field without a value is an error."""
+    parts = []
+    for text, name, spec, conversion in Formatter().parse(template):
+        if text:
+            parts.append(F.lit(text))
+        if name is not None:
+            if spec or conversion or name not in values:
+                raise ValueError(f"no value for the field {{{name}}}" if name not in values
+                                 else f"the field {{{name}}} has a format of its own")
+            parts.append(F.coalesce(values[name], F.lit("")))
+    return F.concat(*parts) if parts else F.lit("")
+
+
 def py_float_str(c: Column) -> Column:
     """Python ``str(float)`` for a DOUBLE column.
 

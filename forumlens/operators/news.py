@@ -41,21 +41,22 @@ def ingest_rss(payloads: DataFrame, key: list[str], xml: str = "xml",
                 .withColumn("provider", F.lit(N.NEWS_PROVIDER)))
 
 
-def cap_per_query(items: DataFrame, group: list[str], query_order: Column, item_order: Column,
+def cap_per_query(queries: DataFrame, items: DataFrame, group: list[str], item_order: Column,
                   per_query: int = ITEMS_PER_QUERY, max_queries: int = MAX_QUERIES) -> DataFrame:
-    """At most ``max_queries`` queries per group, ``per_query`` items each.
+    """The first ``max_queries`` queries of each group's list (``qpos``),
+    with the first ``per_query`` items of each.
 
-    ``qrank``/``irank`` are 1-based.  Both caps are row_number limits, so a
-    query with millions of items moves only ``per_query`` rows per task.
+    The list is cut before queries without items vanish, so those count; a
+    query that is listed twice has its items twice.  ``qrank``/``irank`` are
+    1-based.  Both caps are row_number limits, so a query with millions of items
+    moves only ``per_query`` rows per task.
     """
-    wi = Window.partitionBy(*group, "query").orderBy(item_order)
+    wi = Window.partitionBy("query").orderBy(item_order)
     capped = items.withColumn("irank", F.row_number().over(wi)).where(F.col("irank") <= per_query)
-    queries = capped.groupBy(*group, "query").agg(F.min(query_order).alias("_qo"))
-    wq = Window.partitionBy(*group).orderBy("_qo", "query")
-    ranked = queries.withColumn("qrank", F.row_number().over(wq)).where(F.col("qrank") <= max_queries)
-    return (capped.join(ranked.drop("_qo"), [*group, "query"])
-                  .withColumn("irank", F.col("irank").cast("bigint"))
-                  .withColumn("qrank", F.col("qrank").cast("bigint")))
+    wq = Window.partitionBy(*group).orderBy("qpos")
+    listed = queries.withColumn("qrank", F.row_number().over(wq)).where(F.col("qrank") <= max_queries)
+    return (listed.select(*group, "query", F.col("qrank").cast("bigint").alias("qrank"))
+                  .join(capped.withColumn("irank", F.col("irank").cast("bigint")), "query"))
 
 
 def _item_block() -> Column:

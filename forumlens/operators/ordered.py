@@ -19,7 +19,7 @@ from ..session import shared_path
 _PART = "_part"
 
 
-def range_parts(df: DataFrame, key: str, order: list[str], parts: int | None = None) -> DataFrame:
+def range_parts(df: DataFrame, key: str, order: list[str] | list[Column], parts: int | None = None) -> DataFrame:
     """``df`` in range order of (``key``, ``order``) with the number of its range
     in ``_part``; rows without a key are dropped.  Written once to the shared
     folder, so every later pass sees the same ranges."""
@@ -32,6 +32,30 @@ def range_parts(df: DataFrame, key: str, order: list[str], parts: int | None = N
     return spark.read.schema(cut.schema).parquet(path)
 
 
+def _ends(ranged: DataFrame, key: str, agg: Column) -> DataFrame:
+    """(part, key, ``_end``) of the keys that some part begins with: no other
+    key lies in two parts, so at most two rows per part are left."""
+    first = ranged.groupBy(_PART).agg(F.min(key).alias(key)).select(key).distinct()
+    return (ranged.join(F.broadcast(first), key, "left_semi")
+                  .groupBy(_PART, key).agg(agg.alias("_end")))
+
+
+def _earlier(key: str):
+    return Window.partitionBy(key).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def numbered(ranged: DataFrame, key: str, order: list[str] | list[Column], name: str) -> DataFrame:
+    """``ranged`` with ``name``: the 1-based place of the row within its key in
+    ``order`` (which is total), counted within the part and on from the parts
+    before; without ``_part``."""
+    within = Window.partitionBy(_PART, key).orderBy(*order)
+    ends = _ends(ranged, key, F.count(F.lit(1)))
+    ends = ends.select(_PART, key, F.sum("_end").over(_earlier(key)).alias("_before"))
+    placed = ranged.withColumn(name, F.row_number().over(within).cast("bigint"))
+    return (placed.join(F.broadcast(ends), [_PART, key], "left")
+                  .withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_before", _PART))
+
+
 def carried(ranged: DataFrame, key: str, order: list[str], value: Column, name: str,
             inclusive: bool) -> DataFrame:
     """``ranged`` (of :func:`range_parts`) with ``name``: the newest non-null
@@ -41,13 +65,9 @@ def carried(ranged: DataFrame, key: str, order: list[str], value: Column, name:
     within = Window.partitionBy(_PART, key).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow if inclusive else -1)
     rows = rows.withColumn(name, F.last("_value", ignorenulls=True).over(within))
-    # Only a part's first key can have rows in earlier parts: at most two rows per part are left.
-    first = ranged.groupBy(_PART).agg(F.min(key).alias(key)).select(key).distinct()
     at = F.when(F.col("_value").isNotNull(), F.struct(*order))
-    ends = (ranged.withColumn("_value", value).join(F.broadcast(first), key, "left_semi")
-                  .groupBy(_PART, key).agg(F.max_by("_value", at).alias("_end")))
-    before = Window.partitionBy(key).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(_PART, key, F.last("_end", ignorenulls=True).over(before).alias("_before"))
+    ends = _ends(ranged.withColumn("_value", value), key, F.max_by("_value", at))
+    ends = ends.select(_PART, key, F.last("_end", ignorenulls=True).over(_earlier(key)).alias("_before"))
     ends = F.broadcast(ends.where(F.col("_before").isNotNull()))
     return (rows.join(ends, [_PART, key], "left")
                 .withColumn(name, F.coalesce(name, "_before")).drop("_before", "_value"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import shifted_cutoff
 from .guards import broadcast_if_small
+from .ordered import numbered, range_parts
 
 COMMENT_REFRESH_HOURS = 2
 COMMENTS_FETCHED_PER_POST = 50
@@ -118,3 +119,11 @@ def listing_order(mode: str) -> list[Column]:
     if mode in ("hot", "rising"):
         return [F.col("listing_rank").asc(), F.col("reddit_id").asc()]
     return [F.col("score").desc_nulls_last(), F.col("reddit_id").asc()]
+
+
+def listed(posts: DataFrame, mode: str) -> DataFrame:
+    """H5: posts with their 1-based place ``listing_pos`` in their community's
+    listing.  A community with a third of all posts is spread over many tasks
+    (see ``operators.ordered``)."""
+    order = listing_order(mode)
+    return numbered(range_parts(posts, "subreddit", order), "subreddit", order, "listing_pos")

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import new_york
 from ..session import shared_path
 from .guards import broadcast_if_small
 from .refresh import valid_keys
@@ -124,9 +125,12 @@ def explode_listing_comments(listing: DataFrame) -> DataFrame:
 
 def append_reports(existing: DataFrame, new: DataFrame) -> DataFrame:
     """Append reports; new ids continue after the largest stored id in
-    (subreddit, generated_at) order.  ``new`` holds one row per community
-    and run, so the numbering window is over a bounded set."""
+    (subreddit, generated_at) order, the report date is New York's.  ``new``
+    holds one row per community and run, so the numbering window is over a
+    bounded set."""
     from pyspark.sql import Window
+    if "report_date" in existing.columns:
+        new = new.withColumn("report_date", F.to_date(new_york(F.col("generated_at"))))
     # One scalar (the largest id) comes back to the driver, nothing else.
     top = existing.agg(F.coalesce(F.max("id"), F.lit(0)).alias("m")).first()["m"]
     w = Window.orderBy("subreddit", "generated_at")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..session import ensure_checkpoint_dir
 from .guards import small_side
+from .ordered import numbered, range_parts
 from .snapshots import latest_comment_snapshot, report_deltas
 
 
@@ -75,9 +76,11 @@ def top_comments(comments: DataFrame, k: int = T.COMMENTS_PER_POST) -> DataFrame
 
 def comments_by_score(comments: DataFrame) -> DataFrame:
     """H2: comments by score within their post, a missing score last, ties by
-    id; ``pos`` is the 1-based place."""
-    w = Window.partitionBy("post_reddit_id").orderBy(F.col("score").desc_nulls_last(), F.col("reddit_id").asc())
-    return comments.withColumn("pos", F.row_number().over(w).cast("bigint")).orderBy("post_reddit_id", "pos")
+    id; ``pos`` is the 1-based place.  A post with a third of all comments is
+    spread over many tasks (see ``operators.ordered``)."""
+    order = [F.col("score").desc_nulls_last(), F.col("reddit_id").asc()]
+    placed = numbered(range_parts(comments, "post_reddit_id", order), "post_reddit_id", order, "pos")
+    return placed.orderBy("post_reddit_id", "pos")
 
 
 def nest_comments(posts: DataFrame, comments: DataFrame) -> DataFrame:
@@ -187,14 +190,25 @@ def messages_to_prompt(messages: DataFrame, key: str = "conv_id", order: str = "
     return joined(parts, [key], F.col("_part"), F.col("_text"), "prompt")
 
 
-def prompt_dataset(contexts: DataFrame, template: str, model_name: str, date_text: Column) -> DataFrame:
-    """L1: fill a prompt template per community context.
+def with_news(contexts: DataFrame, news: DataFrame) -> DataFrame:
+    """Contexts with their community's news text (F6) below; those without news
+    stay as they are."""
+    text = news.select("subreddit", "news_context")
+    return (contexts.join(text, "subreddit", "left")
+            .withColumn("content", F.concat("content", F.coalesce(F.concat(F.lit("\n"), "news_context"), F.lit(""))))
+            .drop("news_context"))
 
-    Placeholders ``{model_name}``, ``{date}`` and then ``{content}`` are
-    replaced literally; content goes last so text inside it is never
-    substituted.  The template is the caller's (writer or editor template).
-    """
-    filled = F.replace(F.lit(template), F.lit("{model_name}"), F.lit(model_name))
-    filled = F.replace(filled, F.lit("{date}"), date_text)
-    filled = F.replace(filled, F.lit("{content}"), F.col("content"))
-    return contexts.select("subreddit", filled.alias("prompt"))
+
+def prompt_dataset(contexts: DataFrame, template: str, model_name: str, date_text: Column) -> DataFrame:
+    """L1: the writer's prompt per community: a template of the caller's with
+    ``{content}``, ``{model_name}`` and ``{date}`` (see ``text.fill_format``)."""
+    values = {"content": F.col("content"), "model_name": F.lit(model_name), "date": date_text}
+    return contexts.select("subreddit", T.fill_format(template, values).alias("prompt"))
+
+
+def editor_prompts(contexts: DataFrame, drafts: DataFrame, template: str, model_name: str) -> DataFrame:
+    """L1: the editor's prompt per community with a draft: ``{content}``,
+    ``{draft}`` and ``{model_name}``."""
+    values = {"content": F.col("content"), "draft": F.col("draft"), "model_name": F.lit(model_name)}
+    return (contexts.join(drafts.select("subreddit", "draft"), "subreddit")
+            .select("subreddit", T.fill_format(template, values).alias("prompt")))

@@ -11,6 +11,7 @@ from ..sources import fixtures as fx
 from . import duck_text as D
 from .digest_queries import REPORT_DELTAS_SQL
 from .oracle_views import with_views
+from .news_queries import NEWS_CONTEXT_SQL, q_news_context
 from .registry import query
 
 # Views shared by several oracles -------------------------------------------
@@ -291,27 +292,42 @@ def q_context_document(spark, sf):
                                      fx.reports(spark, sf), c, fx.comment_snapshots(spark, sf))
 
 
-# L1: a prompt per community.  The template is the caller's; this default
-# only shows the placeholders.
-PROMPT_TEMPLATE = "Digest for {date} by {model_name}.\n\nPosts:\n{content}"
-MODEL_NAME = "digest-model"
+# L1: a prompt per community.  The templates are the caller's; these only show
+# the fields and an escaped brace.
+WRITER_TEMPLATE = "Digest for {date} by {model_name}, as {{json}}.\n\nPosts:\n{content}"
+EDITOR_TEMPLATE = "Edit as {model_name}.\n\nDraft:\n{draft}\n\nSources:\n{content}\n{{end}}"
+MODEL_NAME = "digest-model {content}"
+
+_CONTEXT_NEWS_SQL = f"""(select c.subreddit, c.content || coalesce(chr(10) || n.news_context, '') as content
+  from ({CONTEXT_SQL}) c left join ({NEWS_CONTEXT_SQL}) n using (subreddit))"""
 
 
 @query("prompt_dataset", "L1", f"""
-select c.subreddit,
-       replace(replace(replace('{PROMPT_TEMPLATE}', '{{model_name}}', '{MODEL_NAME}'),
-                       '{{date}}', strftime(t.ts, '%B %d, %Y at %I:%M %p') || ' UTC'),
-               '{{content}}', c.content) as prompt
-from ({CONTEXT_SQL}) c
+select c.subreddit, 'Digest for ' || {D.new_york_text('t.ts')} || ' by {MODEL_NAME}, as {{json}}.' || chr(10) || chr(10)
+         || 'Posts:' || chr(10) || c.content as prompt
+from {_CONTEXT_NEWS_SQL} c
 join (select source as subreddit, max(coalesce(e.l, timestamp '2024-01-01 00:00:00')) as ts
       from documents d left join (select user_id, max(ts) l from events group by user_id) e
         on e.user_id = d.doc_id group by source) t using (subreddit)""")
 def q_prompt_dataset(spark, sf):
-    ctx = q_context_document(spark, sf)
+    """Posts and news of each community in the writer's template."""
+    ctx = threads.with_news(q_context_document(spark, sf), q_news_context(spark, sf))
     asof = (fx.posts(spark, sf, with_text=False).groupBy("subreddit")
             .agg(F.max("last_scraped_at").alias("ts")))
-    date_text = F.concat(F.date_format(F.col("ts"), "MMMM dd, yyyy 'at' hh:mm a"), F.lit(" UTC"))
-    return threads.prompt_dataset(ctx.join(asof, "subreddit"), PROMPT_TEMPLATE, MODEL_NAME, date_text)
+    return threads.prompt_dataset(ctx.join(asof, "subreddit"), WRITER_TEMPLATE, MODEL_NAME, T.new_york_text(F.col("ts")))
+
+
+@query("editor_prompt_dataset", "L1", with_views(f"""
+select c.subreddit, 'Edit as {MODEL_NAME}.' || chr(10) || chr(10) || 'Draft:' || chr(10) || r.draft || chr(10) || chr(10)
+         || 'Sources:' || chr(10) || c.content || chr(10) || '{{end}}' as prompt
+from {_CONTEXT_NEWS_SQL} c
+join (select subreddit, max_by(markdown, generated_at) as draft from reports group by subreddit) r using (subreddit)""",
+    "reports"))
+def q_editor_prompt_dataset(spark, sf):
+    """The same sources with each community's newest report as the draft."""
+    ctx = threads.with_news(q_context_document(spark, sf), q_news_context(spark, sf))
+    drafts = fx.reports(spark, sf).groupBy("subreddit").agg(F.max_by("markdown", "generated_at").alias("draft"))
+    return threads.editor_prompts(ctx, drafts, EDITOR_TEMPLATE, MODEL_NAME)
 
 
 @query("messages_to_prompt", "J18", """

@@ -45,6 +45,15 @@ def delta(label: str, e: str, is_float: bool) -> str:
     return f"(case when {e} is null then null else '{label}: ' || {v} end)"
 
 
+def new_york(e: str) -> str:
+    return f"timezone('America/New_York', timezone('UTC', {e}))"
+
+
+def new_york_text(e: str) -> str:
+    return (f"(strftime({new_york(e)}, '%B %d, %Y at %I:%M %p') || "
+            f"case when {new_york(e)} = {e} - interval 5 hour then ' EST' else ' EDT' end)")
+
+
 def truthy(e: str) -> str:
     return f"(coalesce(cast({e} as varchar), '') <> '')"
 
@@ -112,15 +121,14 @@ def query_keep(e: str) -> str:
 
 
 _ENT_SQL = (("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "''''"), ("&#x27;", "''''"),
-            ("&apos;", "''''"), ("&nbsp;", "chr(160)"), ("&middot;", "chr(183)"), ("&copy;", "chr(169)"),
-            ("&amp;", "'&'"))
+            ("&apos;", "''''"), ("&nbsp;", "chr(160)"), ("&middot;", "chr(183)"), ("&copy;", "chr(169)"))
 
 
 def clean_text(e: str) -> str:
     s = f"regexp_replace(coalesce({e}, ''), '<[^>]+>', '', 'g')"
     for ent, ch in _ENT_SQL:
         s = f"replace({s}, '{ent}', {ch})"
-    return strip(s)
+    return strip(f"regexp_replace({s}, '&amp;?', '&', 'g')")
 
 
 def rfc822(c: str) -> str:

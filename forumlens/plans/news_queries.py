@@ -11,11 +11,11 @@ from ..sources.tables import table
 from . import duck_text as D
 from .registry import query
 
-_NB = f"""
+NEWS_SQL = f"""
 nb AS (
   select page_id as id, 'google_news' as provider,
          regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) as query,
-         {D.clean_text("regexp_extract(html, '<title>(.*?)</title>', 1)")} as title,
+         {D.clean_text("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} as title,
          url, regexp_extract(url, '^https?://([^/?#]+)', 1) as source_name,
          case page_id % 5
            when 0 then strftime(ts0, '%a, %d %b %Y %H:%M:%S') || ' GMT'
@@ -24,7 +24,7 @@ nb AS (
            when 3 then strftime(ts0, '%a, %d %b %Y %H:%M:%S') || ' EST'
            else case when page_id % 10 = 4 then strftime(ts0, '%Y-%m-%dT%H:%M:%S') else 'soon' end end
            as published_raw,
-         {D.clean_text("regexp_extract(html, '<p>(.*?)</p>', 1)")} as summary,
+         {D.clean_text("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")} as summary,
          timestamp '2024-01-01 00:00:00' + to_minutes(page_id) as fetched_at
   from (select *, timestamp '2024-01-01 00:00:00' + to_hours(page_id) as ts0 from pages) p)"""
 
@@ -42,14 +42,14 @@ def _responses(spark, sf):
 # ---------------------------------------------------------------- J9 / L2 / J10
 
 @query("clean_text", "J9", f"""
-select page_id, {D.clean_text("regexp_extract(html, '<title>(.*?)</title>', 1)")} as title,
-       {D.clean_text("regexp_extract(html, '<p>(.*?)</p>', 1)")} as first_paragraph
+select page_id, {D.clean_text("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} as title,
+       {D.clean_text("regexp_extract(html, '(?s)<article>(.*)</article>', 1)")} as article
 from pages""")
 def q_clean_text(spark, sf):
     p = table(spark, sf, "pages")
     return p.select("page_id",
-                    N.clean_text(F.regexp_extract("html", r"<title>(.*?)</title>", 1)).alias("title"),
-                    N.clean_text(F.regexp_extract("html", r"<p>(.*?)</p>", 1)).alias("first_paragraph"))
+                    N.clean_text(F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)).alias("title"),
+                    N.clean_text(F.regexp_extract("html", r"(?s)<article>(.*)</article>", 1)).alias("article"))
 
 
 @query("unescape_html", "L2", f"""
@@ -60,7 +60,7 @@ def q_unescape_html(spark, sf):
     return p.select("page_id", N.clean_text(F.col("html")).alias("text"))
 
 
-@query("parse_rfc822", "J10", f"""WITH {_NB}
+@query("parse_rfc822", "J10", f"""WITH {NEWS_SQL}
 select id, published_raw, {D.rfc822('published_raw')} as published_at from nb""")
 def q_parse_rfc822(spark, sf):
     b = fx._page_news_base(spark, sf)
@@ -69,14 +69,14 @@ def q_parse_rfc822(spark, sf):
 
 # ---------------------------------------------------------------- A4
 
-@query("ingest_rss", "A4", f"""WITH {_NB},
+@query("ingest_rss", "A4", f"""WITH {NEWS_SQL},
 pl AS (select nb.*, cast(floor(id / 10) as bigint) as bucket,
               case when id % 7 = 0 then '' else title end as t2,
               row_number() over (partition by query, floor(id / 10) order by id) - 1 as item_pos
        from nb),
 cl AS (select query, bucket, item_pos, {D.clean_text('t2')} as title, {D.clean_text('url')} as url,
               {D.clean_text('source_name')} as source_name, {D.rfc822('published_raw')} as published_at,
-              {D.clean_text('summary')} as summary
+              summary
        from pl)
 select query, bucket, item_pos, title, url, source_name, published_at, summary, 'google_news' as provider
 from (select cl.*, row_number() over (partition by query, bucket order by item_pos) as rn
@@ -95,7 +95,7 @@ items AS (select id, provider, query, url, fetched_at from nb
           select id + 1000000000, provider, query, url, fetched_at + interval 1 day from nb where id % 5 = 0)"""
 
 
-@query("dedupe_news", "C4", f"""WITH {_NB}, {_ITEMS}
+@query("dedupe_news", "C4", f"""WITH {NEWS_SQL}, {_ITEMS}
 select id, provider, query, url, fetched_at from (
   select items.*, row_number() over (partition by provider, query, url order by fetched_at, id) as rn
   from items) t where rn = 1""")
@@ -109,22 +109,22 @@ def q_dedupe_news(spark, sf):
 _CAPPED = f"""
 ci AS (select * from (
   select nb.*, {D.rfc822('published_raw')} as published_at,
-         row_number() over (partition by provider, query order by id) as irank from nb) t where irank <= 3),
-qr AS (select * from (
-  select provider, query, row_number() over (partition by provider order by query) as qrank
-  from (select distinct provider, query from ci) q) t where qrank <= 8),
-capped AS (select ci.*, qr.qrank from ci join qr using (provider, query))"""
+         row_number() over (partition by query order by id) as irank from nb) t where irank <= 3),
+listed AS (select subreddit, query, row_number() over (partition by subreddit order by n desc, query) as qrank from (
+  select source as subreddit, lang || case doc_id % 3 when 0 then '' else '-' || cast(doc_id % 3 as varchar) end as query,
+         count(*) as n from documents group by all)),
+capped AS (select listed.subreddit, listed.qrank, ci.* from listed join ci using (query) where qrank <= 8)"""
 
 
 def _capped(spark, sf):
     items = fx._page_news_base(spark, sf).withColumn("published_at", N.parse_rfc822(F.col("published_raw")))
-    return news.cap_per_query(items, ["provider"], F.col("query"), F.col("id"))
+    return news.cap_per_query(fx.news_queries(spark, sf), items, ["subreddit"], F.col("id"))
 
 
-@query("cap_per_query", "G5", f"""WITH {_NB}, {_CAPPED}
-select provider, query, id, qrank, irank from capped""")
+@query("cap_per_query", "G5", f"""WITH {NEWS_SQL}, {_CAPPED}
+select subreddit, query, id, qrank, irank from capped""")
 def q_cap_per_query(spark, sf):
-    return _capped(spark, sf).select("provider", "query", "id", "qrank", "irank")
+    return _capped(spark, sf).select("subreddit", "query", "id", "qrank", "irank")
 
 
 _ITEM_BLOCK = (f"concat_ws(chr(10), '{N.ITEM_TITLE}' || coalesce(title, ''), "
@@ -134,15 +134,18 @@ _ITEM_BLOCK = (f"concat_ws(chr(10), '{N.ITEM_TITLE}' || coalesce(title, ''), "
                f"'{N.ITEM_URL}' || coalesce(url, ''))")
 
 
-@query("news_context", "F6", f"""WITH {_NB}, {_CAPPED},
-qb AS (select provider, qrank,
+NEWS_CONTEXT_SQL = f"""WITH {NEWS_SQL}, {_CAPPED},
+qb AS (select subreddit, qrank,
               query || ':' || chr(10) || string_agg({_ITEM_BLOCK}, chr(10) order by irank) as qb
-       from capped group by provider, query, qrank)
-select provider, '{N.NEWS_CONTEXT_HEADER}' || chr(10) || string_agg(qb, chr(10) order by qrank) || chr(10)
+       from capped group by subreddit, query, qrank)
+select subreddit, '{N.NEWS_CONTEXT_HEADER}' || chr(10) || string_agg(qb, chr(10) order by qrank) || chr(10)
        as news_context
-from qb group by provider""")
+from qb group by subreddit"""
+
+
+@query("news_context", "F6", NEWS_CONTEXT_SQL)
 def q_news_context(spark, sf):
-    return news.news_context(_capped(spark, sf), ["provider"])
+    return news.news_context(_capped(spark, sf), ["subreddit"])
 
 
 # ---------------------------------------------------------------- L5 / D8 / J16 / J15

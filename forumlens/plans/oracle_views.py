@@ -29,7 +29,8 @@ VIEWS = {
                conv_id as post_reddit_id, turn, text as body, role as author,
                '/r/c/comments/' || cast(conv_id as varchar) || '/x/' || cast(conv_id as varchar) || '_'
                  || cast(turn as varchar) || '/' as permalink,
-               timestamp '2024-01-01 00:00:00' + to_hours(cast(turn as bigint)) as last_scraped_at
+               timestamp '2024-01-01 00:00:00' + to_hours(cast(turn as bigint)) as last_scraped_at,
+               timestamp '2024-01-01 00:00:00' as first_scraped_at
         from conversations""",
     "comment_snapshots": """
         select l_orderkey*10 + l_linenumber as id,
@@ -37,8 +38,11 @@ VIEWS = {
                l_shipdate as scraped_at, cast(l_quantity as bigint) - 10 as score
         from lineitem""",
     "reports": """
-        select event_id as id, subreddit, ts as generated_at, day as report_date from (
-          select event_id, 'src' || cast(event_id % 20 as varchar) as subreddit, ts, cast(ts as date) as day,
+        select event_id as id, subreddit, ts as generated_at,
+               cast(timezone('America/New_York', timezone('UTC', ts)) as date) as report_date,
+               'p' || cast(event_id % 3 as varchar) as llm_provider, 'm' || cast(event_id % 5 as varchar) as llm_model,
+               '**Subject:** ' || props as markdown from (
+          select event_id, 'src' || cast(event_id % 20 as varchar) as subreddit, ts, props,
                  row_number() over (partition by event_id % 20, cast(ts as date) order by ts, event_id) as nth
           from events) e where nth = 1""",
     "volume_comments": """
@@ -84,7 +88,7 @@ lent AS (select subreddit, letter_date, rank,
         from lsrc) x),
 letters AS (select subreddit, letter_date, strftime(letter_date, '%Y-%m-%d') || '.md' as file_name,
   '**To:** Investors' || chr(10) || '**Date:** ' ||
-  (case when day(letter_date) % 2 = 1 then strftime(letter_date, '%B %d, %Y') || ' at 07:00 PM EDT'
+  (case when day(letter_date) = 17 then 'soon' when day(letter_date) % 2 = 1 then strftime(letter_date, '%B %d, %Y') || ' at 07:00 PM EDT'
         else strftime(letter_date, '%B %d, %Y') end) || chr(10) ||
   (case when day(letter_date) = 20 then ''
         else '**Subject:** Orders of ' || strftime(letter_date, '%Y-%m-%d') || chr(10) end) ||

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import letters as L
 from ..operators import letter_qa as Q
 from ..operators import snapshots
 from ..sources import fixtures as fx
@@ -12,8 +11,12 @@ from ..sources.tables import table
 from .oracle_views import LETTERS_SQL, with_views
 from .registry import query
 
-_ENTRY = L.ENTRY_RE
-_LINK = L.LINK_RE
+# Patterns of the SQL's own, not the code's: an entry's label has no mark of its
+# line's markup, a link's address no space.
+_ENTRY = r"^[*][*]([\[]?)([^\n\]*]+?)([\]]?):[*][*]\s*([^\n]*)$"
+_LINK = r"[\[]([^\]]+)[\]][(]([^\s)]+)[)]"
+_SENTENCE = r"[!.?]+(?:\s|$)"
+_TOKEN = r"^[A-Z][A-Z][A-Z]?[A-Z]?[A-Z]?$"
 
 _M1 = f"""
 ents AS (select subreddit, letter_date, unnest(range(len(e))) as entry_pos, unnest(e) as line from (
@@ -67,7 +70,7 @@ def q_entry_links(spark, sf):
 @query("letter_qa", "M4", f"""WITH {LETTERS_SQL}, {_M1},
 per AS (select subreddit, letter_date, count(*) as n_entries,
                count(*) filter (where len(regexp_extract_all(body, '{_LINK}', 0)) = 0) as entries_without_link,
-               max(len(regexp_extract_all(regexp_replace(body, '{_LINK}', '\\1', 'g'), '{Q.SENTENCE_END}', 0)))
+               max(len(regexp_extract_all(regexp_replace(body, '{_LINK}', '\\1', 'g'), '{_SENTENCE}', 0)))
                  as max_sentences
         from m1 group by subreddit, letter_date),
 base AS (select subreddit, letter_date,
@@ -106,7 +109,7 @@ texts AS (select p.title || ' ' || coalesce(p.selftext, '') as text, ls.score
 @query("weighted_themes", "M5", with_views(f"""{_TEXTS_SQL}
 select token, cast(sum(coalesce(score, 0)) as bigint) as weighted_score, count(*) as mentions from (
   select unnest(list_filter(regexp_split_to_array(coalesce(text, ''), '[^A-Za-z0-9_]+'),
-                            lambda t: regexp_matches(t, '{Q.TICKER_TOKEN}'))) as token, score from texts) x
+                            lambda t: regexp_matches(t, '{_TOKEN}'))) as token, score from texts) x
 group by token""", "posts", "post_snapshots", "comments", "comment_snapshots"))
 def q_weighted_themes(spark, sf):
     posts = fx.posts(spark, sf).select("reddit_id", "title", "selftext")

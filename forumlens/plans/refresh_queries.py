@@ -97,10 +97,9 @@ def q_attach_fetched_comments(spark, sf):
 
 @query("ordered_lookup", "E9", with_views("""
 select e.event_id as pos, p.reddit_id, p.title
-from events e join posts p on p.reddit_id = e.user_id where e.event_type = 'view'""", "posts"))
+from events e join posts p on p.reddit_id = e.user_id""", "posts"))
 def q_ordered_lookup(spark, sf):
-    ids = (table(spark, sf, "events").where(F.col("event_type") == "view")
-           .select(F.col("event_id").alias("pos"), F.col("user_id").alias("reddit_id")))
+    ids = table(spark, sf, "events").select(F.col("event_id").alias("pos"), F.col("user_id").alias("reddit_id"))
     posts = fx.posts(spark, sf, with_text=False).select("reddit_id", "title")
     return refresh.ordered_lookup(ids, posts).select("pos", "reddit_id", "title")
 
@@ -153,22 +152,22 @@ def q_skip_pinned(spark, sf):
         "subreddit", "reddit_id", "listing_pos")
 
 
-@query("listing_order", "H5", with_views(f"""{_LISTING_SQL}
-select 'top' as mode, subreddit, reddit_id,
-       row_number() over (partition by subreddit order by score desc nulls last, reddit_id asc) as listing_rank
-from listing
-union all
-select 'new' as mode, subreddit, reddit_id,
-       row_number() over (partition by subreddit order by created_at desc, reddit_id asc) as listing_rank
-from listing""", "posts", "post_snapshots"))
+@query("listing_order", "H5", with_views(f"""{_LISTING_SQL},
+landed AS (select *, (reddit_id * 7919) % 100003 as hot_rank, (reddit_id * 104729) % 100019 as rising_rank from listing)
+""" + " union all ".join(f"""
+select '{mode}' as mode, subreddit, reddit_id,
+       row_number() over (partition by subreddit order by {by}, reddit_id asc) as listing_rank
+from landed""" for mode, by in (("top", "score desc nulls last"), ("new", "created_at desc"), ("hot", "hot_rank"),
+                                ("rising", "rising_rank"))), "posts", "post_snapshots"))
 def q_listing_order(spark, sf):
-    from pyspark.sql import Window
-    l = _listing(spark, sf)
+    """All four orders; the remote service's ranks of hot and rising come with
+    the landed listing (here made of the id)."""
+    landed = _listing(spark, sf).withColumns({"hot": F.col("reddit_id") * 7919 % 100003,
+                                              "rising": F.col("reddit_id") * 104729 % 100019})
     out = None
-    for mode in ("top", "new"):
-        w = Window.partitionBy("subreddit").orderBy(*refresh.listing_order(mode))
-        part = (l.withColumn("listing_rank", F.row_number().over(w))
-                 .select(F.lit(mode).alias("mode"), "subreddit", "reddit_id",
-                         F.col("listing_rank").cast("bigint").alias("listing_rank")))
+    for mode in ("top", "new", "hot", "rising"):
+        rows = landed.withColumn("listing_rank", F.col(mode)) if mode in ("hot", "rising") else landed
+        part = refresh.listed(rows, mode).select(F.lit(mode).alias("mode"), "subreddit", "reddit_id",
+                                                 F.col("listing_pos").alias("listing_rank"))
         out = part if out is None else out.unionByName(part)
     return out

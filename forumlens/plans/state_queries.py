@@ -7,8 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import layout, quality, state
+from ..schemas import STORED
+from ..session import shared_path
 from ..sources import fixtures as fx
-from ..sources.tables import ntz, table
+from ..sources.tables import table
+from . import duck_text as D
+from .news_queries import NEWS_SQL
 from .oracle_views import VIEWS, with_views
 from .registry import entry_sql, query
 
@@ -51,12 +55,12 @@ ranked AS (select *, row_number() over (partition by reddit_id
            min(case when src = 0 then first_scraped_at end) over (partition by reddit_id) as kept_first,
            min(first_scraped_at) over (partition by reddit_id) as any_first
            from allrows)
-select reddit_id, subreddit, title, cast(length(selftext) as bigint) as selftext_chars, url, author,
+select reddit_id, subreddit, title, md5(selftext) as selftext_md5, url, author,
        coalesce(kept_first, any_first) as first_scraped_at, last_scraped_at
 from ranked where rn = 1""", "posts"))
 def q_upsert_posts(spark, sf):
     out = state.upsert_posts(_stored_posts(spark, sf), listing_batches(spark, sf))
-    return out.select("reddit_id", "subreddit", "title", F.length("selftext").cast("bigint").alias("selftext_chars"),
+    return out.select("reddit_id", "subreddit", "title", F.md5(F.col("selftext").cast("binary")).alias("selftext_md5"),
                       "url", "author", "first_scraped_at", "last_scraped_at")
 
 
@@ -73,7 +77,7 @@ def q_bucketed_upsert_posts(spark, sf):
     """B1 into a stored table that lies in buckets of the post id."""
     stored = layout.write_bucketed(_stored_posts(spark, sf), f"posts_{uuid.uuid4().hex}", "reddit_id", _buckets(spark))
     out = layout.merge_bucketed(stored, listing_batches(spark, sf), "reddit_id", state.POST_COLUMNS)
-    return out.select("reddit_id", "subreddit", "title", F.length("selftext").cast("bigint").alias("selftext_chars"),
+    return out.select("reddit_id", "subreddit", "title", F.md5(F.col("selftext").cast("binary")).alias("selftext_md5"),
                       "url", "author", "first_scraped_at", "last_scraped_at")
 
 
@@ -140,108 +144,112 @@ def q_append_comment_snapshots(spark, sf):
                        F.col("position.l_linenumber").alias("l_linenumber"))
 
 
-@query("append_report", "B5", with_views("""
-, newr AS (select subreddit, max(last_scraped_at) as generated_at from posts group by subreddit)
-select id, subreddit, generated_at, report_date from reports
+@query("append_report", "B5", with_views(f"""
+, newr AS (select subreddit, max(last_scraped_at) as generated_at,
+                  '**Subject:** ' || cast(count(*) as varchar) || ' posts' as markdown from posts group by subreddit)
+select id, report_date, subreddit, llm_provider, llm_model, markdown, generated_at from reports
 union all
-select cast((select coalesce(max(id), 0) from reports) + row_number() over (order by subreddit, generated_at)
-            as bigint) as id, subreddit, generated_at, cast(generated_at as date) as report_date
+select cast((select coalesce(max(id), 0) from reports) + row_number() over (order by subreddit, generated_at) as bigint),
+       cast({D.new_york('generated_at')} as date), subreddit, 'p9', 'm9', markdown, generated_at
 from newr""", "reports", "posts"))
 def q_append_report(spark, sf):
-    existing = fx.reports(spark, sf).select("id", "subreddit", "generated_at", "report_date")
+    existing = fx.reports(spark, sf).select([f.name for f in STORED["reports"].fields])
     new = (fx.posts(spark, sf, with_text=False).groupBy("subreddit")
-           .agg(F.max("last_scraped_at").alias("generated_at"))
-           .withColumn("report_date", F.to_date("generated_at")))
+           .agg(F.max("last_scraped_at").alias("generated_at"), F.count(F.lit(1)).alias("n"))
+           .select("subreddit", "generated_at", F.lit("p9").alias("llm_provider"), F.lit("m9").alias("llm_model"),
+                   F.concat(F.lit("**Subject:** "), F.col("n").cast("string"), F.lit(" posts")).alias("markdown")))
     return state.append_reports(existing, new)
 
 
-# Report-news links: a report links the pages whose id matches its slot.
-_LINK_SQL = """
-cand AS (select r.id as report_id, p.page_id as news_item_id,
-                regexp_extract(p.url, '^https?://[^/]+/([a-z]+)/', 1) as query,
-                timestamp '2024-01-02 00:00:00' as included_at
-         from reports r join pages p on p.page_id % 20 = r.id % 20),
-existing AS (select * from cand where query = 'en')"""
-
-
-def _link_candidates(spark, sf):
-    r = fx.reports(spark, sf).select(F.col("id").alias("report_id"))
-    p = table(spark, sf, "pages").select("page_id", "url")
-    c = r.join(p, (p.page_id % 20) == (r.report_id % 20)).select(
-        "report_id", F.col("page_id").alias("news_item_id"),
-        F.regexp_extract("url", r"^https?://[^/]+/([a-z]+)/", 1).alias("query"),
-        ntz("2024-01-02 00:00:00").alias("included_at"))
-    return c
+# Report-news links: the items that the report's query found on its day.
+_LINK_SQL = f"""{NEWS_SQL},
+news_items AS (select id, provider, query, title, url, fetched_at from nb
+               union all
+               select id + 1000000000, provider, query, title, url, fetched_at + interval 1 day from nb where id % 5 = 0),
+links AS (select r.id as report_id, n.id as news_item_id, n.query, r.generated_at as included_at
+          from reports r join news_items n
+            on n.query = (['en', 'de', 'fr', 'es'])[1 + cast(substr(r.subreddit, 4) as int) % 4]
+           and cast(n.fetched_at as date) = cast(r.generated_at as date))"""
 
 
 @query("link_report_news", "B6", with_views(f""", {_LINK_SQL}
-select * from existing
-union
-select * from cand""", "reports"))
+select distinct * from links""", "reports"))
 def q_link_report_news(spark, sf):
-    cand = _link_candidates(spark, sf)
-    existing = cand.where(F.col("query") == "en")
-    return state.link_report_news(existing, cand.unionByName(cand))
+    """The English links are stored already; all candidates come twice."""
+    cand = fx.report_links(spark, sf)
+    return state.link_report_news(cand.where(F.col("query") == "en"), cand.unionByName(cand))
 
 
 # ---------------------------------------------------------------- C1-C3
 
-@query("dq_primary_key", "C1", with_views("""
-select 'comment_snapshots' as relation, cast(id as varchar) as key_value, count(*) as n
-from comment_snapshots group by id having count(*) > 1
-union all
-select 'posts', cast(reddit_id as varchar), count(*) from posts group by reddit_id having count(*) > 1
-union all
-select 'comments', reddit_id, count(*) from comments group by reddit_id having count(*) > 1
-union all
-select 'post_snapshots', cast(id as varchar), count(*) from post_snapshots group by id having count(*) > 1""",
-    "comment_snapshots", "posts", "comments", "post_snapshots"))
+_RELATIONS = ("posts", "comments", "post_snapshots", "comment_snapshots", "reports")
+
+
+def _relations(spark, sf):
+    """The seven stored relations; texts stay out where no check reads them."""
+    return {"posts": fx.posts(spark, sf, with_text=False), "comments": fx.comments(spark, sf),
+            "post_snapshots": fx.post_snapshots(spark, sf), "comment_snapshots": fx.comment_snapshots(spark, sf),
+            "reports": fx.reports(spark, sf), "news_items": fx.news_items(spark, sf),
+            "report_news_items": fx.report_links(spark, sf)}
+
+
+_KEYS = {"posts": "reddit_id", "comments": "reddit_id", "post_snapshots": "id", "comment_snapshots": "id",
+         "reports": "id", "news_items": "id", "report_news_items": ("report_id", "news_item_id", "query")}
+
+
+def _sql_name(relation: str) -> str:
+    return "links" if relation == "report_news_items" else relation
+
+
+def _primary_key_sql() -> str:
+    parts = []
+    for name, key in _KEYS.items():
+        cols = [key] if isinstance(key, str) else key
+        value = " || '|' || ".join(f"cast({c} as varchar)" for c in cols)
+        parts.append(f"select '{name}' as relation, {value} as key_value, count(*) as n from {_sql_name(name)} "
+                     f"group by {', '.join(cols)} having count(*) > 1")
+    return with_views(f", {_LINK_SQL}\n" + "\nunion all ".join(parts), *_RELATIONS)
+
+
+@query("dq_primary_key", "C1", _primary_key_sql())
 def q_dq_primary_key(spark, sf):
-    return quality.primary_key_violations({
-        "comment_snapshots": (fx.comment_snapshots(spark, sf), "id"),
-        "posts": (fx.posts(spark, sf, with_text=False), "reddit_id"),
-        "comments": (fx.comments(spark, sf), "reddit_id"),
-        "post_snapshots": (fx.post_snapshots(spark, sf), "id"),
-    })
+    tables = _relations(spark, sf)
+    return quality.primary_key_violations({name: (tables[name], key) for name, key in _KEYS.items()})
 
 
-@query("dq_foreign_key", "C2", with_views("""
-select 'comments.post_reddit_id' as relation,
-       count(*) filter (where post_reddit_id not in (select reddit_id from posts)) as orphans from comments
-union all
-select 'post_snapshots.post_reddit_id',
-       count(*) filter (where post_reddit_id not in (select reddit_id from posts)) from post_snapshots
-union all
-select 'comment_snapshots.comment_reddit_id',
-       count(*) filter (where comment_reddit_id not in (select reddit_id from comments)) from comment_snapshots""",
-    "posts", "comments", "post_snapshots", "comment_snapshots"))
+_REFERENCES = (("comments", "post_reddit_id", "posts"), ("post_snapshots", "post_reddit_id", "posts"),
+               ("comment_snapshots", "comment_reddit_id", "comments"), ("report_news_items", "report_id", "reports"),
+               ("report_news_items", "news_item_id", "news_items"))
+
+
+@query("dq_foreign_key", "C2", with_views(f", {_LINK_SQL}\n" + "\nunion all ".join(
+    f"select '{child}.{key}' as relation, count(*) filter (where {key} not in (select {_KEYS[parent]} from {parent})) "
+    f"as orphans from {_sql_name(child)}" for child, key, parent in _REFERENCES), *_RELATIONS))
 def q_dq_foreign_key(spark, sf):
-    posts = fx.posts(spark, sf, with_text=False).select("reddit_id")
-    comments = fx.comments(spark, sf)
-    return quality.foreign_key_orphans([
-        ("comments.post_reddit_id", comments, "post_reddit_id", posts, "reddit_id"),
-        ("post_snapshots.post_reddit_id", fx.post_snapshots(spark, sf), "post_reddit_id", posts, "reddit_id"),
-        ("comment_snapshots.comment_reddit_id", fx.comment_snapshots(spark, sf), "comment_reddit_id",
-         comments.select("reddit_id"), "reddit_id"),
-    ])
-
-
-_NN_POSTS = ("reddit_id", "subreddit", "title", "url", "first_scraped_at", "last_scraped_at")
-_NN_SNAPS = ("id", "post_reddit_id", "scraped_at", "is_pinned")
-
-
-@query("dq_not_null", "C3", with_views(
-    "\nselect * from (" + " union all ".join(
-        [f"select 'posts' as relation, '{c}' as column_name, count(*) filter (where {c} is null) as nulls from posts"
-         for c in _NN_POSTS] +
-        [f"select 'post_snapshots', '{c}', count(*) filter (where {c} is null) from post_snapshots"
-         for c in _NN_SNAPS]) + ") t",
-    "posts", "post_snapshots"))
+    tables = _relations(spark, sf)
+    return quality.foreign_key_orphans([(f"{child}.{key}", tables[child], key, tables[parent], _KEYS[parent])
+                                        for child, key, parent in _REFERENCES])
+
+
+_NOT_NULL_SQL = with_views(f", {_LINK_SQL}\nselect * from (" + " union all ".join(
+    f"select '{name}' as relation, '{c}' as column_name, count(*) filter (where {c} is null) as nulls from {_sql_name(name)}"
+    for name in _KEYS for c in quality.not_null_columns(name)) + ") t", *_RELATIONS)
+
+
+@query("dq_not_null", "C3", _NOT_NULL_SQL)
 def q_dq_not_null(spark, sf):
-    return quality.not_null_counts([
-        ("posts", fx.posts(spark, sf, with_text=False), _NN_POSTS),
-        ("post_snapshots", fx.post_snapshots(spark, sf), _NN_SNAPS),
-    ])
+    return quality.not_null_counts([(name, df, quality.not_null_columns(name))
+                                    for name, df in _relations(spark, sf).items()])
+
+
+@query("dq_not_null_on_write", "C3", _NOT_NULL_SQL)
+def q_dq_not_null_on_write(spark, sf):
+    """The same counts from the tasks that write the relations."""
+    base, told = shared_path(spark, "observed", uuid.uuid4().hex), []
+    for name, df in _relations(spark, sf).items():
+        found = quality.write_observed(df, f"{base}/{name}", name)
+        told += [(name, column, n) for column, n in found.items()]
+    return spark.createDataFrame(told, "relation string, column_name string, nulls bigint")
 
 
 assert VIEWS  # views used above are all defined
@@ -258,7 +266,6 @@ def q_ingest_listing(spark, sf):
     """Listing records land as JSON lines (written here from events), then
     are read back with the fixed schema and normalised."""
     from ..functions import text as T
-    from ..session import shared_path
     from ..sources import landing
     secs = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
     landed = listing_batches(spark, sf).join(

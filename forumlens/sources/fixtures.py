@@ -69,6 +69,7 @@ def comments(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("/r/c/comments/"), c.conv_id.cast("string"), F.lit("/x/"), rid,
                  F.lit("/")).alias("permalink"),
         (ntz(DEFAULT_SCRAPE) + F.make_dt_interval(F.lit(0), c.turn.cast("int"))).alias("last_scraped_at"),
+        ntz(DEFAULT_SCRAPE).alias("first_scraped_at"),
     )
 
 
@@ -85,12 +86,41 @@ def comment_snapshots(spark: SparkSession, sf: str) -> DataFrame:
 
 def reports(spark: SparkSession, sf: str) -> DataFrame:
     """A report per community and day, at the community's first event of the day."""
+    from ..functions.text import new_york
     e = table(spark, sf, "events").select(
         F.concat(F.lit("src"), (F.col("event_id") % 20).cast("string")).alias("subreddit"),
-        F.to_date("ts").alias("day"), "event_id", "ts")
-    first = e.groupBy("subreddit", "day").agg(F.min(F.struct("ts", "event_id")).alias("f"))
-    return first.select(F.col("f.event_id").alias("id"), "subreddit", F.col("f.ts").alias("generated_at"),
-                        F.col("day").alias("report_date"))
+        F.to_date("ts").alias("day"), "event_id", "ts", "props")
+    first = e.groupBy("subreddit", "day").agg(F.min(F.struct("ts", "event_id", "props")).alias("f"))
+    key = F.col("f.event_id")
+    return first.select(key.alias("id"), "subreddit", F.col("f.ts").alias("generated_at"),
+                        F.to_date(new_york(F.col("f.ts"))).alias("report_date"),
+                        F.concat(F.lit("p"), (key % 3).cast("string")).alias("llm_provider"),
+                        F.concat(F.lit("m"), (key % 5).cast("string")).alias("llm_model"),
+                        F.concat(F.lit("**Subject:** "), F.col("f.props")).alias("markdown"))
+
+
+def report_links(spark: SparkSession, sf: str) -> DataFrame:
+    """News that a report may cite: the items that its community's query found
+    on the day of the report."""
+    number = F.substr("subreddit", F.lit(4)).cast("int")
+    query = F.element_at(F.array(*[F.lit(x) for x in ("en", "de", "fr", "es")]), number % 4 + 1)
+    r = reports(spark, sf).select(F.col("id").alias("report_id"), query.alias("query"),
+                                  F.to_date("generated_at").alias("day"), F.col("generated_at").alias("included_at"))
+    n = news_items(spark, sf).select(F.col("id").alias("news_item_id"), "query", F.to_date("fetched_at").alias("day"))
+    return r.join(n, ["query", "day"]).select("report_id", "news_item_id", "query", "included_at")
+
+
+def news_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Each community's list of news queries in order (``qpos``): the languages
+    of its documents, plain and in two variants that find nothing, the most
+    frequent first."""
+    from pyspark.sql import Window
+    d = table(spark, sf, "documents")
+    k = d.doc_id % 3
+    name = F.when(k == 0, d.lang).otherwise(F.concat(d.lang, F.lit("-"), k.cast("string")))
+    n = d.select(d.source.alias("subreddit"), name.alias("query")).groupBy("subreddit", "query").count()
+    w = Window.partitionBy("subreddit").orderBy(F.desc("count"), "query")
+    return n.select("subreddit", "query", F.row_number().over(w).cast("bigint").alias("qpos"))
 
 
 def volume_comments(spark: SparkSession, sf: str) -> DataFrame:
@@ -115,6 +145,7 @@ def _page_news_base(spark: SparkSession, sf: str) -> DataFrame:
     at = ntz(DEFAULT_SCRAPE) + F.make_dt_interval(F.lit(0), p.page_id.cast("int"))
     stamp = F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss")
     k = p.page_id % 5
+    article = F.regexp_extract(p.html, r"(?s)<article>(.*)</article>", 1)  # its markup comes as an item's description
     pub = (F.when(k == 0, F.concat(stamp, F.lit(" GMT")))
             .when(k == 1, F.concat(stamp, F.lit(" -0400")))
             .when(k == 2, stamp)
@@ -125,11 +156,12 @@ def _page_news_base(spark: SparkSession, sf: str) -> DataFrame:
         p.page_id.alias("id"),
         F.lit("google_news").alias("provider"),
         F.regexp_extract(p.url, r"^https?://[^/]+/([a-z]+)/", 1).alias("query"),
-        clean_text(F.regexp_extract(p.html, r"<title>(.*?)</title>", 1)).alias("title"),
+        clean_text(F.regexp_extract(p.html, r"(?s)<title>(.*?)</title>", 1)).alias("title"),
         p.url.alias("url"),
         F.regexp_extract(p.url, r"^https?://([^/?#]+)", 1).alias("source_name"),
         pub.alias("published_raw"),
-        clean_text(F.regexp_extract(p.html, r"<p>(.*?)</p>", 1)).alias("summary"),
+        article.alias("article"),
+        clean_text(article).alias("summary"),
         (ntz(DEFAULT_SCRAPE) + F.make_dt_interval(F.lit(0), F.lit(0), p.page_id.cast("int"))).alias("fetched_at"),
         p.html.alias("raw"),
     )
@@ -154,7 +186,7 @@ def rss_payloads(spark: SparkSession, sf: str) -> DataFrame:
     item = F.concat(
         F.lit("<item><title>"), xml_escape(title), F.lit("</title><link>"), xml_escape(F.col("url")),
         F.lit("</link><pubDate>"), xml_escape(F.col("published_raw")), F.lit("</pubDate><description>"),
-        xml_escape(F.col("summary")), F.lit("</description><source url=\""), xml_escape(F.col("url")),
+        xml_escape(F.col("article")), F.lit("</description><source url=\""), xml_escape(F.col("url")),
         F.lit("\">"), xml_escape(F.col("source_name")), F.lit("</source></item>"))
     feeds = (b.select("query", F.floor(F.col("id") / 10).alias("bucket"), "id", item.alias("item"))
               .groupBy("query", "bucket")
@@ -203,14 +235,14 @@ def letters(spark: SparkSession, sf: str) -> DataFrame:
     """One Markdown letter per (segment, day): header block, greeting, one
     ``**LABEL:**`` entry per order.  Some days vary the layout: no
     subject (day 20), a heading (day 7), a trailing ``Link:`` line (day 13),
-    date with or without time (odd/even day)."""
+    date with or without time (odd/even day), none (day 17)."""
     e = letter_entries_source(spark, sf).select("subreddit", "letter_date", "rank",
                                                           _entry_text().alias("entry"))
     g = (e.groupBy("subreddit", "letter_date")
           .agg(F.array_sort(F.collect_list(F.struct("rank", "entry"))).alias("_e")))
     d = F.col("letter_date")
     day = F.dayofmonth(d)
-    date_txt = F.when(day % 2 == 1, F.concat(F.date_format(d, "MMMM dd, yyyy"), F.lit(" at 07:00 PM EDT"))) \
+    date_txt = F.when(day == 17, F.lit("soon")).when(day % 2 == 1, F.concat(F.date_format(d, "MMMM dd, yyyy"), F.lit(" at 07:00 PM EDT"))) \
                 .otherwise(F.date_format(d, "MMMM dd, yyyy"))
     subject = F.when(day == 20, F.lit("")).otherwise(
         F.concat(F.lit("**Subject:** Orders of "), F.date_format(d, "yyyy-MM-dd"), F.lit("\n")))
