@@ -101,7 +101,11 @@ def _nav_html(prev_url: str, next_url: str) -> F.Column:
 def letter_pages(letters: DataFrame) -> DataFrame:
     """L4: one page per letter: url, title (J11), display date (J13), HTML
     content (L3), navigation (G3) and the filled page (J14)."""
-    n = letter_nav(letters)
+    return filled_pages(letter_nav(letters))
+
+
+def filled_pages(n: DataFrame) -> DataFrame:
+    """L4 over letters that carry their navigation (url, prev_url, next_url)."""
     content = L.render_markdown(F.col("markdown"))
     inner = L.fill_template(F.lit(INNER_TEMPLATE), list(zip(INNER_ORDER, [
         _nav_html("prev_url", "next_url"), F.col("content_html"), F.lit("")])))
@@ -114,14 +118,119 @@ def letter_pages(letters: DataFrame) -> DataFrame:
              .withColumn("page_html", page))
 
 
-def write_pages(pages: DataFrame, path: str) -> None:
-    """The pages table, partitioned by month (community is a column).
+def write_pages(pages: DataFrame, path: str, months_only: bool = False) -> None:
+    """The pages table, partitioned by month (community is a column);
+    ``months_only`` replaces the months of ``pages`` and leaves others alone.
 
     Rows stay spread as they are: a month of all communities may be large.
     Sorting within each task keeps one open file per month."""
     (pages.withColumn("month", F.date_format("letter_date", "yyyy-MM"))
           .sortWithinPartitions("month", "subreddit", "letter_date")
-          .write.mode("overwrite").partitionBy("month").parquet(path))
+          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if months_only else "static")
+          .partitionBy("month").parquet(path))
+
+
+# ---------------------------------------------------------------- adding letters to an archive
+
+_LETTER = ("subreddit", "letter_date", "file_name", "markdown")
+_STORED = "subreddit string, letter_date date, file_name string, markdown string, month string, run long"
+
+
+def _stored_letters(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_STORED).parquet(path)
+
+
+def _newest(letters: DataFrame, cols: tuple[str, ...]) -> DataFrame:
+    """A letter per community and day, that of the latest run."""
+    rest = [c for c in cols if c not in ("subreddit", "letter_date")]
+    row = F.struct(*rest) if rest else F.struct("run")
+    agg = letters.groupBy("subreddit", "letter_date").agg(F.max_by(row, F.col("run")).alias("_r"))
+    return agg.select("subreddit", "letter_date", *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+def add_letters(new: DataFrame, letters_path: str, pages_path: str, run: int) -> list[str]:
+    """Letters of one run into the archive; returns the months whose
+    pages were written.
+
+    Letters lie by month and run, pages by month.  A letter changes its own
+    page, and the links of the letter before and the one after it: only the
+    months of those three are written anew, by dynamic partition overwrite, and
+    only their letters are read; the links come from the letters' dates.  A run
+    that is repeated rewrites its own rows and pages; a later run's letter
+    replaces an earlier one of its community and day.
+    """
+    spark = new.sparkSession
+    dated = new.select(*_LETTER, F.date_format("letter_date", "yyyy-MM").alias("month"), F.lit(run).cast("long").alias("run"))
+    (dated.sortWithinPartitions("month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("month", "run").parquet(letters_path))
+    stored = _stored_letters(spark, letters_path)
+    dates = letter_nav(_newest(stored, ("subreddit", "letter_date"))).withColumn(
+        "month", F.date_format("letter_date", "yyyy-MM"))
+    fresh = stored.where(F.col("run") == run).select("subreddit", "letter_date").distinct().withColumn("fresh", F.lit(True))
+    by_date = Window.partitionBy("subreddit").orderBy("letter_date")
+    near = dates.join(fresh, ["subreddit", "letter_date"], "left").withColumn(
+        "near", F.coalesce("fresh", F.lag("fresh").over(by_date), F.lead("fresh").over(by_date)))
+    months = sorted(r[0] for r in near.where("near").select("month").distinct().collect())  # three per letter at most
+    if months:
+        texts = _newest(stored.where(F.col("month").isin(*months)), _LETTER)
+        pages = filled_pages(texts.join(dates.where(F.col("month").isin(*months)), ["subreddit", "letter_date"]))
+        write_pages(pages, pages_path, months_only=True)
+    return months
+
+
+# ---------------------------------------------------------------- documents of the site
+
+RSS_TEMPLATE = ('<?xml version="1.0" encoding="UTF-8" ?>\n<rss version="2.0">\n<channel>\n<title>{{TITLE}}</title>\n'
+                "<link>{{LINK}}</link>\n<description>{{DESCRIPTION}}</description>\n<language>en-us</language>\n"
+                "{{ITEMS}}\n</channel>\n</rss>")
+REDIRECT_TEMPLATE = ('<!DOCTYPE html>\n<html><head><meta http-equiv="refresh" content="0; url={{URL}}" /></head>\n'
+                     '<body><a href="{{URL}}">{{URL}}</a></body></html>')
+
+
+def rss_documents(pages: DataFrame, base_url: str = DEFAULT_BASE_URL, n: int = RSS_LENGTH,
+                  escape_title: bool = False) -> DataFrame:
+    """H4 as a document per community: the feed's items, newest first, in the
+    feed's template."""
+    item = F.concat(F.lit("<item><title>"), F.col("title"), F.lit("</title><link>"), F.col("link"), F.lit("</link><guid>"),
+                    F.col("guid"), F.lit("</guid><pubDate>"), F.col("pub_date"),
+                    F.lit("</pubDate><description><![CDATA["),
+                    F.replace("description", F.lit("]]>"), F.lit("]]]]><![CDATA[>")), F.lit("]]></description></item>"))
+    items = (rss_feed(pages, base_url, n, escape_title).groupBy("subreddit")
+             .agg(F.array_sort(F.collect_list(F.struct("rank", item.alias("i")))).alias("_i")))
+    text = L.fill_template(F.lit(RSS_TEMPLATE), [
+        ("{{TITLE}}", F.concat(F.lit("Letters of r/"), "subreddit")), ("{{LINK}}", F.lit(base_url)),
+        ("{{DESCRIPTION}}", F.concat(F.lit("Daily letters from r/"), "subreddit")),
+        ("{{ITEMS}}", F.array_join(F.transform("_i", lambda x: x["i"]), "\n"))])
+    return items.select("subreddit", F.lit("rss.xml").alias("file_name"), text.alias("document"))
+
+
+def catalog_documents(pages: DataFrame) -> DataFrame:
+    """F4 as a document per community: a heading per month, newest first, and
+    below it a line per letter.  It holds a line per letter of one community,
+    at most one a day."""
+    line = F.concat(F.lit("<li>"), F.col("display_date"), F.lit(' <a href="'), F.col("url"), F.lit('">'), F.col("title"),
+                    F.lit("</a></li>"))
+    m = pages.withColumn("month_key", F.date_format("letter_date", "yyyy-MM"))
+    months = (m.groupBy("subreddit", "month_key")
+               .agg(F.sort_array(F.collect_list(F.struct("letter_date", line.alias("l"))), asc=False).alias("_l"),
+                    F.min("letter_date").alias("_d")))
+    block = F.concat(F.lit("<h2>"), F.date_format("_d", "MMMM yyyy"), F.lit("</h2>\n<ul>"),
+                     F.array_join(F.transform("_l", lambda x: x["l"]), ""), F.lit("</ul>"))
+    return (months.groupBy("subreddit")
+                  .agg(F.sort_array(F.collect_list(F.struct("month_key", block.alias("b"))), asc=False).alias("_m"))
+                  .select("subreddit", F.lit("catalog.html").alias("file_name"),
+                          F.array_join(F.transform("_m", lambda x: x["b"]), "\n").alias("document")))
+
+
+def redirect_documents(pages: DataFrame) -> DataFrame:
+    """H3 as a document per community: a page that leads to the newest letter."""
+    text = L.fill_template(F.lit(REDIRECT_TEMPLATE), [("{{URL}}", F.col("url"))])
+    return latest_letter(pages).select("subreddit", F.lit("index.html").alias("file_name"), text.alias("document"))
+
+
+def site_documents(pages: DataFrame, base_url: str = DEFAULT_BASE_URL) -> DataFrame:
+    """Feed, catalog and redirect of every community, one row each."""
+    return rss_documents(pages, base_url).unionByName(catalog_documents(pages)).unionByName(redirect_documents(pages))
 
 
 def month_catalog(pages: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from forumlens.functions import letters as L
@@ -75,7 +76,9 @@ def test_news_context_text(spark):
         ("p", "oil", 3, "T3", None, None, None, "u3"),
     ], "provider string, query string, id bigint, title string, source_name string, published_at string, "
        "summary string, url string")
-    capped = news.cap_per_query(items, ["provider"], F.col("query"), F.col("id"))
+    items = items.drop("provider")
+    queries = spark.createDataFrame([("p", "fed", 1), ("p", "nothing", 2), ("p", "oil", 3)], "provider string, query string, qpos int")
+    capped = news.cap_per_query(queries, items, ["provider"], F.col("id"))
     text = news.news_context(capped, ["provider"]).first()["news_context"]
     assert text == ("External News Context:\nfed:\n- Title: T1\n  Source: S\n  Published: 2026-01-01T00:00:00+00:00\n"
                     "  URL: u1\n- Title: T2\n  Summary: sum\n  URL: u2\noil:\n- Title: T3\n  URL: u3\n")
@@ -173,3 +176,122 @@ def test_empty_item_in_a_feed(spark):
     xml = "<rss><channel><item/><item><title>t</title><link>l</link></item></channel></rss>"
     out = news.ingest_rss(spark.createDataFrame([("q", xml)], "query string, xml string"), ["query"]).collect()
     assert [(r.title, r.url, r.raw) for r in out] == [("t", "l", "<item><title>t</title><link>l</link></item>")]
+
+
+def test_list_is_cut_before_empty_queries_go(spark):
+    """Eight queries count, whether or not they find anything; a query listed twice has its items twice."""
+    items = spark.createDataFrame([(q, i) for q in ("a", "z") for i in range(5)], "query string, id int")
+    names = ["z", "e1", "e2", "z", "e3", "e4", "e5", "e6", "a"]
+    queries = spark.createDataFrame([("g", q, 10 * k) for k, q in enumerate(names)] + [("h", "a", 1)],
+                                    "g string, query string, qpos int")
+    got = news.cap_per_query(queries, items, ["g"], F.col("id"))
+    assert rows(got, "g", "query", "qrank", "id", "irank") == sorted(
+        [("g", "z", q, i, i + 1) for q in (1, 4) for i in range(3)] + [("h", "a", 1, i, i + 1) for i in range(3)], key=repr)
+
+
+def test_whole_page_is_cleaned(spark):
+    page = "<title>A &amp;\nB</title><article><h1>T</h1><p>one<br>\ntwo &lt;x&gt;<p>three</article><footer>no</footer>"
+    sf = tempfile.mkdtemp(prefix="pages-", dir="/tmp")
+    spark.createDataFrame([(5, "https://h.example/en/5", page)], "page_id bigint, url string, html string").write.parquet(f"{sf}/pages.parquet")
+    from forumlens.plans.registry import all_queries
+    assert rows(all_queries()["clean_text"](spark, sf)) == [(5, "A &\nB", "Tone\ntwo <x>three")]
+    got = all_queries()["ingest_rss"](spark, sf).first()
+    assert (got.title, got.summary) == ("A &\nB", "Tone\ntwo <x>three")
+
+
+def test_date_line_falls_back_to_the_run(spark):
+    from forumlens.sources.tables import ntz
+    lines = ["no line", "**Date:** soon", "**Date:** August 21, 2026", "**Date:** August 21, 2026 at 7:45 PM EDT"]
+    df = spark.createDataFrame([(x,) for x in lines], "x string")
+    got = df.select(*L.letter_date_line(F.col("x"), ntz("2024-01-31 00:05:00"))).collect()
+    day, run = dt.date(2026, 8, 21), (dt.date(2024, 1, 30), "January 30, 2024 at 07:05 PM EST")
+    assert [tuple(r) for r in got] == [run, run, (day, "August 21, 2026"), (day, "August 21, 2026 at 07:45 PM EDT")]
+
+
+def test_new_york_times(spark):
+    from forumlens.functions import text as T
+    cases = {"2024-03-10 06:59:00": "March 10, 2024 at 01:59 AM EST", "2024-03-10 07:00:00": "March 10, 2024 at 03:00 AM EDT",
+             "2024-11-03 05:30:00": "November 03, 2024 at 01:30 AM EDT", "2024-11-03 06:30:00": "November 03, 2024 at 01:30 AM EST",
+             "2024-07-04 04:00:00": "July 04, 2024 at 12:00 AM EDT", "2024-07-04 16:00:00": "July 04, 2024 at 12:00 PM EDT"}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(x,) for x in cases], "x string").select(F.col("x").cast("timestamp_ntz").alias("x"))
+            assert [r[0] for r in df.select(T.new_york_text(F.col("x"))).collect()] == list(cases.values())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_template_is_filled_in_one_pass(spark):
+    from forumlens.functions import text as T
+    from forumlens.operators import threads
+    ctx = spark.createDataFrame([("s", "text with {date}, {draft} and {{x}}"), ("t", None)], "subreddit string, content string")
+    writer = threads.prompt_dataset(ctx, "{{{model_name}}} {date}: {content} {{content}}", "m {content}", F.lit("now {draft}"))
+    assert rows(writer) == [("s", "{m {content}} now {draft}: text with {date}, {draft} and {{x}} {content}"),
+                            ("t", "{m {content}} now {draft}:  {content}")]
+    drafts = spark.createDataFrame([("s", "a {content} b")], "subreddit string, draft string")
+    assert rows(threads.editor_prompts(ctx, drafts, "{draft}|{content}|{model_name}", "m")) == [
+        ("s", "a {content} b|text with {date}, {draft} and {{x}}|m")]
+    values = {"a": F.lit("x")}
+    for template in ("{b}", "{a!r}", "{a:>5}", "{", "}"):
+        with pytest.raises(ValueError):
+            T.fill_format(template, values)
+    assert "{a} {{b}}".format(a="x") == spark.range(1).select(T.fill_format("{a} {{b}}", values)).first()[0]
+
+
+def test_news_goes_below_the_posts(spark):
+    from forumlens.operators import threads
+    ctx = spark.createDataFrame([("s", "posts"), ("t", "more")], "subreddit string, content string")
+    found = spark.createDataFrame([("s", "News:\n")], "subreddit string, news_context string")
+    assert rows(threads.with_news(ctx, found), "subreddit", "content") == [("s", "posts\nNews:\n"), ("t", "more")]
+
+
+def _letters(spark, days):
+    return spark.createDataFrame([(c, dt.date.fromisoformat(d), f"{d}.md", f"**Subject:** {t}\n\nText {d}") for c, d, t in days],
+                                 "subreddit string, letter_date date, file_name string, markdown string")
+
+
+def _files(path):
+    return {f"{os.path.basename(d)}/{n}": os.stat(f"{d}/{n}").st_mtime_ns for d, _, names in os.walk(path)
+            for n in names if n.endswith(".parquet")}
+
+
+def test_letters_added_one_by_one_equal_one_build(spark):
+    """Single additions in any order, a repeated run and a corrected letter; months that no link leads to keep their files."""
+    base = tempfile.mkdtemp(prefix="archive-", dir="/tmp")
+    days = [("s", "2026-01-30", "a"), ("s", "2026-03-02", "c"), ("t", "2026-02-10", "x"), ("s", "2026-02-01", "b"),
+            ("s", "2026-05-05", "e"), ("s", "2026-04-09", "d"), ("s", "2026-03-02", "c again"), ("t", "2025-12-31", "w")]
+    touched = []
+    for run, day in enumerate(days):
+        before = _files(f"{base}/pages")
+        months = archive.add_letters(_letters(spark, [day]), f"{base}/letters", f"{base}/pages", run)
+        after = _files(f"{base}/pages")
+        for name, at in before.items():
+            if name.split("/")[0].split("=")[1] not in months:
+                assert after.get(name) == at
+        touched.append(months)
+        if run == 4:
+            assert archive.add_letters(_letters(spark, [day]), f"{base}/letters", f"{base}/pages", run) == months
+    assert touched[3] == ["2026-01", "2026-02", "2026-03"] and touched[5] == ["2026-03", "2026-04", "2026-05"]
+    assert touched[4] == ["2026-03", "2026-05"] and touched[7] == ["2025-12", "2026-02"]
+    final = {(c, d): t for c, d, t in days}
+    want = archive.letter_pages(_letters(spark, [(c, d, t) for (c, d), t in final.items()]))
+    got = spark.read.parquet(f"{base}/pages").drop("month")
+    assert rows(got, *want.columns) == rows(want)
+    assert archive.add_letters(_letters(spark, []), f"{base}/letters", f"{base}/pages", 99) == []
+
+
+def test_site_documents_by_hand(spark):
+    pages = archive.letter_pages(_letters(spark, [("s", "2026-01-30", "A"), ("s", "2026-02-01", "B"), ("s", "2026-02-03", "C")]))
+    docs = {r.file_name: r.document for r in archive.site_documents(pages, "http://x").collect()}
+    assert docs["catalog.html"] == (
+        '<h2>February 2026</h2>\n<ul><li>February 03, 2026 <a href="2026-02-03.html">C</a></li>'
+        '<li>February 01, 2026 <a href="2026-02-01.html">B</a></li></ul>\n'
+        '<h2>January 2026</h2>\n<ul><li>January 30, 2026 <a href="2026-01-30.html">A</a></li></ul>')
+    assert '<a href="2026-02-03.html">2026-02-03.html</a>' in docs["index.html"]
+    import xml.etree.ElementTree as ET
+    feed = ET.fromstring(docs["rss.xml"].encode())
+    assert [i.findtext("title") for i in feed.iter("item")] == ["C", "B", "A"]
+    assert feed.findtext("channel/item/link") == "http://x/2026-02-03.html"
+    assert feed.findtext("channel/item/description").startswith("<p><strong>Subject:</strong> C")
