@@ -120,6 +120,10 @@ def py_float_str(c: Column) -> Column:
     can differ from Python's, which picks the candidate closest to the
     exact binary value.
     """
+    return bind(c, _float_str)
+
+
+def _float_str(c: Column) -> Column:
     s = c.cast("string")
     exp = F.regexp_extract(s, r"^(-?[0-9.]+)E(-?[0-9]+)$", 2).cast("int")
     # positional form of a Spark exponent string, from the decimal text
@@ -145,6 +149,10 @@ def round4(c: Column) -> Column:
     20,000 x is odd at a half-way case.  When the rounded product is odd, the
     product's exact rounding error says on which side of it x lies.
     """
+    return bind(c, _round4)
+
+
+def _round4(c: Column) -> Column:
     p = c * 20000.0
     spread = c * 134217729.0  # 2**27 + 1: splits x into halves whose products are exact
     high = spread - (spread - c)
@@ -158,17 +166,15 @@ def round4(c: Column) -> Column:
 
 def round4_str(c: Column) -> Column:
     """Python ``str(round(x, 4))`` for a DOUBLE; keeps a negative zero."""
-    r = round4(c)
-    txt = py_float_str(r)
-    return F.when((r == 0) & (c < 0), F.lit("-0.0")).otherwise(txt)
+    return bind(round4(c), lambda r: F.when((r == 0) & (c < 0), F.lit("-0.0")).otherwise(_float_str(r)))
 
 
 def delta_text(c: Column, is_float: bool) -> Column:
     """J3 value part: null stays null; ``+`` only when the (rounded) value is > 0."""
     if is_float:
-        r = round4(c)
-        return F.when(c.isNull(), F.lit(None)).otherwise(
-            F.concat(F.when(r > 0, F.lit("+")).otherwise(F.lit("")), round4_str(c)))
+        def text(r: Column) -> Column:
+            return F.concat(F.when(r > 0, "+").otherwise(""), F.when((r == 0) & (c < 0), "-0.0").otherwise(_float_str(r)))
+        return F.when(c.isNull(), F.lit(None)).otherwise(bind(round4(c), text))
     return F.when(c.isNull(), F.lit(None)).otherwise(
         F.concat(F.when(c > 0, F.lit("+")).otherwise(F.lit("")), c.cast("string")))
 
