@@ -44,18 +44,25 @@ def _earlier(key: str):
     return Window.partitionBy(key).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def numbered(ranged: DataFrame, key: str, order: list[str] | list[Column], name: str) -> DataFrame:
-    """``ranged`` with ``name``: the 1-based place of the row within its key in
-    ``order`` (which is total), counted within the part and on from the parts
-    before; without ``_part``."""
-    within = Window.partitionBy(_PART, key).orderBy(*order)
-    ends = _ends(ranged, key, F.count(F.lit(1)))
+def summed(ranged: DataFrame, key: str, order: list[str] | list[Column], weight: Column, name: str) -> DataFrame:
+    """``ranged`` with ``name``: the sum of ``weight`` over the rows of the same
+    key before this one in ``order`` (which is total), counted within the part
+    and on from the parts before; without ``_part``."""
+    within = Window.partitionBy(_PART, key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    ends = _ends(ranged, key, F.sum(weight))
     ends = ends.select(_PART, key, F.sum("_end").over(_earlier(key)).alias("_before"))
-    placed = ranged.withColumn(name, F.row_number().over(within).cast("bigint"))
-    return (placed.join(F.broadcast(ends), [_PART, key], "left")
+    inside = ranged.withColumn(name, F.coalesce(F.sum(weight).over(within), F.lit(0)))
+    return (inside.join(F.broadcast(ends), [_PART, key], "left")
                   .withColumn(name, F.col(name) + F.coalesce("_before", F.lit(0))).drop("_before", _PART))
 
 
+def numbered(ranged: DataFrame, key: str, order: list[str] | list[Column], name: str) -> DataFrame:
+    """``ranged`` with ``name``: the 1-based place of the row within its key in
+    ``order`` (see :func:`summed`)."""
+    one = F.lit(1).cast("bigint")
+    return summed(ranged, key, order, one, name).withColumn(name, F.col(name) + one)
+
+
 def carried(ranged: DataFrame, key: str, order: list[str], value: Column, name: str,
             inclusive: bool) -> DataFrame:
     """``ranged`` (of :func:`range_parts`) with ``name``: the newest non-null
