@@ -36,9 +36,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without later copies of line runs; a document of nothing else goes."""
+    """Texts without later copies of lines; a document of nothing else goes."""
     name = C.free_name(docs, "line_runs")
-    out = line_dedup(docs, min_words=10, result=name).where(~F.col(f"{name}.emptied"))
+    out = line_dedup(docs, min_lines=1, result=name).where(~F.col(f"{name}.emptied"))
     return _with_text(out, docs, F.col(f"{name}.clean_text"), F.col(f"{name}.n_removed") > 0)
 
 

@@ -1,20 +1,21 @@
 """Line deduplication by a suffix array over line identities, in DataFrame operations only.
 
-Every non-blank line is a symbol (its MD5).  Suffixes that start with a line
-that occurs once are alone at once and leave; the others are ranked by their
-first 1, 2, 4, ... lines by prefix doubling.  A rank is the slot in the suffix
-array where its interval (suffixes that share so long a prefix) starts, so each
-interval of common prefix m is named by two overlapping ranks.
-
-A run of lines is deleted if it holds ``min_words`` words or more and also
-starts earlier.  Any such run is covered by the shortest sufficient windows that
-start, or end, at its lines, and these hold at most ``min_words`` lines: so the
-doubling stops there, whatever the length of the longest run.
-
-Ranks are running sums over distinct keys in two levels (spans of the next rank,
-then within a span), so no window holds one hot line's followers; minima are
-combined before shuffles, and the small side of each join is dealt anew so that
-Spark may split the large one.
+Every non-blank line is a symbol (its MD5) and every such line of a text a
+suffix.  Prefix doubling ranks the suffixes by their first 1, 2, 4, ... lines: a
+rank is the slot in the suffix array where the interval of suffixes with that
+common prefix starts.  A suffix whose prefix is its own alone is settled and
+leaves; the rounds go on until no suffix is left, however long the runs are.
+
+The rounds bound, for every suffix, the longest run of lines that also starts
+earlier (in an earlier text, or further up) between two powers of two.  Binary
+descent then finds the longest-common-prefix interval that it belongs to: a node
+is an interval of suffixes that share m lines, known by its earliest suffix; a
+step of 2**l splits it by the rank of the lines that follow, and all but the
+earliest suffix of a part move on to the part's own node.  Only a part's earliest
+suffix can be the copy that others of the node repeat, so it stays for them: each
+suffix is in one node, and a node has one more.
+
+A later copy of a run of ``min_lines`` lines or more is deleted.
 """
 
 from __future__ import annotations
@@ -23,133 +24,139 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.llm import common as C
+from forumlens.operators.ordered import numbered, range_parts, summed
 
 NOT_BLANK = r"[^\x20\x09-\x0D]"
-SPAN = 65536  # ranks per inner window
-BEFORE = (Window.unboundedPreceding, -1)
+#: A position is a text's number and the line's number in it.
+LINE_BITS = 31
 
 
-def _words_up_to(line: Column, least: int) -> Column:
-    """Number of words, or ``least`` for that many and more."""
-    blank, word = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
-    enough = f"^{blank}*+(?:{word}++{blank}++){{{least - 1}}}{word}"
-    return F.when(line.rlike(enough), least).otherwise(C.n_words(line)).cast("int")
-
-
-def _lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """(id, version, j, at, line, words): the j-th non-blank line, at line ``at``."""
+def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, version, j, at, line): the j-th non-blank line, at line ``at``."""
     text = docs[text_col]
-    numbered = F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("at"), x.alias("line")))
+    cut = F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("at"), x.alias("line")))
     rows = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("version"),
-                       F.posexplode(F.filter(numbered, lambda s: s["line"].rlike(NOT_BLANK))).alias("j", "s"))
-    return rows.select("id", "version", "j", "s.at", F.unhex(F.md5("s.line")).alias("line"),
-                       _words_up_to(F.col("s.line"), min_words).alias("words"))
+                       F.posexplode(F.filter(cut, lambda s: s["line"].rlike(NOT_BLANK))).alias("j", "s"))
+    return rows.select("id", "version", "j", "s.at", F.unhex(F.md5("s.line")).alias("line"))
+
+
+def _doc() -> Column:
+    return F.shiftright("p", LINE_BITS)
 
 
 def _again(df: DataFrame) -> DataFrame:
+    """Dealt anew, so that Spark may split the other side of a join where a key is hot."""
     return df.repartition(C.shuffle_width(df.sparkSession))
 
 
-def _first_ranks(lines: DataFrame) -> DataFrame:
-    """(line, r0): slots of the repeated lines, in the order of their identity."""
-    seen = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    seen = seen.withColumn("head", F.expr("left(hex(substring(line, 1, 2)), 3)"))
-    seen = C.stored(seen, "lines-seen")
-    heads = seen.groupBy("head").agg(F.sum("n").alias("t"))
-    heads = heads.select("head", F.sum("t").over(Window.orderBy("head").rowsBetween(*BEFORE)).alias("base"))
-    inner = Window.partitionBy("head").orderBy("line").rowsBetween(*BEFORE)
-    return (seen.withColumn("inside", F.sum("n").over(inner)).join(F.broadcast(heads), "head")  # 4,096 rows at most
-            .select("line", (F.coalesce("base", F.lit(0)) + F.coalesce("inside", F.lit(0))).alias("r0")))
-
-
-def _next_ranks(pairs: DataFrame, old: str, new: str) -> DataFrame:
-    """Slots of the pairs (``old``, follow) that occur twice or more."""
-    pairs = pairs.groupBy(old, "follow").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = C.stored(pairs.withColumn("span", F.expr(f"follow div {SPAN}")), "pairs")
-    outer = Window.partitionBy(old).orderBy("span").rowsBetween(*BEFORE)
-    spans = pairs.groupBy(old, "span").agg(F.sum("n").alias("t")).select(
-        old, "span", F.sum("t").over(outer).alias("base"))
-    inner = Window.partitionBy(old, "span").orderBy("follow").rowsBetween(*BEFORE)
-    return pairs.withColumn("inside", F.sum("n").over(inner)).join(_again(spans), [old, "span"]).select(
-        old, "follow", (F.col(old) + F.coalesce("base", F.lit(0)) + F.coalesce("inside", F.lit(0))).alias(new))
-
-
-def _ranked(lines: DataFrame, levels: int) -> DataFrame:
-    """Positions of repeated lines with ranks r0 .. r``levels`` of their first
-    1, 2, 4, ... lines (null: these lines occur once, or the text ends)."""
-    doc = Window.partitionBy("id", "version").orderBy("j")
-    at = C.stored(lines.join(_again(_first_ranks(lines)), "line").drop("line")
-                  .dropDuplicates(["id", "version", "j"]), "ranks")
-    for k in range(levels):
-        old, new = f"r{k}", f"r{k + 1}"
-        at = at.withColumn("follow", F.max(old).over(doc.rangeBetween(1 << k, 1 << k)))
-        at = C.stored(at, "follow")
-        ranks = _next_ranks(at.where("follow is not null"), old, new)
-        at = C.stored(at.join(_again(ranks), [old, "follow"], "left").drop("follow"), "ranks")
-    return at
-
-
-def _windows(at: DataFrame, min_words: int) -> DataFrame:
-    """(id, version, j, m, n1, n2): the shortest windows of ``min_words`` words
-    that start or end at a position; n1, n2 name their interval."""
-    doc = Window.partitionBy("id", "version").orderBy("j")
-
-    def shortest(sign: int) -> Column:
-        tries = []
-        for m in range(1, min_words + 1):
-            k = m.bit_length() - 1
-            a, b = (0, m - 1) if sign > 0 else (1 - m, 0)
-            span = doc.rangeBetween(a, b)
-            head = F.max(f"r{k}").over(doc.rangeBetween(a, a))
-            tail = F.max(f"r{k}").over(doc.rangeBetween(b + 1 - (1 << k), b + 1 - (1 << k)))
-            whole = (F.count(F.lit(1)).over(span) == m) & (F.sum("words").over(span) >= min_words)
-            tries.append(F.when(whole, F.struct((F.col("j") + a).alias("j"), F.lit(m).alias("m"),
-                                                head.alias("n1"), tail.alias("n2"))))
-        return F.coalesce(*tries)
-
-    both = at.select("id", "version", shortest(1).alias("f"), shortest(-1).alias("b"))
-    # a window of one line starts and ends there: once is enough
-    found = both.select("id", "version", F.explode(F.array("f", F.when(F.col("b.m") > 1, F.col("b")))).alias("w"))
-    return found.select("id", "version", "w.*").where("n1 is not null and n2 is not null")
-
-
-def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """(id, version, gone): line numbers to delete, ascending, of each text with any."""
-    lines = C.stored(_lines(docs, id_col, text_col, min_words), "lines")
-    at = _ranked(lines, min_words.bit_length() - 1)
-    windows = C.stored(_windows(at, min_words), "windows")
-    place = F.struct("id", "version", "j")
-    first = windows.groupBy("m", "n1", "n2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = first.where(F.col("first") < F.col("last")).drop("last")
-    later = windows.join(_again(first), ["m", "n1", "n2"]).where(place > F.col("first"))
-    covered = later.select("id", "version", F.explode(F.expr("sequence(j, j + m - 1)")).alias("j")).distinct()
-    same = (covered["id"].eqNullSafe(at["id"]) & (covered["version"] == at["version"])
-            & (covered["j"] == at["j"]))
-    gone = covered.join(at, same).select(at["id"], at["version"], at["at"])
-    return gone.groupBy("id", "version").agg(F.sort_array(F.collect_list("at")).alias("gone"))
-
-
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 10,
+def _slots(counted: DataFrame, key: str, by: str) -> DataFrame:
+    """``counted`` (``n`` suffixes each) with the slot where each interval starts,
+    counted from the slot of ``key``."""
+    ranged = range_parts(counted, key, [by])
+    return summed(ranged, key, [by], F.col("n"), "slot").withColumn("slot", F.col("slot") + F.col(key)).drop("n")
+
+
+def _first_round(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Texts with repeated lines (doc, id, version); their repeated lines (p, at);
+    and suffixes (p, r, first): rank of the first line, earliest suffix of the rank."""
+    seen = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("r", F.lit(0).cast("long"))
+    slots = _slots(seen, "r", "line").select("line", F.col("slot").alias("r"))
+    found = C.stored(lines.join(_again(slots), "line").drop("line").dropDuplicates(["id", "version", "j"]), "found")
+    one = found.select(F.lit(0).alias("all"), "id", "version").distinct()
+    order = ["id", "version"]
+    docs = C.stored(numbered(range_parts(one, "all", order), "all", order, "doc").drop("all"), "texts")
+    other = _again(docs.withColumnsRenamed({"id": "id_", "version": "version_"}))
+    same = found["id"].eqNullSafe(other["id_"]) & (found["version"] == other["version_"])
+    rows = C.stored(found.join(other, same).select(
+        (F.shiftleft("doc", LINE_BITS) + F.col("j")).alias("p"), "at", "r"), "positions")
+    first = rows.groupBy("r").agg(F.min("p").alias("first"))
+    return docs, rows.select("p", "at"), C.stored(rows.select("p", "r").join(_again(first), "r"), "round")
+
+
+def _rounds(suffixes: DataFrame) -> list[DataFrame]:
+    """(p, r, first) of the suffixes that share their first 1, 2, 4, ... lines
+    with another one, round by round until there are none."""
+    out = [suffixes]
+    while True:
+        k = len(out) - 1
+        next_lines = Window.partitionBy(_doc()).orderBy("p").rangeBetween(1 << k, 1 << k)
+        here = out[-1].select("p", "r", F.max("r").over(next_lines).alias("follow"))
+        here = C.stored(here.where("follow is not null"), "follow")
+        pairs = here.groupBy("r", "follow").agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("first")).where("n > 1")
+        slots = _again(_slots(pairs, "r", "follow"))
+        here = C.stored(here.join(slots, ["r", "follow"]).select("p", F.col("slot").alias("r"), "first"), "round")
+        if here.isEmpty():
+            return out
+        out.append(here)
+
+
+def _copied(rounds: list[DataFrame]) -> DataFrame:
+    """(p, w, m): the most lines m from p on that also start earlier, first at w."""
+    each = [u.where("p > first").select("p", F.col("first").alias("w"), F.lit(k).alias("k")) for k, u in enumerate(rounds)]
+    every = each[0]
+    for more in each[1:]:
+        every = every.unionByName(more)
+    start = every.groupBy("p").agg(F.max(F.struct("k", "w")).alias("s")).select("p", "s.w", "s.k")
+    start = C.stored(start, "bounds")
+    witness = start.select(F.col("w").alias("p"), "w", "k").distinct()
+    start = start.unionByName(witness).withColumn("m", F.expr("shiftleft(1L, k)"))
+    done = start.where("k = 0").select("p", "w", "m")
+    act = None
+    for l in range(len(rounds) - 2, -1, -1):
+        enter = start.where(F.col("k") == l + 1).select("p", "w", "m")
+        act = enter if act is None else act.unionByName(enter)
+        ranks = rounds[l].select(F.col("p").alias("next"), F.col("r").alias("f"))
+        act = C.stored(act.withColumn("next", F.col("p") + F.col("m")).join(ranks, "next", "left").drop("next"), "split")
+        parts = act.where("f is not null").groupBy("w", "m", "f").agg(
+            F.count(F.lit(1)).alias("n"), F.min("p").alias("first")).where("n > 1").drop("n")
+        parts = C.stored(parts, "parts")
+        moves = F.col("p") > F.col("first")
+        stepped = act.join(_again(parts), ["w", "m", "f"], "left").select(
+            "p", F.when(moves, F.col("first")).otherwise(F.col("w")).alias("w"),
+            F.when(moves, F.col("m") + (1 << l)).otherwise(F.col("m")).alias("m"))
+        act = C.stored(stepped.unionByName(parts.select(
+            F.col("first").alias("p"), F.col("first").alias("w"), (F.col("m") + (1 << l)).alias("m"))), "nodes")
+    return (done if act is None else done.unionByName(act)).where("p > w")
+
+
+def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_lines: int) -> DataFrame:
+    """(id, version, gone, longest) of each text with any: line numbers to
+    delete, ascending, and the lines of its longest run that starts earlier."""
+    lines = C.stored(_lines(docs, id_col, text_col), "lines")
+    texts, rows, suffixes = _first_round(lines)
+    runs = _copied(_rounds(suffixes)).where(F.col("m") >= min_lines)
+    none = F.lit(None)
+    both = rows.withColumn("end", none.cast("long")).unionByName(
+        runs.select("p", none.cast("int").alias("at"), (F.col("p") + F.col("m")).alias("end")))
+    so_far = Window.partitionBy(_doc()).orderBy("p").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reached = both.withColumn("reach", F.max("end").over(so_far)).where("reach > p")
+    gone = reached.groupBy(_doc().alias("doc")).agg(
+        F.sort_array(F.collect_list("at")).alias("gone"), F.max(F.col("end") - F.col("p")).cast("int").alias("longest"))
+    return gone.join(texts, "doc").select("id", "version", "gone", "longest")
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 1,
                result: str = "line_runs") -> DataFrame:
     """``docs`` with a struct column ``result``: n_lines, runs (maximal intervals
-    of deleted line numbers, end exclusive), n_removed, emptied (every non-blank
-    line went) and clean_text (the lines left; empty if emptied).
+    of deleted line numbers, end exclusive), n_removed, longest (non-blank lines
+    of the longest run that also starts earlier, if deleted), emptied (every
+    non-blank line went) and clean_text (the lines left; empty if emptied).
 
-    Lines end at line feeds; blank lines are neither compared nor deleted and do
+    A run of ``min_lines`` non-blank lines or more goes if it also starts
+    earlier; with 1, every later copy of a line.  Lines end at line feeds; blank lines are neither compared nor deleted and do
     not part a run.  Earlier means a smaller id (null first), of texts with one
     id the smaller hash, then the smaller line number; rows equal in id and text
     are one document and fare alike.  The first copy of every line stays.  Null
-    texts have no lines and stay null; texts without repeats stay as they are;
-    ``result`` must not be a column of ``docs``.
+    texts have no lines and stay null; texts without repeats stay as they are; an
+    empty table stays empty.  If ``docs`` has a column ``result`` the new one gets
+    underscores.
     """
-    if result.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"docs already has a column {result}")
-    found = repeated_lines(docs, id_col, text_col, min_words)
-    found = found.select(F.col("id").alias("gone_id"), F.col("version").alias("gone_version"), "gone")
+    result = C.free_name(docs, result)
+    found = repeated_lines(docs, id_col, text_col, min_lines)
+    found = found.select(F.col("id").alias("gone_id"), F.col("version").alias("gone_version"), "gone", "longest")
     # split before the join: behind it the lines are a column, not split anew by each lambda
-    names = [C.free_name(docs, n) for n in ("version", "lines", "gone")]
-    version, lines, gone = names
-    found = found.withColumnRenamed("gone", gone)
+    version, lines, gone, longest = (C.free_name(docs, n) for n in ("version", "lines", "gone", "longest"))
+    found = found.withColumnsRenamed({"gone": gone, "longest": longest})
     rows = docs.withColumns({version: F.xxhash64(docs[text_col]), lines: F.split(docs[text_col], "\n", -1)})
     rows = rows.drop(text_col).join(
         found, rows[id_col].eqNullSafe(found["gone_id"]) & (rows[version] == found["gone_version"]), "left")
@@ -165,7 +172,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = F.struct(
         F.when(F.col(lines).isNull(), 0).otherwise(n).alias("n_lines"),
         F.coalesce(runs.cast("array<struct<start:int,end:int>>"), empty).alias("runs"),
-        F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).alias("n_removed"), emptied.alias("emptied"),
+        F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).alias("n_removed"),
+        F.coalesce(longest, F.lit(0)).alias("longest"), emptied.alias("emptied"),
         F.when(emptied, "").otherwise(F.col(text_name)).alias("clean_text"))
     was = F.array_join(F.col(lines), "\n").alias(text_col)
     return rows.select(*[was if c == text_col else rows[c] for c in docs.columns], out.alias(result))

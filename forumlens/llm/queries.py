@@ -105,44 +105,27 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP9_SQL = r"""
 WITH cut AS (
-    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
-           generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS pos
     FROM documents),
-lines AS (
-    SELECT doc_id, pos, line, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS j,
-           len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
-    FROM cut WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-runs AS (  -- runs of pos most ten lines, which hold ten words pos least
-    SELECT a.doc_id, a.j, b.j AS e, b.words AS last, a.words AS first,
-           (SELECT sum(c.words) FROM lines c WHERE c.doc_id = a.doc_id AND c.j BETWEEN a.j AND b.j) AS words
-    FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND b.j BETWEEN a.j AND a.j + 9),
-shortest AS (
-    SELECT doc_id, j, e FROM runs WHERE words >= 10 AND (words - last < 10 OR words - first < 10)),
-named AS (
-    SELECT s.doc_id, s.j, s.e, string_agg(l.line, chr(10) ORDER BY l.j) AS content
-    FROM shortest s JOIN lines l ON l.doc_id = s.doc_id AND l.j BETWEEN s.j AND s.e GROUP BY ALL),
-ordered AS (
-    SELECT doc_id, j, e, row_number() OVER (PARTITION BY content ORDER BY doc_id, j) AS nth FROM named),
-gone AS (
-    SELECT DISTINCT l.doc_id, l.pos FROM ordered o
-    JOIN lines l ON l.doc_id = o.doc_id AND l.j BETWEEN o.j AND o.e WHERE o.nth > 1),
+told AS (
+    SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS said,
+           row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth FROM cut),
 kept AS (
-    SELECT c.doc_id, string_agg(c.line, chr(10) ORDER BY c.pos) AS text,
-           bool_or(regexp_matches(c.line, '[^\x20\x09-\x0D]')) AS has_words
-    FROM cut c LEFT JOIN gone g ON c.doc_id = g.doc_id AND c.pos = g.pos WHERE g.pos IS NULL GROUP BY c.doc_id)
-SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS INT) AS n_lines,
-       CAST(coalesce(n, 0) AS INT) AS n_removed,
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (said AND nth > 1) AS n,
+           string_agg(line, chr(10) ORDER BY pos) FILTER (NOT said OR nth = 1) AS text,
+           coalesce(bool_or(said AND nth = 1), false) AS has_words
+    FROM told GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INT) AS n_lines, CAST(coalesce(n, 0) AS INT) AS n_removed,
        CASE WHEN d.text IS NOT NULL THEN
-           sha256(CASE WHEN n > 0 AND NOT coalesce(has_words, false) THEN '' ELSE coalesce(k.text, '') END) END AS kept_sha256
-FROM documents d
-LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g ON d.doc_id = g.doc_id
-LEFT JOIN kept k ON d.doc_id = k.doc_id
+           sha256(CASE WHEN n > 0 AND NOT has_words THEN '' ELSE coalesce(k.text, '') END) END AS kept_sha256
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
 
 @query("op9_line_dedup", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup(C.read(spark, sf_dir, "documents").select("doc_id", "text"), min_words=10)
+    out = line_dedup(C.read(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=1)
     return out.select("doc_id", "line_runs.n_lines", "line_runs.n_removed",
                       F.sha2(F.col("line_runs.clean_text").cast("binary"), 256).alias("kept_sha256"))
 
