@@ -1,16 +1,20 @@
 """Nearest neighbours by inner product through a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample and every vector is dealt to a leaf.  A
-query goes down best bin first: a priority queue holds the nodes by the inner
-product of query and centroid, and yields leaves in order of promise.  How many
-leaves a query visits is calibrated: brute force answers a bounded set of
-queries over all vectors, and visits widen until the wanted recall is reached.
-
-Leaves of more than ``CELL`` vectors are cut into cells by a hash of the id, so a
-vector that a third of the rows share fills many cells, not one task.  A cell
-scores its queries exactly and answers with each one's best ``k``; where there
-are more than ``QUERIES``, they too are dealt by a hash of the id, and each block
-of them meets a copy of the cell.
+The tree is fitted on a bounded sample, down to leaves of a few vectors, and
+every vector is dealt to a leaf.  A query goes down best bin first: a priority
+queue holds the children of the nodes that it opened, by the inner product of
+query and centroid plus ``OPTIMISM`` times the spread of the child's vectors, and
+yields leaves in order of promise.  How many leaves a query visits is calibrated:
+brute force answers a bounded set of queries over all vectors, and visits widen
+until the wanted recall is reached.
+
+Neighbouring leaves make up a cell; a leaf of more than a cell's vectors is cut
+into cells by a hash of the id, so a vector that a third of the rows share fills
+many cells, not one task.  A query goes once to each cell with a leaf that it
+visits, with a bit for each leaf.  The cell scores it against its leaves, exactly,
+and answers with each query's best ``k``; where there are more than ``QUERIES``,
+they too are dealt by a hash of the id, and each block of them meets a copy of
+the cell.
 """
 
 from __future__ import annotations
@@ -27,11 +31,11 @@ from pyspark.sql.types import FloatType
 from forumlens.llm import common as C
 
 MAX_SAMPLE = 16_384
-LEAVES = 64  # as many for any number of vectors, so that a query's answers don't grow with it
-LEAF_SAMPLE = 48  # sampled vectors per leaf at least, on average
-CELL = (2048, 32_768)  # vectors per cell: an average leaf, within these bounds
+LEAF = 4  # sampled vectors per leaf, about
+CELL = (2048, 32_768)  # vectors per cell: a task's share, within these bounds
 QUERIES = 32_768  # queries that meet a cell at a time, on average
-BRANCH = 12
+BRANCH = 32
+OPTIMISM = 3.0
 CALIBRATION = 96
 TARGET = 0.97
 
@@ -41,6 +45,7 @@ class Tree:
     """Nodes by number; a leaf has no children and a leaf number."""
 
     centroids: list[np.ndarray] = field(default_factory=list)  # of each node's children
+    spread: list[np.ndarray] = field(default_factory=list)  # of each node's children, per dimension
     children: list[list[int]] = field(default_factory=list)
     leaf: list[int] = field(default_factory=list)
     leaves: int = 0
@@ -62,16 +67,33 @@ class Tree:
         return out
 
     def best_first(self, q: np.ndarray, visits: int) -> list[int]:
-        """The first ``visits`` leaves of a best-bin-first traversal."""
+        """The first ``visits`` leaves of a best-bin-first traversal.
+
+        The queue holds the best child that is left of each node opened; its
+        next one takes its place when it is taken.
+        """
         found: list[int] = []
-        queue = [(0.0, 0)]
+        queue: list[tuple] = []
+
+        def opened(node: int) -> None:
+            key = self.centroids[node] @ q + OPTIMISM * self.spread[node]
+            by = np.argsort(-key, kind="stable")
+            heapq.heappush(queue, ((-key[by[0]]).item(), node, 0, (-key[by]).tolist(), by.tolist()))
+
+        if not self.children[0]:
+            return [0][:visits]
+        opened(0)
         while queue and len(found) < visits:
-            _, node = heapq.heappop(queue)
-            if not self.children[node]:
-                found.append(self.leaf[node])
-                continue
-            for score, child in zip((self.centroids[node] @ q).tolist(), self.children[node], strict=True):
-                heapq.heappush(queue, (-score, child))
+            _, node, at, keys, order = queue[0]
+            if at + 1 < len(keys):
+                heapq.heapreplace(queue, (keys[at + 1], node, at + 1, keys, order))
+            else:
+                heapq.heappop(queue)
+            child = self.children[node][order[at]]
+            if self.children[child]:
+                opened(child)
+            else:
+                found.append(self.leaf[child])
         return found
 
 
@@ -99,6 +121,7 @@ def fit_tree(sample: np.ndarray, leaves: int, seed: int = 5) -> Tree:
     def grow(rows: np.ndarray) -> int:
         node = len(tree.children)
         tree.centroids.append(np.zeros((0, sample.shape[1])))
+        tree.spread.append(np.zeros(0))
         tree.children.append([])
         tree.leaf.append(-1)
         parts = []
@@ -111,6 +134,7 @@ def fit_tree(sample: np.ndarray, leaves: int, seed: int = 5) -> Tree:
             tree.leaves += 1
             return node
         tree.centroids[node] = np.array([c for c, _ in parts])
+        tree.spread[node] = np.array([np.sqrt(np.mean((sample[part] - c) ** 2)) for c, part in parts])
         tree.children[node] = [grow(part) for _, part in parts]
         return node
 
@@ -118,22 +142,54 @@ def fit_tree(sample: np.ndarray, leaves: int, seed: int = 5) -> Tree:
     return tree
 
 
+def cells_of(sizes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each leaf its first cell and its number of cells, and for each cell
+    its first leaf: runs of leaves of ``most`` vectors at most, or parts of one
+    larger leaf."""
+    first, count, low = [], [], []
+    room = 0
+    for leaf, n in enumerate(sizes.tolist()):
+        if n > room or not low:
+            parts = max(1, -(-n // most))
+            first.append(len(low))
+            low += [leaf] * parts
+            room = most - n if parts == 1 else 0
+        else:
+            parts = 1
+            first.append(len(low) - 1)
+            room -= n
+        count.append(parts)
+    return np.array(first), np.array(count), np.array(low)
+
+
 def _matrix(column: pa.Array | pa.ChunkedArray, kind: str) -> np.ndarray:
     rows = [np.frombuffer(x, kind) for x in column.to_pylist()]
     return np.array(rows, np.float64) if rows else np.zeros((0, 0))
 
 
-def best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int
-         ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _by_leaf(q: np.ndarray, x: np.ndarray, starts: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Inner products of queries with the rows of the leaves that they visit, else -inf."""
+    out = np.full((len(q), len(x)), -np.inf)
+    for leaf in np.flatnonzero((np.diff(starts) > 0) & seen.any(axis=0)):
+        a, b, rows = starts[leaf], starts[leaf + 1], np.flatnonzero(seen[:, leaf])
+        out[rows, a:b] = q[rows] @ x[a:b].T
+    return out
+
+
+def best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int,
+         starts: np.ndarray | None = None, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, id, score) of each query's ``k`` largest inner products, ties to
-    the smaller id; rows of the query's own id don't count.
+    the smaller id; rows of the query's own id don't count.  ``starts`` cuts the
+    rows into leaves, ``seen`` tells which of them each query visits (without
+    them: all).
 
     A matrix product finds who can be among them; these are scored one by one
     in a fixed order of summation, so equal vectors have equal scores.
     """
     out: tuple[list, list, list] = ([], [], [])
     for a in range(0, len(q), 256):
-        rough = q[a:a + 256] @ x.T
+        part = q[a:a + 256]
+        rough = part @ x.T if seen is None else _by_leaf(part, x, starts, seen[a:a + 256])
         for query, vector, row in zip(query_ids[a:a + 256], q[a:a + 256], rough, strict=True):
             row[ids == query] = -np.inf
             n = min(k, int((row > -np.inf).sum()))
@@ -237,28 +293,58 @@ def _deal(tree: Tree, kind: str):
     return run
 
 
-def _send(tree: Tree, visits: int, cells: np.ndarray, first: np.ndarray, kind: str):
+def _send(tree: Tree, visits: int, first: np.ndarray, count: np.ndarray, low: np.ndarray, kind: str):
+    high = np.append(low[1:], tree.leaves)
+    high = np.maximum(high, low + 1)
+
     def run(batches):
         for batch in batches:
-            to, row = [], []
+            to, row, bits = [], [], []
             for i, q in enumerate(_matrix(batch.column("vec"), kind)):
-                for leaf in tree.best_first(q, visits):
-                    to += range(first[leaf], first[leaf] + cells[leaf])
-                    row += [i] * cells[leaf]
+                seen = np.zeros(tree.leaves, bool)
+                seen[tree.best_first(q, visits)] = True
+                leaves = np.flatnonzero(seen)
+                cells = np.unique(np.concatenate([np.arange(f, f + c) for f, c in zip(first[leaves], count[leaves], strict=True)]))
+                to.append(cells)
+                row += [i] * len(cells)
+                bits += [np.packbits(seen[low[c]:high[c]]).tobytes() for c in cells]
             mine = batch.take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*mine.columns, pa.array(to, pa.int32())], ["id", "vec", "cell"])
+            cell = np.concatenate([*to, np.zeros(0, np.int64)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*mine.columns, pa.array(bits, pa.binary()), pa.array(cell)],
+                                             ["id", "vec", "seen", "cell"])
     return run
 
 
-def _search(k: int, kind: str):
+def _search(k: int, kind: str, low: np.ndarray):
     def run(cell: pa.Table, queries: pa.Table) -> pa.Table:
         if not cell.num_rows or not queries.num_rows:
             return _found((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)))
+        cell = cell.sort_by("leaf")
+        leaf = cell.column("leaf").to_numpy() - low[queries.column("cell")[0].as_py()]
+        rows = [np.unpackbits(np.frombuffer(x, np.uint8)) for x in queries.column("seen").to_pylist()]
+        seen = np.array(rows)[:, :leaf[-1] + 1].astype(bool)
+        starts = np.searchsorted(leaf, np.arange(leaf[-1] + 2))
         return _found(best(cell.column("id").to_numpy(), _matrix(cell.column("vec"), kind),
-                           queries.column("id").to_numpy(), _matrix(queries.column("vec"), kind), k))
+                           queries.column("id").to_numpy(), _matrix(queries.column("vec"), kind), k, starts, seen))
     return run
 
 
+def index_of(parts: DataFrame, queries: DataFrame, n: int, k: int, target: float, kind: str) -> tuple[Tree, int] | None:
+    """The tree, and the leaves that a query visits; None without vectors."""
+    sample = parts.where(F.pmod(F.xxhash64("id", F.lit("tree")), F.lit(1_000_000)) < 1e6 * MAX_SAMPLE / max(n, 1))
+    sample = _matrix(sample.select("vec").toArrow().column("vec"), kind)
+    if not len(sample):
+        return None
+    tree = fit_tree(sample, max(1, len(sample) // LEAF))
+    return tree, calibrate(parts, queries, tree, k, target, kind) if tree.leaves > 1 else 1
+
+
+def scored_share(tree: Tree, visits: int, x: np.ndarray, q: np.ndarray) -> float:
+    """The share of the vectors ``x`` that a query of ``q`` is scored against, on average."""
+    size = np.bincount(tree.assign(x), minlength=tree.leaves)
+    return float(np.mean([size[tree.best_first(v, visits)].sum() for v in q]) / len(x))
+
+
 def nearest(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
             target: float = TARGET) -> DataFrame:
     """query_id, rank (from 1), vec_id and score (inner product in double
@@ -274,25 +360,23 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id
     asks = F.col("id") % every == 0
     n, n_queries = parts.agg(F.count(F.lit(1)), F.approx_count_distinct(F.when(asks, F.col("id")))).first()
     queries = parts.where(asks).groupBy("id").agg(F.min("vec").alias("vec"))
-    sample = parts.where(F.pmod(F.xxhash64("id", F.lit("tree")), F.lit(1_000_000)) < 1e6 * MAX_SAMPLE / max(n, 1))
-    sample = _matrix(sample.select("vec").toArrow().column("vec"), kind)
-    if not len(sample):
+    index = index_of(parts, queries, n, k, target, kind)
+    if index is None:
         return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    tree = fit_tree(sample, min(LEAVES, len(sample) // LEAF_SAMPLE))
-    visits = calibrate(parts, queries, tree, k, target, kind) if tree.leaves > 1 else 1
+    tree, visits = index
     dealt = C.stored(parts.mapInArrow(_deal(tree, kind), "id long, vec binary, leaf int"), "leaves")
     sizes = {r.leaf: r["count"] for r in dealt.groupBy("leaf").count().collect()}  # as many rows as leaves
-    size = min(max(CELL[0], n // LEAVES), CELL[1])
-    cells = np.array([max(1, -(-sizes.get(i, 0) // size)) for i in range(tree.leaves)])
-    first = np.cumsum(cells) - cells
-    counts, starts = (F.array(*[F.lit(int(v)) for v in x]) for x in (cells, first))
-    leaf = F.col("leaf")
-    cell = F.get(starts, leaf) + F.pmod(F.xxhash64("id"), F.get(counts, leaf)).cast("int")
-    sent = queries.mapInArrow(_send(tree, visits, cells, first, kind), "id long, vec binary, cell int")
+    most = min(max(CELL[0], n // (2 * C.shuffle_width(rows.sparkSession))), CELL[1])
+    first, count, low = cells_of(np.array([sizes.get(i, 0) for i in range(tree.leaves)]), most)
+    table = rows.sparkSession.createDataFrame(
+        [(i, int(f), int(c)) for i, (f, c) in enumerate(zip(first, count, strict=True))], "leaf int, first int, cells int")
+    cell = F.col("first") + F.pmod(F.xxhash64("id"), F.col("cells")).cast("int")
+    dealt = dealt.join(F.broadcast(table), "leaf")  # as many rows as leaves
+    sent = queries.mapInArrow(_send(tree, visits, first, count, low, kind), "id long, vec binary, seen binary, cell int")
     blocks = max(1, -(-n_queries // QUERIES))
     block = F.pmod(F.xxhash64("id", F.lit("block")), F.lit(blocks)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))) if blocks > 1 else F.lit(0)
-    found = (dealt.select("id", "vec", cell.alias("cell"), copies.alias("block")).groupBy("cell", "block")
+    found = (dealt.select("id", "vec", "leaf", cell.alias("cell"), copies.alias("block")).groupBy("cell", "block")
              .cogroup(sent.withColumn("block", block).groupBy("cell", "block"))
-             .applyInArrow(_search(k, kind), FOUND))
+             .applyInArrow(_search(k, kind, low), FOUND))
     return _top(found, k).select("query_id", "rank", "vec_id", "score")

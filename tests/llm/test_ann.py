@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from forumlens.llm import ann
 from forumlens.llm.queries import QUERIES
@@ -52,7 +53,6 @@ def test_calibrated_recall(spark):
 
 @pytest.mark.parametrize("clusters", [1, 30])
 def test_tree_search(spark, monkeypatch, clusters):
-    monkeypatch.setattr(ann, "LEAF_SAMPLE", 5)
     monkeypatch.setattr(ann, "CELL", (64, 64))
     rng = np.random.default_rng(clusters)
     x = (rng.normal(size=(clusters, 8))[rng.integers(0, clusters, 1500)] + 0.4 * rng.normal(size=(1500, 8))).round(3)
@@ -71,15 +71,14 @@ def test_tree_search(spark, monkeypatch, clusters):
 
 def test_blocks_of_queries(spark, monkeypatch):
     """No cell meets more queries than a block, and the answers are the same."""
-    monkeypatch.setattr(ann, "LEAF_SAMPLE", 20)
     rng = np.random.default_rng(2)
     x = rng.normal(size=(1500, 6)).round(3)
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     want = sorted(tuple(r) for r in ann.nearest(df, every=2).collect())
     search = ann._search
 
-    def bounded(k, kind):
-        run = search(k, kind)
+    def bounded(k, kind, low):
+        run = search(k, kind, low)
 
         def checked(cell, queries):
             assert queries.num_rows <= 90
@@ -105,6 +104,44 @@ def test_edges(spark):
     assert ann.nearest(df.where("embedding is null")).count() == 0
 
 
+def _index(spark, x, every=20, k=20):
+    """Tree, visits, vectors and queries as ``nearest`` has them."""
+    parts, kind = ann.vectors(x, "vec_id", "embedding")
+    queries = parts.where(f"id % {every} = 0").groupBy("id").agg(F.min("vec").alias("vec"))
+    n = parts.count()
+    tree, visits = ann.index_of(parts, queries, n, k, ann.TARGET, kind)
+    m, q = (ann._matrix(t.toArrow().column("vec"), kind) for t in (parts, queries))
+    return tree, visits, m, q
+
+
+def test_share_of_vectors_scored(spark):
+    """Under half on these vectors of hardly any structure, and less where there are more."""
+    small = _index(spark, spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet"))
+    large = _index(spark, spark.read.parquet("/root/testdata/check_s/embeddings.parquet"))
+    share = [ann.scored_share(t, v, m, q[:100]) for t, v, m, q in (small, large)]
+    assert share[1] < share[0] < 0.5, share
+
+
+def test_clustered_vectors(spark):
+    """Structure is used: few vectors are scored, and the recall holds over all queries."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 16))[rng.integers(0, 60, 4000)] + 0.25 * rng.normal(size=(4000, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    tree, visits, m, q = _index(spark, df)
+    assert ann.scored_share(tree, visits, m, q) < 0.2
+    got = {(r.query_id, r.vec_id) for r in ann.nearest(df).collect()}
+    score = x[::20] @ x.T
+    score[np.arange(200), np.arange(200) * 20] = -np.inf
+    want = {(20 * i, j) for i, s in enumerate(score) for j in np.argsort(-s)[:20].tolist()}
+    assert len(want & got) / len(want) >= 0.96
+
+
+def test_cells_hold_runs_of_leaves():
+    first, count, low = ann.cells_of(np.array([3, 4, 0, 25, 2, 2, 9, 1]), 10)
+    assert first.tolist() == [0, 0, 0, 1, 4, 4, 5, 5] and count.tolist() == [1, 1, 1, 3, 1, 1, 1, 1]
+    assert low.tolist() == [0, 3, 3, 3, 4, 6]
+
+
 def test_traversal_reaches_all_leaves():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(500, 6))
