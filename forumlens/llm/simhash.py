@@ -1,15 +1,20 @@
 """SimHash near-duplicates through BK-trees.
 
-Fingerprints of 64 bits are cut into radius + 1 bands.  Two fingerprints within
-the radius agree in one band at least, so a shard is all fingerprints with one
-value of one band, and no link crosses shards unseen.  Each shard has a BK-tree
-of its own, built and searched in the task that holds the shard: the trees
-together grow with the corpus, so nothing is broadcast.  Equal fingerprints
+Fingerprints of 64 bits are cut into bands.  With ``agree`` bands more than the
+radius, two fingerprints within the radius agree in ``agree`` bands at least, so a
+shard is all fingerprints with the same values of so many bands, of each as many
+bits as leave a shard some ``SHARD`` fingerprints, and no link crosses shards
+unseen.  Each shard has a BK-tree of its own, built and searched in the task that
+holds it: the trees together grow with the corpus, so they are not broadcast.  A
+shard of more than ``MOST`` fingerprints is cut into blocks, and each pair of
+blocks is a task: the tree of one, searched by the other.  Equal fingerprints
 shrink to one before; a shard answers with a star per class, not with pairs.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -17,11 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.llm import common as C
-from forumlens.llm.bk_tree import classes
+from forumlens.llm.bk_tree import Classes, Tree, link
 from forumlens.llm.components import components
 
 SEED = 42
-SHARDS_PER_PARTITION = 4
+SHARD = 4_096  # fingerprints in a shard, about
+MOST = 65_536  # in a block of a larger shard
 _LOWER = bytes.maketrans(bytes(range(0x41, 0x5B)), bytes(range(0x61, 0x7B)))
 
 
@@ -70,32 +76,49 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
             .mapInArrow(_fingerprints(shingle), f"id {kind}, version long, print long"))
 
 
-def _stars(radius: int, bands: int):
-    cuts = [64 * k // bands for k in range(bands + 1)]
+def shard_masks(n: int, radius: int, size: int) -> list[int]:
+    """Masks such that two fingerprints within ``radius`` bits agree under one at
+    least, wide enough for shards of about ``size`` of ``n`` fingerprints."""
+    bits = max(0, (max(n, 1) // size).bit_length() - 1)
+    agree = 1
+    while 64 // (radius + agree) * agree < bits and agree < 4:
+        agree += 1
+    bands = radius + agree
+    each = min(64 // bands, -(-bits // agree))
+    cuts = [64 * k // bands for k in range(bands)]
+    return [sum(((1 << each) - 1) << cuts[k] for k in some) for some in combinations(range(bands), agree)]
+
 
+def _stars(radius: int):
+    """One shard, or a pair of blocks of one: the tree of the first block, searched by the second."""
     def run(group: pa.Table) -> pa.Table:
         prints = group.column("print").to_numpy().view(np.uint64)
-        band = group.column("band").to_numpy()
-        low = np.array(cuts, np.uint64)[band]
-        width = np.diff(cuts).astype(np.uint64)[band]
-        value = (prints >> low) & ((np.uint64(1) << width) - np.uint64(1))
-        by = np.lexsort((prints, value, band))
-        prints, band, value = prints[by], band[by], value[by]
-        new = np.flatnonzero(np.append(True, (band[1:] != band[:-1]) | (value[1:] != value[:-1])))
-        us, vs = [], []
-        for a, b in zip(new, np.append(new[1:], len(prints)), strict=True):
-            if b - a > 1:
-                shard = prints[a:b]
-                root = classes(shard, radius)
-                linked = root != np.arange(len(shard))
-                us.append(shard[linked])
-                vs.append(shard[root[linked]])
-        u = np.concatenate([*us, np.zeros(0, np.uint64)])
-        v = np.concatenate([*vs, np.zeros(0, np.uint64)])
-        return pa.table({"u": u.view(np.int64), "v": v.view(np.int64)})
+        mine = group.column("block").to_numpy() == group.column("tree").to_numpy()
+        tree, others = np.sort(prints[mine]), np.sort(prints[~mine])
+        within = group.column("tree")[0].as_py() == group.column("search")[0].as_py()
+        both = tree if within else np.concatenate([tree, others])
+        same = Classes(len(both))
+        link(Tree(tree), tree if within else others, radius, same, 0 if within else len(tree))
+        root = same.of(np.arange(len(both)))
+        linked = root != np.arange(len(both))
+        return pa.table({"u": both[linked].view(np.int64), "v": both[root[linked]].view(np.int64)})
     return run
 
 
+def _blocks(shards: DataFrame, most: int) -> DataFrame:
+    """(print, mask, value, block, tree, search): the rows of a shard; of one with
+    more than ``most`` a row for each pair of blocks that a fingerprint's block is in."""
+    large = shards.groupBy("mask", "value").count().where(F.col("count") > most)
+    large = large.select("mask", "value", F.ceil(F.col("count") / most).cast("int").alias("blocks"))
+    # at most len(masks) * n / most rows
+    rows = shards.join(F.broadcast(large), ["mask", "value"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    block = F.pmod(F.xxhash64("print", F.lit("block")), F.col("blocks")).cast("int")
+    rows = rows.withColumn("block", block)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    return rows.select("print", "mask", "value", "block", other.alias("other")).select(
+        "print", "mask", "value", "block", F.least("block", "other").alias("tree"), F.greatest("block", "other").alias("search"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 4, radius: int = 4) -> DataFrame:
     """Per row of ``docs``: ``id_col``, version (xxhash64 of the text),
@@ -111,17 +134,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     rows = C.stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     prints = rows.groupBy("print").agg(F.min("id").alias("least_id"))
-    bands = radius + 1
-    shards = C.shuffle_width(spark) * SHARDS_PER_PARTITION
-    band = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("band"),
-                 F.expr(f"shiftrightunsigned(print, {64 * k // bands}) & "
-                        f"{(1 << (64 * (k + 1) // bands - 64 * k // bands)) - 1}L").alias("value"))
-        for k in range(bands)]))
-    shard = F.pmod(F.xxhash64("at.band", "at.value"), F.lit(shards))
-    links = (rows.select("print").distinct().select("print", band.alias("at"))
-             .select("print", "at.band", shard.cast("int").alias("shard"))
-             .groupBy("shard").applyInArrow(_stars(radius, bands), "u long, v long"))
+    distinct = C.stored(rows.select("print").distinct(), "prints")
+    masks = shard_masks(distinct.count(), radius, SHARD)
+    shard = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("mask"), F.col("print").bitwiseAND(F.lit(m - (m >> 63 << 64))).alias("value"))
+        for k, m in enumerate(masks)]))
+    shards = distinct.select("print", shard.alias("s")).select("print", "s.*")
+    links = (_blocks(shards, MOST).groupBy("mask", "value", "tree", "search")
+             .applyInArrow(_stars(radius), "u long, v long"))
     roots = components(links)
     named = prints.join(roots, prints["print"] == roots["node"], "left")
     named = C.stored(named.select("print", "least_id", F.coalesce("root", "print").alias("root")), "roots")
