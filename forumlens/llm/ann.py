@@ -1,12 +1,13 @@
 """Nearest neighbours by inner product through a hierarchical k-means tree.
 
 The tree is fitted on a bounded sample, down to leaves of a few vectors, and
-every vector is dealt to a leaf.  A query goes down best bin first: a priority
-queue holds the children of the nodes that it opened, by the inner product of
-query and centroid plus ``OPTIMISM`` times the spread of the child's vectors, and
-yields leaves in order of promise.  How many leaves a query visits is calibrated:
-brute force answers a bounded set of queries over all vectors, and visits widen
-until the wanted recall is reached.
+every vector is dealt to a leaf.  A query goes down best bin first: a node promises
+the inner product of query and centroid plus ``OPTIMISM`` times the spread of its
+vectors, and no more than its parent.  A priority queue holds the inner nodes; the
+best is opened, until enough leaves of opened nodes promise as much as any node
+in the queue.  How many leaves a query visits is calibrated: brute force answers a
+bounded set of queries over all vectors, and visits widen until the wanted recall
+is reached.
 
 Neighbouring leaves make up a cell; a leaf of more than a cell's vectors is cut
 into cells by a hash of the id, so a vector that a third of the rows share fills
@@ -14,7 +15,8 @@ many cells, not one task.  A query goes once to each cell with a leaf that it
 visits, with a bit for each leaf.  The cell scores it against its leaves, exactly,
 and answers with each query's best ``k``; where there are more than ``QUERIES``,
 they too are dealt by a hash of the id, and each block of them meets a copy of
-the cell.
+the cell.  The cell of a query's first leaf answers before the others, which then
+answer only with what is among the best ``k`` so far.
 """
 
 from __future__ import annotations
@@ -30,11 +32,11 @@ from pyspark.sql.types import FloatType
 
 from forumlens.llm import common as C
 
-MAX_SAMPLE = 16_384
-LEAF = 4  # sampled vectors per leaf, about
+MAX_SAMPLE = 65_536
+LEAF = 3  # sampled vectors per leaf, about
 CELL = (2048, 32_768)  # vectors per cell: a task's share, within these bounds
 QUERIES = 32_768  # queries that meet a cell at a time, on average
-BRANCH = 32
+BRANCH = 128
 OPTIMISM = 3.0
 CALIBRATION = 96
 TARGET = 0.97
@@ -46,7 +48,7 @@ class Tree:
 
     centroids: list[np.ndarray] = field(default_factory=list)  # of each node's children
     spread: list[np.ndarray] = field(default_factory=list)  # of each node's children, per dimension
-    children: list[list[int]] = field(default_factory=list)
+    children: list[np.ndarray] = field(default_factory=list)
     leaf: list[int] = field(default_factory=list)
     leaves: int = 0
 
@@ -56,7 +58,7 @@ class Tree:
         stack = [(0, np.arange(len(x)))]
         while stack:
             node, rows = stack.pop()
-            if not self.children[node]:
+            if not len(self.children[node]):
                 out[rows] = self.leaf[node]
                 continue
             near = _nearest(x[rows], self.centroids[node])
@@ -66,35 +68,24 @@ class Tree:
                     stack.append((child, mine))
         return out
 
-    def best_first(self, q: np.ndarray, visits: int) -> list[int]:
-        """The first ``visits`` leaves of a best-bin-first traversal.
-
-        The queue holds the best child that is left of each node opened; its
-        next one takes its place when it is taken.
-        """
-        found: list[int] = []
-        queue: list[tuple] = []
-
-        def opened(node: int) -> None:
-            key = self.centroids[node] @ q + OPTIMISM * self.spread[node]
-            by = np.argsort(-key, kind="stable")
-            heapq.heappush(queue, ((-key[by[0]]).item(), node, 0, (-key[by]).tolist(), by.tolist()))
-
-        if not self.children[0]:
-            return [0][:visits]
-        opened(0)
-        while queue and len(found) < visits:
-            _, node, at, keys, order = queue[0]
-            if at + 1 < len(keys):
-                heapq.heapreplace(queue, (keys[at + 1], node, at + 1, keys, order))
-            else:
-                heapq.heappop(queue)
-            child = self.children[node][order[at]]
-            if self.children[child]:
-                opened(child)
-            else:
-                found.append(self.leaf[child])
-        return found
+    def best_first(self, q: np.ndarray, visits: int) -> np.ndarray:
+        """The first ``visits`` leaves of a best-bin-first traversal, in order."""
+        numbers = np.array(self.leaf)
+        if not len(self.children[0]):
+            return numbers[:visits]
+        queue, at_hand, promised = [(-np.inf, 0)], [], np.zeros(0)
+        while queue:
+            least, node = heapq.heappop(queue)
+            if len(promised) >= visits and np.count_nonzero(promised >= -least) >= visits:
+                break
+            promise = np.minimum(self.centroids[node] @ q + OPTIMISM * self.spread[node], -least)
+            number = numbers[self.children[node]]
+            is_leaf = number >= 0
+            promised = np.concatenate([promised, promise[is_leaf]])
+            at_hand.append(number[is_leaf])
+            for i in np.flatnonzero(~is_leaf).tolist():
+                heapq.heappush(queue, (-promise[i].item(), int(self.children[node][i])))
+        return np.concatenate(at_hand)[np.argsort(-promised, kind="stable")[:visits]]
 
 
 def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -114,7 +105,7 @@ def _k_means(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 10)
 
 
 def fit_tree(sample: np.ndarray, leaves: int, seed: int = 5) -> Tree:
-    """Split nodes until a leaf has its share of the sample."""
+    """Split nodes until a leaf has its share of the sample, or up to three times that."""
     tree, rng = Tree(), np.random.default_rng(seed)
     share = max(1, len(sample) // max(1, leaves))
 
@@ -122,10 +113,10 @@ def fit_tree(sample: np.ndarray, leaves: int, seed: int = 5) -> Tree:
         node = len(tree.children)
         tree.centroids.append(np.zeros((0, sample.shape[1])))
         tree.spread.append(np.zeros(0))
-        tree.children.append([])
+        tree.children.append(np.zeros(0, np.int64))
         tree.leaf.append(-1)
         parts = []
-        if len(rows) > share:
+        if len(rows) > 3 * share:
             centers = _k_means(sample[rows], min(BRANCH, -(-len(rows) // share)), rng)
             near = _nearest(sample[rows], centers)
             parts = [(c, rows[near == k]) for k, c in enumerate(centers) if (near == k).any()]
@@ -135,7 +126,7 @@ def fit_tree(sample: np.ndarray, leaves: int, seed: int = 5) -> Tree:
             return node
         tree.centroids[node] = np.array([c for c, _ in parts])
         tree.spread[node] = np.array([np.sqrt(np.mean((sample[part] - c) ** 2)) for c, part in parts])
-        tree.children[node] = [grow(part) for _, part in parts]
+        tree.children[node] = np.array([grow(part) for _, part in parts])
         return node
 
     grow(np.arange(len(sample)))
@@ -177,21 +168,23 @@ def _by_leaf(q: np.ndarray, x: np.ndarray, starts: np.ndarray, seen: np.ndarray)
 
 
 def best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int,
-         starts: np.ndarray | None = None, seen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+         starts: np.ndarray | None = None, seen: np.ndarray | None = None, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, id, score) of each query's ``k`` largest inner products, ties to
     the smaller id; rows of the query's own id don't count.  ``starts`` cuts the
     rows into leaves, ``seen`` tells which of them each query visits (without
-    them: all).
+    them: all); scores below a query's ``floor`` don't count.
 
     A matrix product finds who can be among them; these are scored one by one
     in a fixed order of summation, so equal vectors have equal scores.
     """
     out: tuple[list, list, list] = ([], [], [])
+    floor = np.full(len(q), -np.inf) if floor is None else floor
     for a in range(0, len(q), 256):
         part = q[a:a + 256]
         rough = part @ x.T if seen is None else _by_leaf(part, x, starts, seen[a:a + 256])
-        for query, vector, row in zip(query_ids[a:a + 256], q[a:a + 256], rough, strict=True):
+        for query, vector, low, row in zip(query_ids[a:a + 256], part, floor[a:a + 256], rough, strict=True):
             row[ids == query] = -np.inf
+            row[row < low - 1e-9 * (1 + abs(low))] = -np.inf
             n = min(k, int((row > -np.inf).sum()))
             if not n:
                 continue
@@ -199,6 +192,7 @@ def best(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k
             some = np.flatnonzero(row >= least - 1e-9 * (1 + abs(least)))
             some = some[row[some] > -np.inf]
             score = (x[some] * vector).sum(axis=1)
+            some, score = some[score >= low], score[score >= low]
             by = np.lexsort((ids[some], -score))[:n]
             out[0].append(np.full(len(by), query))
             out[1].append(ids[some[by]])
@@ -277,7 +271,7 @@ def calibrate(rows: DataFrame, queries: DataFrame, tree: Tree, k: int, target: f
     at = true.join(F.broadcast(true.select("id").distinct()), "id").join(rows, "id")  # k * CALIBRATION ids at most
     got = at.select("query_id", "vec").toArrow()
     leaf = tree.assign(_matrix(got.column("vec"), kind))
-    order = {i: {n: r for r, n in enumerate(tree.best_first(v, tree.leaves))} for i, v in zip(ids.tolist(), q, strict=True)}
+    order = {i: np.argsort(tree.best_first(v, tree.leaves)) for i, v in zip(ids.tolist(), q, strict=True)}
     need = np.array([order[i][n] for i, n in zip(got.column("query_id").to_pylist(), leaf.tolist(), strict=True)])
     visits = 1
     while visits < tree.leaves and (need < visits).mean() < target:
@@ -299,19 +293,21 @@ def _send(tree: Tree, visits: int, first: np.ndarray, count: np.ndarray, low: np
 
     def run(batches):
         for batch in batches:
-            to, row, bits = [], [], []
+            to, row, bits, home = [], [], [], []
             for i, q in enumerate(_matrix(batch.column("vec"), kind)):
-                seen = np.zeros(tree.leaves, bool)
-                seen[tree.best_first(q, visits)] = True
-                leaves = np.flatnonzero(seen)
-                cells = np.unique(np.concatenate([np.arange(f, f + c) for f, c in zip(first[leaves], count[leaves], strict=True)]))
+                seen, leaves = np.zeros(tree.leaves, bool), tree.best_first(q, visits)
+                seen[leaves] = True
+                cells = np.unique(np.concatenate([first[leaves], *(np.arange(first[k], first[k] + count[k])
+                                                                   for k in leaves[count[leaves] > 1])]))
                 to.append(cells)
+                home.append(cells == first[leaves[0]])
                 row += [i] * len(cells)
                 bits += [np.packbits(seen[low[c]:high[c]]).tobytes() for c in cells]
             mine = batch.take(pa.array(row, pa.int64()))
             cell = np.concatenate([*to, np.zeros(0, np.int64)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*mine.columns, pa.array(bits, pa.binary()), pa.array(cell)],
-                                             ["id", "vec", "seen", "cell"])
+            yield pa.RecordBatch.from_arrays(
+                [*mine.columns, pa.array(bits, pa.binary()), pa.array(cell), pa.array(np.concatenate([*home, np.zeros(0, bool)]))],
+                ["id", "vec", "seen", "cell", "home"])
     return run
 
 
@@ -325,7 +321,8 @@ def _search(k: int, kind: str, low: np.ndarray):
         seen = np.array(rows)[:, :leaf[-1] + 1].astype(bool)
         starts = np.searchsorted(leaf, np.arange(leaf[-1] + 2))
         return _found(best(cell.column("id").to_numpy(), _matrix(cell.column("vec"), kind),
-                           queries.column("id").to_numpy(), _matrix(queries.column("vec"), kind), k, starts, seen))
+                           queries.column("id").to_numpy(), _matrix(queries.column("vec"), kind), k, starts, seen,
+                           queries.column("floor").to_numpy()))
     return run
 
 
@@ -372,11 +369,22 @@ def nearest(rows: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id
         [(i, int(f), int(c)) for i, (f, c) in enumerate(zip(first, count, strict=True))], "leaf int, first int, cells int")
     cell = F.col("first") + F.pmod(F.xxhash64("id"), F.col("cells")).cast("int")
     dealt = dealt.join(F.broadcast(table), "leaf")  # as many rows as leaves
-    sent = queries.mapInArrow(_send(tree, visits, first, count, low, kind), "id long, vec binary, seen binary, cell int")
+    width = C.shuffle_width(rows.sparkSession)
+    sent = C.stored(queries.repartition(width).mapInArrow(
+        _send(tree, visits, first, count, low, kind), "id long, vec binary, seen binary, cell int, home boolean"), "sent")
     blocks = max(1, -(-n_queries // QUERIES))
     block = F.pmod(F.xxhash64("id", F.lit("block")), F.lit(blocks)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))) if blocks > 1 else F.lit(0)
-    found = (dealt.select("id", "vec", "leaf", cell.alias("cell"), copies.alias("block")).groupBy("cell", "block")
-             .cogroup(sent.withColumn("block", block).groupBy("cell", "block"))
-             .applyInArrow(_search(k, kind, low), FOUND))
+    vectors_ = dealt.select("id", "vec", "leaf", cell.alias("cell"), copies.alias("block"))
+
+    def answers(asked: DataFrame) -> DataFrame:
+        asked = asked.select("id", "vec", "seen", "floor", "cell", block.alias("block"))
+        return (vectors_.groupBy("cell", "block").cogroup(asked.groupBy("cell", "block"))
+                .applyInArrow(_search(k, kind, low), FOUND))
+
+    nothing = F.lit(float("-inf"))
+    near = C.stored(_top(answers(sent.where("home").withColumn("floor", nothing)), k), "near")
+    floor = near.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("floor"))
+    rest = sent.where("not home").join(floor, "id", "left").withColumn("floor", F.coalesce("floor", nothing))
+    found = near.drop("rank").unionByName(answers(rest))
     return _top(found, k).select("query_id", "rank", "vec_id", "score")

@@ -1,3 +1,4 @@
+import heapq
 import math
 
 import numpy as np
@@ -142,13 +143,27 @@ def test_cells_hold_runs_of_leaves():
     assert low.tolist() == [0, 3, 3, 3, 4, 6]
 
 
+def leaf_by_leaf(tree, q, n):
+    """One node at a time from a priority queue, leaves too."""
+    queue, found = [(-np.inf, 0)], []
+    while queue and len(found) < n:
+        least, node = heapq.heappop(queue)
+        if not len(tree.children[node]):
+            found.append(tree.leaf[node])
+            continue
+        for c, s, child in zip(tree.centroids[node], tree.spread[node], tree.children[node].tolist(), strict=True):
+            heapq.heappush(queue, (max(least, -(c @ q + ann.OPTIMISM * s)), child))
+    return found
+
+
 def test_traversal_reaches_all_leaves():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(500, 6))
-    tree = ann.fit_tree(x, 40)
+    tree = ann.fit_tree(x, 100)
     assert tree.leaves > 20
     for q in x[:5]:
         assert sorted(tree.best_first(q, tree.leaves)) == list(range(tree.leaves))
-        assert tree.best_first(q, 3) == tree.best_first(q, tree.leaves)[:3]
+        for n in (1, 3, tree.leaves // 2):
+            assert tree.best_first(q, n).tolist() == tree.best_first(q, tree.leaves)[:n].tolist() == leaf_by_leaf(tree, q, n)
     assert set(tree.assign(x).tolist()) <= set(range(tree.leaves))
     assert ann.fit_tree(np.ones((50, 3)), 10).leaves == 1
