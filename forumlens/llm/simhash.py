@@ -140,7 +140,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.struct(F.lit(k).alias("mask"), F.col("print").bitwiseAND(F.lit(m - (m >> 63 << 64))).alias("value"))
         for k, m in enumerate(masks)]))
     shards = distinct.select("print", shard.alias("s")).select("print", "s.*")
-    links = (_blocks(shards, MOST).groupBy("mask", "value", "tree", "search")
+    cells = ["mask", "value", "tree", "search"]
+    links = (_blocks(shards, MOST).repartition(C.shuffle_width(spark), *cells).groupBy(*cells)
              .applyInArrow(_stars(radius), "u long, v long"))
     roots = components(links)
     named = prints.join(roots, prints["print"] == roots["node"], "left")
