@@ -1,9 +1,10 @@
 """WARC archives: write, normalise to one gzip member per record, read back by offset.
 
 Spark's text writer makes the raw archives: whole-file gzip streams, as many a
-crawler leaves them.  The normaliser inflates each stream once, from start to
-end, rewrites every record as a gzip member of its own and writes a sidecar
-index of offsets.  Readers then seek to single records.
+crawler leaves them.  The normaliser reads and inflates each stream once, from
+start to end and a piece at a time, rewrites every record as a gzip member of its
+own and writes a sidecar index of offsets: whatever the size of an archive, a task
+holds one record of it.  Readers then seek to single records.
 
 Normalised archives are files, so tasks write them to the shared folder through
 pyarrow's file systems: under a name of the attempt, moved to the final name at
@@ -22,11 +23,11 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.llm import common as C
+from forumlens.sources.files import file_system
 
 #: Fixed values of the format.
 END = "\r\n\r\n"
@@ -34,7 +35,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 RECORDS_PER_FILE = 2000
-READ_SIZE = 1 << 18
+READ_SIZE = 1 << 18  # bytes of a stream read, or inflated, at a time
+INDEX_ROWS = 4096  # index rows that a task holds
 
 
 def digest(payload: Column) -> Column:
@@ -86,18 +88,25 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
      .option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder))
 
 
-def inflated(content: memoryview) -> Iterator[bytes]:
-    """A gzip file of any number of members, a piece at a time."""
-    stream, at = zlib.decompressobj(31), 0
-    while at < len(content):
-        data = bytes(content[at:at + READ_SIZE])
-        at += len(data)
+def pieces(file, size: int = READ_SIZE) -> Iterator[bytes]:
+    """What a file holds, ``size`` bytes at a time."""
+    while data := file.read(size):
+        yield data
+
+
+def inflated(compressed: Iterator[bytes], size: int = READ_SIZE) -> Iterator[bytes]:
+    """A gzip stream of any number of members, at most ``size`` bytes at a time."""
+    stream = None
+    for data in compressed:
         while data:
-            yield stream.decompress(data)
-            data = stream.unused_data
-            if stream.eof and (data or at < len(content)):
+            if stream is None or stream.eof:
                 stream = zlib.decompressobj(31)
-    yield stream.flush()
+            yield stream.decompress(data, size)
+            data = stream.unused_data if stream.eof else stream.unconsumed_tail
+    while stream is not None and not stream.eof:
+        if not (rest := stream.decompress(b"", size)):
+            raise ValueError("a gzip stream ends before its end")
+        yield rest
 
 
 def split_records(pieces: Iterator[bytes]) -> Iterator[bytes]:
@@ -125,51 +134,62 @@ def fields(head: bytes) -> dict[str, str]:
     return {a.lower(): b.strip() for a, _, b in lines}
 
 
-def _file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    return fs.FileSystem.from_uri(uri)
-
-
 def _normalise(folder: str):
+    kind = pa.schema([("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64()),
+                      ("record", pa.string()), ("type", pa.string())])
+
+    def one(path: str) -> Iterator[list[dict]]:
+        store, base = file_system(folder)
+        source, raw = file_system(path)
+        name = path.rpartition("/")[2].removesuffix(".gz").removesuffix(".txt")
+        mine = f"{base}/_{name}-{uuid.uuid4().hex}"
+        rows, offset = [], 0
+        with (source.open_input_stream(raw, compression=None) as file,
+              store.open_output_stream(f"{mine}.warc.gz", compression=None) as out,
+              store.open_output_stream(f"{mine}.index", compression=None) as index):
+            for record in split_records(inflated(pieces(file))):
+                head = fields(record[:record.index(END.encode())])
+                member = gzip.compress(record, 6, mtime=0)
+                out.write(member)
+                rows.append({"archive": f"{name}.warc.gz", "offset": offset, "length": len(member),
+                             "record": head["warc-record-id"], "type": head["warc-type"]})
+                index.write((json.dumps(rows[-1]) + "\n").encode())
+                offset += len(member)
+                if len(rows) == INDEX_ROWS:
+                    yield rows
+                    rows = []
+        for end in ("warc.gz", "index"):
+            store.move(f"{mine}.{end}", f"{base}/{name}.{end}")
+        yield rows
+
     def run(batches):
-        store, base = _file_system(folder)
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                name = path.as_py().rpartition("/")[2].removesuffix(".gz").removesuffix(".txt")
-                mine = f"{base}/_{name}-{uuid.uuid4().hex}"
-                rows, offset = [], 0
-                with store.open_output_stream(f"{mine}.warc.gz", compression=None) as out:
-                    for record in split_records(inflated(memoryview(content.as_buffer()))):
-                        head = fields(record[:record.index(END.encode())])
-                        member = gzip.compress(record, 6, mtime=0)
-                        out.write(member)
-                        rows.append({"archive": f"{name}.warc.gz", "offset": offset, "length": len(member),
-                                     "record": head["warc-record-id"], "type": head["warc-type"]})
-                        offset += len(member)
-                with store.open_output_stream(f"{mine}.index", compression=None) as out:
-                    out.write("".join(json.dumps(r) + "\n" for r in rows).encode())
-                for kind in ("warc.gz", "index"):
-                    store.move(f"{mine}.{kind}", f"{base}/{name}.{kind}")
-                yield pa.RecordBatch.from_pylist(rows, pa.schema([
-                    ("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64()),
-                    ("record", pa.string()), ("type", pa.string())]))
+            for path in batch.column("path").to_pylist():
+                for rows in one(path):
+                    yield pa.RecordBatch.from_pylist(rows, kind)
     return run
 
 
 def normalise(spark: SparkSession, raw: str, folder: str) -> DataFrame:
     """Rewrite the archives in ``raw`` to ``folder``, one member per record, with
-    a sidecar ``.index`` of JSON lines beside each; the rows of all indexes."""
-    store, base = _file_system(folder)
+    a sidecar ``.index`` of JSON lines beside each; the rows of all indexes.
+
+    Spark lists the archives (``*.gz``) without reading them; tasks open them
+    themselves, so both folders must be ones that pyarrow's file systems reach.
+    Archives may have any number of gzip members and any size.  An archive that
+    ends within a record or a stream, or isn't gzip, is an error.  Equal records
+    are kept each; an empty archive or folder gives no rows.
+    """
+    store, base = file_system(folder)
     store.create_dir(base, recursive=True)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(raw).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(raw).select("path")
     return C.stored(files.mapInArrow(
         _normalise(folder), "archive string, offset long, length long, record string, type string"), "index")
 
 
 def _read(folder: str):
     def run(batches):
-        store, base = _file_system(folder)
+        store, base = file_system(folder)
         name, file = None, None
         for batch in batches:
             out = []
@@ -202,13 +222,22 @@ def _read(folder: str):
 
 def read_archives(index: DataFrame, folder: str) -> DataFrame:
     """Every record of ``index``, read at its offset: id, payload_bytes,
-    payload_digest, record_type, refers_to and payload (null for revisits)."""
+    payload_digest, record_type, refers_to and payload (null for revisits).
+
+    A record of a page without an id has the id null; a payload that lacks the
+    digest that its record states is an error; index rows that repeat are read
+    again; an empty index gives no rows.
+    """
     return index.mapInArrow(_read(folder), "id string, payload_bytes long, payload_digest string, "
                                            "record_type string, refers_to string, payload string")
 
 
 def through_archives(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """``pages`` (page_id, url, html) written, normalised and read back."""
+    """``pages`` (page_id, url, html) written, normalised and read back: a row per
+    page.  Null html is the empty payload, a null url is left out of its record;
+    of equal payloads the largest id is the response (``write_archives``), rows
+    that repeat have a record each; other columns are ignored; no pages, no rows.
+    """
     spark = pages.sparkSession
     raw, folder = C.new_folder(spark, "warc-raw"), C.new_folder(spark, "warc")
     write_archives(pages, raw, least_bytes=least_bytes)

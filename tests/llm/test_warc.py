@@ -1,4 +1,5 @@
 import gzip
+import io
 import json
 import os
 from urllib.parse import urlparse
@@ -59,7 +60,30 @@ def test_least_bytes_and_empty(spark):
 def test_streams():
     record = b"WARC/1.1\r\nContent-Length: 3\r\n\r\nab\n\r\n\r\n"
     many = gzip.compress(record * 3) + gzip.compress(record)
-    assert list(W.split_records(W.inflated(memoryview(many)))) == [record] * 4
+    for read, size in ((1, 1), (7, 3), (1000, 1000), (1000, 5)):
+        parts = list(W.inflated(W.pieces(io.BytesIO(many), read), size))
+        assert max(map(len, parts)) <= size and list(W.split_records(iter(parts))) == [record] * 4
+    for bad in (many[:-3], many[:30], gzip.compress(record)[:-9] ):
+        with pytest.raises(ValueError):
+            list(W.split_records(W.inflated(W.pieces(io.BytesIO(bad)))))
+    assert list(W.inflated(iter([]))) == []
     assert list(W.split_records(iter([record[i:i + 1] for i in range(len(record))]))) == [record]
     with pytest.raises(ValueError):
         list(W.split_records(iter([record[:-2]])))
+
+
+def test_archives_beyond_the_size_that_spark_reads_whole(spark):
+    """A monolithic archive over the limit of whole files: only Spark's list of it is needed."""
+    raw, folder = C.new_folder(spark, "t-raw"), C.new_folder(spark, "t")
+    pages = spark.createDataFrame([(i, f"u{i}", f"page {i} " * 2000) for i in range(300)], SCHEMA).coalesce(1)
+    W.write_archives(pages, raw)
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100")
+    try:
+        with pytest.raises(Exception, match="max"):
+            spark.read.format("binaryFile").load(raw).select("content").collect()
+        index = W.normalise(spark, raw, folder)
+        assert index.count() == 300 and index.select("archive").distinct().count() == 1
+        assert {int(r.id): len(r.payload) for r in W.read_archives(index, folder).collect()} == {
+            i: len(f"page {i} ") * 2000 for i in range(300)}
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
