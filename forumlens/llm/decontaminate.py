@@ -7,8 +7,11 @@ distinct benchmark window is searched backwards, its occurrences are located by
 sampled suffix positions, and the covered words merge into removal spans.
 
 Tasks cut the benchmark into its distinct windows, a table in the shared folder.
-It travels in blocks of at most ``BLOCK_BYTES`` of windows and ids on average;
-more blocks mean more passes over the corpus, whose spans merge.
+It travels in blocks of at most ``BLOCK_BYTES`` of windows and ids on average.
+With one block a single pass finds and cuts.  More blocks are a reading pass each,
+which leaves spans and items of the hit texts only; their texts are cut once, at
+the end.  Words are told apart by 64-bit values: n distinct ones give about
+n^2 / 2^65 chance collisions.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forumlens.llm import common as C
 from forumlens.llm.fm_index import FMIndex
@@ -63,15 +67,15 @@ def window_table(items: DataFrame, width: int) -> DataFrame:
     return found.withColumn("size", size)
 
 
-def phrases(table: pa.Table, width: int) -> Phrases:
-    rows = table.column("window").to_pylist()
+def phrases(table: pa.Table | None, width: int) -> Phrases:
+    rows = [] if table is None else table.column("window").to_pylist()
     lengths = np.array([len(w) // 8 for w in rows], np.int64)
     vocabulary, symbols = np.unique(np.frombuffer(b"".join(rows), "<u8"), return_inverse=True)
     row = np.repeat(np.arange(len(rows)), lengths)
     at = np.arange(len(symbols)) - (np.cumsum(lengths) - width)[row]
     windows = np.zeros((len(rows), width), np.int64)
     windows[row, at] = symbols + 2
-    return Phrases(vocabulary, windows, lengths, table.column("items").to_pylist())
+    return Phrases(vocabulary, windows, lengths, [] if table is None else table.column("items").to_pylist())
 
 
 def shard_hits(values: np.ndarray, first: np.ndarray, ph: Phrases) -> tuple[np.ndarray, np.ndarray]:
@@ -109,54 +113,96 @@ def _intervals(cover: np.ndarray) -> list[dict]:
     return [{"start": a, "end": b} for a, b in zip(turn[0::2], turn[1::2], strict=True)]
 
 
-def _scan(ph: Phrases, text_at: int, before_at: int | None, name: str):
+FOUND = pa.struct([("n_words", pa.int64()),
+                   ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                   ("items", pa.list_(pa.string())), ("clean_text", pa.string())])
+
+
+def _texts(texts: list[bytes | None], ph: Phrases):
+    """For each text: its words' first and last bytes, which words are hit, and
+    the items whose windows hit them."""
+    for a, b, data, at in C.doc_groups(texts):
+        s, e, v = C.scan_words(data, C.IS_ALNUM, C.FOLD)
+        first = np.searchsorted(s, at)
+        start, which = shard_hits(v, first, ph)
+        cover = np.zeros(len(s) + 1, np.int32)
+        np.add.at(cover, start, 1)
+        np.subtract.at(cover, start + ph.lengths[which], 1)
+        hit = np.cumsum(cover[:-1]) > 0
+        doc = np.searchsorted(first, start, side="right") - 1
+        ids: dict[int, set[str]] = {}
+        for k, w in np.unique(np.stack([doc, which]), axis=1).T.tolist():
+            ids.setdefault(k, set()).update(ph.items[w])
+        for k in range(b - a):
+            i, j = first[k], first[k + 1]
+            yield s[i:j] - at[k], e[i:j] - at[k], hit[i:j], ids.get(k, set())
+
+
+def _result(text: bytes | None, starts: np.ndarray, ends: np.ndarray, hit: np.ndarray, items: set[str]) -> dict:
+    spans = _intervals(hit) if hit.any() else []
+    if spans:  # from a span's first to its last byte
+        cuts = [(starts[x["start"]], ends[x["end"] - 1]) for x in spans]
+        edges = [0, *(int(y) for c in cuts for y in c), len(text)]
+        text = b"".join(text[x:y] for x, y in zip(edges[0::2], edges[1::2], strict=True))
+    return {"n_words": len(hit), "spans": spans, "items": sorted(items),
+            "clean_text": None if text is None else text.decode()}
+
+
+def _scan(ph: Phrases, text_at: int):
+    """Finds and cuts, with all windows at hand."""
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(text_at).cast(pa.binary()).to_pylist()
+            found = [_result(t, *x) for t, x in zip(texts, _texts(texts, ph), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, FOUND)], [*batch.schema.names, "made"])
+    return run
+
+
+def _find(ph: Phrases):
+    """(key, spans, items) of the hit texts among (key, text), with one block of windows."""
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            found = [{"key": key, "spans": _intervals(hit), "items": sorted(items)}
+                     for key, (_, _, hit, items) in zip(batch.column("key").to_pylist(), _texts(texts, ph), strict=True)
+                     if hit.any()]
+            yield pa.RecordBatch.from_pylist(found, pa.schema([
+                ("key", pa.binary()), ("spans", FOUND.field("spans").type), ("items", FOUND.field("items").type)]))
+    return run
+
+
+def _cut(text_at: int, spans_at: int, items_at: int):
+    """Cuts what the blocks' passes found."""
     def run(batches):
         for batch in batches:
             texts = batch.column(text_at).cast(pa.binary()).to_pylist()
-            before = [None] * len(texts) if before_at is None else batch.column(before_at).to_pylist()
             found = []
-            for a, b, data, at in C.doc_groups(texts):
-                s, e, v = C.scan_words(data, C.IS_ALNUM, C.FOLD)
-                first = np.searchsorted(s, at)
-                start, which = shard_hits(v, first, ph)
-                cover = np.zeros(len(s) + 1, np.int32)
-                np.add.at(cover, start, 1)
-                np.subtract.at(cover, start + ph.lengths[which], 1)
-                hit = np.cumsum(cover[:-1]) > 0
-                doc = np.searchsorted(first, start, side="right") - 1
-                ids: dict[int, set[str]] = {}
-                for k, w in np.unique(np.stack([doc, which]), axis=1).T.tolist():
-                    ids.setdefault(k, set()).update(ph.items[w])
-                for k in range(b - a):
-                    i, j = first[k], first[k + 1]
-                    mine, old = hit[i:j], before[a + k]
-                    items = ids.get(k, set())
-                    if old:
-                        mine = mine.copy()
-                        for x in old["spans"]:
-                            mine[x["start"]:x["end"]] = True
-                        items = items | set(old["items"])
-                    spans = _intervals(mine) if mine.any() else []
-                    text = texts[a + k]
-                    if spans:  # from a span's first to its last byte
-                        cuts = [(s[i + x["start"]] - at[k], e[i + x["end"] - 1] - at[k]) for x in spans]
-                        edges = [0, *(int(y) for c in cuts for y in c), len(text)]
-                        text = b"".join(text[x:y] for x, y in zip(edges[0::2], edges[1::2], strict=True))
-                    found.append({"n_words": int(j - i), "spans": spans, "items": sorted(items),
-                                  "clean_text": text})
-            kind = pa.struct([("n_words", pa.int64()),
-                              ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                              ("items", pa.list_(pa.string())), ("clean_text", pa.binary())])
-            got = pa.array(found, kind)
-            fields = [got.field(k) for k in range(3)] + [got.field(3).cast(pa.string())]
-            columns = [c for k, c in enumerate(batch.columns) if k != before_at]
-            names = [n for k, n in enumerate(batch.schema.names) if k != before_at]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.StructArray.from_arrays(fields, ["n_words", "spans", "items", "clean_text"])],
-                [*names, name])
+            for text, (s, e, hit, _), spans, items in zip(
+                    texts, _texts(texts, phrases(None, 1)), batch.column(spans_at).to_pylist(),
+                    batch.column(items_at).to_pylist(), strict=True):
+                hit = hit.copy()
+                for x in spans or ():
+                    hit[x["start"]:x["end"]] = True
+                found.append(_result(text, s, e, hit, set(items or ())))
+            columns = [c for k, c in enumerate(batch.columns) if k not in (spans_at, items_at)]
+            names = [n for k, n in enumerate(batch.schema.names) if k not in (spans_at, items_at)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, FOUND)], [*names, "made"])
     return run
 
 
+def _in_blocks(docs: DataFrame, text_col: str, table: DataFrame, numbers: list[int], width: int) -> DataFrame:
+    """(key, spans, items) of the hit texts; the key is the text's MD5."""
+    texts = docs.select(F.unhex(F.md5(F.col(text_col).cast("binary"))).alias("key"), F.col(text_col).alias("text"))
+    found = None
+    for number in numbers:
+        ph = phrases(table.where(F.col("block") == number).select("window", "items").toArrow(), width)
+        one = C.stored(texts.where("text is not null").mapInArrow(
+            _find(ph), f"key binary, spans {SPAN}, items array<string>"), "found")
+        found = one if found is None else found.unionByName(one)
+    return found.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"),
+                                    F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text", width: int = 10,
                   result: str = "contamination", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -169,29 +215,28 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     window.  Words are runs of letters, digits and all beyond ASCII, A-Z
     lower-cased.  Null and empty texts have no words and stay as they are; an
     item without an id cleans but isn't listed; repeated rows count alike; an
-    empty benchmark hits nothing.  ``result`` must not be a column of ``docs``.
+    empty benchmark hits nothing.  If ``docs`` has a column ``result`` the new one
+    gets underscores.
     """
-    if result.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"docs already has a column {result}")
+    result = C.free_name(docs, result)
     items = benchmark.select(F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text"))
     table = C.stored(window_table(items, width), "benchmark")
     blocks = max(1, -(-(table.agg(F.sum("size")).first()[0] or 0) // block_bytes))
-    numbers = [0]
-    if blocks > 1:
-        table, path = table.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks))), C.new_folder(
-            docs.sparkSession, "benchmark-blocks")
-        table.repartition("block").write.partitionBy("block").parquet(path)
-        table = docs.sparkSession.read.schema(table.schema).parquet(path)
-        numbers = sorted(r.block for r in table.select("block").distinct().collect())  # as many rows as passes
-    out, columns, name = docs, docs.columns, C.free_name(docs, "_found")
-    for k, number in enumerate(numbers):
-        mine = table.where(F.col("block") == number) if blocks > 1 else table
-        ph = phrases(mine.select("window", "items").toArrow(), width)
-        before = None if k == 0 else len(columns)
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-        out = out.mapInArrow(
-            _scan(ph, columns.index(text_col), before, name),
-            f"{schema}, `{name}` struct<n_words:long,spans:{SPAN},items:array<string>,clean_text:string>")
-        if len(numbers) > 1:
-            out = C.stored(out, "decontaminate")
-    return out.withColumnRenamed(name, result)
+    at = docs.columns.index(text_col)
+    kind = T.StructType.fromDDL(f"n_words long, spans {SPAN}, items array<string>, clean_text string")
+    if blocks == 1:
+        ph = phrases(table.select("window", "items").toArrow(), width)
+        return C.add_in_arrow(docs, _scan(ph, at), result, kind)
+    table, path = table.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks))), C.new_folder(
+        docs.sparkSession, "benchmark-blocks")
+    table.repartition("block").write.partitionBy("block").parquet(path)
+    table = docs.sparkSession.read.schema(table.schema).parquet(path)
+    numbers = sorted(r.block for r in table.select("block").distinct().collect())  # as many rows as passes
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    found = C.stored(_in_blocks(plain, f"c{at}", table, numbers, width), "hits")
+    keyed = plain.withColumn("key", F.unhex(F.md5(F.col(f"c{at}").cast("binary"))))
+    found = found.repartition(C.shuffle_width(docs.sparkSession))  # so that Spark may split a text that many rows share
+    hits = keyed.join(found, "key", "left").select(*plain.columns, "spans", "items")
+    n = len(plain.columns)
+    schema = T.StructType([*plain.schema.fields, T.StructField("made", kind)])
+    return hits.mapInArrow(_cut(at, n, n + 1), schema).toDF(*docs.columns, result)

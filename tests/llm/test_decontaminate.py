@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from forumlens.llm import common as C
 from forumlens.llm import decontaminate as decontamination
 from forumlens.llm.decontaminate import decontaminate
 from forumlens.llm.fm_index import FMIndex, suffix_array
@@ -64,14 +65,16 @@ def test_blocks_are_bounded_by_their_windows(spark, monkeypatch):
     words_of = [f"{chr(97 + k % 26)}{k}" for k in range(600)]
     items = spark.createDataFrame([(1, " ".join(words_of)), (2, " ".join(words_of[300:]))], "item_id long, text string")
     docs = [(k, " ".join(words_of[k:k + 12])) for k in range(0, 590, 7)]
-    held, scan = [], decontamination._scan
-    monkeypatch.setattr(decontamination, "_scan", lambda ph, *a: held.append(len(ph.windows)) or scan(ph, *a))
+    held, find, stored, kept = [], decontamination._find, C.stored, []
+    monkeypatch.setattr(decontamination, "_find", lambda ph: held.append(len(ph.windows)) or find(ph))
+    monkeypatch.setattr(C, "stored", lambda df, name: kept.append(df.columns) or stored(df, name))
     out = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), items, block_bytes=16_384).collect()
     got = [(r.doc_id, r.contamination.n_words, sum(s.end - s.start for s in r.contamination.spans),
             r.contamination.items) for r in out]
     rows = [tuple(r) for r in items.collect()]
     assert sorted(got) == sorted(brute(docs, rows, 10))
     assert sum(held) == 591 and len(held) > 1 and max(held) <= 2 * 16_384 // 80
+    assert not any("text" in c or "doc_id" in c for c in kept)  # between the passes no text is written
 
 
 def test_empty_tables(spark):
@@ -95,3 +98,14 @@ def test_index_against_scan():
             for p, a, b in zip(pats, lo, hi, strict=True):
                 want = [i for i in range(len(text)) if text[i:i + size].tolist() == p.tolist()]
                 assert sorted(index.locate(np.arange(a, b)).tolist()) == want
+
+
+def test_odd_and_clashing_columns(spark):
+    items = spark.createDataFrame([(1, "a b c"), (2, "b c d")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x a b c d y", 5, {"k.`": 1})], "`id.x` long, text string, `con tam`` ` int, m map<string,int>")
+    docs = docs.withColumn("Contamination", docs["text"])
+    for block_bytes in (1 << 20, 8):
+        out = decontaminate(docs, items, width=3, block_bytes=block_bytes)
+        assert out.columns == [*docs.columns, "contamination_"]
+        row = out.first()
+        assert row["contamination_"].clean_text == "x  y" and row["contamination_"]["items"] == ["1", "2"] and row["m"] == {"k.`": 1}
