@@ -100,10 +100,10 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and empty texts have size 0 and are taken 0 words; documents without a
     source are a source; rows equal in id and text share the words at the cut.
     Rows with one id are told apart by their texts.  The same seed takes the
-    same words.  ``result`` must not be a column of ``docs``.
+    same words.  An empty table stays empty.  If ``docs`` has a column ``result``
+    the new one gets underscores.
     """
-    if result.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"docs already has a column {result}")
+    result = C.free_name(docs, result)
     size, place, mine = (C.free_name(docs, n) for n in ("size", "place", "mine"))
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(docs[id_col].cast("string"), F.lit(""))))
     rows = docs.withColumns({size: C.n_words(docs[text_col]), place: F.struct(

@@ -16,6 +16,9 @@ from collections.abc import Iterator
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from forumlens.llm import common as C
 
 BASE = ("email", "ip", "card", "phone")
 #: Kinds in the order in which spans with one start are listed.
@@ -160,7 +163,7 @@ def find_spans(text: str) -> Iterator[tuple[int, int, str]]:
                 yield m.start(1), stop, mark
 
 
-def _scan(text_at: int, name: str):
+def _scan(text_at: int):
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     order = {k: i for i, k in enumerate(KINDS)}
 
@@ -172,7 +175,7 @@ def _scan(text_at: int, name: str):
                 found.append([{"kind": k, "start": a, "end": b}
                               for a, b, k in sorted(spans, key=lambda s: (s[0], order[s[2]], s[1]))])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)],
-                                             [*batch.schema.names, name])
+                                             [*batch.schema.names, "made"])
     return run
 
 
@@ -181,10 +184,8 @@ def find_personal_data(docs: DataFrame, text_col: str = "text", result: str = "p
     and then kind: code points of the whole text, end exclusive.
 
     Null and empty texts have no spans; equal texts have equal spans; other
-    columns stay; ``result`` must not be among them.
+    columns stay; an empty table stays empty.  If ``docs`` has a column ``result``
+    the new one gets underscores.
     """
-    if result.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"docs already has a column {result}")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_scan(docs.columns.index(text_col), result),
-                           f"{schema}, `{result}` array<struct<kind:string,start:long,end:long>>")
+    kind = T.ArrayType(T.StructType.fromDDL("kind string, start long, end long"))
+    return C.add_in_arrow(docs, _scan(docs.columns.index(text_col)), C.free_name(docs, result), kind)

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forumlens.llm import common as C
 
@@ -179,7 +180,7 @@ def train(docs: DataFrame, ratings: DataFrame, grades: int, id_col: str = "doc_i
     return fit(doc, feature, grade, grades)
 
 
-def _rate(model: Model, text_at: int, name: str):
+def _rate(model: Model, text_at: int):
     grades = len(model.thresholds) + 1
 
     def run(batches):
@@ -193,7 +194,7 @@ def _rate(model: Model, text_at: int, name: str):
                 [pa.array(tail.sum(axis=1)),
                  pa.ListArray.from_arrays(np.arange(0, tail.size + 1, grades - 1, dtype=np.int32),
                                           pa.array(tail.ravel()))], ["expected", "tail"])
-            yield pa.RecordBatch.from_arrays([*batch.columns, rating], [*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, rating], [*batch.schema.names, "made"])
     return run
 
 
@@ -202,13 +203,11 @@ def rate(docs: DataFrame, model: Model, text_col: str = "text", result: str = "r
     array whose k-th entry is P(grade >= k), from k = 1.
 
     Null and empty texts have only the features of a text of no words; equal
-    texts fare alike; other columns stay; ``result`` must not be among them.
+    texts fare alike; an empty table stays empty; other columns stay.  If
+    ``docs`` has a column ``result`` the new one gets underscores.
     """
-    if result.lower() in {c.lower() for c in docs.columns}:
-        raise ValueError(f"docs already has a column {result}")
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_rate(model, docs.columns.index(text_col), result),
-                           f"{schema}, `{result}` struct<expected:double,tail:array<double>>")
+    kind = T.StructType.fromDDL("expected double, tail array<double>")
+    return C.add_in_arrow(docs, _rate(model, docs.columns.index(text_col)), C.free_name(docs, result), kind)
 
 
 #: Grades of the table ``labels``: harmful, poor, good.

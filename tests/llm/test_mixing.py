@@ -63,5 +63,5 @@ def test_edges(spark):
     assert mix_sources(df.limit(0)).count() == 0
     empty = spark.createDataFrame([(1, "a", None), (2, "b", "")], SCHEMA)
     assert [r.mix.taken for r in mix_sources(empty).collect()] == [0, 0]
-    with pytest.raises(ValueError):
-        mix_sources(df.withColumnRenamed("size", "mix"))
+    clash = mix_sources(df.withColumnRenamed("size", "MIX"))
+    assert clash.columns == [*[c if c != "size" else "MIX" for c in df.columns], "mix_"] and clash.count() == 9
