@@ -191,7 +191,8 @@ def train(rows: DataFrame, conv: str = "conv_id", piece: str = "turn", text: str
             features[k][r.state, v] += r.n
     n_lines = F.size(F.split("text", "\n", -1))
     start, step = np.zeros(STATES), np.zeros((STATES, STATES))
-    steps = _before(known, "role", "before").select("role", "before", n_lines.alias("n")).groupBy("role", "before")
+    known = known.withColumn("end", (2 * F.col("role") + (n_lines > 1).cast("int")).cast("int"))  # a turn's last state
+    steps = _before(known, "end", "before").select("role", "before", n_lines.alias("n")).groupBy("role", "before")
     for r in steps.agg(F.count(F.lit(1)).alias("turns"), F.sum("n").alias("lines"),
                        F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).alias("long")).collect():
         a = 2 * r.role
@@ -199,9 +200,8 @@ def train(rows: DataFrame, conv: str = "conv_id", piece: str = "turn", text: str
         step[a + 1, a + 1] += r.lines - r.turns - r.long
         if r.before is None:
             start[a] += r.turns
-        else:  # turns mostly end within; both ends may step on
-            step[2 * r.before + 1, a] += r.turns / 2
-            step[2 * r.before, a] += r.turns / 2
+        else:
+            step[r.before, a] += r.turns
     forbidden = np.zeros((STATES, STATES), bool)  # going on with another's turn, or from nothing
     for s in range(STATES):
         for t in range(1, STATES, 2):

@@ -90,3 +90,18 @@ def test_no_labels(spark):
                                        ("A text: x", 0), ("user", 0), ("<system> x", 1), ("me too", 0), ("", 0)])
 def test_markers(line, role):
     assert chat.marker(line)[0] == role
+
+
+def test_steps_are_counted(spark):
+    """A turn of one line steps on from its first state, a longer one from its second."""
+    rows = [(1, 0, "hi?", "user"), (1, 1, "a\nb\nc", "assistant"), (1, 2, "ok", "user"), (2, 0, "x\ny", "user"), (2, 1, "z", "assistant")]
+    model = chat.train(spark.createDataFrame(rows, "conv_id long, turn long, text string, role string"))
+    counts = np.zeros((chat.STATES, chat.STATES))
+    for a, b in ((2, 4), (4, 5), (5, 5), (5, 2), (2, 3), (3, 4)):
+        counts[a, b] += 1
+    want = chat._log(counts)
+    allowed = model.step > -1e8
+    assert np.allclose(model.step[allowed], want[allowed])
+    start = np.zeros(chat.STATES)
+    start[2] = 2
+    assert np.allclose(model.start[::2], chat._log(start)[::2])
