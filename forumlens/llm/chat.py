@@ -191,8 +191,8 @@ def train(rows: DataFrame, conv: str = "conv_id", piece: str = "turn", text: str
             features[k][r.state, v] += r.n
     n_lines = F.size(F.split("text", "\n", -1))
     start, step = np.zeros(STATES), np.zeros((STATES, STATES))
-    known = known.withColumn("end", (2 * F.col("role") + (n_lines > 1).cast("int")).cast("int"))  # a turn's last state
-    steps = _before(known, "end", "before").select("role", "before", n_lines.alias("n")).groupBy("role", "before")
+    known = known.withColumn("state", (2 * F.col("role") + (n_lines > 1).cast("int")).cast("int"))  # a turn's last state
+    steps = _before(known, "state", "before").select("role", "before", n_lines.alias("n")).groupBy("role", "before")
     for r in steps.agg(F.count(F.lit(1)).alias("turns"), F.sum("n").alias("lines"),
                        F.sum(F.when(F.col("n") > 1, 1).otherwise(0)).alias("long")).collect():
         a = 2 * r.role
