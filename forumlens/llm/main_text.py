@@ -3,7 +3,8 @@
 Markup is stripped so that each block of the page is one line; what stands in
 menus, adverts, forms and the like leaves an empty line.  The lengths of the
 lines are summed over sliding windows.  Text begins where the sums surge and
-ends where they dive to nothing; the lines between are kept.
+ends where they dive to nothing; the lines between are kept.  Article and main
+elements, where a page has them, bound the lines that take part.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from forumlens.llm import common as C
 
 #: Lines in a window.
 WINDOW = 3
-#: On pages that mark no article a surge reaches this share of the highest sum.
+#: A surge reaches this share of the highest sum.
 SURGE = 0.2
 #: A line with this share of its letters in links is a menu's, outside a marked article.
 LINKED = 0.8
@@ -61,13 +62,15 @@ _NAMED = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)(?:\s*=\
 
 
 class _Scan:
-    """One walk over a page's markup; ``lines`` gets (text, letters, letters in links, in article, in main)."""
+    """One walk over a page's markup; ``lines`` gets (text, letters, letters in links,
+    number of the article or 0, in main)."""
 
     def __init__(self, text: str):
         self.text, self.no_more = text, set()
-        self.open: list[tuple[str, bool, bool, bool, bool]] = [("", False, False, False, False)]
+        self.open: list[tuple[str, bool, bool, int, bool]] = [("", False, False, 0, False)]
+        self.articles = 0
         self.count: dict[str, int] = {}
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
+        self.lines: list[tuple[str, int, int, int, bool]] = []
         self.parts: list[str] = []
         self.linked, self.in_link, self.skipped = 0, False, False
 
@@ -92,7 +95,7 @@ class _Scan:
         if line:
             self.lines.append((line, len(line), min(self.linked, len(line)), article, main))
         elif self.skipped:
-            self.lines.append(("", 0, 0, False, False))
+            self.lines.append(("", 0, 0, article, main))
         self.parts, self.linked, self.skipped, self.in_link = [], 0, False, False
 
     def add(self, piece: str) -> None:
@@ -102,7 +105,7 @@ class _Scan:
             return
         piece = markup.unescape(piece)
         self.parts.append(piece)
-        if self.in_link:
+        if self.in_link and self.open[-1][0] != "h1":
             self.linked += len(" ".join(piece.split()))
 
     def pop_to(self, k: int) -> None:
@@ -134,7 +137,10 @@ class _Scan:
         if name == "main" or "main" in words and name in ("div", "section"):
             drop, header, main = drop and name != "main", False, True
         if name == "article":
-            article, drop = True, drop or bool(words & COMMENT_NAMES)
+            drop = drop or bool(words & COMMENT_NAMES)
+            if not drop and not article:
+                self.articles += 1
+                article = self.articles
         elif name in HEADINGS:
             header = False if article or main else header
         elif name == "header" or "header" in words and name not in ("body", "html", "main"):
@@ -177,7 +183,7 @@ class _Scan:
                 self.end_line()
             self.pop_to(k)
 
-    def run(self) -> list[tuple[str, int, int, bool, bool]]:
+    def run(self) -> list[tuple[str, int, int, int, bool]]:
         at, text = 0, self.text
         while m := _OPENS.search(text, at):
             if m.start() > at:
@@ -219,20 +225,44 @@ def between_surge_and_dive(sizes: np.ndarray, surge: float) -> np.ndarray:
     return (sums > 0) & (peak[run] >= max(1, surge))
 
 
+def _lengths(lines: list[tuple[str, int, int, int, bool]]) -> tuple[list[int], list[int]]:
+    """The lengths that the windows slide over, and the line of each (-1: none).
+
+    Only lines of article elements have a length where a page has any, else only
+    those of its main elements, else all; but for articles, text in links counts
+    as nothing.  Such an element begins and ends with a dive, and what in it is
+    known to be something else leaves one empty line, however many blocks it has.
+    """
+    mark = next((m for m in (3, 4) if any(x[m] and x[0] for x in lines)), None)
+    sizes: list[int] = []
+    at: list[int] = []
+    before, empty = 0, False
+    for k, line in enumerate(lines):
+        text, n, linked = line[:3]
+        part = line[mark] if mark else 0
+        if part != before:
+            sizes += [0] * WINDOW
+            at += [-1] * WINDOW
+        elif part and not text and empty:
+            continue
+        if mark and not part:
+            n = 0
+        elif mark != 3:
+            n = 0 if linked >= LINKED * max(n, 1) else n - linked
+        sizes.append(n)
+        at.append(k)
+        before, empty = part, not text
+    return sizes, at
+
+
 def main_text(text: str | None) -> str:
     """The article of one page (see ``extract_main_text``)."""
     lines = _Scan(text or "").run()
-    for mark in (3, 4):  # inside article elements, else inside main, else the whole page
-        if any(x[mark] and x[0] for x in lines):
-            sizes = np.array([x[1] if x[mark] else 0 for x in lines], np.int64)
-            surge = 1.0
-            break
-    else:
-        sizes = np.array([0 if x[2] >= LINKED * max(x[1], 1) else x[1] - x[2] for x in lines], np.int64)
-        total = np.convolve(sizes, np.ones(WINDOW, np.int64)) if len(sizes) else sizes
-        surge = SURGE * total.max(initial=0)
-    kept = between_surge_and_dive(sizes, surge)
-    return " ".join(x[0] for x, k, n in zip(lines, kept, sizes, strict=True) if k and n)
+    found, at = _lengths(lines)
+    sizes = np.array(found, np.int64)
+    sums = np.convolve(sizes, np.ones(WINDOW, np.int64)) if len(sizes) else sizes
+    kept = between_surge_and_dive(sizes, SURGE * sums.max(initial=0))
+    return " ".join(lines[at[k]][0] for k in np.flatnonzero(kept & (sizes > 0)))
 
 
 def _extract(at: int):
@@ -247,13 +277,15 @@ def _extract(at: int):
 def extract_main_text(pages: DataFrame, html_col: str = "html", result: str = "main_text") -> DataFrame:
     """``pages`` with a column ``result``: the main text of each page.
 
-    That is the text of the page's article elements, without them that of its
-    main element, without either what lies between surges and dives of the text
-    lengths of the whole page.  Menus, headers, footers, sidebars, notices,
-    adverts, forms, reader comments and hidden parts, known by element, class,
-    id or role, leave empty lines; of a header within the article the headings
-    stay.  Character references are decoded, white space within a block becomes
-    one space, blocks are joined by one space.
+    That is what lies between surges and dives of the text lengths: among the
+    lines of the page's article elements, without them among those of its main
+    element, without either among those of the whole page.  An article far from
+    the highest sum, such as a teaser, is left out; one that surges is kept
+    whole.  Menus, headers, footers, sidebars, notices, adverts, forms, reader
+    comments and hidden parts, known by element, class, id or role, leave empty
+    lines; of a header within the article the headings stay.  Character
+    references are decoded, white space within a block becomes one space, blocks
+    are joined by one space.
 
     Null and empty pages, and pages without text, give ''.  Each page stands for
     itself, so repeated rows give equal results.  Broken markup (elements or

@@ -64,6 +64,29 @@ def test_page_without_article_by_surge_and_dive():
     assert main_text(f"<main><h1>T</h1><p>x</p></main><p>{LONG}</p>") == "T x"
 
 
+def test_distribution_finds_the_articles_without_their_element(spark):
+    """Surge and dive alone give the same texts when no page marks its article."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()
+    for r in pages:
+        bare = re.sub(r"<(/?)article>", r"<\1div>", r.html)
+        assert bare != r.html and main_text(bare) == main_text(r.html)
+
+
+def test_articles_are_chosen_by_surge():
+    cards = "".join(f"<article class=card><h2>Other news {i}</h2></article>" for i in range(4))
+    advert = "<div class=ad><p>Buy</p><p>now</p><p>or</p><p>never</p></div>"
+    story = f"<article><h1>Title</h1>{advert}<p>{LONG}{LONG}</p>{advert}<p>End.</p></article>"
+    assert main_text(f"{cards}{story}{cards}") == f"Title {(LONG + LONG).strip()} End."
+    assert main_text(f"<article><p>{LONG}</p></article><article><p>{LONG}</p></article>") == f"{LONG}{LONG}".strip()
+    assert main_text("<article><p>short</p></article>") == "short"
+
+
+def test_main_without_article():
+    menu = "".join(f"<li><a href=/{i}>section {i}</a></li>" for i in range(8))
+    page = f"<main><ul>{menu}</ul><h1><a href=/t>Title</a></h1><p>{LONG}</p><ul>{menu}</ul><p>Terms</p></main>"
+    assert main_text(page) == f"Title {LONG.strip()}"
+
+
 def test_surges_and_dives():
     kept = between_surge_and_dive(np.array([2, 0, 0, 0, 50, 0, 0, 3, 0, 0, 0, 4]), 20)
     assert kept[4] and kept[7] and not kept[0] and not kept[11]
