@@ -2,9 +2,12 @@ import hashlib
 import re
 from collections import Counter
 
+import numpy as np
+import pytest
+
 from forumlens.llm import common as C
 from forumlens.llm.queries import QUERIES
-from forumlens.llm.substring_dedup import substring_dedup
+from forumlens.llm.substring_dedup import _least, _seeds, substring_dedup
 
 SF = "/root/testdata/sf0.001"
 
@@ -55,3 +58,31 @@ def test_words_cut_at_slices(monkeypatch):
     assert list(zip(s, e, strict=True)) == [(0, 2), (3, 21), (22, 24), (26, 27), (28, 30)]
     assert v[0] == v[2] == v[4] != v[3]
     assert list(C.rolling(v, 2)) == [C.rolling(v[i:i + 2], 2)[0] for i in range(4)]
+
+
+@pytest.mark.parametrize("window", [1, 2, 5, 35])
+def test_seeds_of_equal_windows(window):
+    x = np.random.default_rng(3).integers(0, 4, 300).astype(np.uint64)
+    x[200:260] = x[20:80]
+    seeds = _seeds(x, window)
+    assert len(seeds) == 300 - window + 1
+    seen = {}
+    for i, v in enumerate(seeds):
+        assert seen.setdefault(tuple(x[i:i + window]), v) == v
+    for n in (1, 2, 3, 7, 8, 300, 301):
+        assert list(_least(x, n)) == [min(x[i:i + n]) for i in range(300 - n + 1)]
+
+
+@pytest.mark.parametrize("window", [1, 2, 7, 35])
+def test_windows_in_other_blocks(spark, window):
+    """Each text in a block of its own, as far as hashing deals them."""
+    word = np.random.default_rng(window).integers(0, 9, 4000)
+    texts = [" ".join(map(str, word[i:i + 90])) for i in range(0, 4000, 45)]
+    rows = [(i, t) for i, t in enumerate([*texts, *texts[:3], "lone " * 20])]
+    got = substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), window=window)
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got.collect()), key=repr) == brute(rows, window)
+
+
+def test_hashes_are_counted_by_spark(spark):
+    plan = QUERIES["op1_substring_dedup"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [count(1)") == 2
