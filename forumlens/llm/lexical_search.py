@@ -25,7 +25,7 @@ BLOCK_TERMS = 1 << 15
 #: beyond, documents keep all their terms.
 VOCABULARY = 1 << 20
 #: Documents and items in a leaf.
-DOC_LEAF, ITEM_LEAF = 32, 4
+DOC_LEAF, ITEM_LEAF = 8, 16
 #: One of so many shards is searched first, for the scores that the others must reach.
 FIRST = 16
 #: Power iterations for a node's direction.
@@ -144,9 +144,17 @@ class Search:
             weights[place, which] = self.items.value[at]
         return column, largest, weights
 
-    def bound(self, item_node: int, doc_node: int) -> int:
-        column, largest, _ = self.asks[item_node]
-        return int(self.top[doc_node].take(column).astype(self.exact) @ largest.astype(self.exact))
+    def bounds(self, item_node: int, doc_node: int) -> np.ndarray:
+        """What no score between the nodes exceeds: for all items of an inner
+        node at once, for those of a leaf one by one."""
+        column, largest, weights = self.asks[item_node]
+        each = largest[:, None] if weights is None else weights
+        return (self.top[doc_node].take(column).astype(self.exact) @ each.astype(self.exact)).astype(np.int64)
+
+    def open(self, item_node: int, bounds: np.ndarray) -> np.ndarray:
+        """Which of the bounds reach the weakest k-th score that they speak for."""
+        floor = self.floor[self.item_tree.rows(item_node)]
+        return bounds >= (floor if self.asks[item_node][2] is not None else floor.min())
 
     def matrix(self, doc_node: int) -> np.ndarray:
         if doc_node not in self.kept:
@@ -157,11 +165,12 @@ class Search:
             self.kept_bytes += got.nbytes
         return self.kept[doc_node]
 
-    def leaves(self, item_node: int, doc_node: int) -> None:
+    def leaves(self, item_node: int, doc_node: int, live: np.ndarray) -> None:
         column, _, weights = self.asks[item_node]
+        weights = weights[:, live]
         score = (self.matrix(doc_node)[:, column].astype(self.exact) @ weights.astype(self.exact)).astype(np.int64)
         self.scored += score.size
-        items, ids = self.item_tree.rows(item_node), self.ids[self.doc_tree.rows(doc_node)]
+        items, ids = self.item_tree.rows(item_node)[live], self.ids[self.doc_tree.rows(doc_node)]
         for c in np.flatnonzero((score >= self.floor[items]).any(axis=0)):
             i = items[c]
             good = np.flatnonzero(score[:, c] >= self.floor[i])
@@ -175,17 +184,18 @@ class Search:
         items, docs = self.item_tree, self.doc_tree
         if not len(self.ids) or not len(self.floor):
             return
-        stack = [(self.bound(0, 0), 0, 0)]
+        stack = [(0, 0, self.bounds(0, 0))]
         while stack:
-            most, q, d = stack.pop()
-            if most < self.floor[items.rows(q)].min():
+            q, d, most = stack.pop()
+            live = self.open(q, most)
+            if not live.any():
                 continue
             if not items.left[q] and not docs.left[d]:
-                self.leaves(q, d)
+                self.leaves(q, d, live)
                 continue
             qs = (items.left[q], items.right[q]) if items.left[q] else (q,)
             ds = (docs.left[d], docs.right[d]) if docs.left[d] else (d,)
-            stack += sorted((self.bound(x, y), x, y) for x in qs for y in ds)  # the most promising on top
+            stack += sorted(((x, y, self.bounds(x, y)) for x in qs for y in ds), key=lambda n: n[2].max())  # best on top
 
 
 def _unique(words: np.ndarray, doc: np.ndarray, known: np.ndarray | None):
