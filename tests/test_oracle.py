@@ -8,8 +8,6 @@ from forumlens.plans.registry import entries
 
 from conftest import SF_SMALL
 
-SLOW = {"stream_staleness"}
-
 
 @pytest.fixture(scope="module")
 def con():
