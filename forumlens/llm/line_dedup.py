@@ -15,7 +15,8 @@ earliest suffix of a part move on to the part's own node.  Only a part's earlies
 suffix can be the copy that others of the node repeat, so it stays for them: each
 suffix is in one node, and a node has one more.
 
-A later copy of a run of ``min_lines`` lines or more is deleted.
+A later copy of a run of ``min_lines`` lines or more is deleted; the maximal runs
+that are later copies are told with their words.
 """
 
 from __future__ import annotations
@@ -32,12 +33,13 @@ LINE_BITS = 31
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, version, j, at, line): the j-th non-blank line, at line ``at``."""
+    """(id, version, j, at, line, words): the j-th non-blank line, at line ``at``."""
     text = docs[text_col]
     cut = F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(i.alias("at"), x.alias("line")))
     rows = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("version"),
                        F.posexplode(F.filter(cut, lambda s: s["line"].rlike(NOT_BLANK))).alias("j", "s"))
-    return rows.select("id", "version", "j", "s.at", F.unhex(F.md5("s.line")).alias("line"))
+    return rows.select("id", "version", "j", "s.at", F.unhex(F.md5("s.line")).alias("line"),
+                       C.n_words(F.col("s.line")).alias("words"))
 
 
 def _doc() -> Column:
@@ -57,7 +59,7 @@ def _slots(counted: DataFrame, key: str, by: str) -> DataFrame:
 
 
 def _first_round(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Texts with repeated lines (doc, id, version); their repeated lines (p, at);
+    """Texts with repeated lines (doc, id, version); their repeated lines (p, at, words);
     and suffixes (p, r, first): rank of the first line, earliest suffix of the rank."""
     seen = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("r", F.lit(0).cast("long"))
     slots = _slots(seen, "r", "line").select("line", F.col("slot").alias("r"))
@@ -68,9 +70,9 @@ def _first_round(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     other = _again(docs.withColumnsRenamed({"id": "id_", "version": "version_"}))
     same = found["id"].eqNullSafe(other["id_"]) & (found["version"] == other["version_"])
     rows = C.stored(found.join(other, same).select(
-        (F.shiftleft("doc", LINE_BITS) + F.col("j")).alias("p"), "at", "r"), "positions")
+        (F.shiftleft("doc", LINE_BITS) + F.col("j")).alias("p"), "at", "words", "r"), "positions")
     first = rows.groupBy("r").agg(F.min("p").alias("first"))
-    return docs, rows.select("p", "at"), C.stored(rows.select("p", "r").join(_again(first), "r"), "round")
+    return docs, rows.select("p", "at", "words"), C.stored(rows.select("p", "r").join(_again(first), "r"), "round")
 
 
 def _rounds(suffixes: DataFrame) -> list[DataFrame]:
@@ -119,28 +121,57 @@ def _copied(rounds: list[DataFrame]) -> DataFrame:
     return (done if act is None else done.unionByName(act)).where("p > w")
 
 
+def _union(spans: Column) -> Column:
+    """Lines of ``spans`` (ascending, each ending behind the one before), each once."""
+    start = F.transform(spans, lambda c, i: F.struct(
+        F.greatest(c["start"], F.get(spans, i - 1)["end"]).alias("start"), c["end"].alias("end")))
+    return F.flatten(F.transform(start, lambda c: F.sequence(c["start"], c["end"] - 1)))
+
+
 def repeated_lines(docs: DataFrame, id_col: str, text_col: str, min_lines: int) -> DataFrame:
-    """(id, version, gone, longest) of each text with any: line numbers to
-    delete, ascending, and the lines of its longest run that starts earlier."""
+    """(id, version, gone, longest, copies) of each text with any: line numbers to
+    delete, ascending, the lines of its longest run that starts earlier, and its
+    maximal runs that do (start, end, lines, words), by start."""
     lines = C.stored(_lines(docs, id_col, text_col), "lines")
     texts, rows, suffixes = _first_round(lines)
     runs = _copied(_rounds(suffixes)).where(F.col("m") >= min_lines)
     none = F.lit(None)
     both = rows.withColumn("end", none.cast("long")).unionByName(
-        runs.select("p", none.cast("int").alias("at"), (F.col("p") + F.col("m")).alias("end")))
-    so_far = Window.partitionBy(_doc()).orderBy("p").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = both.withColumn("reach", F.max("end").over(so_far)).where("reach > p")
-    gone = reached.groupBy(_doc().alias("doc")).agg(
-        F.sort_array(F.collect_list("at")).alias("gone"), F.max(F.col("end") - F.col("p")).cast("int").alias("longest"))
-    return gone.join(texts, "doc").select("id", "version", "gone", "longest")
+        runs.select("p", none.cast("int").alias("at"), none.cast("long").alias("words"),
+                    (F.col("p") + F.col("m")).alias("end")))
+    by_place = Window.partitionBy(_doc()).orderBy("p")
+    so_far = by_place.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = by_place.rangeBetween(Window.unboundedPreceding, -1)
+    reached = both.select("*", F.max("end").over(so_far).alias("reach"), F.max("end").over(before).alias("before"),
+                          F.sum("words").over(so_far).alias("upto")).where("reach > p")
+    # the lines of a run are consecutive among those reached: nth and m name them
+    reached = reached.withColumn("nth", F.count("at").over(so_far).cast("int"))
+    lines_of = F.col("at").isNotNull()
+    maximal = F.col("end") > F.coalesce("before", F.lit(0))
+    found = reached.groupBy(_doc().alias("doc")).agg(
+        F.sort_array(F.collect_list(F.when(lines_of, F.struct("at", "words", "upto")))).alias("lines"),
+        F.sort_array(F.collect_list(F.when(maximal, F.struct(
+            "nth", (F.col("end") - F.col("p")).cast("int").alias("m"))))).alias("copies"),
+        F.max(F.col("end") - F.col("p")).cast("int").alias("longest"))
+
+    def told(c: Column) -> Column:
+        first, last = F.get("lines", c["nth"] - 1), F.get("lines", c["nth"] + c["m"] - 2)
+        return F.struct(first["at"].alias("start"), (last["at"] + 1).alias("end"), c["m"].alias("lines"),
+                        (last["upto"] - first["upto"] + first["words"]).alias("words"))
+
+    found = found.select("doc", F.col("lines.at").alias("gone"), "longest", F.transform("copies", told).alias("copies"))
+    return found.join(texts, "doc").select("id", "version", "gone", "longest", "copies")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 1,
-               result: str = "line_runs") -> DataFrame:
+               long_words: int = 10, result: str = "line_runs") -> DataFrame:
     """``docs`` with a struct column ``result``: n_lines, runs (maximal intervals
     of deleted line numbers, end exclusive), n_removed, longest (non-blank lines
     of the longest run that also starts earlier, if deleted), emptied (every
-    non-blank line went) and clean_text (the lines left; empty if emptied).
+    non-blank line went), clean_text (the lines left; empty if emptied), copies
+    (start, end, lines, words: each run of lines that also starts earlier and is
+    no part of a longer one, by start; such runs may overlap) and long (n_removed,
+    emptied, clean_text if copies of fewer than ``long_words`` words stay).
 
     A run of ``min_lines`` non-blank lines or more goes if it also starts
     earlier; with 1, every later copy of a line.  Lines end at line feeds; blank lines are neither compared nor deleted and do
@@ -153,27 +184,44 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     result = C.free_name(docs, result)
     found = repeated_lines(docs, id_col, text_col, min_lines)
-    found = found.select(F.col("id").alias("gone_id"), F.col("version").alias("gone_version"), "gone", "longest")
+    found = found.withColumnsRenamed({"id": "gone_id", "version": "gone_version"})
     # split before the join: behind it the lines are a column, not split anew by each lambda
-    version, lines, gone, longest = (C.free_name(docs, n) for n in ("version", "lines", "gone", "longest"))
-    found = found.withColumnsRenamed({"gone": gone, "longest": longest})
+    version, lines, gone, longest, copies = (
+        C.free_name(docs, n) for n in ("version", "lines", "gone", "longest", "copies"))
+    found = found.withColumnsRenamed({"gone": gone, "longest": longest, "copies": copies})
     rows = docs.withColumns({version: F.xxhash64(docs[text_col]), lines: F.split(docs[text_col], "\n", -1)})
     rows = rows.drop(text_col).join(
         found, rows[id_col].eqNullSafe(found["gone_id"]) & (rows[version] == found["gone_version"]), "left")
     n = F.size(lines)
-    left = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), F.col(gone)), lambda i: F.get(F.col(lines), i))
-    text = F.array_join(F.when(F.col(gone).isNull(), F.col(lines)).otherwise(left), "\n")
+
+    def left(some: Column) -> Column:
+        stay = F.transform(F.array_except(F.sequence(F.lit(0), n - 1), some), lambda i: F.get(F.col(lines), i))
+        return F.array_join(F.when(some.isNull(), F.col(lines)).otherwise(stay), "\n")
+
     nexts = F.transform(gone, lambda i: i + 1)
     runs = F.arrays_zip(F.array_except(gone, nexts).alias("start"), F.array_except(nexts, gone).alias("end"))
     empty = F.array().cast("array<struct<start:int,end:int>>")
-    text_name = C.free_name(docs, "clean_text")
-    rows = rows.withColumn(text_name, text)
-    emptied = F.col(gone).isNotNull() & ~F.col(text_name).rlike(NOT_BLANK)
+    none = F.array().cast("array<struct<start:int,end:int,lines:int,words:bigint>>")
+    some_long, long_gone, text_name, long_name = (
+        C.free_name(docs, x) for x in ("some_long", "long_gone", "clean_text", "long_text"))
+    rows = rows.withColumn(some_long, F.filter(copies, lambda c: c["words"] >= long_words))
+    rows = rows.withColumn(long_gone, F.when(
+        F.size(some_long) > 0, F.array_intersect(_union(F.col(some_long)), F.col(gone))))
+    rows = rows.withColumns({text_name: left(F.col(gone)), long_name: left(F.col(long_gone))})
+
+    def all_gone(some: str, text: str) -> Column:
+        return F.col(some).isNotNull() & ~F.col(text).rlike(NOT_BLANK)
+
+    def removed(some: str) -> Column:
+        return F.when(F.col(some).isNull(), 0).otherwise(F.size(some))
+
+    emptied, long_emptied = all_gone(gone, text_name), all_gone(long_gone, long_name)
     out = F.struct(
         F.when(F.col(lines).isNull(), 0).otherwise(n).alias("n_lines"),
         F.coalesce(runs.cast("array<struct<start:int,end:int>>"), empty).alias("runs"),
-        F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).alias("n_removed"),
-        F.coalesce(longest, F.lit(0)).alias("longest"), emptied.alias("emptied"),
-        F.when(emptied, "").otherwise(F.col(text_name)).alias("clean_text"))
+        removed(gone).alias("n_removed"), F.coalesce(longest, F.lit(0)).alias("longest"), emptied.alias("emptied"),
+        F.when(emptied, "").otherwise(F.col(text_name)).alias("clean_text"), F.coalesce(copies, none).alias("copies"),
+        F.struct(removed(long_gone).alias("n_removed"), long_emptied.alias("emptied"),
+                 F.when(long_emptied, "").otherwise(F.col(long_name)).alias("clean_text")).alias("long"))
     was = F.array_join(F.col(lines), "\n").alias(text_col)
     return rows.select(*[was if c == text_col else rows[c] for c in docs.columns], out.alias(result))

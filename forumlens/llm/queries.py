@@ -104,30 +104,91 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = r"""
-WITH cut AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
-           generate_subscripts(string_split(text, chr(10)), 1) AS pos
+WITH RECURSIVE cut AS (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos
     FROM documents),
-told AS (
+told AS (  -- every later copy of a line
     SELECT *, regexp_matches(line, '[^\x20\x09-\x0D]') AS said,
            row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth FROM cut),
 kept AS (
     SELECT doc_id, count(*) AS n_lines, count(*) FILTER (said AND nth > 1) AS n,
            string_agg(line, chr(10) ORDER BY pos) FILTER (NOT said OR nth = 1) AS text,
            coalesce(bool_or(said AND nth = 1), false) AS has_words
-    FROM told GROUP BY doc_id)
-SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INT) AS n_lines, CAST(coalesce(n, 0) AS INT) AS n_removed,
+    FROM told GROUP BY doc_id),
+lines AS (
+    SELECT doc_id, pos, line, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS j,
+           len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+    FROM cut WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+runs AS (  -- runs of at most ten lines, which hold ten words at least
+    SELECT a.doc_id, a.j, b.j AS e, b.words AS last, a.words AS first,
+           (SELECT sum(c.words) FROM lines c WHERE c.doc_id = a.doc_id AND c.j BETWEEN a.j AND b.j) AS words
+    FROM lines a JOIN lines b ON a.doc_id = b.doc_id AND b.j BETWEEN a.j AND a.j + 9),
+shortest AS (
+    SELECT doc_id, j, e FROM runs WHERE words >= 10 AND (words - last < 10 OR words - first < 10)),
+named AS (
+    SELECT s.doc_id, s.j, s.e, string_agg(l.line, chr(10) ORDER BY l.j) AS content
+    FROM shortest s JOIN lines l ON l.doc_id = s.doc_id AND l.j BETWEEN s.j AND s.e GROUP BY ALL),
+ordered AS (
+    SELECT doc_id, j, e, row_number() OVER (PARTITION BY content ORDER BY doc_id, j) AS nth FROM named),
+gone AS (
+    SELECT DISTINCT l.doc_id, l.pos FROM ordered o
+    JOIN lines l ON l.doc_id = o.doc_id AND l.j BETWEEN o.j AND o.e WHERE o.nth > 1),
+kept_long AS (
+    SELECT c.doc_id, string_agg(c.line, chr(10) ORDER BY c.pos) AS text,
+           bool_or(regexp_matches(c.line, '[^\x20\x09-\x0D]')) AS has_words
+    FROM cut c LEFT JOIN gone g ON c.doc_id = g.doc_id AND c.pos = g.pos WHERE g.pos IS NULL GROUP BY c.doc_id),
+shared AS (  -- runs of 1, 2, 3, ... lines that start twice or more
+    SELECT doc_id, j, 1 AS m, md5(line) AS h, row_number() OVER (PARTITION BY line ORDER BY doc_id, j) AS nth
+    FROM lines QUALIFY count(*) OVER (PARTITION BY line) > 1
+    UNION ALL
+    SELECT doc_id, j, m, h, row_number() OVER (PARTITION BY h ORDER BY doc_id, j) AS nth
+    FROM (SELECT s.doc_id, s.j, s.m + 1 AS m, md5(s.h || l.line) AS h
+          FROM shared s JOIN lines l ON l.doc_id = s.doc_id AND l.j = s.j + s.m)
+    QUALIFY count(*) OVER (PARTITION BY h) > 1),
+later AS (SELECT doc_id, j, max(m) AS m FROM shared WHERE nth > 1 GROUP BY doc_id, j),
+maximal AS (
+    SELECT doc_id, j, m FROM later
+    QUALIFY j + m > coalesce(max(j + m) OVER (PARTITION BY doc_id ORDER BY j
+                                              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)),
+upto AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY j) AS t FROM lines),
+copies AS (
+    SELECT c.doc_id, count(*) AS n, max(c.m) AS longest,
+           string_agg(a.pos || ':' || (b.pos + 1) || ':' || (b.t - a.t + a.words), ',' ORDER BY c.j) AS spans
+    FROM maximal c JOIN upto a ON a.doc_id = c.doc_id AND a.j = c.j
+    JOIN upto b ON b.doc_id = c.doc_id AND b.j = c.j + c.m - 1 GROUP BY c.doc_id)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS INT) AS n_lines, CAST(coalesce(k.n, 0) AS INT) AS n_removed,
+       CASE WHEN d.text IS NOT NULL THEN
+           sha256(CASE WHEN k.n > 0 AND NOT k.has_words THEN '' ELSE coalesce(k.text, '') END) END AS kept_sha256,
+       CAST(coalesce(c.n, 0) AS INT) AS n_copies, CAST(coalesce(c.longest, 0) AS INT) AS longest,
+       coalesce(c.spans, '') AS copies, CAST(coalesce(g.n, 0) AS INT) AS n_removed_long,
        CASE WHEN d.text IS NOT NULL THEN
-           sha256(CASE WHEN n > 0 AND NOT has_words THEN '' ELSE coalesce(k.text, '') END) END AS kept_sha256
-FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+           sha256(CASE WHEN g.n > 0 AND NOT coalesce(l.has_words, false) THEN ''
+                  ELSE coalesce(l.text, '') END) END AS kept_long_sha256
+FROM documents d
+LEFT JOIN kept k ON d.doc_id = k.doc_id
+LEFT JOIN copies c ON d.doc_id = c.doc_id
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g ON d.doc_id = g.doc_id
+LEFT JOIN kept_long l ON d.doc_id = l.doc_id
 """
 
 
 @query("op9_line_dedup", OP9_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup(C.read(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=1)
+    """Without every later copy of a line, the maximal runs that are copies
+    (first line, line behind the last, words), and without those of ten words or
+    more alone."""
+    out = line_dedup(C.read(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=1, long_words=10)
+    spans = F.transform("line_runs.copies", lambda c: F.concat_ws(":", c["start"], c["end"], c["words"]))
+
+    def told(text: str):
+        return F.sha2(F.col(text).cast("binary"), 256)
+
     return out.select("doc_id", "line_runs.n_lines", "line_runs.n_removed",
-                      F.sha2(F.col("line_runs.clean_text").cast("binary"), 256).alias("kept_sha256"))
+                      told("line_runs.clean_text").alias("kept_sha256"),
+                      F.size("line_runs.copies").alias("n_copies"), "line_runs.longest",
+                      F.array_join(spans, ",").alias("copies"), F.col("line_runs.long.n_removed").alias("n_removed_long"),
+                      told("line_runs.long.clean_text").alias("kept_long_sha256"))
 
 
 @query("op2_quality")

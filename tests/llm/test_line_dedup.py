@@ -100,3 +100,54 @@ def test_edges(spark):
     assert line_dedup(df.limit(0)).count() == 0
     clash = line_dedup(df.withColumn("Line_Runs", df.lines), min_lines=2)
     assert clash.columns[-2:] == ["Line_Runs", "line_runs_"]
+
+
+def brute_copies(rows):
+    """Per text, the runs that also start earlier and are no part of a longer one: (start, end, lines, words)."""
+    docs = sorted({(k, t) for k, t in rows}, key=lambda r: r[0])
+    lines = [(d, at, x) for d, (_, t) in enumerate(docs) for at, x in enumerate(t.split("\n")) if x.strip(BLANKS)]
+    found = {key: [] for key in docs}
+    for i in range(len(lines)):
+        most = 0
+        for j in range(i):
+            n = 0
+            while (i + n < len(lines) and lines[i + n][0] == lines[i][0] and lines[j + n][0] == lines[j][0]
+                   and lines[i + n][2] == lines[j + n][2]):
+                n += 1
+            most = max(most, n)
+        of_text = found[docs[lines[i][0]]]
+        if most and (not of_text or lines[i + most - 1][1] + 1 > of_text[-1][1]):
+            run = lines[i:i + most]
+            of_text.append((run[0][1], run[-1][1] + 1, most, sum(len(x.split()) for _, _, x in run)))
+    return found
+
+
+@pytest.mark.parametrize("seed,least", [(0, 5), (1, 10)])
+def test_copies_are_maximal_runs(spark, seed, least):
+    """The runs that single lines don't tell, and what goes where only runs of some words do."""
+    rng = random.Random(seed)
+    some = ["a", "b", "a b", "c d e", "", "  ", "f g h i", "q", "r s"]
+    rows = [(k, "\n".join(rng.choice(some) for _ in range(rng.randint(1, 25)))) for k in range(20)]
+    rows += [(100 + k, "x" + str(k) + "\n" + rows[k][1] + "\n" + rows[k + 1][1]) for k in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_copies(rows)
+    got = line_dedup(df, long_words=least).collect()
+    for r in got:
+        runs = want[(r.doc_id, r.text)]
+        assert [tuple(c) for c in r.line_runs.copies] == runs
+        cut = r.text.split("\n")
+        gone = {at for a, b, _, n in runs if n >= least for at in range(a, b) if cut[at].strip(BLANKS)}
+        left = [x for at, x in enumerate(cut) if at not in gone]
+        assert r.line_runs.long.n_removed == len(gone)
+        assert r.line_runs.long.clean_text == (
+            "\n".join(left) if not gone or any(x.strip(BLANKS) for x in left) else "")
+    assert any(r.line_runs.long.n_removed < r.line_runs.n_removed for r in got)
+
+
+def test_query_tells_runs(spark):
+    """Lines that move together and lines that move alone are told apart."""
+    names, rows = compare(spark, "op9_line_dedup", "/root/testdata/sf0.001")
+    at = {n: i for i, n in enumerate(names)}
+    assert max(r[at["longest"]] for r in rows) > 10
+    assert 0 < sum(r[at["n_copies"]] for r in rows) < sum(r[at["n_removed"]] for r in rows)
+    assert 0 < sum(r[at["n_removed_long"]] for r in rows) < sum(r[at["n_removed"]] for r in rows)
