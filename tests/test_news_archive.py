@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from forumlens.functions import letters as L
 from forumlens.functions import news_text as N
 from forumlens.operators import archive, letter_qa, news
+from forumlens.sources import fixtures as fx
 
-from conftest import rows
+from conftest import SF_SMALL, rows
 
 
 def _col(spark, values, fn, dtype="string"):
@@ -295,3 +296,28 @@ def test_site_documents_by_hand(spark):
     assert [i.findtext("title") for i in feed.iter("item")] == ["C", "B", "A"]
     assert feed.findtext("channel/item/link") == "http://x/2026-02-03.html"
     assert feed.findtext("channel/item/description").startswith("<p><strong>Subject:</strong> C")
+
+
+def test_nav_windows_hold_dates_only(spark):
+    """No community's texts meet in one task, also for letters without a community."""
+    from test_plans import plan
+    days = [("s", "2026-01-30", "A"), ("s", "2026-02-01", "B"), ("t", "2026-01-31", "C"), (None, "2026-01-01", "D"),
+            (None, "2026-01-03", "E")]
+    nav = archive.letter_nav(_letters(spark, days))
+    assert [(r.markdown[13], r.prev_url, r.url, r.next_url) for r in nav.orderBy("markdown").collect()] == [
+        ("A", None, "2026-01-30.html", "2026-02-01.html"), ("B", "2026-01-30.html", "2026-02-01.html", None),
+        ("C", None, "2026-01-31.html", None), ("D", None, "2026-01-01.html", "2026-01-03.html"),
+        ("E", "2026-01-01.html", "2026-01-03.html", None)]
+    windows = [x for x in plan(archive.letter_pages(fx.letters(spark, SF_SMALL))).split("\n\n") if ") Window" in x]
+    assert any("lag(url" in x for x in windows)
+    assert not any("lag(url" in x and "markdown" in x for x in windows)
+
+
+def test_letters_are_dealt_by_their_orders(spark, monkeypatch):
+    """More orders, more parts: a task's texts stay as large as they are."""
+    n = fx.letters(spark, SF_SMALL).rdd.getNumPartitions()
+    monkeypatch.setattr(fx, "ORDERS_A_TASK", 100)
+    cut = fx.letters(spark, SF_SMALL)
+    assert cut.rdd.getNumPartitions() > 2 * n
+    monkeypatch.undo()
+    assert rows(cut) == rows(fx.letters(spark, SF_SMALL))
