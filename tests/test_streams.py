@@ -279,3 +279,61 @@ def test_stale_posts_become_fresh_again(spark):
     assert [s for p, s in told if p == 2] == [True] and [s for p, s in told if p == 4] == []
     assert [s for p, s in told if p == 3] == [True, False] and [s for p, s in told if p == 99] == [True]
     assert rows(W.stale_now(spark, out), "post_reddit_id") == [(1,), (2,), (5,), (99,)]
+
+
+def test_staleness_state_does_not_grow_by_the_post(spark):
+    """900 posts in 16 states, over files out of order: E6's answer, and no state or timer for a single post."""
+    from forumlens.operators import refresh
+    from forumlens.sources.tables import ntz
+    base, rnd = tempfile.mkdtemp(prefix="k4-", dir="/tmp"), random.Random(3)
+    at = lambda lo, hi: datetime(2024, 1, 1) + timedelta(minutes=rnd.randint(lo, hi))
+    kinds = "post_reddit_id string, last_scraped_at timestamp_ntz", "reddit_id string, last_scraped_at timestamp_ntz"
+    comments, posts = [], [(f"p{i}", at(0, 100)) for i in range(900)]
+    for i, (lo, hi) in enumerate([(0, 4000), (4000, 4200), (3000, 4000)]):
+        part = [(f"p{rnd.randrange(800)}", at(lo, hi)) for _ in range(500)]
+        comments += part
+        _land(spark.createDataFrame(part, kinds[0]), f"{base}/comments/{i}", 1_000_000 + i)
+    _land(spark.createDataFrame(posts, kinds[1]), f"{base}/posts/a", 1_000_000)
+    read = spark.readStream.option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+    changes = W.staleness_changes(read.schema(kinds[0]).parquet(f"{base}/comments"), timedelta(hours=1),
+                                  read.schema(kinds[1]).parquet(f"{base}/posts"), hours=2, slots=16)
+    out = W.run_staleness(spark, changes, base)
+    every, said = spark.createDataFrame(posts, kinds[1]), spark.createDataFrame(comments, kinds[0])
+    as_of = said.agg(F.max("last_scraped_at")).first()[0] - timedelta(hours=1)
+    want = rows(refresh.stale_posts(every, every, said, ntz(str(as_of)), hours=2))
+    assert rows(W.stale_now(spark, out), "post_reddit_id") == want and 100 < len(want) < 900
+    last = said.groupBy("post_reddit_id").agg(F.max("last_scraped_at"))
+    newest = rows(last.where(F.col("post_reddit_id").isin([w[0] for w in want])))
+    told = W.stale_now(spark, out).where("comments_scraped_at is not null")
+    assert rows(told, "post_reddit_id", "comments_scraped_at") == newest
+    old = spark.conf.get(W._STORE[0], None)
+    spark.conf.set(*W._STORE)
+    try:
+        kept = spark.read.format("statestore").option("stateVarName", "slot").load(f"{base}/_checkpoint")
+        assert kept.count() == 16
+        assert kept.selectExpr("explode(value.posts) as p").distinct().count() == 900
+    finally:
+        spark.conf.set(W._STORE[0], old) if old else spark.conf.unset(W._STORE[0])
+
+
+def test_rows_are_packed_whole():
+    """Each post of a slot once with its newest scrape, nulls kept, over several packs."""
+    import pyarrow as pa
+    rnd = random.Random(1)
+    given = [(p % 3, p, rnd.choice([None, rnd.randrange(99)]), rnd.choice([None, rnd.randrange(99)]))
+             for p in (rnd.randrange(40) for _ in range(500))]
+    size, W.PACK_ROWS = W.PACK_ROWS, 120
+    try:
+        cols = ("slot", "post", "last_ms", "clock_us")
+        batches = [pa.RecordBatch.from_pylist([dict(zip(cols, g)) for g in given[i:i + 50]],
+                                              pa.schema([(c, pa.int64()) for c in cols])) for i in range(0, 500, 50)]
+        packed = [r for b in W._pack(iter(batches)) for r in b.to_pylist()]
+    finally:
+        W.PACK_ROWS = size
+    assert 3 < len(packed) <= 15 and all(len(set(r["posts"])) == len(r["posts"]) for r in packed)
+    newest = lambda xs: max((x for x in xs if x is not None), default=None)
+    told = [(r["slot"], p, last) for r in packed for p, last in zip(r["posts"], r["last_ms"])]
+    for slot, post in {g[:2] for g in given}:
+        assert newest(t[2] for t in told if t[:2] == (slot, post)) == newest(g[2] for g in given if g[1] == post)
+    assert {t[:2] for t in told} == {g[:2] for g in given}
+    assert newest(r["clock_us"] for r in packed) == newest(g[3] for g in given)
