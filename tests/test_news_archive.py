@@ -321,3 +321,21 @@ def test_letters_are_dealt_by_their_orders(spark, monkeypatch):
     assert cut.rdd.getNumPartitions() > 2 * n
     monkeypatch.undo()
     assert rows(cut) == rows(fx.letters(spark, SF_SMALL))
+
+
+def test_letter_pages_query_fills_its_pages(spark, monkeypatch):
+    """The query's rows hold the filled page, also of a text with placeholders and of a letter without a community."""
+    from forumlens.plans.archive_queries import q_letter_pages
+    days = [("s", "2026-01-30", "A {{NAV_BOTTOM}}{{CONTENT}}"), ("s", "2026-02-01", "B"), (None, "2026-02-01", "C")]
+    monkeypatch.setattr(fx, "letters", lambda spark, sf: _letters(spark, days))
+    got = {(r.subreddit, r.letter_date.day): r.page_html for r in q_letter_pages(spark, "").collect()}
+
+    def page(community, day, date, previous, following, subject):
+        return (f"<!DOCTYPE html>\n<html><head><title>r/{community} {day}</title></head>\n<body><h1>{date}</h1>\n"
+                f'<nav>{previous} | <a href="catalog.html">Catalog</a> | {following}</nav>\n'
+                f"<article><p><strong>Subject:</strong> {subject}</p>\n<p>Text {day}</p></article>\n\n</body></html>")
+    no_previous, no_next = '<span class="off">Previous</span>', '<span class="off">Next</span>'
+    assert got == {
+        ("s", 30): page("s", "2026-01-30", "January 30, 2026", no_previous, '<a href="2026-02-01.html">Next</a>', "A {{CONTENT}}"),
+        ("s", 1): page("s", "2026-02-01", "February 01, 2026", '<a href="2026-01-30.html">Previous</a>', no_next, "B"),
+        (None, 1): page("", "2026-02-01", "February 01, 2026", no_previous, no_next, "C")}
